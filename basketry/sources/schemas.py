@@ -8,7 +8,7 @@ TABLES: dict[str, str] = {
     "orders": f"""id long, user_id long, masked_id string, external_id string, state string, status string,
         payment_status string, payment_method string, credit_card_operator string, installments int, origin int,
         utm_id long, coupon_id long, created_at timestamp, updated_at timestamp, delivered_at timestamp,
-        shipping_price {MONEY}, cached_total_value {MONEY}, cached_final_value {MONEY}, cached_credits {MONEY},
+        shipping_price {MONEY}, captured_shipping_price {MONEY}, cached_total_value {MONEY}, cached_final_value {MONEY}, cached_credits {MONEY},
         shipping_period int, total_shipping_time int""",
     "order_items": f"""id string, order_id long, product_id long, variant_id long, campaign_id long, name string,
         quantity int, cancelled_quantity int, stockout_quantity int, final_price {MONEY}, original_price {MONEY},

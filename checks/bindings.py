@@ -95,6 +95,7 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             CASE WHEN o_orderstatus = 'F' AND {k} % 4 > 1 AND {k} % 5 <> 0
                  THEN {d.plus_hours(created, f'24 * (5 + {k} % 10)')} END AS delivered_at,
             CASE WHEN {k} % 13 = 0 THEN NULL ELSE {money(f'{k} % 30 + 0.5')} END AS shipping_price,
+            CASE WHEN o_orderstatus = 'F' THEN {money(f'{k} % 30 + 0.5')} END AS captured_shipping_price,
             CASE WHEN {k} % 101 = 0 THEN NULL ELSE {money('o_totalprice')} END AS cached_total_value,
             {money('o_totalprice')} AS cached_final_value,
             {money(f'CASE WHEN {k} % 17 = 0 THEN 5 ELSE 0 END')} AS cached_credits,
@@ -174,7 +175,7 @@ def shop_tables(d: SparkText) -> dict[str, str]:
                 concat('City', {s('c_nationkey')}) AS city, 'SP' AS state FROM {d.given('customer')}
             UNION ALL SELECT c_custkey * 2 + 1, c_custkey, concat('Town', {s('c_nationkey')}),
                 CASE c_nationkey % 5 WHEN 0 THEN ' sp' WHEN 1 THEN 'RJ ' WHEN 2 THEN 'mg' WHEN 3 THEN 'ZZ' END
-                FROM {d.given('customer')} WHERE c_custkey % 3 <> 0""",
+                FROM {d.given('customer')} WHERE c_acctbal > 1000""",
         "shop_app_sessions": f"""SELECT user_id, {d.ts('ts')} AS created_at,
             {d.plus_hours(d.ts('ts'), 'event_id % 50')} AS most_recent_access FROM {d.given('events')}""",
         "shop_utms": f"""SELECT doc_id AS id,
