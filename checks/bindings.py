@@ -364,6 +364,11 @@ RULE_ROWS = [
     (11, "x", "x", "x", "web-", "organic", "x", "n/a", "Web", ""),
     (12, None, "x", "x", "x", "x", "x", "Blank", "Blank", ""),
 ]
+# Earlier runs of the conversion estimate; the last row is of the run day and gets replaced.
+CONVERSION_ROWS = [
+    ("2001-06-28", 0.2, 0.31, 0.11, 1000), ("2001-07-02", 0.2, 0.255, 0.055, 1100),
+    ("2001-07-10", 0.2, 0.21, 0.01, 1200), ("2001-07-31", 0.1, 0.9, 0.8, 1300),
+]
 DELIVERY_LABELS = {1: "Entrega Rápida", 2: "Entrega Normal"}
 INVENTORY_LABELS = {"INTERNAL": "Estoque interno", "CONSIGNED": "Consignação"}
 
@@ -388,6 +393,11 @@ def inline_tables() -> dict[str, str]:
         "shop_status_names": rows("status_type status_id status_name", STATUS_ROWS),
         "shop_status_lists": rows("state keep erp_exclude payment_exclude", STATUS_LIST_ROWS),
         "shop_br_states": rows("state_name state region", BR_STATE_ROWS),
+        "shop_conversion_history": " UNION ALL ".join(
+            f"SELECT 'main' AS unit, CAST('{day}' AS DATE) AS day, CAST({a} AS DOUBLE) AS rate_1_30, "
+            f"CAST({b} AS DOUBLE) AS rate_91_120, CAST({dif} AS DOUBLE) AS dif, "
+            f"CAST({total} AS DECIMAL(38,4)) AS revenue" for day, a, b, dif, total in CONVERSION_ROWS
+        ),
         "shop_rules": rows(
             "rule_no exact_source exact_medium exact_campaign like_source like_medium like_campaign "
             "level1 level2 level3", RULE_ROWS,
