@@ -69,17 +69,22 @@ def parse_day_first(text: Column | str) -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
 
 
-def local_between(ts: Column | str, first: dt.date, last: dt.date) -> Column:
-    """Shop-local day within [first, last].
+def local_since(ts: Column | str, first: dt.date) -> Column:
+    """Shop-local day on or after `first`.
 
-    The plain range on the raw instant is implied by the exact test (the zone is less than a day
+    The plain comparison of the raw instant is implied by the exact test (the zone is less than a day
     away); it is there because only a plain comparison can prune files and row groups.
     """
     column = F.col(ts) if isinstance(ts, str) else ts
     low = dt.datetime.combine(first - dt.timedelta(days=1), dt.time())
+    return (column >= F.lit(low.isoformat(" ")).cast("timestamp")) & (local_date(column) >= F.lit(first))
+
+
+def local_between(ts: Column | str, first: dt.date, last: dt.date) -> Column:
+    """Shop-local day within [first, last], with the same kind of implied plain range."""
+    column = F.col(ts) if isinstance(ts, str) else ts
     high = dt.datetime.combine(last + dt.timedelta(days=2), dt.time())
     return (
-        (column >= F.lit(low.isoformat(" ")).cast("timestamp"))
-        & (column < F.lit(high.isoformat(" ")).cast("timestamp"))
-        & local_date(column).between(F.lit(first), F.lit(last))
+        local_since(column, first) & (column < F.lit(high.isoformat(" ")).cast("timestamp"))
+        & (local_date(column) <= F.lit(last))
     )

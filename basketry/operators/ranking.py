@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import cut_lineage
+from basketry.session import stage_table
 
 
 def running_counts(
@@ -46,7 +46,7 @@ def rank_bucket(df: DataFrame, order: list[Column], buckets: int, out: str) -> D
 
     Differs from `ntile` when n is not a multiple of `buckets`. The table is range-partitioned on
     the full order (the tie-breaker keeps equal values splittable), sorted per partition and
-    checkpointed, so that partition numbers stay fixed. One row per partition comes back to compute
+    staged with its row positions, so that they stay fixed. One row per partition comes back to compute
     the partition offsets; no single task ever sees the whole table.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -55,7 +55,7 @@ def rank_bucket(df: DataFrame, order: list[Column], buckets: int, out: str) -> D
         .sortWithinPartitions(*order)
         .withColumn("__pos", F.monotonically_increasing_id())
     )
-    laid = cut_lineage(laid)
+    laid = stage_table(laid)
     # monotonically_increasing_id keeps the partition in the upper 31 bits, the row in the lower 33.
     part = F.shiftright("__pos", 33)
     sizes = {r["p"]: r["n"] for r in laid.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}

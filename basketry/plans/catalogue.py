@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import (
@@ -14,9 +14,8 @@ from basketry.functions.numbers import ratio
 from basketry.functions.text import cut_size_suffix, differs, keep_chars, recode, slug
 from basketry.operators.grouping import first_by
 from basketry.operators.intervals import interval_match
-from basketry.operators.joins import KEY, anti, full_on, lookup, natural_left, semi
+from basketry.operators.joins import KEY, anti, full_on, has_key, lookup, natural_left, semi
 from basketry.operators.ranking import order_small
-from basketry.operators.reshape import stack_frames
 from basketry.plans.orders import with_consider
 
 NONE = "none"
@@ -44,7 +43,7 @@ def product_details(products: DataFrame, tags: DataFrame) -> DataFrame:
     labelled = tagged(products, tags, {"age_id": "age_group", "size_id": "size"})
     day = local_date("created_at")
     return labelled.select(
-        F.col("id").alias("product_key"), "parent_product_id", "age_group", "size", "supplier_size",
+        F.col("id").alias("product_key"), "parent_product_id", "sku_key", "age_group", "size", "supplier_size",
         day.alias("product_date"), month_label_reversed(day).alias("product_month"),
         local_date("updated_at").alias("product_updated"), "name",
         F.col("original_price").alias("product_original_price"), F.col("final_price").alias("product_final_price"),
@@ -63,29 +62,25 @@ def product_group(products: DataFrame, tags: DataFrame, brands: DataFrame) -> Da
     )
 
 
+def with_sku_key(products: DataFrame) -> DataFrame:
+    """Variants under their parent's key, and products that neither have nor are a parent."""
+    parents = products.select("parent_product_id")
+    marked = has_key(products, parents, "id", "__is_parent", table_key="parent_product_id")
+    kept = marked.where(F.col("parent_product_id").isNotNull() | (F.col("__is_parent") == 0))
+    return kept.withColumn("sku_key", F.coalesce("parent_product_id", "id")).drop("__is_parent")
+
+
 def products_dimension(products: DataFrame, tags: DataFrame, brands: DataFrame) -> DataFrame:
-    """Variants with their parent's group columns, plus products that neither have nor are a parent."""
-    details, groups = product_details(products, tags), product_group(products, tags, brands)
-    variants = details.where(F.col("parent_product_id").isNotNull()).withColumn(
-        "sku_key", F.col("parent_product_id")
-    )
-    parents = variants.select(F.col("sku_key").alias("product_key"))
-    single = anti(details.where(F.col("parent_product_id").isNull()), parents, "product_key").withColumn(
-        "sku_key", F.col("product_key")
-    )
-    return natural_left(variants.unionByName(single), groups, "sku_key")
+    """Variants and single products with their own labels and their parent's group columns."""
+    details = product_details(with_sku_key(products), tags)
+    return natural_left(details, product_group(products, tags, brands), "sku_key")
 
 
 def sku_category(products: DataFrame, category_table: DataFrame) -> DataFrame:
     """Product to SKU key with its final category."""
-    variants = products.where(F.col("parent_product_id").isNotNull()).select(
-        F.col("id").alias("product_id"), "parent_product_id", F.col("parent_product_id").alias("sku_key")
-    )
-    parents = variants.select(F.col("sku_key").alias("product_id"))
-    alone = products.where(F.col("parent_product_id").isNull()).select(F.col("id").alias("product_id"))
-    single = anti(alone, parents, "product_id").withColumn("sku_key", F.col("product_id"))
+    keyed = with_sku_key(products).select(F.col("id").alias("product_id"), "parent_product_id", "sku_key")
     categories = category_table.select(F.col("id").alias("product_id"), "final_category")
-    return natural_left(stack_frames(variants, single), categories, "product_id")
+    return natural_left(keyed, categories, "product_id")
 
 
 def product_image(products: DataFrame) -> DataFrame:
@@ -355,11 +350,6 @@ def campaign_kind_gender(catalogue: DataFrame, products: DataFrame, cutoff: dt.d
 
 # ---------------------------------------------------------------- price bands
 
-def weighted_mean(price: Column, weight: Column) -> Column:
-    """Stock-weighted mean rounded to a whole amount."""
-    return F.round(ratio(F.sum(price * weight), F.sum(weight)), 0)
-
-
 def band_label(price: Column, low: Column, mean: Column, high: Column) -> Column:
     """Band text of a price given the mean below (low), the mean and the mean above (high)."""
     whole = lambda c: c.cast("long").cast("string")
@@ -390,27 +380,28 @@ def band_label(price: Column, low: Column, mean: Column, high: Column) -> Column
 def price_bands(products: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Band of every price of a campaign kind (treated slug), computed from its newest campaign.
 
-    The mean and the two means around it need two passes; each is a grouped sum, and the first is
-    joined back on the kind.
+    Products are first summed per brand and price, so a kind shrinks to its distinct price points
+    however many rows it has; the three means are then windows over those, in one shuffle.
     """
-    newest = first_by(
-        catalogue, "treated_slug", ["campaign_id", "slug_products"], ["slug_products"], latest=True
-    )
     priced = products.groupBy("slug_products", "final_price").agg(F.sum("stock").alias("stock"))
-    base = newest.join(priced, "slug_products", "inner")
-    price, stock = F.col("final_price"), F.col("stock")
-    mean = base.groupBy("treated_slug").agg(weighted_mean(price, stock).alias("mean"))
-    compared = base.join(mean, "treated_slug")
-    price_number = F.col("final_price").cast("double")
-    sides = compared.groupBy("treated_slug").agg(
-        F.max("mean").alias("mean"),
-        weighted_mean(F.when(price_number < F.col("mean"), price), F.when(price_number < F.col("mean"), stock)).alias("low"),
-        weighted_mean(F.when(price_number > F.col("mean"), price), F.when(price_number > F.col("mean"), stock)).alias("high"),
-    )
-    kinds = catalogue.select("slug_products", "treated_slug").distinct()
-    prices = kinds.join(priced.drop("stock"), "slug_products").select("treated_slug", "final_price").distinct()
-    return natural_left(prices, sides, "treated_slug").withColumn(
-        "band", band_label(price_number, F.col("low"), F.col("mean"), F.col("high"))
+    brands = catalogue.groupBy("treated_slug", "slug_products").agg(F.max("campaign_id").alias("campaign_id"))
+    newest = F.max(F.struct("campaign_id", "slug_products")).over(Window.partitionBy("treated_slug"))
+    marked = brands.withColumn("is_newest", F.col("slug_products").eqNullSafe(newest["slug_products"]))
+    points = marked.join(priced, "slug_products").groupBy("treated_slug", "final_price").agg(
+        F.sum(F.when(F.col("is_newest"), F.col("stock"))).alias("stock")
+    )
+    kind = Window.partitionBy("treated_slug")
+    price = F.col("final_price").cast("double")
+
+    def mean_where(condition: Column) -> Column:
+        value = F.sum(F.when(condition, F.col("final_price") * F.col("stock"))).over(kind)
+        return F.round(ratio(value, F.sum(F.when(condition, F.col("stock"))).over(kind)), 0)
+
+    means = points.withColumn("mean", mean_where(F.lit(True))).withColumns({
+        "low": mean_where(price < F.col("mean")), "high": mean_where(price > F.col("mean")),
+    })
+    return means.drop("stock").withColumn(
+        "band", band_label(price, F.col("low"), F.col("mean"), F.col("high"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import (
-    calendar_months_between, days_before, local_between, local_date, month_label, month_start,
+    calendar_months_between, days_before, local_between, local_date, local_since, month_label, month_start,
 )
 from basketry.functions.numbers import flag, null_sum, ratio, total
 from basketry.functions.text import differs, recode
@@ -321,10 +321,9 @@ def conversion_snapshot(base: DataFrame, as_of: dt.date, *, paid_only: bool = Tr
     )
 
 
-def conversion_history(history: DataFrame, snapshot: DataFrame) -> DataFrame:
+def conversion_history(history: DataFrame, snapshot: DataFrame, as_of: dt.date) -> DataFrame:
     """History without the rows of the run day, plus today's row."""
-    stale = history.join(snapshot.select("day").distinct(), "day", "left_anti")
-    return stale.select(snapshot.columns).unionByName(snapshot)
+    return history.where(differs("day", as_of)).select(snapshot.columns).unionByName(snapshot)
 
 
 def conversion_estimate(base: DataFrame, history: DataFrame, as_of: dt.date) -> DataFrame:
@@ -421,7 +420,7 @@ def orders_by_utm(orders: DataFrame, utms: DataFrame, first: dt.date, last: dt.d
 def monthly_distinct_products(orders: DataFrame, items: DataFrame, first: dt.date) -> DataFrame:
     """Distinct products sold per calendar month since a day."""
     valid = orders.where(~F.col("state").isin(FAILED_STATES)).select(F.col("id").alias("order_id"))
-    recent = items.where(local_date("created_at") >= F.lit(first))
+    recent = items.where(local_since("created_at", first))
     joined = recent.join(valid, "order_id", "inner")
     return joined.groupBy(F.month(local_date("created_at")).alias("month")).agg(
         F.count_distinct("product_id").alias("products")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,19 +33,31 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, in the folder the session names in `spark.checkpoint.dir`.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting gets a folder of its own; on a cluster a
+    Only a local-mode session without that setting gets a temporary folder of its own; on a cluster a
     machine-local folder would be lost with its machine, so a missing setting is an error there.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="basketry-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    global _LOCAL_FOLDER
+    _LOCAL_FOLDER = _LOCAL_FOLDER or tempfile.mkdtemp(prefix="basketry-")
+    return _LOCAL_FOLDER
+
+
+_LOCAL_FOLDER: str | None = None
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write a frame that is used several times as a column file in the shared folder and read it back.
+
+    Cuts the lineage and survives lost executors. Unlike a checkpoint the copy keeps column pruning,
+    filter pushdown and a known size, so a small stage can be broadcast later.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,6 +39,13 @@ class SparkText:
     def given(self, name):
         return f"given_{name}"
 
+    def rows(self, names, rows, source):
+        """Several output rows per source row, from one scan."""
+        structs = ", ".join(
+            "named_struct(" + ", ".join(f"'{n}', {x}" for n, x in zip(names, row)) + ")" for row in rows
+        )
+        return f"SELECT inline(array({structs})) FROM {source}"
+
 
 class DuckText(SparkText):
     def plus_hours(self, ts, n):
@@ -56,6 +63,10 @@ class DuckText(SparkText):
     def given(self, name):
         return name
 
+    def rows(self, names, rows, source):
+        structs = ", ".join("{" + ", ".join(f"'{n}': {x}" for n, x in zip(names, row)) + "}" for row in rows)
+        return f"SELECT unnest([{structs}], recursive := true) FROM {source}"
+
 
 def shop_tables(d: SparkText) -> dict[str, str]:
     """Name -> SELECT text in the dialect `d`."""
@@ -145,18 +156,14 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             FROM {d.given('part')}""",
         "shop_brands": f"""SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS id, p_brand AS name,
             concat('brand-', substr(p_brand, 7)) AS slug FROM {d.given('part')}""",
-        "shop_tags": f"""SELECT DISTINCT 100 + p_partkey % 4 AS id, 'age' AS type,
-                concat('Age ', {s('p_partkey % 4')}) AS label FROM {d.given('part')}
-            UNION ALL SELECT DISTINCT 200 + p_size, 'size', concat('Size ', {s('p_size')})
-                FROM {d.given('part')} WHERE p_size <= 45
-            UNION ALL SELECT DISTINCT 300 + p_partkey % 3, 'vertical', concat('Segment ', {s('p_partkey % 3')})
-                FROM {d.given('part')}
-            UNION ALL SELECT DISTINCT 400 + p_partkey % 3, 'gender', CASE p_partkey % 3 WHEN 0 THEN 'Feminino'
-                WHEN 1 THEN 'Masculino' END FROM {d.given('part')}
-            UNION ALL SELECT DISTINCT 500 + p_partkey % 7, 'subcategory', concat('sub grupo ', {s('p_partkey % 7')})
-                FROM {d.given('part')}
-            UNION ALL SELECT DISTINCT 600 + p_size % 5, 'category', concat('Category ', {s('p_size % 5')})
-                FROM {d.given('part')}""",
+        "shop_tags": "SELECT DISTINCT id, type, label FROM (" + d.rows(["id", "type", "label"], [
+            ("100 + p_partkey % 4", "'age'", f"concat('Age ', {s('p_partkey % 4')})"),
+            ("200 + p_size", "'size'", f"concat('Size ', {s('p_size')})"),
+            ("300 + p_partkey % 3", "'vertical'", f"concat('Segment ', {s('p_partkey % 3')})"),
+            ("400 + p_partkey % 3", "'gender'", "CASE p_partkey % 3 WHEN 0 THEN 'Feminino' WHEN 1 THEN 'Masculino' END"),
+            ("500 + p_partkey % 7", "'subcategory'", f"concat('sub grupo ', {s('p_partkey % 7')})"),
+            ("600 + p_size % 5", "'category'", f"concat('Category ', {s('p_size % 5')})"),
+        ], d.given("part")) + ") AS t WHERE type <> 'size' OR id <= 245",
         "shop_categories": f"""SELECT DISTINCT CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'SMALL' THEN 2
             WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4 WHEN 'STANDARD' THEN 5 ELSE 6 END AS id, p_type AS name
             FROM {d.given('part')}""",
@@ -420,11 +427,17 @@ class Shop:
 
     def __init__(self, spark: SparkSession, folder: str):
         use_utc(spark)
-        self.spark, self.folder = spark, folder
+        self._spark, self._folder, self._views, self._frames = spark, folder, set(), {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        text = spark_texts()[f"shop_{name}"]
-        for given in GIVEN:
-            if f"given_{given}" in text:
-                self.spark.read.parquet(f"{self.folder}/{given}.parquet").createOrReplaceTempView(f"given_{given}")
-        return self.spark.sql(text)
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._frames:
+            text = spark_texts()[f"shop_{name}"]
+            for given in GIVEN:
+                if given not in self._views and f"given_{given}" in text:
+                    table = self._spark.read.parquet(f"{self._folder}/{given}.parquet")
+                    table.createOrReplaceTempView(f"given_{given}")
+                    self._views.add(given)
+            self._frames[name] = self._spark.sql(text)
+        return self._frames[name]

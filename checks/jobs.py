@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from basketry.plans import orders as ords
 from basketry.plans import service as svc
 from basketry.plans import users as usr
 from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT
+from basketry.session import stage_table
 from checks.bindings import DELIVERY_LABELS, INVENTORY_LABELS, Shop
 from checks.columns import COLUMNS, EXPORTS, shown
 
@@ -28,324 +28,340 @@ SPEND_MONTHS = {dt.date(2001, 5, 1): "m_2001_05", dt.date(2001, 6, 1): "m_2001_0
 SERIES_UNITS = {0: "main", 1: "second"}
 
 
+def job(build):
+    """A property that builds its frame once, and stages it when the running query asks for that."""
+    name = build.__name__
+
+    def get(self):
+        if name not in self.frames:
+            frame = build(self)
+            self.frames[name] = stage_table(frame) if name in self.staged else frame
+        return self.frames[name]
+
+    return property(get)
+
+
 class Jobs:
-    """Lazy frames; each property is one job on the frames it needs."""
+    """Lazy frames; each property is one job on the frames it needs.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.shop = Shop(spark, folder)
+    `staged` names the intermediate frames to write out because the query reads them several times.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, staged: tuple[str, ...] = ()):
+        self.shop, self.staged, self.frames = Shop(spark, folder), staged, {}
 
     # ---- channels and users
-    @cached_property
+    @job
     def source_groups(self):
         return usr.source_groups(self.shop.utms)
 
-    @cached_property
+    @job
     def utm_cube(self):
         return usr.utm_cube(self.shop.utms)
 
-    @cached_property
+    @job
     def users_cube(self):
         return usr.users_cube(self.shop.users, self.shop.utms, self.shop.app_sessions)
 
-    @cached_property
+    @job
     def users_buyer_flag(self):
         return usr.users_buyer_flag(self.users_cube, self.first_time_buyers)
 
-    @cached_property
+    @job
     def non_buyers(self):
         return usr.non_buyers(self.users_buyer_flag)
 
-    @cached_property
+    @job
     def vip_cohorts(self):
         return usr.vip_cohorts(self.shop.users)
 
-    @cached_property
+    @job
     def users_with_address(self):
         return usr.users_with_address(self.shop.users, self.shop.addresses)
 
-    @cached_property
+    @job
     def users_main_address(self):
         return usr.users_main_address(self.shop.users, self.shop.addresses)
 
-    @cached_property
+    @job
     def customers_admin(self):
         return usr.customers_admin(self.shop.users, self.shop.utms, self.shop.addresses)
 
-    @cached_property
+    @job
     def customer_source(self):
         return usr.customer_source(self.customers_admin, self.shop.web_events)
 
-    @cached_property
+    @job
     def customers_states(self):
         return usr.customers_states(self.customers_admin, self.orders_base, self.shop.br_states)
 
     # ---- orders
-    @cached_property
+    @job
     def order_items_cube(self):
         return ords.order_items_cube(self.shop.items, self.shop.orders)
 
-    @cached_property
+    @job
     def order_items_plain(self):
         return ords.order_items_plain(self.shop.items)
 
-    @cached_property
+    @job
     def order_totals(self):
         return ords.order_totals(self.order_items_cube)
 
-    @cached_property
+    @job
     def authorized_orders(self):
         return ords.authorized_orders(self.shop.orders, self.shop.state_map, self.shop.utms, self.order_totals)
 
-    @cached_property
+    @job
     def orders_treated(self):
         return ords.orders_treated(self.shop.orders, self.shop.users, self.shop.state_map)
 
-    @cached_property
+    @job
     def first_time_buyers(self):
         return ords.first_time_buyers(self.authorized_orders)
 
-    @cached_property
+    @job
     def orders_is_ftb(self):
         return ords.orders_is_ftb(self.authorized_orders, self.first_time_buyers)
 
-    @cached_property
+    @job
     def monthly_buyer_type(self):
         return ords.monthly_buyer_type(self.authorized_orders, self.first_time_buyers)
 
-    @cached_property
+    @job
     def treated_first_buyers(self):
         return ords.first_time_buyers(self.orders_treated.where("consider = 'yes'"), "created_on")
 
-    @cached_property
+    @job
     def ftb_report_users(self):
         return ords.ftb_report_users(self.treated_first_buyers, self.shop.users, self.vip_cohorts)
 
-    @cached_property
+    @job
     def ftb_report_orders(self):
         return ords.ftb_report_orders(self.orders_treated, self.shop.lifetime_vip, self.treated_first_buyers)
 
-    @cached_property
+    @job
     def first_order_of_user(self):
         return ords.first_order_of_user(self.shop.orders)
 
-    @cached_property
+    @job
     def order_newest_version(self):
         changed = self.shop.orders.where("state = 'pending'").withColumns({
             "state": F.lit("captured"), "updated_at": F.timestamp_add("DAY", F.lit(1), "updated_at"),
         })
         return ords.order_newest_version(self.shop.orders, changed)
 
-    @cached_property
+    @job
     def orders_admin(self):
         return ords.orders_admin(self.shop.orders, self.shop.users, self.shop.status_names, self.shop.utms)
 
-    @cached_property
+    @job
     def order_inclusion(self):
         return ords.order_inclusion(self.orders_admin, self.shop.status_lists)
 
-    @cached_property
+    @job
     def admin_items(self):
         return ords.admin_items(self.shop.items, self.shop.products, self.shop.categories)
 
-    @cached_property
+    @job
     def orders_base(self):
         return ords.orders_base(self.orders_admin, REDUCTION)
 
-    @cached_property
+    @job
     def order_cardinal(self):
         return ords.order_cardinal(self.orders_base)
 
-    @cached_property
+    @job
     def customer_milestones(self):
         return ords.customer_milestones(self.customer_source, self.order_cardinal)
 
-    @cached_property
+    @job
     def months_since_first(self):
         return ords.months_since_first(self.order_cardinal, self.customer_milestones)
 
-    @cached_property
+    @job
     def conversion_snapshot(self):
         return ords.conversion_snapshot(self.orders_base, AS_OF)
 
-    @cached_property
+    @job
     def conversion_history(self):
-        return ords.conversion_history(self.shop.conversion_history, self.conversion_snapshot)
+        return ords.conversion_history(self.shop.conversion_history, self.conversion_snapshot, AS_OF)
 
-    @cached_property
+    @job
     def conversion_estimate(self):
         return ords.conversion_estimate(self.orders_base, self.conversion_history, AS_OF)
 
-    @cached_property
+    @job
     def adhoc_monthly_totals(self):
         return ords.monthly_totals(self.shop.orders, *PERIOD)
 
-    @cached_property
+    @job
     def adhoc_daily_sales(self):
         return ords.daily_sales(self.shop.orders, *PERIOD)
 
-    @cached_property
+    @job
     def adhoc_registrations(self):
         return ords.monthly_registrations(self.shop.users)
 
-    @cached_property
+    @job
     def adhoc_final_items(self):
         return ords.final_items(self.shop.orders, self.shop.items, *PERIOD)
 
-    @cached_property
+    @job
     def adhoc_orders_by_utm(self):
         return ords.orders_by_utm(self.shop.orders, self.shop.utms, *PERIOD)
 
-    @cached_property
+    @job
     def adhoc_distinct_products(self):
         return ords.monthly_distinct_products(self.shop.orders, self.shop.items, PERIOD[0])
 
-    @cached_property
+    @job
     def adhoc_users_with_utm(self):
         return ords.users_with_utm(self.shop.users, self.shop.utms, *PERIOD)
 
     # ---- catalogue
-    @cached_property
+    @job
     def products_dimension(self):
         return cat.products_dimension(self.shop.products, self.shop.tags, self.shop.brands)
 
-    @cached_property
+    @job
     def sku_category(self):
         return cat.sku_category(self.shop.products, self.shop.category_table)
 
-    @cached_property
+    @job
     def product_image(self):
         return cat.product_image(self.shop.products)
 
-    @cached_property
+    @job
     def campaigns_dimension(self):
         return cat.campaigns_dimension(self.shop.campaigns, INVENTORY_LABELS, DELIVERY_LABELS)
 
-    @cached_property
+    @job
     def campaign_stock(self):
         return cat.campaign_stock(self.campaigns_dimension, self.shop.campaigns_products)
 
-    @cached_property
+    @job
     def active_campaign_products(self):
         return cat.active_campaign_products(self.shop.campaigns, self.shop.campaigns_products)
 
-    @cached_property
+    @job
     def active_campaigns_monthly(self):
         return cat.active_campaigns_monthly(self.shop.campaigns)
 
-    @cached_property
+    @job
     def product_revenue_items(self):
         return cat.product_revenue_items(self.shop.orders, self.shop.items, self.shop.state_map)
 
-    @cached_property
+    @job
     def revenue_by_campaign(self):
         return cat.revenue_by_campaign(self.shop.orders, self.shop.items, self.shop.campaigns, self.shop.state_map)
 
-    @cached_property
+    @job
     def campaign_product_list(self):
         return cat.campaign_product_list(self.shop.items, self.shop.orders, self.shop.campaigns, self.shop.products)
 
-    @cached_property
+    @job
     def campaign_product_month_to_date(self):
         return cat.campaign_product_month_to_date(self.campaign_product_list, AS_OF)
 
-    @cached_property
+    @job
     def campaign_brand(self):
         shop = self.shop
         return cat.campaign_brand(shop.campaigns, shop.campaigns_products, shop.products, shop.brands)
 
-    @cached_property
+    @job
     def campaign_catalogue(self):
         return cat.campaign_catalogue(self.campaign_brand, self.shop.campaign_reference, SINCE)
 
-    @cached_property
+    @job
     def campaign_export_flag(self):
         every = cat.campaign_catalogue(
             self.campaign_brand, self.shop.campaign_reference, SINCE, drop_not_available=False
         )
         return cat.campaign_export_flag(every, self.shop.skip_list, self.shop.orders)
 
-    @cached_property
+    @job
     def campaigns_without_reference(self):
         return cat.campaigns_without_reference(self.campaign_brand, self.shop.campaign_reference, self.shop.orders)
 
-    @cached_property
+    @job
     def campaign_products(self):
         return cat.campaign_products(self.shop.campaigns_products, self.products_dimension, self.campaign_catalogue)
 
-    @cached_property
+    @job
     def size_order(self):
         return cat.size_order(self.shop.size_list, self.campaign_products)
 
-    @cached_property
+    @job
     def campaign_kind_gender(self):
         return cat.campaign_kind_gender(self.campaign_catalogue, self.campaign_products, KIND_CUTOFF)
 
-    @cached_property
+    @job
     def price_bands(self):
         return cat.price_bands(self.campaign_products, self.campaign_catalogue)
 
-    @cached_property
+    @job
     def campaign_items(self):
         return cat.campaign_items(
             self.order_inclusion, self.admin_items, self.campaign_catalogue, self.campaign_products
         )
 
-    @cached_property
+    @job
     def campaign_day(self):
         return cat.campaign_day(self.campaign_items, self.campaign_catalogue)
 
-    @cached_property
+    @job
     def campaign_orders(self):
         return cat.campaign_orders(self.order_inclusion, self.campaign_items)
 
     # ---- margin
-    @cached_property
+    @job
     def order_attribution(self):
         return mar.order_attribution(self.orders_base, self.shop.web_transactions)
 
-    @cached_property
+    @job
     def channel_counts(self):
         return mar.channel_counts(self.orders_admin, self.shop.web_transactions, self.customer_source)
 
-    @cached_property
+    @job
     def channel_rules(self):
         return mar.channel_rules(self.channel_counts, self.shop.rules)
 
-    @cached_property
+    @job
     def untreated_channels(self):
         return mar.untreated_channels(self.channel_counts, self.shop.rules)
 
-    @cached_property
+    @job
     def channel_orders(self):
         shop_term = self.orders_base.select("order_id", "utm_term", "utm_gclid")
         attributed = self.order_attribution.drop("utm_term", "utm_gclid").join(shop_term, "order_id", "left")
         return mar.channel_apply(attributed, self.channel_rules, "order_")
 
-    @cached_property
+    @job
     def channel_customers(self):
         return mar.channel_apply(self.customer_source, self.channel_rules, "customer_")
 
-    @cached_property
+    @job
     def shipping_adjust(self):
         return mar.shipping_adjust(self.orders_base, self.shop.shipping_factors)
 
-    @cached_property
+    @job
     def item_cost(self):
         return mar.item_cost(self.orders_base, self.admin_items, self.shop.erp_products, self.shop.erp_stock)
 
-    @cached_property
+    @job
     def frozen_order_cost(self):
         return mar.frozen_order_cost(self.shipping_adjust, self.item_cost, self.shop.cost_history)
 
-    @cached_property
+    @job
     def new_cost_history(self):
         return mar.new_cost_history(self.frozen_order_cost, self.shop.cost_history)
 
-    @cached_property
+    @job
     def taxes(self):
         return mar.taxes(self.frozen_order_cost, self.shop.tax_rates)
 
-    @cached_property
+    @job
     def base_by_payment_method(self):
         methods = self.shop.orders.select(F.col("id").alias("order_id"), "payment_method")
         form = (
@@ -354,151 +370,158 @@ class Jobs:
         )
         return self.orders_base.join(methods, "order_id").withColumn("payment_form", form)
 
-    @cached_property
+    @job
     def payment_fee(self):
         return mar.payment_fee(self.base_by_payment_method, self.shop.payment_fees)
 
-    @cached_property
+    @job
     def fraud_and_gateway(self):
         shop = self.shop
         return mar.fraud_and_gateway(
             self.base_by_payment_method, shop.fraud_by_order, shop.fraud_by_month, shop.gateway_by_month
         )
 
-    @cached_property
+    @job
     def packaging_share(self):
         return mar.packaging_share(self.orders_base, self.shop.packaging_by_month)
 
-    @cached_property
+    @job
     def fulfilment_share(self):
         return mar.fulfilment_share(self.orders_base, self.shop.fulfilment_by_month, self.shop.production_by_month)
 
-    @cached_property
+    @job
     def real_freight(self):
         return mar.real_freight(self.shipping_adjust, self.shop.erp_invoices, self.shop.carrier, SERIES_UNITS)
 
-    @cached_property
+    @job
     def invoices(self):
         return mar.invoices(self.shop.invoice_lines)
 
-    @cached_property
+    @job
     def export_orders(self):
         return mar.export_orders(self.orders_admin)
 
-    @cached_property
+    @job
     def export_items(self):
         return mar.export_items(self.admin_items, self.shop.campaigns)
 
-    @cached_property
+    @job
     def export_users(self):
         return mar.export_users(self.customers_admin)
 
     # ---- service
-    @cached_property
+    @job
     def delivery_dates(self):
         plain = ords.order_totals(self.order_items_plain)
         return svc.delivery_dates(self.shop.orders, self.shop.transition_logs, plain)
 
-    @cached_property
+    @job
     def risk_rules(self):
         return svc.risk_rules(self.shop.risk_results, self.shop.orders, self.first_time_buyers)
 
-    @cached_property
+    @job
     def risk_final_list(self):
         return svc.risk_final_list(self.risk_rules)
 
-    @cached_property
+    @job
     def nps_groups(self):
         return svc.nps_groups(self.shop.survey, MAIL_AS_OF)
 
-    @cached_property
+    @job
     def credits(self):
         return svc.credits(self.shop.credits)
 
-    @cached_property
+    @job
     def orders_with_coupon(self):
         return svc.orders_with_coupon(self.shop.orders, self.shop.coupons, self.shop.state_map)
 
-    @cached_property
+    @job
     def sales_metrics(self):
         return svc.sales_metrics(self.shop.items, ["campaign_id"])
 
     # ---- lifecycle
-    @cached_property
+    @job
     def ltv_curve(self):
         return life.ltv_curve(self.months_since_first, self.customer_milestones)
 
-    @cached_property
+    @job
     def ltv_summary(self):
         return life.ltv_summary(self.ltv_curve)
 
-    @cached_property
+    @job
     def contribution_margin(self):
         return life.contribution_margin(self.orders_base, self.shop.margin_by_month)
 
-    @cached_property
+    @job
     def email_send_summary(self):
         return life.email_send_summary(self.shop.sends, self.shop.visits, self.shop.mail_transactions)
 
-    @cached_property
+    @job
     def email_engagement(self):
         return life.email_engagement(self.customer_milestones, self.shop.unsubscribes, self.shop.opens, MAIL_AS_OF)
 
-    @cached_property
+    @job
     def marketing_spend(self):
         shop = self.shop
         return life.marketing_spend(
             shop.spend_by_month, shop.spend_split, shop.spend_allocation, SPEND_MONTHS, ("main", "second")
         )
 
-    @cached_property
+    @job
     def acquisition_cost(self):
         return life.acquisition_cost(self.marketing_spend)
 
-    @cached_property
+    @job
     def paid_orders(self):
         return self.orders_base.where("payment_confirmed = 1")
 
-    @cached_property
+    @job
     def rfm_score(self):
         return life.rfm_score(self.paid_orders)
 
-    @cached_property
+    @job
     def optin_active(self):
         return life.optin_active(self.email_engagement, self.paid_orders, AS_OF)
 
-    @cached_property
+    @job
     def scored_customers(self):
         scores = self.rfm_score.drop("revenue_total")
         return self.optin_active.join(scores, "customer_id", "left")
 
-    @cached_property
+    @job
     def days_since_previous_order(self):
         return life.days_since_previous_order(self.order_cardinal, self.customer_milestones)
 
-    @cached_property
+    @job
     def client_segments(self):
         return life.client_segments(self.scored_customers)
 
-    @cached_property
+    @job
     def churn_snapshot(self):
         levels = self.channel_customers.select("customer_id", "level1", "level2", "level3")
         return life.churn_snapshot(self.optin_active.join(levels, "customer_id", "left"), AS_OF)
 
-    @cached_property
+    @job
     def rfm_export(self):
         levels = self.channel_customers.select("customer_id", "level1", "level2")
         return life.rfm_export(self.scored_customers.join(levels, "customer_id", "left"))
 
-    @cached_property
+    @job
     def orders_cardinal_export(self):
         fields = self.order_attribution.select("order_id", "order_source", "order_medium", "order_campaign")
         numbered = self.days_since_previous_order.join(fields, "order_id", "left")
         return life.orders_cardinal_export(numbered, self.customer_milestones)
 
 
+# Frames that a query reads more than once.
+STAGES: dict[str, tuple[str, ...]] = {
+    "ltv_curve": ("orders_base", "order_cardinal", "customer_milestones"),
+    "rfm_export": ("orders_base", "channel_customers"),
+}
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return shown(getattr(Jobs(spark, folder), name), name)
+    return shown(getattr(Jobs(spark, folder, STAGES.get(name, ())), name), name)
 
 
 def names() -> list[str]:
