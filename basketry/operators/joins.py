@@ -18,14 +18,32 @@ def full_on(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame
     return left.join(right, on, "full_outer")
 
 
+def key_list(on: str | list[str]) -> list[str]:
+    return [on] if isinstance(on, str) else on
+
+
 def semi(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key exists in `keys`."""
-    return df.join(keys, on, "left_semi")
+    """Rows whose key exists in `keys`.
+
+    The keys are made distinct first: that combines a hot key on the map side, while the right side
+    of a semi join is otherwise shuffled row by row and cannot be split.
+    """
+    return df.join(keys.select(*key_list(on)).distinct(), on, "left_semi")
 
 
 def anti(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key does not exist in `keys`."""
-    return df.join(keys, on, "left_anti")
+    """Rows whose key does not exist in `keys` (distinct for the same reason as in `semi`)."""
+    return df.join(keys.select(*key_list(on)).distinct(), on, "left_anti")
+
+
+def left_many(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
+    """Left join to a side that holds many rows per key, a third of them under one key perhaps.
+
+    An outer join can neither split a hot key on its right side nor broadcast its left side. So the
+    matches come from an inner join, where both are possible, and the left rows without a match from
+    an anti join against the distinct keys.
+    """
+    return left.join(right, on, "inner").unionByName(anti(left, right, on), allowMissingColumns=True)
 
 
 def lookup(

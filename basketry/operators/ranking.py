@@ -41,21 +41,18 @@ def running_counts(
     ).select(*df.columns, *hits)
 
 
-def rank_bucket(df: DataFrame, order: list[Column], buckets: int, out: str) -> DataFrame:
-    """`ceil(rank / (n / buckets))` over the whole table in a total `order`.
+def laid_out(df: DataFrame, order: list[Column]) -> tuple[DataFrame, Column, int]:
+    """The table in a total `order`, the rank of each of its rows (from 1), and the number of rows.
 
-    Differs from `ntile` when n is not a multiple of `buckets`. The table is range-partitioned on
-    the full order (the tie-breaker keeps equal values splittable), sorted per partition and
-    staged with its row positions, so that they stay fixed. One row per partition comes back to compute
-    the partition offsets; no single task ever sees the whole table.
+    The table is range-partitioned on the full order (the tie-breaker keeps equal values splittable),
+    sorted per partition and staged with its row positions, so that they stay fixed. One count per
+    partition comes back to the driver for the partition offsets; no task sees the whole table.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
+    laid = stage_table(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         .withColumn("__pos", F.monotonically_increasing_id())
     )
-    laid = stage_table(laid)
     # monotonically_increasing_id keeps the partition in the upper 31 bits, the row in the lower 33.
     part = F.shiftright("__pos", 33)
     sizes = {r["p"]: r["n"] for r in laid.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
@@ -64,17 +61,28 @@ def rank_bucket(df: DataFrame, order: list[Column], buckets: int, out: str) -> D
         starts.append(seen)
         seen += sizes.get(p, 0)
     offset = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), part.cast("int") + 1)
-    rank = offset + F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return laid, offset + F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1, seen
+
+
+def rank_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """1, 2, 3 ... over the whole table in a total `order`."""
+    laid, rank, _ = laid_out(df, order)
+    return laid.withColumn(out, rank).drop("__pos")
+
+
+def rank_bucket(df: DataFrame, order: list[Column], buckets: int, out: str) -> DataFrame:
+    """`ceil(rank / (n / buckets))` over the whole table in a total `order`.
+
+    Differs from `ntile` when n is not a multiple of `buckets`.
+    """
+    laid, rank, rows = laid_out(df, order)
     # Integer form of the ceiling: ceil(a / n) = (a + n - 1) div n.
-    scaled = rank * buckets + F.lit(seen - 1).cast("long")
+    scaled = rank * buckets + F.lit(rows - 1).cast("long")
     return laid.withColumn(
-        out, F.call_function("div", scaled, F.lit(max(seen, 1)).cast("long")).cast("int")
+        out, F.call_function("div", scaled, F.lit(max(rows, 1)).cast("long")).cast("int")
     ).drop("__pos")
 
 
-def order_small(df: DataFrame, order: list[Column | str], out: str) -> DataFrame:
-    """1, 2, 3 ... over a small reference domain (sizes, months).
-
-    Only for tables that were reduced to a vocabulary or a calendar before: the window is global.
-    """
+def number_months(df: DataFrame, order: list[Column | str], out: str) -> DataFrame:
+    """1, 2, 3 ... over a table with one row per calendar month (at most 119,988): a global window."""
     return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))

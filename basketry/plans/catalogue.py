@@ -14,8 +14,8 @@ from basketry.functions.numbers import ratio
 from basketry.functions.text import cut_size_suffix, differs, keep_chars, recode, slug
 from basketry.operators.grouping import first_by
 from basketry.operators.intervals import interval_match
-from basketry.operators.joins import KEY, anti, full_on, has_key, lookup, natural_left, semi
-from basketry.operators.ranking import order_small
+from basketry.operators.joins import KEY, anti, full_on, has_key, left_many, lookup, natural_left, semi
+from basketry.operators.ranking import rank_rows
 from basketry.plans.orders import with_consider
 
 NONE = "none"
@@ -109,7 +109,7 @@ def campaigns_dimension(campaigns: DataFrame, inventory: dict[str, str], deliver
 def campaign_stock(campaigns: DataFrame, campaigns_products: DataFrame) -> DataFrame:
     """Campaign x product with the initial stock; a campaign without products keeps one row."""
     stock = campaigns_products.select("campaign_id", "product_id", F.col("stock").alias("initial_stock"))
-    return natural_left(campaigns, stock, "campaign_id")
+    return left_many(campaigns, stock, "campaign_id")
 
 
 def campaign_months(campaigns: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def campaign_months(campaigns: DataFrame) -> DataFrame:
 def active_campaign_products(campaigns: DataFrame, campaigns_products: DataFrame) -> DataFrame:
     """Products of the campaigns active per month, each combination once."""
     products = campaigns_products.select("campaign_id", "product_id").distinct()
-    return natural_left(campaign_months(campaigns).distinct(), products, "campaign_id")
+    return left_many(campaign_months(campaigns).distinct(), products, "campaign_id")
 
 
 def active_campaigns_monthly(campaigns: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def counted_order_items(orders: DataFrame, items: DataFrame, state_map: DataFram
         F.col("name").alias("product_name"), "quantity", "cancelled_quantity", "stockout_quantity", "final_price",
         "original_price", "shipping_price", "created_at", "updated_at",
     )
-    return natural_left(counted, lines, "order_id")
+    return left_many(counted, lines, "order_id")
 
 
 def product_revenue_items(orders: DataFrame, items: DataFrame, state_map: DataFrame) -> DataFrame:
@@ -323,11 +323,14 @@ def campaign_products(
 
 
 def size_order(size_list: DataFrame, products: DataFrame) -> DataFrame:
-    """Every size once: listed sizes in their order, then unknown sizes alphabetically."""
+    """Every size once: listed sizes in their order, then unknown sizes alphabetically.
+
+    Sizes are the suppliers' free text, so the numbering does not assume a small vocabulary.
+    """
     listed = size_list.groupBy(F.upper("size").alias("size")).agg(F.min("row_no").alias("row_no"))
     found = products.select("size").where("size is not null").distinct()
-    ordered = order_small(full_on(listed, found, "size"), [F.col("row_no").asc_nulls_last(), "size"], "size_sort")
-    return ordered.select("size", "size_sort")
+    order = [F.col("row_no").asc_nulls_last(), F.col("size").asc()]
+    return rank_rows(full_on(listed, found, "size"), order, "size_sort").select("size", "size_sort")
 
 
 def campaign_kind_gender(catalogue: DataFrame, products: DataFrame, cutoff: dt.date) -> DataFrame:

@@ -11,7 +11,7 @@ from basketry.functions.dates import days_before, month_start
 from basketry.functions.numbers import flag, ratio, total
 from basketry.functions.text import differs
 from basketry.operators.joins import full_on, natural_left, semi
-from basketry.operators.ranking import order_small, rank_bucket
+from basketry.operators.ranking import number_months, rank_bucket
 from basketry.operators.reshape import stack_frames, unpivot_columns
 from basketry.plans.labels import NO, NOT_AVAILABLE, YES
 from basketry.plans.margin import monthly
@@ -32,7 +32,7 @@ def ltv_curve(orders: DataFrame, milestones: DataFrame) -> DataFrame:
     cohorts = milestones.where(F.col("first_order_date").isNotNull()).groupBy(
         month_start("first_order_date").alias("month")
     ).agg(F.count("customer_id").alias("cohort_users"))
-    numbered = order_small(cohorts, ["month"], "row")
+    numbered = number_months(cohorts, ["month"], "row")
     upto = Window.orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cumulated = numbered.select((F.col("row") - 1).alias("row"), F.sum("cohort_users").over(upto).alias("users"))
     last_row = cumulated.agg(F.max("row")).scalar()

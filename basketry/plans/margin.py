@@ -10,7 +10,7 @@ from basketry.functions.numbers import money, null_sum, ratio, total
 from basketry.functions.text import blank
 from basketry.operators.allocation import share_of_total, with_month_totals
 from basketry.operators.grouping import first_by
-from basketry.operators.joins import full_on, lookup, month_table, natural_left
+from basketry.operators.joins import full_on, left_many, lookup, month_table, natural_left
 from basketry.operators.reshape import stack_frames, unpivot_columns
 from basketry.operators.rules import match_rules
 from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT, NOT_AVAILABLE
@@ -112,8 +112,8 @@ def shipping_adjust(base: DataFrame, factors: DataFrame) -> DataFrame:
 def item_cost(base: DataFrame, items: DataFrame, erp_products: DataFrame, erp_stock: DataFrame) -> DataFrame:
     """ERP unit cost of each item, by the month of its order and its product."""
     heads = base.select("order_id", "month")
-    lines = heads.join(
-        items.select("item_id", "order_id", "product_name", "variant_code", "quantity"), "order_id", "left"
+    lines = left_many(
+        heads, items.select("item_id", "order_id", "product_name", "variant_code", "quantity"), "order_id"
     )
     coded = lookup(lines, erp_products, "variant_code", {"erp_product_id": ("erp_product_id", None)})
     costs = erp_stock.groupBy("month", "erp_product_id").agg(F.min("unit_cost").alias("unit_cost"))
