@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources.schemas import EXTRACT_FILTERS, TABLES
@@ -54,19 +54,43 @@ def landed(spark: SparkSession, folder: str, table: str, columns: list[str] | No
     return df.select(*columns) if columns else df
 
 
+WINDOWS_1252 = "windows-1252"
+
+
+def windows_1252(column: str) -> Column:
+    """Text that was read as ISO-8859-1, as Windows-1252.
+
+    The two differ in bytes 80-9F only. Spark reads the first but not the second, so the reader takes
+    the first and this replaces those characters; the table comes from Python's codec.
+    """
+    codes = [c for c in range(0x80, 0xA0) if bytes([c]).decode("cp1252", "ignore")]
+    read = "".join(chr(c) for c in codes)
+    return F.translate(F.col(f"`{column}`"), read, bytes(codes).decode("cp1252"))
+
+
+def read_text(spark: SparkSession, path: str | list[str], schema: str, encoding: str, **options) -> DataFrame:
+    western = encoding.lower() == WINDOWS_1252
+    df = spark.read.csv(
+        path, schema=schema, encoding="ISO-8859-1" if western else encoding, quote='"', escape='"', **options
+    )
+    if not western:
+        return df
+    return df.withColumns({name: windows_1252(name) for name, kind in df.dtypes if kind == "string"})
+
+
 def delimited(
     spark: SparkSession, path: str | list[str], schema: str, *, sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
     """Delimited text with a header line; `path` may be a glob that names many files."""
-    return spark.read.csv(path, schema=schema, header=True, sep=sep, encoding=encoding, quote='"', escape='"')
+    return read_text(spark, path, schema, encoding, header=True, sep=sep)
 
 
 def positional(
-    spark: SparkSession, path: str | list[str], names: list[str], *, sep: str = ",", encoding: str = "windows-1252"
+    spark: SparkSession, path: str | list[str], names: list[str], *, sep: str = ",", encoding: str = WINDOWS_1252
 ) -> DataFrame:
     """Delimited text without a header; every column is read as text under the given names."""
     schema = ", ".join(f"`{n}` string" for n in names)
-    return spark.read.csv(path, schema=schema, header=False, sep=sep, encoding=encoding, quote='"', escape='"')
+    return read_text(spark, path, schema, encoding, header=False, sep=sep)
 
 
 def sheet(spark: SparkSession, path: str, schema: str) -> DataFrame:
