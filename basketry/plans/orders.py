@@ -12,7 +12,7 @@ from basketry.functions.dates import (
 )
 from basketry.functions.numbers import flag, null_sum, ratio, total
 from basketry.functions.text import differs, recode
-from basketry.operators.grouping import first_by
+from basketry.operators.grouping import first_by, merge_latest
 from basketry.operators.joins import has_key, lookup, natural_left
 from basketry.operators.ranking import running_counts
 from basketry.plans.labels import (
@@ -28,18 +28,29 @@ def with_consider(orders: DataFrame, state_map: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- items and totals
 
-def priced_items(items: DataFrame, stockout: Column, cancelled: Column) -> DataFrame:
-    """Original and final value and quantity of each item, given its unsold quantities."""
-    sized = items.withColumns({"all_stockout_quantity": stockout, "all_cancelled_quantity": cancelled})
-    unsold = F.col("all_stockout_quantity") + F.col("all_cancelled_quantity")
+STOCKOUT_STATE, CANCELLED_STATE = "cancelled_stockout", "cancelled"
+
+
+def item_measures(stockout: Column, cancelled: Column) -> dict[str, Column]:
+    """Unsold and final quantity and final value of an item, given its unsold quantities."""
+    unsold = stockout + cancelled
     final_quantity = F.col("quantity") - unsold
-    return sized.select(
+    return {
+        "all_stockout_quantity": stockout, "all_cancelled_quantity": cancelled, "unsold_quantity": unsold,
+        "final_item_quantity": final_quantity,
+        "final_item_value": final_quantity * F.col("final_price") + F.col("shipping_price"),
+    }
+
+
+def original_value() -> Column:
+    return F.col("quantity") * F.col("final_price") + F.col("shipping_price") + F.col("stockout_shipping_price")
+
+
+def priced_items(items: DataFrame, stockout: Column, cancelled: Column) -> DataFrame:
+    return items.select(
         "order_id", F.col("id").alias("item_id"), "campaign_id", F.col("variant_id").alias("product_key"),
-        "quantity", "final_price", "original_price", "all_stockout_quantity", "all_cancelled_quantity",
-        (F.col("quantity") * F.col("final_price") + F.col("shipping_price") + F.col("stockout_shipping_price"))
-        .alias("original_item_value"),
-        (final_quantity * F.col("final_price") + F.col("shipping_price")).alias("final_item_value"),
-        final_quantity.alias("final_item_quantity"), unsold.alias("unsold_quantity"),
+        "quantity", "final_price", "original_price", original_value().alias("original_item_value"),
+        *[c.alias(n) for n, c in item_measures(stockout, cancelled).items()],
     )
 
 
@@ -48,8 +59,8 @@ def order_items_cube(items: DataFrame, orders: DataFrame) -> DataFrame:
     states = orders.select(F.col("id").alias("order_id"), F.col("state").alias("order_state"))
     return priced_items(
         natural_left(items, states, "order_id"),
-        F.when(F.col("order_state") == "cancelled_stockout", F.col("quantity")).otherwise(F.col("stockout_quantity")),
-        F.when(F.col("order_state") == "cancelled", F.col("quantity")).otherwise(F.col("cancelled_quantity")),
+        F.when(F.col("order_state") == STOCKOUT_STATE, F.col("quantity")).otherwise(F.col("stockout_quantity")),
+        F.when(F.col("order_state") == CANCELLED_STATE, F.col("quantity")).otherwise(F.col("cancelled_quantity")),
     )
 
 
@@ -58,17 +69,51 @@ def order_items_plain(items: DataFrame) -> DataFrame:
     return priced_items(items, F.col("stockout_quantity"), F.col("cancelled_quantity"))
 
 
+# Sum per order -> the item measure it sums.
+SUMMED = {
+    "final_cancelled_quantity": "all_cancelled_quantity", "final_stockout_quantity": "all_stockout_quantity",
+    "final_unsold_quantity": "unsold_quantity", "final_quantity": "final_item_quantity",
+    "final_order_value": "final_item_value",
+}
+
+
 def order_totals(cube: DataFrame) -> DataFrame:
-    """Item sums per order."""
+    """Item sums per order, from priced items."""
     return cube.groupBy("order_id").agg(
-        F.count("item_id").alias("number_of_products"),
-        total("original_item_value").alias("original_order_value"),
+        F.count("item_id").alias("number_of_products"), total("original_item_value").alias("original_order_value"),
+        total("quantity").alias("original_quantity"), *[total(m).alias(out) for out, m in SUMMED.items()],
+    )
+
+
+def order_totals_by_state(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The totals of `order_items_cube`, with the items summed before they meet the order state.
+
+    Each measure is summed under the three readings a state can ask for, and the state picks one
+    afterwards. So items are combined on the map side and an order with very many of them arrives at
+    the join as one row.
+    """
+    quantity, stockout, cancelled = F.col("quantity"), F.col("stockout_quantity"), F.col("cancelled_quantity")
+    readings = {
+        "plain": item_measures(stockout, cancelled), STOCKOUT_STATE: item_measures(quantity, cancelled),
+        CANCELLED_STATE: item_measures(stockout, quantity),
+    }
+    sums = items.groupBy("order_id").agg(
+        F.count("id").alias("number_of_products"), total(original_value()).alias("original_order_value"),
         total("quantity").alias("original_quantity"),
-        total("all_cancelled_quantity").alias("final_cancelled_quantity"),
-        total("all_stockout_quantity").alias("final_stockout_quantity"),
-        total("unsold_quantity").alias("final_unsold_quantity"),
-        total("final_item_quantity").alias("final_quantity"),
-        total("final_item_value").alias("final_order_value"),
+        *[total(measures[m]).alias(f"__{r}_{out}") for r, measures in readings.items() for out, m in SUMMED.items()],
+    )
+    states = orders.select(F.col("id").alias("order_id"), F.col("state").alias("__state"))
+
+    def chosen(out: str) -> Column:
+        return (
+            F.when(F.col("__state") == STOCKOUT_STATE, F.col(f"__{STOCKOUT_STATE}_{out}"))
+            .when(F.col("__state") == CANCELLED_STATE, F.col(f"__{CANCELLED_STATE}_{out}"))
+            .otherwise(F.col(f"__plain_{out}"))
+        )
+
+    return natural_left(sums, states, "order_id").select(
+        "order_id", "number_of_products", "original_order_value", "original_quantity",
+        *[chosen(out).alias(out) for out in SUMMED],
     )
 
 
@@ -438,8 +483,6 @@ def users_with_utm(users: DataFrame, utms: DataFrame, first: dt.date, last: dt.d
 
 def order_newest_version(stored: DataFrame, changed: DataFrame) -> DataFrame:
     """Orders table after an incremental load: newest `updated_at` per id wins."""
-    from basketry.operators.grouping import merge_latest
-
     return merge_latest(stored, changed, ["id"], "updated_at")
 
 

@@ -42,6 +42,7 @@ COLUMNS = {
     "all_cancelled_quantity:i original_item_value:m final_item_value:m final_item_quantity:i unsold_quantity:i",
     "order_items_plain": "order_id:i item_id:s final_item_value:m final_item_quantity:i unsold_quantity:i",
     "order_totals": f"order_id:i number_of_products:i {TOTALS}",
+    "order_totals_by_state": f"order_id:i number_of_products:i {TOTALS}",
     "authorized_orders": "order_id:i user_id:i state:s order_date:d order_cohort:s order_year:i order_source:s "
     "order_medium:s order_campaign:s order_origin:s order_source_group:s via_app:i via_mobile_browser:i via_desktop:i "
     f"{TOTALS} is_considered_order:i is_billed_order:i",

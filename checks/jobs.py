@@ -108,9 +108,14 @@ class Jobs:
     def order_totals(self):
         return ords.order_totals(self.order_items_cube)
 
+    @job
+    def order_totals_by_state(self):
+        return ords.order_totals_by_state(self.shop.items, self.shop.orders)
+
     @job
     def authorized_orders(self):
-        return ords.authorized_orders(self.shop.orders, self.shop.state_map, self.shop.utms, self.order_totals)
+        totals = self.order_totals_by_state
+        return ords.authorized_orders(self.shop.orders, self.shop.state_map, self.shop.utms, totals)
 
     @job
     def orders_treated(self):

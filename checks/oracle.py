@@ -172,6 +172,7 @@ JOBS: dict[str, str] = {
         "shop_items i LEFT JOIN shop_orders o ON o.id = i.order_id"),
     "order_items_plain": priced("i.stockout_quantity", "i.cancelled_quantity", "shop_items i"),
     "order_totals": f"SELECT order_id, {ITEM_SUMS} FROM j_order_items_cube GROUP BY order_id",
+    "order_totals_by_state": "SELECT * FROM j_order_totals",
     "authorized_orders": f"""SELECT o.id AS order_id, o.user_id, o.state, {loc('o.created_at')} AS order_date,
         {ym(loc('o.created_at'))} AS order_cohort, year({loc('o.created_at')}) AS order_year, {utm_lookup('order')},
         {DEVICE.format(tail="ELSE 'no utm'")} AS order_origin,

@@ -74,6 +74,15 @@ def test_item_values_follow_the_order_state(frame):
         (1, 2, 1, 7, 53.5, 38.0), (2, 2, 10, -2, 53.5, -7.0), (3, 10, 1, -1, 53.5, -2.0)]
 
 
+def test_totals_before_and_after_the_state_join_agree(frame):
+    items = frame([(f"{o}-{n}", o, 1, 1, 10 + n, 1, 2 if n else None, 5.0, 8.0, 3.0 if n < 2 else None, 0.5)
+                   for o in (1, 2, 3, 4, 5) for n in range(4)], ITEM)
+    states = frame([(1, "delivered"), (2, "cancelled"), (3, "cancelled_stockout"), (4, None)], "id long, state string")
+    columns = ["order_id", "number_of_products", *orders.TOTALS]
+    assert rows(orders.order_totals_by_state(items, states), *columns) == rows(
+        orders.order_totals(orders.order_items_cube(items, states)), *columns)
+
+
 def test_first_id_and_first_day_are_independent(frame):
     df = frame([(1, 10, D(2015, 5, 1)), (1, 11, D(2015, 4, 1))], "user_id long, order_id long, order_date date")
     row = orders.first_time_buyers(df).first()
