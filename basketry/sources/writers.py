@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 
 def store(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
-    """Replace a column file."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace a column file.
+
+    A partitioned write is rebalanced on its partition columns first: AQE then merges small pieces
+    and splits a large one, so neither many tiny files nor one huge task results.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def narrow_copy(df: DataFrame, columns: list[str], path: str) -> None:
@@ -41,7 +47,7 @@ def upsert_snapshot(df: DataFrame, path: str, date_column: str) -> DataFrame:
     are neither read nor rewritten, and a rerun of a day replaces that day.
     """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", date_column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_column).parquet(path)
     )
     return df.sparkSession.read.parquet(path)

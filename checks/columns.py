@@ -137,6 +137,10 @@ COLUMNS = {
     "real_freight": "order_id:i erp_order_id:s invoice_id:i invoice_number:s shipping_cost:m freight:m",
     "invoices": "erp_order_id:s order_id:s total_value:m basket_value:m shipping_value:m invoice_date:d "
     "invoice_number:s tax_id:s erp_email:s",
+    # sources and sinks
+    "landed_orders": "id:i user_id:i state:s cached_total_value:m created_on:d",
+    "web_events_from_files": "date:d source:s medium:s campaign:s customer_id:i unique_events:i",
+    "conversion_snapshot_stored": "unit:s day:d rate_1_30:f rate_91_120:f dif:f revenue:m",
     # service
     "delivery_dates": "order_id:i order_date:d state:s erp_id:s shipping_date:d communicated_date:d estimated_date:d "
     "actual_date:d delivery_status:s best_date:d original_order_value:m final_quantity:i final_order_value:m order_count:i",
@@ -172,6 +176,8 @@ COLUMNS = {
     "payment_confirmed:s cardinal:i cardinal_paid:i days_since_previous:i order_source:s order_medium:s "
     "order_campaign:s card_operator:s installments:i revenue:m erp_status:s",
 }
+COLUMNS["invoices_from_files"] = COLUMNS["invoices"]
+COLUMNS["churn_snapshot_stored"] = COLUMNS["churn_snapshot"]
 
 EXPORT_TYPES = {
     "order_id": "i", "customer_id": "i", "campaign_id": "i", "installments": "i", "quantity": "i", "order_value": "m",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from basketry.plans import orders as ords
 from basketry.plans import service as svc
 from basketry.plans import users as usr
 from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT
-from basketry.session import stage_table
+from basketry.session import shared_folder, stage_table
+from basketry.sources import readers, writers
+from basketry.sources.schemas import WEB_EVENTS
 from checks.bindings import DELIVERY_LABELS, INVENTORY_LABELS, Shop
 from checks.columns import COLUMNS, EXPORTS, shown
 
@@ -48,7 +51,7 @@ class Jobs:
     """
 
     def __init__(self, spark: SparkSession, folder: str, staged: tuple[str, ...] = ()):
-        self.shop, self.staged, self.frames = Shop(spark, folder), staged, {}
+        self.spark, self.shop, self.staged, self.frames = spark, Shop(spark, folder), staged, {}
 
     # ---- channels and users
     @job
@@ -502,9 +505,13 @@ class Jobs:
         return life.client_segments(self.scored_customers)
 
     @job
-    def churn_snapshot(self):
+    def churn_customers(self):
         levels = self.channel_customers.select("customer_id", "level1", "level2", "level3")
-        return life.churn_snapshot(self.optin_active.join(levels, "customer_id", "left"), AS_OF)
+        return self.optin_active.join(levels, "customer_id", "left")
+
+    @job
+    def churn_snapshot(self):
+        return life.churn_snapshot(self.churn_customers, AS_OF)
 
     @job
     def rfm_export(self):
@@ -518,10 +525,65 @@ class Jobs:
         return life.orders_cardinal_export(numbered, self.customer_milestones)
 
 
+    # ---- sources and sinks, through files in the shared folder
+    def path(self, name: str) -> str:
+        return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    @job
+    def landed_orders(self):
+        """Store the raw orders, read a column subset back with a filter that reaches the scan."""
+        folder = self.path("raw")
+        writers.store(self.shop.orders, f"{folder}/orders")
+        columns = ["id", "user_id", "state", "cached_total_value", "created_at"]
+        landed = readers.landed(self.spark, folder, "orders", columns)
+        return landed.where(F.col("state").isin("delivered", "captured")).withColumn(
+            "created_on", F.to_date("created_at"))
+
+    @job
+    def invoices_from_files(self):
+        """Invoice lines written as many delimited files and read back by one glob."""
+        folder = self.path("invoices")
+        lines = self.shop.invoice_lines
+        writers.export(lines.repartition(4), folder, sep=";")
+        schema = ", ".join(f"{c} string" for c in lines.columns)
+        return mar.invoices(readers.delimited(self.spark, f"{folder}/part-*.csv", schema, sep=";"))
+
+    @job
+    def web_events_from_files(self):
+        """Headerless web-analytics files, columns by position, days as YYYYMMDD."""
+        folder = self.path("events")
+        events = self.shop.web_events
+        events.select(
+            F.date_format("date", "yyyyMMdd"), "source", "medium", "campaign", "customer_id", "event_id"
+        ).write.csv(folder)
+        return readers.web_dates(readers.positional(self.spark, folder, WEB_EVENTS))
+
+    @job
+    def conversion_snapshot_stored(self):
+        """Earlier snapshots, then the run day's twice: its partition is replaced, the others stay."""
+        path = self.path("conversion")
+        writers.upsert_snapshot(self.shop.conversion_history, path, "day")
+        today = ords.conversion_snapshot(self.orders_base, AS_OF)
+        writers.upsert_snapshot(today.withColumn("revenue", F.lit(0).cast("decimal(38,4)")), path, "day")
+        return writers.upsert_snapshot(today, path, "day")
+
+    @job
+    def churn_snapshot_stored(self):
+        """Two dated snapshots side by side."""
+        path = self.path("churn")
+        for day in (AS_OF - dt.timedelta(days=1), AS_OF):
+            stored = writers.dated_snapshot(
+                life.churn_snapshot(self.churn_customers, day).drop("churn_date"), path, day, "churn_date"
+            )
+        return stored
+
+
 # Frames that a query reads more than once.
 STAGES: dict[str, tuple[str, ...]] = {
     "ltv_curve": ("orders_base", "order_cardinal", "customer_milestones"),
     "rfm_export": ("orders_base", "channel_customers"),
+    "churn_snapshot_stored": ("churn_customers",),
+    "conversion_snapshot_stored": ("orders_base",),
 }
 
 

@@ -667,6 +667,14 @@ JOBS |= {
     "named_items": """SELECT i.*, c.name AS campaign_name FROM j_admin_items i
         LEFT JOIN shop_campaigns c ON c.id = i.campaign_id""",
     "dated_customers": """SELECT c.*, u.created_at FROM j_customers_admin c JOIN shop_users u ON u.id = c.customer_id""",
+    "landed_orders": """SELECT *, CAST(created_at AS DATE) AS created_on FROM shop_orders
+        WHERE state IN ('delivered', 'captured')""",
+    "invoices_from_files": "SELECT * FROM j_invoices",
+    "web_events_from_files": "SELECT *, event_id AS unique_events FROM shop_web_events",
+    "conversion_snapshot_stored": f"""SELECT unit, day, rate_1_30, rate_91_120, dif, revenue FROM shop_conversion_history
+        WHERE day <> {AS_OF} UNION ALL SELECT unit, day, rate_1_30, rate_91_120, dif, revenue FROM j_conversion_snapshot""",
+    "churn_snapshot_stored": f"""SELECT * FROM j_churn_snapshot UNION ALL
+        SELECT * REPLACE ({AS_OF} - 1 AS churn_date) FROM j_churn_snapshot""",
     "export_orders": export_sql("j_orders_admin", EXPORTS["export_orders"]),
     "export_items": export_sql("j_named_items", EXPORTS["export_items"]),
     "export_users": export_sql("j_dated_customers", EXPORTS["export_users"]),
