@@ -20,7 +20,7 @@ def running_counts(
     The sequence is `bucket` first (a date, say), then `order` within the bucket. Rows are sorted per
     (group, bucket) and the earlier buckets of the group are added as a pre-aggregated offset. A
     group that holds a third of the table is thereby spread over its buckets, and the second window
-    sees one row per group and bucket instead of every row.
+    sees one row per group and bucket instead of every row. Rows without a group or bucket get null.
     """
     within = (
         Window.partitionBy(group, bucket).orderBy(*order)
@@ -60,7 +60,7 @@ def laid_out(df: DataFrame, order: list[Column]) -> tuple[DataFrame, Column, int
     for p in range(max(sizes, default=0) + 1):
         starts.append(seen)
         seen += sizes.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), part.cast("int") + 1)
+    offset = F.element_at(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), part.cast("int") + 1)
     return laid, offset + F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1, seen
 
 

@@ -40,7 +40,7 @@ class Nightly:
             "order_items_cube": lambda: orders.order_items_cube(t("order_items"), t("orders")),
             "authorized_orders": lambda: orders.authorized_orders(
                 t("orders"), self.sheets["state_map"], t("utms"),
-                orders.order_totals_by_state(t("order_items"), t("orders")),
+                orders.order_sums(t("order_items")),
             ),
             "first_time_buyers": lambda: orders.first_time_buyers(c("authorized_orders")),
             "monthly_buyer_type": lambda: orders.monthly_buyer_type(c("authorized_orders"), c("first_time_buyers")),

@@ -85,35 +85,39 @@ def order_totals(cube: DataFrame) -> DataFrame:
     )
 
 
-def order_totals_by_state(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """The totals of `order_items_cube`, with the items summed before they meet the order state.
+def order_sums(items: DataFrame) -> DataFrame:
+    """Item sums per order under each of the three readings an order state can ask for.
 
-    Each measure is summed under the three readings a state can ask for, and the state picks one
-    afterwards. So items are combined on the map side and an order with very many of them arrives at
-    the join as one row.
+    Summing before the items meet the order state combines them on the map side: an order with very
+    many items arrives at the join as one row.
     """
     quantity, stockout, cancelled = F.col("quantity"), F.col("stockout_quantity"), F.col("cancelled_quantity")
     readings = {
         "plain": item_measures(stockout, cancelled), STOCKOUT_STATE: item_measures(quantity, cancelled),
         CANCELLED_STATE: item_measures(stockout, quantity),
     }
-    sums = items.groupBy("order_id").agg(
+    return items.groupBy("order_id").agg(
         F.count("id").alias("number_of_products"), total(original_value()).alias("original_order_value"),
         total("quantity").alias("original_quantity"),
         *[total(measures[m]).alias(f"__{r}_{out}") for r, measures in readings.items() for out, m in SUMMED.items()],
     )
-    states = orders.select(F.col("id").alias("order_id"), F.col("state").alias("__state"))
 
-    def chosen(out: str) -> Column:
-        return (
-            F.when(F.col("__state") == STOCKOUT_STATE, F.col(f"__{STOCKOUT_STATE}_{out}"))
-            .when(F.col("__state") == CANCELLED_STATE, F.col(f"__{CANCELLED_STATE}_{out}"))
-            .otherwise(F.col(f"__plain_{out}"))
-        )
 
-    return natural_left(sums, states, "order_id").select(
+def settled(out: str, state: str) -> Column:
+    """The reading of a sum that the order state asks for."""
+    return (
+        F.when(F.col(state) == STOCKOUT_STATE, F.col(f"__{STOCKOUT_STATE}_{out}"))
+        .when(F.col(state) == CANCELLED_STATE, F.col(f"__{CANCELLED_STATE}_{out}"))
+        .otherwise(F.col(f"__plain_{out}"))
+    )
+
+
+def order_totals_by_state(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The totals of `order_items_cube`, from sums that were taken before the state is known."""
+    states = orders.select(F.col("id").alias("order_id"), F.col("state").alias("__state"))
+    return natural_left(order_sums(items), states, "order_id").select(
         "order_id", "number_of_products", "original_order_value", "original_quantity",
-        *[chosen(out).alias(out) for out in SUMMED],
+        *[settled(out, "__state").alias(out) for out in SUMMED],
     )
 
 
@@ -124,16 +128,19 @@ TOTALS = [
 
 
 def authorized_orders(
-    orders: DataFrame, state_map: DataFrame, utms: DataFrame, totals: DataFrame
+    orders: DataFrame, state_map: DataFrame, utms: DataFrame, sums: DataFrame
 ) -> DataFrame:
     """Orders whose state counts, with cohort, UTM and device, item totals and billed flag.
 
-    The filter runs before the joins, so only counted orders are shuffled.
+    `sums` comes from `order_sums`. The filter runs before the joins, so only counted orders are
+    shuffled.
     """
     counted = with_consider(orders, state_map).where(F.col("consider") == "yes")
     counted = counted.withColumnRenamed("id", "order_id")
-    sums = totals.select("order_id", *TOTALS, F.lit(1).alias("is_considered_order"))
-    joined = add_utm(natural_left(counted, sums, "order_id"), utms, "order")
+    summed = sums.withColumn("is_considered_order", F.lit(1))
+    joined = add_utm(natural_left(counted, summed, "order_id"), utms, "order").withColumns(
+        {out: settled(out, "state") for out in SUMMED}
+    )
     day = local_date("created_at")
     return joined.select(
         "order_id", "user_id", "state", day.alias("order_date"), month_label(day).alias("order_cohort"),

@@ -74,7 +74,7 @@ def shop_tables(d: SparkText) -> dict[str, str]:
     money = lambda x: f"CAST({x} AS DECIMAL(18,4))"
     rate = lambda x: f"CAST({x} AS DECIMAL(18,6))"
     s = lambda x: f"CAST({x} AS STRING)"
-    cents = lambda x: f"CAST(CAST({x} * 100 AS DECIMAL(18,0)) AS STRING)"
+    cents = lambda x: f"CAST(CAST(floor({x} * 100 + 0.5) AS BIGINT) AS STRING)"
     k = "o_orderkey"
     created = d.plus_hours(d.ts("o_orderdate"), f"{k} % 24")
     state = f"""CASE WHEN {k} % 97 = 0 THEN NULL
@@ -390,10 +390,8 @@ def inline_tables() -> dict[str, str]:
     """Name -> SELECT text of the literal sheets; the same text runs in both engines."""
 
     def rows(columns: str, data: list[tuple]) -> str:
-        names = columns.split()
-        return " UNION ALL ".join(
-            "SELECT " + ", ".join(f"{_literal(v)} AS {n}" for n, v in zip(names, row)) for row in data
-        )
+        listed = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in data)
+        return f"SELECT * FROM (VALUES {listed}) AS t({', '.join(columns.split())})"
 
     return {
         "shop_state_map": rows("state consider", STATE_ROWS),

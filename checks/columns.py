@@ -1,8 +1,8 @@
-"""Result columns of every registered query: `name:type` with types i (integer), d (date), s (text),
-m (money, exact decimal shown as double) and f (double, rounded to six digits).
+"""Result columns of every registered query: `name:type` with types i (integer), d (date, shown as ISO
+text), s (text), m (money, exact decimal shown as double) and f (double, rounded to six digits).
 
-Both sides of a check are cast to these columns, so integer widths and decimal scales of the two
-engines cannot differ.
+Both sides of a check are cast to these columns, so integer widths, decimal scales and date containers
+of the two engines cannot differ.
 """
 
 from __future__ import annotations
@@ -195,7 +195,7 @@ def parsed(name: str) -> list[tuple[str, str]]:
 def shown(df: DataFrame, name: str) -> DataFrame:
     """The result cast to the declared columns."""
     casts = {
-        "i": lambda c: c.cast("bigint"), "d": lambda c: c.cast("date"), "s": lambda c: c.cast("string"),
+        "i": lambda c: c.cast("bigint"), "d": lambda c: c.cast("date").cast("string"), "s": lambda c: c.cast("string"),
         "m": lambda c: c.cast("decimal(28,4)").cast("double"), "f": lambda c: F.round(c.cast("double"), 6),
     }
     return df.select(*[casts[kind](F.col(f"`{column}`")).alias(column) for column, kind in parsed(name)])
@@ -203,7 +203,7 @@ def shown(df: DataFrame, name: str) -> DataFrame:
 
 def shown_sql(name: str, source: str) -> str:
     casts = {
-        "i": "CAST({0} AS BIGINT)", "d": "CAST({0} AS DATE)", "s": "CAST({0} AS VARCHAR)",
+        "i": "CAST({0} AS BIGINT)", "d": "CAST(CAST({0} AS DATE) AS VARCHAR)", "s": "CAST({0} AS VARCHAR)",
         "m": "CAST(CAST({0} AS DECIMAL(28,4)) AS DOUBLE)", "f": "round(CAST({0} AS DOUBLE), 6)",
     }
     body = ", ".join(f"""{casts[kind].format(f'"{column}"')} AS "{column}\"""" for column, kind in parsed(name))

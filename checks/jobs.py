@@ -117,8 +117,8 @@ class Jobs:
 
     @job
     def authorized_orders(self):
-        totals = self.order_totals_by_state
-        return ords.authorized_orders(self.shop.orders, self.shop.state_map, self.shop.utms, totals)
+        sums = ords.order_sums(self.shop.items)
+        return ords.authorized_orders(self.shop.orders, self.shop.state_map, self.shop.utms, sums)
 
     @job
     def orders_treated(self):

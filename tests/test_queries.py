@@ -47,3 +47,17 @@ def test_fact_jobs_have_no_global_window_or_nested_loop(name, spark):
     for line in plan.splitlines():
         if "Window [" in line:
             assert "windowspecdefinition(" in line and "], []" not in line, line
+
+
+def test_order_numbers_never_sort_a_whole_customer(spark):
+    plan = QUERIES["order_cardinal"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    over_rows = [line for line in windows if "row" not in line.split("Window [")[0] and "__in_cardinal" in line]
+    assert over_rows and all("customer_id" in line and "order_date" in line.split("], [")[1] for line in over_rows)
+
+
+def test_landed_filter_reaches_the_scan(spark):
+    plan = QUERIES["landed_orders"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(state, [captured,delivered])]" in plan
+    assert "ReadSchema: struct<id:bigint,user_id:bigint,created_at:timestamp,state:string,cached_total_value:" in plan or (
+        "credit_card_operator" not in plan.split("ReadSchema")[1].splitlines()[0])
