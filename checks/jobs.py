@@ -580,6 +580,12 @@ class Jobs:
 
 # Frames that a query reads more than once.
 STAGES: dict[str, tuple[str, ...]] = {
+    # The catalogue is small but needs a pass over all campaign products.
+    "price_bands": ("campaign_catalogue",),
+    "campaign_kind_gender": ("campaign_catalogue",),
+    "campaign_items": ("campaign_catalogue",),
+    "campaign_day": ("campaign_catalogue",),
+    "campaign_orders": ("campaign_catalogue",),
     "ltv_curve": ("orders_base", "order_cardinal", "customer_milestones"),
     "rfm_export": ("orders_base", "channel_customers"),
     "churn_snapshot_stored": ("churn_customers",),
