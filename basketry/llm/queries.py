@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe
+from basketry.llm import byte_bpe, chat_format, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_format": chat_format.op2_chat_format,
+    "op4_mix_sources": mixing.op4_mix_sources,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_chat_format": chat_format.OP2_SQL,
+}
