@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, language_id, mixing, toxicity
+from basketry.llm import byte_bpe, chat_format, language_id, mixing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": chat_format.op2_chat_format,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": mixing.op4_mix_sources,
     "op6_language_id": language_id.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op10_pii": pii.op10_pii,
 }
 
 SQL: dict[str, str] = {
