@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, language_id, mixing, pii, toxicity
+from basketry.llm import byte_bpe, chat_format, language_id, mixing, pii, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mix_sources": mixing.op4_mix_sources,
@@ -18,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_quality_rules": quality_rules.OP1_SQL,
     "op2_chat_format": chat_format.OP2_SQL,
 }
