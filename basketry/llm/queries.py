@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, language_id, mixing, pii, quality_rules, toxicity
+from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, mixing, pii, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": mixing.op4_mix_sources,
     "op6_language_id": language_id.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_pii": pii.op10_pii,
 }
 
