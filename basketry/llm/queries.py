@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, mixing, pii, quality_rules, toxicity
+from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, mixing, near_dedup, pii, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_language_id": language_id.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op9_fingerprints": fingerprints.op9_fingerprints,
