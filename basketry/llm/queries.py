@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, mixing, near_dedup, pii, quality_rules, toxicity
+from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, lm_scoring, mixing, near_dedup, pii, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_language_id": language_id.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_pii": pii.op10_pii,
 }
