@@ -1,7 +1,7 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs (lines, and sentences within lines), whose distinct 64-bit digests are put into a sketch: SEGMENTS
-segments of cells, one cell of each per digest. A cell holds a count, the digests and 32-bit checksums, the latter two
+A text is cut into paragraphs: at line ends, and in long lines at the sentence ends that a letter of BORDER follows, so that a border
+depends on the text around it only. The distinct 64-bit digests of the paragraphs are put into a sketch: SEGMENTS segments of cells, one cell of each per digest. A cell holds a count, the digests and 32-bit checksums, the latter two
 combined by exclusive or, so sketches of two versions can be subtracted: what both have cancels. Peeling then
 takes a cell with one digest left, removes that digest everywhere, and so on, until the sketch is empty and
 the differing digests of both sides are known. If it gets stuck, the attempt is repeated larger: first with the digests
@@ -21,12 +21,13 @@ from basketry.llm.common import SPACE, bind, table
 SEGMENTS = 3
 #: Cells of a segment at the first attempt and at the larger ones.
 CELLS = 8
-LARGER = (8, 16, 64)
+LARGER = (4, 8, 16, 64)
 #: Digests that a bucket of the larger attempts is meant for.
-PER_BUCKET = 6
+PER_BUCKET = 4
 #: Rounds of peeling; a difference that fits its sketch takes a few.
 PEELS = 10
-CUT = rf"\n|(?<=[.!?])[{SPACE}]+"
+BORDER = "A-Fa-fÀ-Éà-é"
+CUT = rf"\n|(?<=[.!?])[{SPACE}]+(?=[{BORDER}])"
 CELL = "struct<n:int,k:bigint,h:int>"
 
 
@@ -35,9 +36,9 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.split(text, CUT, -1), lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
-def _place(digest: Column, segment: int, cells: int) -> Column:
-    """The digest's cell within a segment: bits 20 and up, of which buckets use none."""
-    return F.call_function("shiftrightunsigned", digest, F.lit(20 + 14 * segment)).bitwiseAND(F.lit(cells - 1).cast("long"))
+def _place(digest: Column, segment: int, cells: Column) -> Column:
+    """The digest's cell within a segment: bits 20 and up, of which buckets use none. `cells` is a power of two."""
+    return F.call_function("shiftrightunsigned", digest, F.lit(20 + 14 * segment)).bitwiseAND(cells - 1)
 
 
 def _add(cell: Column, digest: Column, count: Column) -> Column:
@@ -49,9 +50,9 @@ def _empty() -> Column:
     return F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("h"))
 
 
-def sketch(found: Column, cells: int) -> Column:
+def sketch(found: Column, cells: Column) -> Column:
     """The cells of a set of digests, segment after segment."""
-    places = F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))
+    places = F.sequence(F.lit(0).cast("long"), cells - 1)
 
     def filled(segment: int) -> Column:
         return F.transform(places, lambda place: F.aggregate(
@@ -65,7 +66,7 @@ def subtract(left: Column, right: Column) -> Column:
         (a["n"] - b["n"]).alias("n"), a["k"].bitwiseXOR(b["k"]).alias("k"), a["h"].bitwiseXOR(b["h"]).alias("h")))
 
 
-def peel(difference: Column, cells: int) -> Column:
+def peel(difference: Column, cells: Column) -> Column:
     """struct(found: array of (n, k), done): n is 1 for digests of the left side only, -1 for the right side only."""
     none = F.array().cast("array<struct<n:int,k:bigint>>")
 
@@ -76,40 +77,44 @@ def peel(difference: Column, cells: int) -> Column:
 
         def without(taken: Column) -> Column:
             def rest(segment: int) -> Column:
-                return F.transform(F.slice(state["cells"], segment * cells + 1, cells), lambda c, i: F.aggregate(
+                part = F.slice(state["cells"], (cells * segment + 1).cast("int"), cells.cast("int"))
+                return F.transform(part, lambda c, i: F.aggregate(
                     F.filter(taken, lambda p: _place(p["k"], segment, cells) == i), c, lambda held, p: _add(held, p["k"], -p["n"])))
 
-            return F.struct(F.concat(*map(rest, range(SEGMENTS))).alias("cells"), F.concat(state["found"], taken).alias("found"))
+            return F.struct(
+                F.concat(*map(rest, range(SEGMENTS))).alias("cells"), F.concat(state["found"], taken).alias("found"), (F.size(taken) > 0).alias("going"))
 
-        return bind(pure, lambda taken: F.when(F.size(taken) > 0, without(taken)).otherwise(state))
+        return F.when(state["going"], bind(pure, without)).otherwise(state)
 
-    start = F.struct(difference.alias("cells"), none.alias("found"))
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(True).alias("going"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), start, step, lambda state: F.struct(
         state["found"].alias("found"),
         (~F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))).alias("done")))
 
 
-def _attempt(left: Column, right: Column, cells: int) -> Column:
-    return peel(subtract(sketch(left, cells), sketch(right, cells)), cells)
-
-
 def _direct(left: Column, right: Column) -> Column:
     side = lambda a, b, n: F.transform(F.array_except(a, b), lambda k: F.struct(F.lit(n).alias("n"), k.alias("k")))
     return F.concat(side(left, right, 1), side(right, left, -1))
 
 
-def _bucket_difference(left: Column, right: Column, sizes: tuple[int, ...] = LARGER) -> Column:
-    if not sizes:
-        return _direct(left, right)
-    return bind(_attempt(left, right, sizes[0]), lambda tried: F.when(tried["done"], tried["found"]).otherwise(
-        _bucket_difference(left, right, sizes[1:])))
+def _bucket_difference(left: Column, right: Column) -> Column:
+    """Attempts with more and more cells."""
+    none = F.struct(F.array().cast("array<struct<n:int,k:bigint>>").alias("found"), F.lit(False).alias("done"))
+    sizes = F.array(*[F.lit(size).cast("long") for size in LARGER])
+    return F.aggregate(
+        sizes, none,
+        lambda tried, cells: F.when(tried["done"], tried).otherwise(peel(subtract(sketch(left, cells), sketch(right, cells)), cells)),
+        lambda tried: F.when(tried["done"], tried["found"]).otherwise(_direct(left, right)))
+
+
+def first_sketch(found: Column) -> Column:
+    return sketch(found, F.lit(CELLS).cast("long"))
 
 
 def difference(left: Column, right: Column, first: Column) -> Column:
     """array of (n, k): the digests that only one of two sets has. `first` is the difference of their first sketches."""
-    most = F.greatest(F.size(left), F.size(right))
-    buckets = F.pow(F.lit(2.0), F.least(F.ceil(F.log2(F.greatest(most, F.lit(1)) / F.lit(float(PER_BUCKET)))), F.lit(20))).cast("long")
-    buckets = F.greatest(buckets, F.lit(1).cast("long"))
+    most = F.greatest(F.size(left), F.size(right), F.lit(PER_BUCKET))
+    buckets = F.pow(F.lit(2.0), F.least(F.ceil(F.log2(most / F.lit(float(PER_BUCKET)))), F.lit(20))).cast("long")
 
     def larger(count: Column) -> Column:
         part = lambda digs, p: F.filter(digs, lambda d: d.bitwiseAND(count - 1) == p)
@@ -117,7 +122,7 @@ def difference(left: Column, right: Column, first: Column) -> Column:
             F.struct(part(left, p).alias("l"), part(right, p).alias("r")), lambda b: _bucket_difference(b["l"], b["r"]))))
 
     # More digests than cells cannot be told apart, so a difference in size beyond that needs no first attempt.
-    tried = F.when(F.abs(F.size(left) - F.size(right)) <= SEGMENTS * CELLS, peel(first, CELLS))
+    tried = F.when(F.abs(F.size(left) - F.size(right)) <= SEGMENTS * CELLS, peel(first, F.lit(CELLS).cast("long")))
     return bind(tried, lambda t: F.when(F.coalesce(t["done"], F.lit(False)), t["found"]).otherwise(bind(buckets, larger)))
 
 
@@ -139,7 +144,7 @@ def compare_rows(df: DataFrame, left: str, right: str, out: str = "found") -> Da
     sets = F.struct(digests(text(left)).alias("l"), digests(text(right)).alias("r"))
     only = lambda found, n: F.transform(F.filter(found, lambda p: p["n"] == n), lambda p: p["k"])
     result = bind(sets, lambda s: bind(
-        difference(s["l"], s["r"], subtract(sketch(s["l"], CELLS), sketch(s["r"], CELLS))),
+        difference(s["l"], s["r"], subtract(first_sketch(s["l"]), first_sketch(s["r"]))),
         lambda found: F.struct(only(found, 1).alias("only_left"), only(found, -1).alias("only_right"), likeness(s["l"], s["r"], found).alias("near"))))
     return df.withColumn(out, result).select(*df.columns, f"{out}.*")
 
@@ -184,13 +189,21 @@ def fingerprints(pairs: DataFrame) -> DataFrame:
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
     texts = F.struct(F.col("text").alias("own"), edited.alias("edited"), F.col("next_text").alias("next"))
 
+    def side(text: Column) -> Column:
+        return bind(digests(text), lambda found: F.struct(found.alias("d"), first_sketch(found).alias("s")))
+
     def compare(t: Column) -> Column:
-        sets = F.struct(*[digests(t[name]).alias(name) for name in ("own", "edited", "next")])
-        return bind(sets, lambda d: bind(F.struct(*[sketch(d[name], CELLS).alias(name) for name in ("own", "edited", "next")]), lambda s: F.struct(
+        def nears(sides: Column) -> Column:
+            """Likeness of the first side to each of the others."""
+            own = sides[0]
+            return F.transform(F.slice(sides, 2, 2), lambda o: likeness(
+                own["d"], o["d"], difference(own["d"], o["d"], subtract(own["s"], o["s"]))))
+
+        return bind(F.transform(F.array(t["own"], t["edited"], t["next"]), side), lambda sides: bind(nears(sides), lambda near: F.struct(
             F.length(t["own"]).cast("long").alias("n_chars"), F.sha2(t["edited"].cast("binary"), 256).alias("edited_sha256"),
-            written(t["own"], d["own"], s["own"]).alias("fingerprint"), written(t["edited"], d["edited"], s["edited"]).alias("edited_fingerprint"),
-            likeness(d["own"], d["edited"], difference(d["own"], d["edited"], subtract(s["own"], s["edited"]))).alias("near_edited"),
-            likeness(d["own"], d["next"], difference(d["own"], d["next"], subtract(s["own"], s["next"]))).alias("near_next"))))
+            written(t["own"], sides[0]["d"], sides[0]["s"]).alias("fingerprint"),
+            written(t["edited"], sides[1]["d"], sides[1]["s"]).alias("edited_fingerprint"),
+            near[0].alias("near_edited"), near[1].alias("near_next"))))
 
     return pairs.select("doc_id", bind(texts, compare).alias("f")).select("doc_id", "f.*")
 
