@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import crc_mod, slices, table
+from basketry.llm.common import SLICE, crc_mod, slices, table
 
 #: At most so many documents are fitted on, an equal share of them per language.
 SAMPLE = 2400
@@ -250,6 +250,19 @@ def fit(docs: DataFrame, learnable: Column, sample: int = SAMPLE, steps: int = S
     return languages, train(*training_windows(rows, languages), len(languages), steps=steps)
 
 
+def judged(reader: Reader, languages: list[str], texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text; see `predict`."""
+    read = [i for i, text in enumerate(texts) if languages and has_letter(text)]
+    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if read:
+        sums = reader.pooled([texts[i].encode() for i in read])
+        best = sums.argmax(axis=1)
+        means = sums[np.arange(len(read)), best] / sums.sum(axis=1)
+        for i, language, mean in zip(read, best, means):
+            names[i], scores[i] = languages[language], min(1.0, float(mean))
+    return names, scores
+
+
 def predict(docs: DataFrame, languages: list[str], net: Network) -> DataFrame:
     """(doc_id, lang_pred, score) per row: the most probable language and its mean probability over all positions.
 
@@ -260,14 +273,7 @@ def predict(docs: DataFrame, languages: list[str], net: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(net)
         for keys, texts in slices(batches):
-            read = [i for i, text in enumerate(texts) if languages and has_letter(text)]
-            names, scores = [UNKNOWN] * len(keys), [0.0] * len(keys)
-            if read:
-                sums = reader.pooled([texts[i].encode() for i in read])
-                best = sums.argmax(axis=1)
-                means = sums[np.arange(len(read)), best] / sums.sum(axis=1)
-                for i, language, mean in zip(read, best, means):
-                    names[i], scores[i] = languages[language], float(mean)
+            names, scores = judged(reader, languages, texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
@@ -275,6 +281,20 @@ def predict(docs: DataFrame, languages: list[str], net: Network) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, languages: list[str], net: Network, least: float) -> DataFrame:
+    """The rows of `docs`, all columns, whose language is known with at least this score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(net)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                names, scores = judged(reader, languages, part.column("text").to_pylist())
+                yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a third of the rows is held out."""
     docs = table(spark, sf_dir, "documents")

@@ -160,6 +160,13 @@ def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, fan: int = FAN) -> D
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as the mix takes it. Rows with one id are taken equally often."""
+    copies = mix(docs).groupBy(F.col("doc_id").alias("m_id")).agg(F.max("copies").alias("m_copies")).filter("m_copies > 0")
+    repeated = docs.join(copies, docs["doc_id"].eqNullSafe(copies["m_id"]))
+    return repeated.withColumn("m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies")))).select(*[docs[c] for c in docs.columns])
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mix(table(spark, sf_dir, "documents"))

@@ -103,20 +103,21 @@ def band_keys(bins: np.ndarray) -> np.ndarray:
 
 
 def read_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) per row. Without words: 0, null, null."""
+    """(doc_id, text_hash, n_shingles, digest, bands) per row. Without words: n_shingles 0, no digest, no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
-        for keys, texts in slices(batches):
+        for keys, hashes, texts in slices(batches):
             sets = [shingles(text, known) for text in texts]
             digests = [xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None for found in sets]
             bands = [band_keys(signature(found)).tolist() if len(found) else None for found in sets]
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary()),
-                pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+                pa.array(keys, pa.int64()), pa.array(hashes, pa.int64()), pa.array(list(map(len, sets)), pa.int64()),
+                pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "bands"])
 
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return picked.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    picked = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
+    return picked.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -235,7 +236,7 @@ def link_classes(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame | None, Da
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of `docs` (doc_id, text).
+    """(doc_id, text_hash, n_shingles, component_id, kept) per row of `docs` (doc_id, text).
 
     Null texts and texts without words are linked with nothing, not even with each other. Rows with one id share a
     component if their texts do; ids are compared as numbers, and a null id is its own component, kept. Other columns are not read.
@@ -250,12 +251,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         classes = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     else:
         classes = classes.withColumnRenamed("rep", "root")
-    found = read.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+    found = read.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return found.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, of which one document of each component stays; of equal rows one stays."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    marked = docs.withColumn("k_text", F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(kept["k_id"]) & marked["k_text"].eqNullSafe(kept["k_hash"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "k_text"]).select(*docs.columns)
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")

@@ -213,15 +213,16 @@ def redact(docs: DataFrame) -> DataFrame:
     found = find(docs).filter(F.size("spans") > 0).groupBy(
         F.col("doc_id").alias("x_id"), F.col("text_hash").alias("x_hash")).agg(F.first("spans").alias("x_spans"))
     same = docs["doc_id"].eqNullSafe(found["x_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["x_hash"])
-    joined = docs.join(found, same, "left").select(*[docs[c] for c in docs.columns], "x_spans")
+    names = docs.columns
+    joined = docs.join(found, same, "left").select(*[docs[c] for c in names], "x_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = [clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column("x_spans").to_pylist())]
-                arrays = [pa.array(texts, pa.string()) if name == "text" else part.column(name) for name in docs.columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=docs.columns)
+                arrays = [pa.array(texts, pa.string()) if name == "text" else part.column(name) for name in names]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     cleaned = joined.mapInArrow(run, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned

@@ -1,7 +1,8 @@
 """Raw documents to token ids: language, near-duplicates, personal data, source mix, encoding.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of its predecessor, and is written as Parquet and
-read again before the next one. No stage is expressible in SQL, so there is no ORACLE_SQL.
+read again before the next one. All stages but the last return the columns of documents. They are not expressible
+in SQL, so there is no ORACLE_SQL.
 """
 
 from __future__ import annotations
@@ -9,21 +10,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import byte_bpe
-from basketry.llm.common import stage_table, table
+from basketry.llm import byte_bpe, language_id, mixing, near_dedup, pii
+from basketry.llm.common import crc_mod, stage_table, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Documents whose language is less sure than this go, as do those without a letter.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a known language; learned from the part that is not held out."""
+    return language_id.accepted(docs, *language_id.fit(docs, crc_mod("doc_id", 3) != 1), least=LEAST_SCORE)
+
+
+def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return near_dedup.without_duplicates(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids per document, of which decoding gives back the text."""
+    """(doc_id, ids, n_tokens): token ids per document, of which decoding gives back the text."""
     ranks, pattern = byte_bpe.vocabulary()
-    return byte_bpe.encode(docs, ranks, pattern)
+    return byte_bpe.encode(docs, ranks, pattern).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("byte_bpe", encoding),
+    ("language", language), ("deduplication", deduplication), ("personal_data", personal_data), ("source_mix", source_mix), ("encoding", encoding),
 ]
 
 ORACLE_SQL: str | None = None
