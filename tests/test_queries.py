@@ -3,12 +3,14 @@
 import os
 
 import pytest
+from checks import jobs, oracle
 from checks.compare import database, difference
 
 import __spark_entry__ as entry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in jobs.names()}
+SQL = {name: oracle.oracle(name) for name in jobs.names()}
 
 
 @pytest.fixture(scope="module")
