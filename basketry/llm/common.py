@@ -15,7 +15,7 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 SLICE = 256
 
-__all__ = ["SPACE", "WORD", "bind", "crc_mod", "slices", "stage_table", "table"]
+__all__ = ["SPACE", "WORD", "bind", "crc_mod", "packed", "slices", "stage_table", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The rows as one column `doc` beside the given keys, so that no column of theirs can clash in a join. `doc.*` unpacks them."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *[key.alias(name) for name, key in keys.items()])
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[list[list]]:
     """The columns of at most `rows` rows at a time as Python lists, so that only those are unpacked."""
     for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import WORD, stage_table, table
+from basketry.llm.common import WORD, packed, stage_table, table
 from basketry.operators.ranking import rank_rows
 
 WEIGHTS = (3, 1, 2)
@@ -162,9 +162,10 @@ def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, fan: int = FAN) -> D
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, each as often as the mix takes it. Rows with one id are taken equally often."""
-    copies = mix(docs).groupBy(F.col("doc_id").alias("m_id")).agg(F.max("copies").alias("m_copies")).filter("m_copies > 0")
-    repeated = docs.join(copies, docs["doc_id"].eqNullSafe(copies["m_id"]))
-    return repeated.withColumn("m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies")))).select(*[docs[c] for c in docs.columns])
+    copies = mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    rows = packed(docs, own_id=docs["doc_id"].cast("long"))
+    taken = rows.join(copies, F.col("own_id").eqNullSafe(F.col("doc_id"))).select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return taken.select("doc.*")
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

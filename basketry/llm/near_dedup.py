@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices, stage_table, table
+from basketry.llm.common import packed, slices, stage_table, table
 
 SHINGLE = 5
 #: Per cent of the union that two sets must share.
@@ -259,10 +259,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, of which one document of each component stays; of equal rows one stays."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
-    marked = docs.withColumn("k_text", F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(kept["k_id"]) & marked["k_text"].eqNullSafe(kept["k_hash"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "k_text"]).select(*docs.columns)
+    kept = near_duplicates(docs).filter("kept").select("doc_id", "text_hash")
+    rows = packed(docs, own_id=docs["doc_id"].cast("long"), own_hash=F.xxhash64(docs["text"]))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_hash").eqNullSafe(F.col("text_hash"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("doc.*")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices, stage_table, table
+from basketry.llm.common import packed, slices, stage_table, table
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -210,18 +210,18 @@ def redact(docs: DataFrame) -> DataFrame:
             done = max(done, span["end"])
         return "".join(out) + text[done:]
 
-    found = find(docs).filter(F.size("spans") > 0).groupBy(
-        F.col("doc_id").alias("x_id"), F.col("text_hash").alias("x_hash")).agg(F.first("spans").alias("x_spans"))
-    same = docs["doc_id"].eqNullSafe(found["x_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["x_hash"])
-    names = docs.columns
-    joined = docs.join(found, same, "left").select(*[docs[c] for c in names], "x_spans")
+    found = find(docs).filter(F.size("spans") > 0).groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans"))
+    rows = packed(docs, own_id=docs["doc_id"].cast("long"), own_hash=F.xxhash64(docs["text"]))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_hash").eqNullSafe(F.col("text_hash"))
+    joined, names = rows.join(found, same, "left").select("doc", "spans"), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [clean(t, s) for t, s in zip(part.column("text").to_pylist(), part.column("x_spans").to_pylist())]
-                arrays = [pa.array(texts, pa.string()) if name == "text" else part.column(name) for name in names]
+                arrays = part.column("doc").flatten()
+                at = names.index("text")
+                arrays[at] = pa.array([clean(t, s) for t, s in zip(arrays[at].to_pylist(), part.column("spans").to_pylist())], pa.string())
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     cleaned = joined.mapInArrow(run, docs.schema)
