@@ -92,7 +92,7 @@ def has_key(df: DataFrame, keys: DataFrame, key: str, out: str, *, table_key: st
 
 
 def month_table(df: DataFrame) -> DataFrame:
-    """Mark a frame with one row per calendar month (and business unit) for broadcasting.
+    """Mark a frame with one row per calendar month for broadcasting.
 
     Size bound: dates span the years 1-9999, so at most 119,988 months exist; a few numbers each
     keep the table under ten megabytes however large the facts are. Joining facts on the month by a

@@ -14,7 +14,7 @@ from basketry.operators.joins import full_on, natural_left, semi
 from basketry.operators.ranking import number_months, rank_bucket
 from basketry.operators.reshape import stack_frames, unpivot_columns
 from basketry.plans.labels import NO, NOT_AVAILABLE, YES
-from basketry.plans.margin import monthly
+from basketry.plans.margin import MONTH_UNIT, unit_monthly
 
 # ---------------------------------------------------------------- lifetime value
 
@@ -56,8 +56,8 @@ def ltv_summary(curve: DataFrame) -> DataFrame:
 
 
 def contribution_margin(orders: DataFrame, margins: DataFrame) -> DataFrame:
-    """Contribution margin with and without fulfilment at the rates of the month."""
-    joined = natural_left(orders, monthly(margins, ["margin_with", "margin_without"]), "month")
+    """Contribution margin with and without fulfilment at the rates of the month and unit."""
+    joined = natural_left(orders, unit_monthly(margins, ["margin_with", "margin_without"]), MONTH_UNIT)
     return joined.withColumns({
         "margin_with_fulfilment": F.col("revenue") * F.col("margin_with"),
         "margin_without_fulfilment": F.col("revenue") * F.col("margin_without"),

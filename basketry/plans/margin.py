@@ -17,6 +17,7 @@ from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT, NOT_AVAILABLE
 
 CHANNEL_KEY = ["source", "medium", "campaign", "unit"]
 LEVELS = ["level1", "level2", "level3"]
+MONTH_UNIT = ["month", "unit"]
 RULE_FIELDS = {
     "source": ("exact_source", "like_source"),
     "medium": ("exact_medium", "like_medium"),
@@ -102,22 +103,31 @@ def monthly(sheet: DataFrame, columns: list[str], how=F.min) -> DataFrame:
     return month_table(sheet.groupBy("month").agg(*[how(c).alias(c) for c in columns]))
 
 
+def unit_monthly(sheet: DataFrame, columns: list[str], how=F.min) -> DataFrame:
+    """A sheet reduced to one row per month and business unit.
+
+    Units are not bounded by the calendar, so there is no hint: the sheet is broadcast if its size allows, else the hot
+    months of the facts are split by the skew handling.
+    """
+    return sheet.groupBy(*MONTH_UNIT).agg(*[how(c).alias(c) for c in columns])
+
+
 def shipping_adjust(base: DataFrame, factors: DataFrame) -> DataFrame:
-    """Shipping cost times the factor of the month (1 without a factor)."""
-    joined = natural_left(base, monthly(factors, ["factor"]), "month")
+    """Shipping cost times the factor of the month and unit (1 without a factor)."""
+    joined = natural_left(base, unit_monthly(factors, ["factor"]), MONTH_UNIT)
     adjusted = (F.col("shipping_cost_shop") * F.coalesce("factor", F.lit(1))).cast("decimal(18,4)")
     return joined.withColumn("shipping_cost", adjusted).drop("factor")
 
 
 def item_cost(base: DataFrame, items: DataFrame, erp_products: DataFrame, erp_stock: DataFrame) -> DataFrame:
-    """ERP unit cost of each item, by the month of its order and its product."""
-    heads = base.select("order_id", "month")
+    """ERP unit cost of each item, by the month and unit of its order and its product."""
+    heads = base.select("order_id", *MONTH_UNIT)
     lines = left_many(
         heads, items.select("item_id", "order_id", "product_name", "variant_code", "quantity"), "order_id"
     )
     coded = lookup(lines, erp_products, "variant_code", {"erp_product_id": ("erp_product_id", None)})
-    costs = erp_stock.groupBy("month", "erp_product_id").agg(F.min("unit_cost").alias("unit_cost"))
-    return natural_left(coded, costs, ["month", "erp_product_id"])
+    costs = erp_stock.groupBy(*MONTH_UNIT, "erp_product_id").agg(F.min("unit_cost").alias("unit_cost"))
+    return natural_left(coded, costs, [*MONTH_UNIT, "erp_product_id"])
 
 
 def previous_month(base: DataFrame) -> Column:
@@ -148,8 +158,8 @@ def new_cost_history(costed: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def taxes(costed: DataFrame, rates: DataFrame) -> DataFrame:
-    """Taxes on revenue, product cost and freight at the rates of the month."""
-    joined = natural_left(costed, monthly(rates, ["revenue_rate", "product_rate", "freight_rate"]), "month")
+    """Taxes on revenue, product cost and freight at the rates of the month and unit."""
+    joined = natural_left(costed, unit_monthly(rates, ["revenue_rate", "product_rate", "freight_rate"]), MONTH_UNIT)
     return joined.withColumns({
         "revenue_tax": F.col("revenue") * F.col("revenue_rate"),
         "product_tax": F.col("product_cost") * F.col("product_rate"),
@@ -197,15 +207,15 @@ def packaging_share(base: DataFrame, packaging: DataFrame) -> DataFrame:
 
 
 def fulfilment_share(base: DataFrame, fulfilment: DataFrame, production: DataFrame) -> DataFrame:
-    """Monthly fulfilment and production costs spread over orders by revenue."""
-    summed = month_table(fulfilment.groupBy("month").agg(
-        F.sum("staff").alias("__f_staff"), F.sum("warehouse").alias("__f_warehouse")
-    ))
-    made = monthly(
+    """Monthly fulfilment and production costs of a unit spread over its orders by revenue."""
+    summed = fulfilment.groupBy(*MONTH_UNIT).agg(F.sum("staff").alias("__f_staff"), F.sum("warehouse").alias("__f_warehouse"))
+    made = unit_monthly(
         production.withColumnsRenamed({"staff": "__p_staff", "studios": "__p_studios"}), ["__p_staff", "__p_studios"]
     )
-    totals = with_month_totals(base, ["month"], {"__total": F.sum("revenue")})
-    joined = natural_left(natural_left(totals, summed, "month"), made, "month")
+    totals = base.groupBy(*MONTH_UNIT).agg(F.sum("revenue").alias("__total"))
+    # The three tables have a row per month and unit, so they meet each other before they meet the orders.
+    table = natural_left(natural_left(totals, summed, MONTH_UNIT), made, MONTH_UNIT)
+    joined = natural_left(base, table, MONTH_UNIT)
     share = share_of_total("revenue", "__total")
     costs = {
         "fulfilment_staff": "__f_staff", "fulfilment_warehouse": "__f_warehouse", "production_staff": "__p_staff",

@@ -280,10 +280,11 @@ def admin_items(items: DataFrame, products: DataFrame, categories: DataFrame) ->
     )
 
 
-def orders_base(orders: DataFrame, reduction: str = "0", unit: str = "main") -> DataFrame:
+def orders_base(orders: DataFrame, reduction: str = "0", unit: str | Column = "main") -> DataFrame:
     """Orders in the five ERP states whose payment did not fail, with net revenue.
 
-    `reduction` is the share taken off gross revenue, as a decimal text such as `0.02`.
+    `reduction` is the share taken off gross revenue, as a decimal text such as `0.02`. `unit` is the business
+    unit of the orders: a name, or a column over the orders.
     """
     status = lambda c: F.lower(F.trim(c))
     kept = orders.where(
@@ -298,7 +299,7 @@ def orders_base(orders: DataFrame, reduction: str = "0", unit: str = "main") ->
         F.coalesce(F.trim("payment_status_name"), F.lit("-")).alias("payment_status"),
         (null_sum("items_value", "shipping_value") * keep_rate).cast("decimal(18,4)").alias("revenue"),
         F.col("shipping_value").alias("shipping_cost_shop"),
-        *[f"utm_{c}" for c in UTM_TEXT], F.lit(unit).alias("unit"),
+        *[f"utm_{c}" for c in UTM_TEXT], (F.lit(unit) if isinstance(unit, str) else unit).alias("unit"),
         F.lit(CREDIT_CARD).alias("payment_form"), "installments",
         flag(status("payment_status_name") == PAYMENT_CAPTURED).alias("payment_confirmed"),
         F.coalesce(status("order_state"), F.lit("-")).alias("order_state"),
@@ -378,17 +379,24 @@ def conversion_history(history: DataFrame, snapshot: DataFrame, as_of: dt.date)
     return history.where(differs("day", as_of)).select(snapshot.columns).unionByName(snapshot)
 
 
-def conversion_estimate(base: DataFrame, history: DataFrame, as_of: dt.date) -> DataFrame:
-    """Expected revenue: young orders are reduced by the newest rate difference above 2 %.
+def conversion_estimate(
+    base: DataFrame, history: DataFrame, as_of: dt.date, units: tuple[str, ...] = ("main",)
+) -> DataFrame:
+    """Expected revenue: young orders are reduced by the newest rate difference of their unit above 2 %.
 
-    A row without a difference ends the search, like the end of the table does: 2 % applies then.
-    The rate reaches the orders as a scalar subquery, so the orders are neither joined nor shuffled.
+    A row without a difference ends the search, like the end of the table does: 2 % applies then. Only the
+    given units are estimated; orders of all others count in full. The rates reach the orders as scalar
+    subqueries, so the orders are neither joined nor shuffled.
     """
     usable = history.where((F.col("dif") > MINIMUM_RATE) | F.col("dif").isNull())
-    newest = usable.agg(F.max_by(F.struct("dif"), "day").alias("row")).select("row.dif").scalar()
-    rate = F.coalesce(newest, F.lit(MINIMUM_RATE))
     left = F.lit(CONVERSION_DAYS) - days_before(as_of, "order_date")
-    factor = F.lit(1.0) - F.greatest(F.lit(0.0), left * rate / F.lit(CONVERSION_DAYS))
+    factor = F.lit(1.0)
+    for unit in units:
+        own = usable.where(F.col("unit") == unit)
+        newest = own.agg(F.max_by(F.struct("dif"), "day").alias("row")).select("row.dif").scalar()
+        rate = F.coalesce(newest, F.lit(MINIMUM_RATE))
+        reduced = F.lit(1.0) - F.greatest(F.lit(0.0), left * rate / F.lit(CONVERSION_DAYS))
+        factor = F.when(F.col("unit") == unit, reduced).otherwise(factor)
     return base.withColumn("conversion_factor", factor).withColumn(
         "expected_revenue", F.col("revenue").cast("double") * F.col("conversion_factor")
     )

@@ -270,16 +270,16 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             FROM {d.given('orders')} WHERE o_orderpriority <> '3-MEDIUM'""",
         "shop_erp_products": f"""SELECT concat('P', {s('p_partkey')}) AS variant_code, {s('p_partkey + 5000')} AS erp_product_id
             FROM {d.given('part')} WHERE p_type <> 'PROMO'""",
-        "shop_erp_stock": f"""SELECT DISTINCT {month} AS month, {s('l_partkey + 5000')} AS erp_product_id, 'main' AS unit,
-            {money(f'10 + l_partkey % 50 + month({month}) * 0.5')} AS unit_cost
-            FROM {d.given('lineitem')} JOIN {d.given('orders')} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'A'""",
+        "shop_erp_stock": f"""SELECT DISTINCT {month} AS month, {s('l_partkey + 5000')} AS erp_product_id, unit,
+            {money(f"10 + l_partkey % 50 + month({month}) * 0.5 + CASE unit WHEN 'main' THEN 0 ELSE 3 END")} AS unit_cost
+            FROM {UNITS}, {d.given('lineitem')} JOIN {d.given('orders')} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'A'""",
         "shop_cost_history": f"""SELECT {k} AS order_id, {month} AS month, {money(f'{k} % 100 + 0.125')} AS product_cost
             FROM {d.given('orders')} WHERE o_orderdate < {d.ts("'2001-05-01 00:00:00'")} AND o_orderstatus <> 'P'""",
-        "shop_shipping_factors": f"""SELECT month, 'main' AS unit, {rate(f'0.8 + {m} % 5 * 0.1')} AS factor
-            FROM {months} WHERE month(month) <> 4""",
-        "shop_tax_rates": f"""SELECT month, 'main' AS unit, {rate(f'0.1 + {m} % 3 * 0.01')} AS revenue_rate,
-            {rate(f'0.05 + {m} % 4 * 0.01')} AS product_rate, {rate('0.02')} AS freight_rate
-            FROM {months} WHERE month(month) <> 9""",
+        "shop_shipping_factors": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.8 ELSE 0.3 END + {m} % 5 * 0.1")} AS factor
+            FROM {months}, {UNITS} WHERE month(month) <> 4""",
+        "shop_tax_rates": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.1 ELSE 0.05 END + {m} % 3 * 0.01")} AS revenue_rate,
+            {rate(f'0.05 + {m} % 4 * 0.01')} AS product_rate, {rate("CASE unit WHEN 'main' THEN 0.02 ELSE 0.04 END")} AS freight_rate
+            FROM {months}, {UNITS} WHERE month(month) <> 9""",
         "shop_payment_fees": "SELECT month, " + rate("1.5") + " AS boleto, CASE WHEN " + m
             + " % 5 = 0 THEN NULL ELSE " + rate("2.25") + " END AS debit, "
             + ", ".join(f"{rate(f'{i} * 0.1 + {m} % 3')} AS fee_{i}" for i in range(1, 13)) + f" FROM {months}",
@@ -288,13 +288,13 @@ def shop_tables(d: SparkText) -> dict[str, str]:
         "shop_fraud_by_month": f"SELECT month, {money(f'{m} % 4 + 0.3')} AS fee FROM {months} WHERE month(month) <> 6",
         "shop_gateway_by_month": f"SELECT month, {money(f'{m} % 2 + 0.15')} AS fee FROM {months} WHERE month(month) <> 8",
         "shop_packaging_by_month": f"SELECT month, {money(f'1000 + {m} % 12 * 10')} AS cost FROM {months}",
-        "shop_fulfilment_by_month": f"""SELECT month, {money(f'5000 + {m} % 7')} AS staff, {money('800')} AS warehouse
-                FROM {months}
-            UNION ALL SELECT month, {money('100')}, NULL FROM {months} WHERE month(month) > 6""",
-        "shop_production_by_month": f"""SELECT month, {money(f'300 + {m} % 5')} AS staff, {money('77.7')} AS studios
+        "shop_fulfilment_by_month": f"""SELECT month, unit, {money(f"CASE unit WHEN 'main' THEN 5000 ELSE 70 END + {m} % 7")} AS staff, {money('800')} AS warehouse
+                FROM {months}, {UNITS}
+            UNION ALL SELECT month, 'second', {money('100')}, NULL FROM {months} WHERE month(month) > 6""",
+        "shop_production_by_month": f"""SELECT month, 'main' AS unit, {money(f'300 + {m} % 5')} AS staff, {money('77.7')} AS studios
             FROM {months} WHERE month(month) < 9""",
-        "shop_margin_by_month": f"""SELECT month, 'main' AS unit, {rate(f'0.2 + {m} % 4 * 0.01')} AS margin_with,
-            {rate(f'0.3 + {m} % 4 * 0.01')} AS margin_without FROM {months} WHERE month(month) <> 10""",
+        "shop_margin_by_month": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.2 ELSE 0.5 END + {m} % 4 * 0.01")} AS margin_with,
+            {rate(f'0.3 + {m} % 4 * 0.01')} AS margin_without FROM {months}, {UNITS} WHERE month(month) <> 10""",
         "shop_spend_by_month": f"""SELECT c_mktsegment AS name,
             {money("sum(CASE WHEN c_nationkey % 3 = 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END)")} AS m_2001_05,
             {money("sum(CASE WHEN c_nationkey % 3 = 1 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END)")} AS m_2001_06,
@@ -372,9 +372,12 @@ RULE_ROWS = [
     (12, None, "x", "x", "x", "x", "x", "Blank", "Blank", ""),
 ]
 # Earlier runs of the conversion estimate; the last row is of the run day and gets replaced.
+#: Business units of the sheets.
+UNITS = "(SELECT 'main' AS unit UNION ALL SELECT 'second') units"
 CONVERSION_ROWS = [
-    ("2001-06-28", 0.2, 0.31, 0.11, 1000), ("2001-07-02", 0.2, 0.255, 0.055, 1100),
-    ("2001-07-10", 0.2, 0.21, 0.01, 1200), ("2001-07-31", 0.1, 0.9, 0.8, 1300),
+    ("main", "2001-06-28", 0.2, 0.31, 0.11, 1000), ("main", "2001-07-02", 0.2, 0.255, 0.055, 1100),
+    ("main", "2001-07-10", 0.2, 0.21, 0.01, 1200), ("main", "2001-07-31", 0.1, 0.9, 0.8, 1300),
+    ("second", "2001-07-20", 0.1, 1.0, 0.9, 900),
 ]
 DELIVERY_LABELS = {1: "Entrega Rápida", 2: "Entrega Normal"}
 INVENTORY_LABELS = {"INTERNAL": "Estoque interno", "CONSIGNED": "Consignação"}
@@ -399,9 +402,9 @@ def inline_tables() -> dict[str, str]:
         "shop_status_lists": rows("state keep erp_exclude payment_exclude", STATUS_LIST_ROWS),
         "shop_br_states": rows("state_name state region", BR_STATE_ROWS),
         "shop_conversion_history": " UNION ALL ".join(
-            f"SELECT 'main' AS unit, CAST('{day}' AS DATE) AS day, CAST({a} AS DOUBLE) AS rate_1_30, "
+            f"SELECT '{unit}' AS unit, CAST('{day}' AS DATE) AS day, CAST({a} AS DOUBLE) AS rate_1_30, "
             f"CAST({b} AS DOUBLE) AS rate_91_120, CAST({dif} AS DOUBLE) AS dif, "
-            f"CAST({total} AS DECIMAL(38,4)) AS revenue" for day, a, b, dif, total in CONVERSION_ROWS
+            f"CAST({total} AS DECIMAL(38,4)) AS revenue" for unit, day, a, b, dif, total in CONVERSION_ROWS
         ),
         "shop_rules": rows(
             "rule_no exact_source exact_medium exact_campaign like_source like_medium like_campaign "

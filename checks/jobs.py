@@ -173,7 +173,8 @@ class Jobs:
 
     @job
     def orders_base(self):
-        return ords.orders_base(self.orders_admin, REDUCTION)
+        unit = F.when(F.col("order_id") % 3 == 0, "second").otherwise("main")
+        return ords.orders_base(self.orders_admin, REDUCTION, unit)
 
     @job
     def order_cardinal(self):

@@ -243,7 +243,8 @@ JOBS: dict[str, str] = {
         coalesce(trim(payment_status_name), '-') AS payment_status,
         CAST((coalesce(items_value, 0) + coalesce(shipping_value, 0)) * CAST(0.98 AS DECIMAL(9,6)) AS DECIMAL(18,4)) AS revenue,
         shipping_value AS shipping_cost_shop, utm_source, utm_campaign, utm_medium, utm_term, utm_content, utm_gclid,
-        'main' AS unit, 'Cartão de Crédito' AS payment_form, installments, payment_method,
+        CASE WHEN order_id % 3 = 0 THEN 'second' ELSE 'main' END AS unit,
+        'Cartão de Crédito' AS payment_form, installments, payment_method,
         CASE WHEN lower(trim(payment_status_name)) = 'capturado' THEN 1 ELSE 0 END AS payment_confirmed,
         coalesce(lower(trim(order_state)), '-') AS order_state, credit_card_operator AS card_operator
         FROM j_orders_admin WHERE lower(trim(erp_status)) IN ('aguardando pagamento', 'capturado', 'despachado',
@@ -267,19 +268,22 @@ JOBS: dict[str, str] = {
     "conversion_days": f"""SELECT order_date, {AS_OF} - order_date AS age, sum(revenue) AS total,
         sum(CASE WHEN payment_confirmed = 1 THEN revenue ELSE 0 END) AS paid FROM j_orders_base
         WHERE {AS_OF} - order_date <= 120 GROUP BY order_date""",
-    "conversion_snapshot": f"""SELECT 'main' AS unit, {AS_OF} AS day, rate_1_30, rate_91_120, rate_91_120 - rate_1_30 AS dif,
-        revenue FROM (SELECT
+    "conversion_snapshot": f"""SELECT unit, {AS_OF} AS day, rate_1_30, rate_91_120, rate_91_120 - rate_1_30 AS dif,
+        revenue FROM (SELECT unit,
         1 - CAST(sum(CASE WHEN age BETWEEN 1 AND 30 THEN paid ELSE 0 END) AS DOUBLE)
           / nullif(CAST(sum(CASE WHEN age BETWEEN 1 AND 30 THEN total ELSE 0 END) AS DOUBLE), 0) AS rate_1_30,
         1 - CAST(sum(CASE WHEN age BETWEEN 91 AND 120 THEN paid ELSE 0 END) AS DOUBLE)
           / nullif(CAST(sum(CASE WHEN age BETWEEN 91 AND 120 THEN total ELSE 0 END) AS DOUBLE), 0) AS rate_91_120,
-        sum(total) AS revenue FROM j_conversion_days)""",
+        sum(total) AS revenue FROM (SELECT unit, {AS_OF} - order_date AS age, revenue AS total,
+            CASE WHEN payment_confirmed = 1 THEN revenue ELSE 0 END AS paid FROM j_orders_base
+            WHERE {AS_OF} - order_date <= 120) GROUP BY unit)""",
     "conversion_history": f"""SELECT unit, day, dif, revenue FROM shop_conversion_history WHERE day <> {AS_OF}
         UNION ALL SELECT unit, day, dif, revenue FROM j_conversion_snapshot""",
     "conversion_estimate": f"""SELECT order_id, order_date, revenue, factor AS conversion_factor,
-        CAST(revenue AS DOUBLE) * factor AS expected_revenue FROM (SELECT *, 1 - greatest(0,
+        CAST(revenue AS DOUBLE) * factor AS expected_revenue FROM (SELECT *, CASE WHEN unit <> 'main' THEN 1 ELSE 1 - greatest(0,
             (120 - ({AS_OF} - order_date)) * (SELECT coalesce(max(dif), 0.02) FROM (SELECT dif FROM j_conversion_history
-                WHERE dif > 0.02 OR dif IS NULL ORDER BY day DESC LIMIT 1)) / 120) AS factor FROM j_orders_base)""",
+                WHERE unit = 'main' AND (dif > 0.02 OR dif IS NULL) ORDER BY day DESC LIMIT 1)) / 120) END AS factor
+            FROM j_orders_base)""",
     "adhoc_monthly_totals": f"""SELECT month({loc('created_at')}) AS month, count(id) AS orders,
         sum(cached_total_value) AS basket_value, sum(shipping_price) AS shipping FROM shop_orders
         WHERE state NOT IN {FAILED} AND origin = 1 AND {loc('created_at')} {PERIOD} GROUP BY 1""",
@@ -477,11 +481,11 @@ JOBS: dict[str, str] = {
     "channel_orders": channel_applied("j_order_attribution", "order", "order_id"),
     "channel_customers": channel_applied("j_customer_source", "customer", "customer_id"),
     "shipping_adjust": """SELECT b.*, CAST(shipping_cost_shop * coalesce(f.factor, 1) AS DECIMAL(18,4)) AS shipping_cost
-        FROM j_orders_base b LEFT JOIN shop_shipping_factors f USING (month)""",
-    "item_cost": """SELECT b.order_id, b.month, i.item_id, i.variant_code, i.quantity, e.erp_product_id, s.unit_cost
+        FROM j_orders_base b LEFT JOIN shop_shipping_factors f USING (month, unit)""",
+    "item_cost": """SELECT b.order_id, b.month, b.unit, i.item_id, i.variant_code, i.quantity, e.erp_product_id, s.unit_cost
         FROM j_orders_base b LEFT JOIN j_admin_items i ON i.order_id = b.order_id
         LEFT JOIN shop_erp_products e ON e.variant_code = i.variant_code
-        LEFT JOIN shop_erp_stock s ON s.month = b.month AND s.erp_product_id = e.erp_product_id""",
+        LEFT JOIN shop_erp_stock s ON s.month = b.month AND s.unit = b.unit AND s.erp_product_id = e.erp_product_id""",
     "previous_month": "SELECT CAST(max(month) - INTERVAL 1 MONTH AS DATE) AS month FROM j_orders_base",
     "frozen_order_cost": """SELECT b.*, CAST(coalesce(h.product_cost, c.computed) AS DECIMAL(18,4)) AS product_cost
         FROM j_shipping_adjust b LEFT JOIN shop_cost_history h USING (order_id)
@@ -491,7 +495,7 @@ JOBS: dict[str, str] = {
         FROM j_frozen_order_cost WHERE month = (SELECT month FROM j_previous_month)
         AND order_id NOT IN (SELECT order_id FROM shop_cost_history)""",
     "taxes": """SELECT f.order_id, revenue * revenue_rate AS revenue_tax, product_cost * product_rate AS product_tax,
-        shipping_cost * freight_rate AS freight_tax FROM j_frozen_order_cost f LEFT JOIN shop_tax_rates r USING (month)""",
+        shipping_cost * freight_rate AS freight_tax FROM j_frozen_order_cost f LEFT JOIN shop_tax_rates r USING (month, unit)""",
     "base_by_method": """SELECT * EXCLUDE (payment_form), CASE payment_method WHEN 'boleto' THEN 'Boleto'
         WHEN 'debit' THEN 'Débito Online' ELSE 'Cartão de Crédito' END AS payment_form FROM j_orders_base""",
     "payment_fee": "SELECT b.order_id, b.payment_form, b.installments, coalesce(CASE payment_form WHEN 'Boleto' THEN boleto "
@@ -506,10 +510,10 @@ JOBS: dict[str, str] = {
     "fulfilment_share": """SELECT order_id, CAST(coalesce(fs, 0) AS DOUBLE) * share AS fulfilment_staff,
         CAST(coalesce(fw, 0) AS DOUBLE) * share AS fulfilment_warehouse, CAST(coalesce(ps, 0) AS DOUBLE) * share AS production_staff,
         CAST(coalesce(pt, 0) AS DOUBLE) * share AS production_studios FROM (
-        SELECT b.order_id, CAST(revenue AS DOUBLE) / nullif(CAST(sum(revenue) OVER (PARTITION BY b.month) AS DOUBLE), 0) AS share,
-        f.fs, f.fw, p.staff AS ps, p.studios AS pt FROM j_orders_base b LEFT JOIN (SELECT month, sum(staff) AS fs,
-        sum(warehouse) AS fw FROM shop_fulfilment_by_month GROUP BY month) f USING (month)
-        LEFT JOIN shop_production_by_month p USING (month))""",
+        SELECT b.order_id, CAST(revenue AS DOUBLE) / nullif(CAST(sum(revenue) OVER (PARTITION BY b.month, b.unit) AS DOUBLE), 0) AS share,
+        f.fs, f.fw, p.staff AS ps, p.studios AS pt FROM j_orders_base b LEFT JOIN (SELECT month, unit, sum(staff) AS fs,
+        sum(warehouse) AS fw FROM shop_fulfilment_by_month GROUP BY month, unit) f USING (month, unit)
+        LEFT JOIN shop_production_by_month p USING (month, unit))""",
     "real_freight": """SELECT b.order_id, n.erp_order_id, n.invoice_id, n.invoice_number, b.shipping_cost,
         coalesce(c.freight, b.shipping_cost) AS freight FROM j_shipping_adjust b
         LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY public_id, unit ORDER BY invoice_id) AS rn
@@ -583,7 +587,7 @@ JOBS: dict[str, str] = {
     "ltv_summary": """SELECT coalesce(sum(CASE WHEN distance = 1 THEN ltv_ratio END), 0) AS first_ratio,
         avg(CASE WHEN distance > 1 AND distance <= 12 THEN ltv_ratio END) AS mean_ratio FROM j_ltv_curve""",
     "contribution_margin": """SELECT order_id, revenue * margin_with AS margin_with_fulfilment,
-        revenue * margin_without AS margin_without_fulfilment FROM j_orders_base LEFT JOIN shop_margin_by_month USING (month)""",
+        revenue * margin_without AS margin_without_fulfilment FROM j_orders_base LEFT JOIN shop_margin_by_month USING (month, unit)""",
     "mail_visits": """SELECT source, CASE WHEN regexp_matches(source, '^[0-9]{8}') THEN CAST(strptime(left(source, 8), '%Y%m%d') AS DATE)
         ELSE date END AS day, sum(visits) AS visits FROM shop_visits GROUP BY 1, 2""",
     "mail_sales": """SELECT source, CASE WHEN regexp_matches(source, '^[0-9]{8}') THEN CAST(strptime(left(source, 8), '%Y%m%d') AS DATE)

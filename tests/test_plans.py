@@ -146,6 +146,31 @@ def test_conversion_uses_the_newest_rate_above_two_percent(frame):
     ended = history(frame, rates + [("main", D(2015, 3, 5), None, None, None, 0.0)])
     assert rows(orders.conversion_estimate(df, ended, as_of), "order_id", "conversion_factor") == [(1, 0.98), (2, 1.0)]
     assert rows(orders.conversion_estimate(df, history(frame, []), as_of), "conversion_factor") == [(0.98,), (1.0,)]
+    # another unit's newer rate changes nothing, and orders of a unit that is not estimated count in full
+    df = base(frame, [(1, "A", 1, D(2015, 4, 1), None, 1, 100.0, "main"), (2, "B", 1, D(2015, 4, 1), None, 1, 100.0, "second")])
+    rates = [("main", D(2015, 3, 1), 0.0, 0.0, 0.1, 0.0), ("second", D(2015, 3, 2), 0.0, 0.0, 0.9, 0.0)]
+    got = rows(orders.conversion_estimate(df, history(frame, rates), as_of), "order_id", "conversion_factor")
+    assert got == [(1, 0.9), (2, 1.0)]
+
+
+def test_costs_of_one_unit_do_not_reach_the_other(frame):
+    jan = D(2015, 1, 1)
+    df = frame([(1, "main", jan, 10.0, 100.0, 10.0, 10.0), (2, "second", jan, 10.0, 100.0, 10.0, 10.0)],
+               "order_id long, unit string, month date, shipping_cost_shop double, revenue double, product_cost double, shipping_cost double")
+    two = lambda a, b, name: frame([(jan, "main", a), (jan, "second", b)], f"month date, unit string, {name} double")
+    adjusted = margin.shipping_adjust(df.drop("shipping_cost"), two(1.5, 0.5, "factor"))
+    assert [(i, float(c)) for i, c in rows(adjusted, "order_id", "shipping_cost")] == [(1, 15.0), (2, 5.0)]
+    rates = two(0.1, 0.05, "revenue_rate").withColumns({"product_rate": F.lit(0.0), "freight_rate": F.lit(0.0)})
+    assert rows(margin.taxes(df, rates), "order_id", "revenue_tax") == [(1, 10.0), (2, 5.0)]
+    spent = frame([(jan, "second", 100.0, 0.0)], "month date, unit string, staff double, warehouse double")
+    made = frame([], "month date, unit string, staff double, studios double")
+    assert rows(margin.fulfilment_share(df, spent, made), "order_id", "fulfilment_staff") == [(1, 0.0), (2, 100.0)]
+    margins = two(0.2, 0.1, "margin_with").withColumn("margin_without", F.lit(0.0))
+    assert rows(lifecycle.contribution_margin(df, margins), "order_id", "margin_with_fulfilment") == [(1, 20.0), (2, 10.0)]
+    items = frame([(7, 1, "x", "v", 1), (8, 2, "x", "v", 1)], "item_id long, order_id long, product_name string, variant_code string, quantity int")
+    erp = frame([("v", "e")], "variant_code string, erp_product_id string")
+    stock = frame([(jan, "e", "main", 20.0), (jan, "e", "second", 3.0)], "month date, erp_product_id string, unit string, unit_cost double")
+    assert rows(margin.item_cost(df, items, erp, stock), "order_id", "unit_cost") == [(1, 20.0), (2, 3.0)]
 
 
 def test_conversion_snapshot_paid_switch_and_rerun(frame):
@@ -244,9 +269,9 @@ def test_payment_fee_by_form_and_instalment(frame):
 
 def test_monthly_costs_are_spread_completely(frame):
     jan, feb = D(2015, 1, 1), D(2015, 2, 1)
-    df = frame([(1, jan, 30.0), (2, jan, 10.0), (3, feb, 0.0)], "order_id int, month date, revenue double")
-    fulfilment = frame([(jan, 100.0, 8.0), (jan, 20.0, None)], "month date, staff double, warehouse double")
-    production = frame([(feb, 5.0, 5.0)], "month date, staff double, studios double")
+    df = frame([(1, jan, "main", 30.0), (2, jan, "main", 10.0), (3, feb, "main", 0.0)], "order_id int, month date, unit string, revenue double")
+    fulfilment = frame([(jan, "main", 100.0, 8.0), (jan, "main", 20.0, None)], "month date, unit string, staff double, warehouse double")
+    production = frame([(feb, "main", 5.0, 5.0)], "month date, unit string, staff double, studios double")
     got = margin.fulfilment_share(df, fulfilment, production)
     assert rows(got, "order_id", "fulfilment_staff", "fulfilment_warehouse", "production_staff") == [
         (1, 90.0, 6.0, 0.0), (2, 30.0, 2.0, 0.0), (3, None, None, None)]
