@@ -6,10 +6,10 @@ borrows from the first filled bin in a random order of its own. ROWS bins make a
 bucket. At the threshold a pair shares no bucket with chance (1 - 0.85 ** ROWS) ** BANDS, about 3e-7.
 
 Within a bucket all members are compared with a centre, not with each other. The centre is the member whose buckets are largest in
-total: the text that others were made from. Members whose bucket now lies in one component are done. Where
-several components are left, the next round deals the bucket into more and more slots with a centre each, until every
-member has been a centre: no pair that shares a bucket is lost, and only buckets that need it pay for more pairs. Links
-are confirmed on the full shingle sets; components come from rounds of star contraction over the links.
+total: the text that others were made from. A bucket whose members are then in one component is done. Else the members
+outside its largest component are compared with all its members: in blocks of BLOCK of them, against which the bucket's
+members are streamed, so that no row is made for a pair. A pair that shares a bucket is thereby compared or already connected.
+Links are confirmed on the full shingle sets; components come from rounds of star contraction over the links.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ SHINGLE = 5
 LINK = 85
 BANDS, ROWS = 32, 6
 BINS = BANDS * ROWS
-#: Centres of a bucket per round: 1, SPREAD, SPREAD ** 2, ...
-SPREAD = 8
+#: Members of a bucket that one task compares with the others.
+BLOCK = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACES = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
@@ -121,18 +121,27 @@ def read_documents(docs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, digest, shingles) of the representatives in `wanted`, made again from the whole texts."""
+    """(rep, shingles) of the representatives in `wanted` (rep, digest), made again from the whole texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
-        for keys, texts in slices(batches):
-            sets = [shingles(text, known).tobytes() for text in texts]
-            digests = [xxhash.xxh3_128_digest(found) for found in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["rep", "digest", "shingles"])
+    Merged and not broadcast: the wanted ids are not bounded, and rows of one id come one after the other that way, of
+    which those with another set than the wanted one and repetitions are left out.
+    """
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted.select("rep"), "rep", "left_semi")
-    return picked.mapInArrow(run, "rep long, digest binary, shingles binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, last = Words(), None
+        for keys, digests, texts in slices(batches):
+            out: tuple[list, list] = ([], [])
+            for key, digest, text in zip(keys, digests, texts):
+                found = shingles(text, known).tobytes() if (key, digest) != last else b""
+                if found and xxhash.xxh3_128_digest(found) == digest:
+                    last = key, digest
+                    out[0].append(key)
+                    out[1].append(found)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], names=["rep", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
+    picked = texts.join(wanted.hint("merge"), "rep").select("rep", "digest", "text")
+    return picked.mapInArrow(run, "rep long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -194,58 +203,83 @@ def _buckets(reps: DataFrame) -> DataFrame:
     return stage_table(members.join(weights, "rep").select("bucket", "rep", "weight"))
 
 
-def link_classes(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """Confirmed links (a, b) between representatives, and (node, root) of their components."""
-    open_ = _buckets(reps)
-    wanted = open_.select("rep").distinct()
+def _in_blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket that are outside its largest component (`major`) and all its members.
+
+    `open_`: (bucket, rep, root, major, minor), minor being the number of such members. They are dealt into blocks; a task holds a
+    block and reads the members of the bucket one after the other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ready = None, None
+        held: tuple[list, list, list] = ([], [], [])
+        for batch in batches:
+            links: tuple[list, list] = ([], [])
+            for start in range(0, batch.num_rows, 256):
+                for bucket, block, guest, rep, root, data in zip(*(batch.slice(start, 256).column(i).to_pylist() for i in range(6))):
+                    if (bucket, block) != at:
+                        at, ready, held = (bucket, block), None, ([], [], [])
+                    own = np.frombuffer(data, np.uint64)
+                    if not guest:
+                        for column, value in zip(held, (rep, root, own)):
+                            column.append(value)
+                        continue
+                    if ready is None:
+                        sizes = np.array(list(map(len, held[2])))
+                        ready = np.array(held[0]), np.array(held[1]), sizes, np.concatenate(held[2]), np.repeat(np.arange(len(sizes)), sizes)
+                    reps, roots, sizes, every, owner = ready
+                    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                    shared = np.bincount(owner[own[place] == every], minlength=len(sizes))
+                    linked = (roots != root) & (100 * shared >= LINK * (sizes + len(own) - shared))
+                    for other in reps[linked].tolist():
+                        links[0].append(other)
+                        links[1].append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], names=["a", "b"])
+
+    blocks = F.ceil(F.col("minor") / BLOCK)
+    hosts = open_.filter("root <> major").select("bucket", F.pmod(F.xxhash64("rep"), blocks).alias("block"), F.lit(0).alias("guest"), "rep", "root")
+    guests = open_.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(1).alias("guest"), "rep", "root")
+    # A block that got no host needs no guest; hashing leaves few of them, and they find nothing.
+    dealt = guests.join(hosts.select("bucket", "block").distinct(), ["bucket", "block"], "left_semi").unionByName(hosts).join(sets, "rep")
+    laid = dealt.select("bucket", "block", "guest", "rep", "root", "shingles").repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
+    return laid.mapInArrow(run, "a long, b long").distinct()
+
+
+def link_classes(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """(node, root) of the components of linked representatives (rep, digest, bands); null if no two share a bucket."""
+    members = _buckets(reps)
+    wanted = members.select("rep").distinct()
     if not wanted.take(1):
-        return None, None
-    sets = _full_sets(docs, wanted).join(reps.select("rep", F.col("digest").alias("own")), "rep")
-    # Rows with one id and different texts: the set that the representative stands for.
-    sets = stage_table(sets.filter(F.col("digest") == F.col("own")).select("rep", "shingles").dropDuplicates(["rep"]))
-    links, roots, tried, turn = None, None, None, 0
-    while True:
-        slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(SPREAD ** turn))
-        centres = open_.groupBy("bucket", slot.alias("slot")).agg(
-            F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("best")).select("bucket", (-F.col("best.rep")).alias("centre"))
-        pairs = open_.join(centres, "bucket").filter("rep <> centre")
-        if roots is not None:
-            pairs = pairs.join(roots.select(F.col("node").alias("centre"), F.col("root").alias("c_root")), "centre", "left").filter(
-                F.coalesce("root", "rep") != F.coalesce("c_root", "centre"))
-        pairs = pairs.select("centre", F.col("rep").alias("member"))
-        key = [F.greatest("centre", "member"), F.least("centre", "member")]
-        pairs = pairs.groupBy(key[0].alias("x"), key[1].alias("y")).agg(F.min("centre").alias("centre")).select(
-            "centre", (F.col("x") + F.col("y") - F.col("centre")).alias("member"), "x", "y")
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = stage_table(pairs)
-        tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-        new = stage_table(_confirmed(pairs.select("centre", "member"), sets).select(F.col("centre").alias("a"), F.col("member").alias("b")))
-        links = new if links is None else links.unionByName(new)
-        roots = stage_table(components(links))
-        # A member that was a centre has met its whole bucket.
-        left = open_.select("bucket", "rep", "weight").join(
-            centres.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti")
-        left = left.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        several = left.groupBy("bucket").agg(
-            F.min(F.coalesce("root", "rep")).alias("low"), F.max(F.coalesce("root", "rep")).alias("high")).filter("low < high").select("bucket")
-        open_ = stage_table(left.join(several, "bucket", "left_semi"))
-        turn += 1
-        if not open_.take(1):
-            return links, roots
+        return None
+    sets = stage_table(_full_sets(docs, wanted.join(reps.select("rep", "digest"), "rep")))
+    centres = members.groupBy("bucket").agg(
+        F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("best")).select("bucket", (-F.col("best.rep")).alias("centre"))
+    pairs = members.join(centres, "bucket").filter("rep <> centre").groupBy(
+        F.greatest("centre", "rep").alias("x"), F.least("centre", "rep").alias("y")).agg(F.min("centre").alias("centre"))
+    pairs = stage_table(pairs.select("centre", (F.col("x") + F.col("y") - F.col("centre")).alias("member")))
+    links = stage_table(_confirmed(pairs, sets).select(F.col("centre").alias("a"), F.col("member").alias("b")))
+    roots = stage_table(components(links))
+    marked = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
+    parts = marked.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    several = parts.groupBy("bucket").agg(
+        F.max_by("root", F.struct("n", "root")).alias("major"), (F.sum("n") - F.max("n")).alias("minor")).filter("minor > 0")
+    open_ = stage_table(marked.join(several, "bucket"))
+    more = stage_table(_in_blocks(open_, sets))
+    if not more.take(1):
+        return roots
+    return stage_table(components(links.unionByName(more)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) per row of `docs` (doc_id, text).
 
     Null texts and texts without words are linked with nothing, not even with each other. Rows with one id share a
-    component if their texts do; ids are compared as numbers, and a null id is its own component, kept. Other columns are not read.
+    component if their texts do; if such an id is the smallest of several texts, these count as linked. Ids are compared as numbers, and a null id is its own component, kept. Other columns are not read.
     """
     read = stage_table(read_documents(docs))
     reps = stage_table(read.filter("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
-    # An id that stands for several classes (repeated id) takes part with each of them.
-    _, roots = link_classes(docs, reps)
+    roots = link_classes(docs, reps)
     classes = reps.select("digest", "rep")
     if roots is not None:
         classes = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
