@@ -3,26 +3,33 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.text import contains_or_any, equals_or_any
+from basketry.session import stage_table
 
-MAX_RULES = 20_000
+ANYTHING = "x"
+#: Length of the pieces that route contains-tests to texts.
+PIECE = 3
 
 
-def rule_list(rules: DataFrame, columns: list[str], number: str) -> Column:
-    """The rule sheet as one sorted array, read once per query as a scalar subquery.
+def all_of(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
 
-    The sheet is kept by hand. A sheet of more than MAX_RULES rows stops the query with an error
-    (one row beyond the bound is read to notice it), so no rule is ever dropped.
-    """
-    entry = F.struct(F.col(number).alias("number"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
-    checked = F.when(
-        F.count("*") > MAX_RULES, F.raise_error(F.lit(f"more than {MAX_RULES} channel rules"))
-    ).otherwise(F.array_sort(F.collect_list(entry)))
-    return rules.limit(MAX_RULES + 1).agg(checked.alias("rules")).scalar()
+
+def pieces(text: Column, field: str) -> Column:
+    """All pieces of up to PIECE characters of a text, marked with its field."""
+    found = [_pieces_of(text, size) for size in range(1, PIECE + 1)]
+    return F.transform(F.array_distinct(F.concat(*found)), lambda piece: F.struct(F.lit(field).alias("field"), piece.alias("piece")))
+
+
+def _pieces_of(text: Column, size: int) -> Column:
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    cut = F.transform(starts, lambda i: F.substr(text, i, F.lit(size)))
+    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
 
 
 def match_rules(
@@ -36,24 +43,49 @@ def match_rules(
     """Add the `take` columns (and the number) of the first rule that accepts all fields.
 
     `fields` maps a data column to its (exact, like) rule columns. Comparison is in lower case, `x`
-    accepts anything, and a row with a null field matches no rule. Apply it to distinct field
-    combinations: work is combinations x rules, without joining or shuffling anything.
+    accepts anything, an empty like accepts nothing, and a row with a null field matches no rule.
+
+    The distinct field combinations are stored first, so that no test is pushed down to the rows they come
+    from. Rules meet them by equality, whatever their number: on the exact fields a rule sets; without
+    one, on the first piece of its first pattern; rules that accept everything are reduced to the first of
+    them. All fields are tested after that.
     """
-    rule_columns = [c for pair in fields.values() for c in pair] + take
-
-    def accepts(rule: Column) -> Column:
-        tests = []
-        for column, (exact, like) in fields.items():
-            text = F.lower(F.col(column))
-            tests.append(equals_or_any(text, F.lower(rule[exact])))
-            tests.append(contains_or_any(text, F.lower(rule[like])))
-        return reduce(lambda a, b: a & b, tests)
-
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fields])
-    hit = F.when(complete, F.get(F.filter(F.col("__rules"), accepts), F.lit(0)))
+    columns = [c for pair in fields.values() for c in pair] + take
+    entry = F.struct(F.col(number).alias("number"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+    low = {c: F.lower(F.coalesce(F.col(c), F.lit(""))).alias(f"__{c}") for pair in fields.values() for c in pair}
+    sheet = stage_table(rules.select(entry.alias("__rule"), *low.values()).where(
+        all_of([F.col(f"__{like}") != "" for _, like in fields.values()])))
+    complete = all_of([F.col(c).isNotNull() for c in fields])
+    texts = stage_table(df.select(*fields).where(complete).distinct()).withColumns(
+        {f"__text_{c}": F.lower(F.col(c)) for c in fields})
+    accepts = all_of([
+        test for c, (exact, like) in fields.items()
+        for test in (equals_or_any(F.col(f"__text_{c}"), F.col(f"__{exact}")), contains_or_any(F.col(f"__text_{c}"), F.col(f"__{like}")))
+    ])
+    sets = {c: F.col(f"__{exact}") != ANYTHING for c, (exact, _) in fields.items()}
+    seeks = {c: F.col(f"__{like}") != ANYTHING for c, (_, like) in fields.items()}
+    none_set = all_of([~s for s in sets.values()])
+
+    hits = []
+    for size in range(1, len(fields) + 1):
+        for chosen in combinations(fields, size):
+            own = sheet.where(all_of([sets[c] if c in chosen else ~sets[c] for c in fields]))
+            same = all_of([F.col(f"__text_{c}") == F.col(f"__{fields[c][0]}") for c in chosen])
+            hits.append(texts.join(own, same).where(accepts).select(*fields, "__rule"))
+    first = F.coalesce(*[
+        F.when(seeks[c], F.struct(F.lit(c).alias("field"), F.substr(F.col(f"__{like}"), F.lit(1), F.lit(PIECE)).alias("piece")))
+        for c, (_, like) in fields.items()
+    ])
+    routed = sheet.where(none_set & reduce(lambda a, b: a | b, seeks.values())).withColumn("__on", first)
+    cut = texts.withColumn("__piece", F.explode(F.concat(*[pieces(F.col(f"__text_{c}"), c) for c in fields])))
+    by_piece = (F.col("__piece.field") == F.col("__on.field")) & (F.col("__piece.piece") == F.col("__on.piece"))
+    hits.append(cut.join(routed, by_piece).where(accepts).select(*fields, "__rule"))
+    found = reduce(DataFrame.unionByName, hits).groupBy(*fields).agg(F.min("__rule").alias("__found"))
+
+    catch_all = sheet.where(none_set & all_of([~s for s in seeks.values()])).agg(F.min("__rule").alias("rule")).scalar()
+    hit = F.when(complete, F.least(F.col("__found"), catch_all))
     return (
-        df.withColumn("__rules", rule_list(rules, rule_columns, number))
-        .withColumn("__hit", hit)
+        df.join(found, list(fields), "left").withColumn("__hit", hit)
         .withColumns({number: F.col("__hit.number"), **{c: F.col(f"__hit.{c}") for c in take}})
-        .drop("__rules", "__hit")
+        .select(*df.columns, *[c for c in (number, *take) if c not in df.columns])
     )

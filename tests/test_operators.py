@@ -132,10 +132,16 @@ def test_interval_match_equals_between(frame):
         spans.append((i, random.choice("ab"), day(start), day(start + random.randint(-2, 30))))
     spans += [(98, "a", None, day(5)), (99, "b", day(5), None)]
     intervals_df = frame(spans, "iv int, k string, s date, e date")
-    for width in (1, 7, 30):
-        got = intervals.interval_match(points, "d", intervals_df, "s", "e", on=["k"], width=width)
-        expected = points.join(intervals_df, "k").where("d between s and e")
-        assert rows(got, "id", "iv") == rows(expected, "id", "iv")
+    got = intervals.interval_match(points, "d", intervals_df, "s", "e", on=["k"])
+    expected = points.join(intervals_df, "k").where("d between s and e")
+    assert rows(got, "id", "iv") == rows(expected, "id", "iv")
+
+
+def test_interval_without_end_in_sight(frame):
+    points = frame([(1, dt.date(1969, 12, 31)), (2, dt.date(2015, 1, 1)), (3, dt.date(9999, 12, 31))], "id int, d date")
+    spans = frame([(1, dt.date(2015, 1, 1), dt.date(9999, 12, 31)), (2, dt.date(1, 1, 1), dt.date(1969, 12, 31))], "iv int, s date, e date")
+    assert rows(intervals.interval_match(points, "d", spans, "s", "e"), "id", "iv") == [(1, 2), (2, 1), (3, 1)]
+    assert intervals.interval_match(points, "d", spans.limit(0), "s", "e").count() == 0
 
 
 def test_interval_days_include_both_ends(frame):
@@ -158,17 +164,35 @@ def test_first_rule_wins_numerically_and_null_fields_match_nothing(frame):
         ("other", "x", "rest", 20)]
 
 
-def test_too_many_rules_stop_the_query(frame, monkeypatch):
-    monkeypatch.setattr(rules, "MAX_RULES", 1)
-    sheet = frame([(1, "x", "x", "x", "x", "a"), (2, "x", "x", "x", "x", "b")], RULE_SCHEMA)
-    df = frame([("s", "m")], "source string, medium string")
-    out = rules.match_rules(df, sheet, {"source": ("es", "ls"), "medium": ("em", "lm")}, ["level"])
-    try:
-        out.collect()
-    except Exception as error:  # noqa: BLE001
-        assert "more than 1 channel rules" in str(error)
-    else:
-        raise AssertionError("expected an error")
+def test_rules_equal_a_scan_of_the_sheet(frame):
+    """Random rules and texts against testing every rule on every text; any number of rules is allowed."""
+    random.seed(6)
+    word = lambda: random.choice(["goo", "Google", "cpc", "x", "x", "x", "mail", "e", "", "facebook", None])
+    sheet = [(i, word(), random.choice(["x", "x", word()]), word(), random.choice(["x", "x", word()]), f"l{i}") for i in random.sample(range(900), 300)]
+    texts = [(random.choice(["google", "GOOGLE ads", "facebook", "mail", "", "e", None]), random.choice(["cpc", "email", "", "x", None])) for _ in range(60)]
+    fields = {"source": ("es", "ls"), "medium": ("em", "lm")}
+    low = lambda v: (v or "").lower()
+
+    def plain(text):
+        for rule in sorted(sheet):
+            tests = [(low(e) in ("x", low(t))) and (low(k) == "x" or low(k) != "" and low(k) in low(t))
+                     for t, e, k in zip(text, rule[1:4:2], rule[2:5:2])]
+            if None not in text and all(tests):
+                return (*text, rule[0], rule[5])
+        return (*text, None, None)
+
+    df = frame(texts, "source string, medium string")
+    got = rules.match_rules(df, frame(sheet, RULE_SCHEMA), fields, ["level"])
+    assert rows(got, "source", "medium", "rule_no", "level") == sorted(map(plain, texts), key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_twenty_five_thousand_rules(frame):
+    sheet = frame([(i, f"s{i}", "x", "x", "x", f"l{i}") for i in range(25_000)] + [(30_000, "x", "x", "x", "x", "rest")], RULE_SCHEMA)
+    df = frame([("s24999", "m"), ("t", "m")], "source string, medium string")
+    got = rules.match_rules(df, sheet, {"source": ("es", "ls"), "medium": ("em", "lm")}, ["level"])
+    assert rows(got, "source", "level") == [("s24999", "l24999"), ("t", "rest")]
+    above = got.where("level is not null").groupBy("level").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in above and "Join Cross" not in above
 
 
 # ---- allocation
