@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.plans import catalogue, margin, orders, users
-from basketry.session import use_utc
+from basketry.session import use_settings
 from basketry.sources import readers, writers
 
 
@@ -20,7 +20,7 @@ class Nightly:
     """Reads raw tables and sheets from `raw`, writes cubes under `out`."""
 
     def __init__(self, spark: SparkSession, raw: str, out: str, sheets: dict[str, DataFrame]):
-        use_utc(spark)
+        use_settings(spark)
         self.spark, self.raw, self.out, self.sheets = spark, raw, out.rstrip("/"), sheets
 
     def table(self, name: str) -> DataFrame:

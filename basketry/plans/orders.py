@@ -215,22 +215,23 @@ def ftb_report_orders(treated: DataFrame, lifetime_vip: DataFrame, first_buyers:
 
 # ---------------------------------------------------------------- administrative facts
 
-def orders_admin(orders: DataFrame, users: DataFrame, status_names: DataFrame, utms: DataFrame) -> DataFrame:
-    """Order with status names, e-mail and UTM text."""
+def orders_admin(orders: DataFrame, users: DataFrame | None, status_names: DataFrame, utms: DataFrame) -> DataFrame:
+    """Order with status names, e-mail and UTM text. Without `users` there is no e-mail, and no shuffle by user."""
 
     def names(kind: str) -> DataFrame:
         return status_names.where(F.col("status_type") == kind)
 
-    people = users.select(F.col("id").alias("user_id"), "email")
     named = lookup(orders, names("status"), "status", {"erp_status": ("status_name", None)}, table_key="status_id")
     named = lookup(
         named, names("payment_status"), "payment_status", {"payment_status_name": ("status_name", None)},
         table_key="status_id",
     )
-    joined = natural_left(natural_left(named, people, "user_id"), utm_text(utms), "utm_id")
+    joined = natural_left(named, utm_text(utms), "utm_id")
+    if users is not None:
+        joined = natural_left(joined, users.select(F.col("id").alias("user_id"), "email"), "user_id")
     return joined.select(
         F.col("id").alias("order_id"), F.col("masked_id").alias("public_id"), "created_at",
-        F.col("user_id").alias("customer_id"), "email", "erp_status", "payment_status_name",
+        F.col("user_id").alias("customer_id"), *(["email"] if users is not None else []), "erp_status", "payment_status_name",
         F.col("cached_final_value").alias("order_value"), F.col("cached_total_value").alias("items_value"),
         F.col("shipping_price").alias("shipping_value"), *[f"utm_{c}" for c in UTM_TEXT], "installments",
         F.col("state").alias("order_state"), "credit_card_operator", "payment_method",

@@ -28,9 +28,14 @@ def build_session(app: str = "basketry", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Dates are cut in UTC after an explicit zone conversion, so the session zone has to be UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def use_settings(spark: SparkSession) -> None:
+    """Apply the settings to a session that was made elsewhere.
+
+    Dates are cut in UTC after an explicit zone conversion, so the session zone has to be UTC, and hot keys are only
+    split under these settings.
+    """
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
 
 
 def shared_folder(spark: SparkSession) -> str:

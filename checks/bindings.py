@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.session import use_utc
+from basketry.session import use_settings
 
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels",
@@ -156,14 +156,14 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             FROM {d.given('part')}""",
         "shop_brands": f"""SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS id, p_brand AS name,
             concat('brand-', substr(p_brand, 7)) AS slug FROM {d.given('part')}""",
-        "shop_tags": "SELECT DISTINCT id, type, label FROM (" + d.rows(["id", "type", "label"], [
+        "shop_tags": "SELECT DISTINCT CASE WHEN type <> 'size' OR id <= 245 THEN id ELSE -id END AS id, type, label FROM (" + d.rows(["id", "type", "label"], [
             ("100 + p_partkey % 4", "'age'", f"concat('Age ', {s('p_partkey % 4')})"),
             ("200 + p_size", "'size'", f"concat('Size ', {s('p_size')})"),
             ("300 + p_partkey % 3", "'vertical'", f"concat('Segment ', {s('p_partkey % 3')})"),
             ("400 + p_partkey % 3", "'gender'", "CASE p_partkey % 3 WHEN 0 THEN 'Feminino' WHEN 1 THEN 'Masculino' END"),
             ("500 + p_partkey % 7", "'subcategory'", f"concat('sub grupo ', {s('p_partkey % 7')})"),
             ("600 + p_size % 5", "'category'", f"concat('Category ', {s('p_size % 5')})"),
-        ], d.given("part")) + ") AS t WHERE type <> 'size' OR id <= 245",
+        ], d.given("part")) + ") AS t",
         "shop_categories": f"""SELECT DISTINCT CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'SMALL' THEN 2
             WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4 WHEN 'STANDARD' THEN 5 ELSE 6 END AS id, p_type AS name
             FROM {d.given('part')}""",
@@ -180,9 +180,10 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             FROM {d.given('customer')}""",
         "shop_addresses": f"""SELECT c_custkey * 2 AS id, c_custkey AS user_id,
                 concat('City', {s('c_nationkey')}) AS city, 'SP' AS state FROM {d.given('customer')}
-            UNION ALL SELECT c_custkey * 2 + 1, c_custkey, concat('Town', {s('c_nationkey')}),
+            UNION ALL SELECT CASE WHEN c_acctbal > 1000 THEN 1 ELSE -1 END * (c_custkey * 2 + 1),
+                CASE WHEN c_acctbal > 1000 THEN 1 ELSE -1 END * c_custkey, concat('Town', {s('c_nationkey')}),
                 CASE c_nationkey % 5 WHEN 0 THEN ' sp' WHEN 1 THEN 'RJ ' WHEN 2 THEN 'mg' WHEN 3 THEN 'ZZ' END
-                FROM {d.given('customer')} WHERE c_acctbal > 1000""",
+                FROM {d.given('customer')}""",
         "shop_app_sessions": f"""SELECT user_id, {d.ts('ts')} AS created_at,
             {d.plus_hours(d.ts('ts'), 'event_id % 50')} AS most_recent_access FROM {d.given('events')}""",
         "shop_utms": f"""SELECT doc_id AS id,
@@ -203,11 +204,11 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             FROM {d.given('orders')}""",
         "shop_transition_logs": f"""SELECT {k} * 2 AS id, 'captured' AS from_state,
                 CASE WHEN {k} % 8 = 1 THEN 'risk_analysis' ELSE 'shipping_successful' END AS to_state,
-                {k} AS order_id, {d.plus_hours(created, f'24 * (1 + {k} % 4)')} AS created_at
-                FROM {d.given('orders')} WHERE o_orderstatus <> 'P'
+                CASE WHEN o_orderstatus <> 'P' THEN {k} ELSE -{k} END AS order_id,
+                {d.plus_hours(created, f'24 * (1 + {k} % 4)')} AS created_at FROM {d.given('orders')}
             UNION ALL SELECT {k} * 2 + 1, 'shipping_successful', CASE WHEN {k} % 10 = 0 THEN 'shipping_successful'
-                ELSE 'delivered' END, {k}, {d.plus_hours(created, f'24 * (6 + {k} % 4)')}
-                FROM {d.given('orders')} WHERE o_orderstatus = 'F'""",
+                ELSE 'delivered' END, CASE WHEN o_orderstatus = 'F' THEN {k} ELSE -{k} END,
+                {d.plus_hours(created, f'24 * (6 + {k} % 4)')} FROM {d.given('orders')}""",
         "shop_survey": f"""SELECT {event} AS response_id, concat('user', {s('user_id')}, '@mail.example') AS email,
             {d.plus_hours(d.ts('ts'), f'24 * CASE WHEN {event} % 5 = 0 THEN -3285 ELSE 0 END')} AS answered_at,
             CASE WHEN {event} % 31 = 0 THEN NULL ELSE CAST({event} % 13 - 1 AS INT) END AS score,
@@ -226,32 +227,32 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             CASE WHEN event_type = 'error' THEN NULL ELSE concat('web-', event_type) END AS source,
             'organic' AS medium, concat('k', {s(d.json_k('props'))}) AS campaign, user_id AS customer_id,
             {event} AS event_id FROM {d.given('events')}""",
-        "shop_web_transactions": f"""SELECT concat('M', {s(k)}) AS public_id,
+        "shop_web_transactions": f"""SELECT concat(CASE WHEN o_orderpriority < '4' THEN 'M' ELSE 'none' END, {s(k)}) AS public_id,
                 CAST({d.plus_hours(created, f'24 * CASE WHEN {k} % 10 = 4 THEN 2 ELSE 0 END')} AS DATE) AS date,
                 CASE {k} % 6 WHEN 0 THEN 'google' WHEN 2 THEN 'EMKT-diario' ELSE 'partner.site' END AS source,
                 CASE WHEN {k} % 3 = 0 THEN 'cpc' WHEN {k} % 3 = 1 THEN 'email' END AS medium,
                 concat('Camp-', {s(f'{k} % 9')}) AS campaign, {money('o_totalprice')} AS revenue
-                FROM {d.given('orders')} WHERE o_orderpriority < '4'
-            UNION ALL SELECT concat('M', {s(k)}), CAST({created} AS DATE), 'zz-second', 'zz', 'zz', {money('0')}
-                FROM {d.given('orders')} WHERE o_orderpriority < '2'""",
-        "shop_unsubscribes": f"""SELECT concat('user', {s('user_id')}, '@mail.example') AS email
-            FROM {d.given('events')} WHERE event_type = 'error' AND value < 1.5""",
-        "shop_opens": f"""SELECT concat('user', {s('user_id')}, '@mail.example') AS email, CAST(ts AS DATE) AS opened_on
-                FROM {d.given('events')} WHERE event_type = 'click' AND value > 15
-            UNION ALL SELECT concat('user', {s('user_id')}, '@mail.example'), NULL
-                FROM {d.given('events')} WHERE event_type = 'signup' AND value > 20""",
+                FROM {d.given('orders')}
+            UNION ALL SELECT concat(CASE WHEN o_orderpriority < '2' THEN 'M' ELSE 'none' END, {s(k)}), CAST({created} AS DATE),
+                'zz-second', 'zz', 'zz', {money('0')} FROM {d.given('orders')}""",
+        "shop_unsubscribes": f"""SELECT concat(CASE WHEN event_type = 'error' AND value < 1.5 THEN 'user' ELSE 'none' END,
+            {s('user_id')}, '@mail.example') AS email FROM {d.given('events')}""",
+        "shop_opens": f"""SELECT concat(CASE WHEN event_type = 'click' AND value > 15 THEN 'user' ELSE 'none' END,
+                {s('user_id')}, '@mail.example') AS email, CAST(ts AS DATE) AS opened_on FROM {d.given('events')}
+            UNION ALL SELECT concat(CASE WHEN event_type = 'signup' AND value > 20 THEN 'user' ELSE 'none' END,
+                {s('user_id')}, '@mail.example'), NULL FROM {d.given('events')}""",
         "shop_sends": f"""SELECT CASE WHEN {event} % 7 = 0 THEN 'winback' ELSE concat(CASE WHEN {event} % 2 = 0
                 THEN '20240105' ELSE '20240112' END, '_', event_type) END AS email_name, {d.ts('ts')} AS send_started,
             CAST(10 + {event} % 5 AS INT) AS sends, CAST(9 + {event} % 4 AS INT) AS deliveries,
             CAST({event} % 6 AS INT) AS opens, CAST({event} % 3 AS INT) AS clicks,
             CAST({d.div(f'{event} % 40', '39')} AS INT) AS unsubscribes FROM {d.given('events')}""",
         "shop_visits": f"""SELECT CAST(ts AS DATE) AS date, CASE WHEN {event} % 7 = 0 THEN 'winback'
-                ELSE concat(CASE WHEN {event} % 2 = 0 THEN '20240105' ELSE '20240112' END, '_', event_type) END AS source,
-            CAST(1 + {event} % 3 AS INT) AS visits FROM {d.given('events')} WHERE event_type <> 'signup'""",
+                ELSE concat(CASE WHEN {event} % 2 = 0 THEN '20240105' ELSE '20240112' END, CASE event_type WHEN 'signup' THEN '_none_' ELSE '_' END, event_type) END AS source,
+            CAST(1 + {event} % 3 AS INT) AS visits FROM {d.given('events')}""",
         "shop_mail_transactions": f"""SELECT CAST(ts AS DATE) AS date, CASE WHEN {event} % 7 = 0 THEN 'winback'
-                ELSE concat(CASE WHEN {event} % 2 = 0 THEN '20240105' ELSE '20240112' END, '_', event_type) END AS source,
+                ELSE concat(CASE WHEN {event} % 2 = 0 THEN '20240105' ELSE '20240112' END, CASE event_type WHEN 'purchase' THEN '_' ELSE '_none_' END, event_type) END AS source,
             concat('T', {s(d.div(event, '2'))}) AS transaction_id, {money('value')} AS revenue
-            FROM {d.given('events')} WHERE event_type = 'purchase'""",
+            FROM {d.given('events')}""",
         "shop_invoice_lines": f"""SELECT concat(CASE WHEN {k} % 20 = 0 THEN 'DI' ELSE '01' END, {s(k)}) AS order_number,
             concat('NF', {s(k)}) AS invoice_number, '1' AS series,
             concat(lpad({s('day(o_orderdate)')}, 2, '0'), '/', lpad({s('month(o_orderdate)')}, 2, '0'), '/',
@@ -260,21 +261,23 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             {s(money(f'o_totalprice + {k} % 30'))} AS invoice_value,
             concat('user', {s('o_custkey')}, '@mail.example') AS email,
             concat(CASE WHEN {k} % 15 = 0 THEN '123' ELSE '000' END, lpad({s('o_custkey')}, 11, '0')) AS tax_id
-            FROM {d.given('orders')} WHERE o_orderstatus <> 'P'""",
-        "shop_erp_invoices": f"""SELECT concat('M', {s(k)}) AS public_id, 'main' AS unit, concat('A', {s(k)}) AS erp_order_id,
-                {k} AS invoice_id, {s(k)} AS invoice_number FROM {d.given('orders')} WHERE o_orderstatus <> 'O'
-            UNION ALL SELECT concat('M', {s(k)}), 'main', concat('B', {s(k)}), {k} + 900000000000, {s(f'{k} + 7')}
-                FROM {d.given('orders')} WHERE o_orderpriority = '1-URGENT'""",
+            FROM {d.given('orders')}""",
+        "shop_erp_invoices": f"""SELECT concat(CASE WHEN o_orderstatus <> 'O' THEN 'M' ELSE 'none' END, {s(k)}) AS public_id, 'main' AS unit, concat('A', {s(k)}) AS erp_order_id,
+                {k} AS invoice_id, {s(k)} AS invoice_number FROM {d.given('orders')}
+            UNION ALL SELECT concat(CASE o_orderpriority WHEN '1-URGENT' THEN 'M' ELSE 'none' END, {s(k)}), 'main',
+                concat('B', {s(k)}), {k} + 900000000000, {s(f'{k} + 7')} FROM {d.given('orders')}""",
         "shop_carrier": f"""SELECT CAST(2 - {d.div(f'{k} % 10', '9')} AS INT) AS series,
-            concat({s(k)}, ',00') AS invoice_number, {money(f'{k} % 40 + 0.75')} AS freight
-            FROM {d.given('orders')} WHERE o_orderpriority <> '3-MEDIUM'""",
-        "shop_erp_products": f"""SELECT concat('P', {s('p_partkey')}) AS variant_code, {s('p_partkey + 5000')} AS erp_product_id
-            FROM {d.given('part')} WHERE p_type <> 'PROMO'""",
-        "shop_erp_stock": f"""SELECT DISTINCT {month} AS month, {s('l_partkey + 5000')} AS erp_product_id, unit,
+            concat(CASE o_orderpriority WHEN '3-MEDIUM' THEN 'none' ELSE '' END, {s(k)}, ',00') AS invoice_number,
+            {money(f'{k} % 40 + 0.75')} AS freight FROM {d.given('orders')}""",
+        "shop_erp_products": f"""SELECT concat(CASE p_type WHEN 'PROMO' THEN 'none' ELSE 'P' END, {s('p_partkey')}) AS variant_code,
+            {s('p_partkey + 5000')} AS erp_product_id FROM {d.given('part')}""",
+        "shop_erp_stock": f"""SELECT DISTINCT {month} AS month,
+            concat(CASE l_returnflag WHEN 'A' THEN 'none' ELSE '' END, {s('l_partkey + 5000')}) AS erp_product_id, unit,
             {money(f"10 + l_partkey % 50 + month({month}) * 0.5 + CASE unit WHEN 'main' THEN 0 ELSE 3 END")} AS unit_cost
-            FROM {UNITS}, {d.given('lineitem')} JOIN {d.given('orders')} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'A'""",
-        "shop_cost_history": f"""SELECT {k} AS order_id, {month} AS month, {money(f'{k} % 100 + 0.125')} AS product_cost
-            FROM {d.given('orders')} WHERE o_orderdate < {d.ts("'2001-05-01 00:00:00'")} AND o_orderstatus <> 'P'""",
+            FROM {UNITS}, {d.given('lineitem')} JOIN {d.given('orders')} ON l_orderkey = o_orderkey""",
+        "shop_cost_history": f"""SELECT CASE WHEN o_orderdate < {d.ts("'2001-05-01 00:00:00'")} AND o_orderstatus <> 'P' THEN {k} ELSE -{k} END
+            AS order_id, {month} AS month, {money(f'{k} % 100 + 0.125')} AS product_cost
+            FROM {d.given('orders')}""",
         "shop_shipping_factors": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.8 ELSE 0.3 END + {m} % 5 * 0.1")} AS factor
             FROM {months}, {UNITS} WHERE month(month) <> 4""",
         "shop_tax_rates": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.1 ELSE 0.05 END + {m} % 3 * 0.01")} AS revenue_rate,
@@ -283,8 +286,8 @@ def shop_tables(d: SparkText) -> dict[str, str]:
         "shop_payment_fees": "SELECT month, " + rate("1.5") + " AS boleto, CASE WHEN " + m
             + " % 5 = 0 THEN NULL ELSE " + rate("2.25") + " END AS debit, "
             + ", ".join(f"{rate(f'{i} * 0.1 + {m} % 3')} AS fee_{i}" for i in range(1, 13)) + f" FROM {months}",
-        "shop_fraud_by_order": f"""SELECT concat('M', {s(k)}) AS public_id, {money(f'{k} % 6 + 0.2')} AS fee
-            FROM {d.given('orders')} WHERE o_orderpriority = '1-URGENT'""",
+        "shop_fraud_by_order": f"""SELECT concat(CASE o_orderpriority WHEN '1-URGENT' THEN 'M' ELSE 'none' END, {s(k)}) AS public_id,
+            {money(f'{k} % 6 + 0.2')} AS fee FROM {d.given('orders')}""",
         "shop_fraud_by_month": f"SELECT month, {money(f'{m} % 4 + 0.3')} AS fee FROM {months} WHERE month(month) <> 6",
         "shop_gateway_by_month": f"SELECT month, {money(f'{m} % 2 + 0.15')} AS fee FROM {months} WHERE month(month) <> 8",
         "shop_packaging_by_month": f"SELECT month, {money(f'1000 + {m} % 12 * 10')} AS cost FROM {months}",
@@ -310,27 +313,27 @@ def shop_tables(d: SparkText) -> dict[str, str]:
             CASE WHEN c_nationkey % 2 = 0 THEN 'Paid Search' ELSE 'E-mail' END AS channel,
             CASE WHEN c_nationkey % 2 = 0 THEN {rate('0.65')} ELSE {rate('0.35')} END AS percent
             FROM {d.given('customer')}
-            UNION ALL SELECT DISTINCT c_mktsegment, 'second', 'Acquisition', 'paid', NULL, {rate('1')}
-            FROM {d.given('customer')} WHERE c_mktsegment <> 'MACHINERY'""",
-        "shop_lifetime_vip": f"""SELECT c_custkey AS user_id, CAST({d.plus_hours(T0, '24 * ((c_custkey * 11) % 2300)')}
-            AS DATE) AS vip_since FROM {d.given('customer')} WHERE c_mktsegment = 'BUILDING'""",
-        "shop_category_table": f"""SELECT p_partkey AS id, concat('Final ', p_type) AS final_category
-            FROM {d.given('part')} WHERE p_type <> 'SMALL'""",
-        "shop_campaign_reference": f"""SELECT concat('brand ', {s('1 + s_suppkey % 25')}, ' week') AS treated_slug,
-            concat(' brand-', {s('1 + s_suppkey % 25')}, '-week--', {s('s_suppkey')}, ' ') AS slug,
+            UNION ALL SELECT DISTINCT CASE c_mktsegment WHEN 'MACHINERY' THEN 'none' ELSE c_mktsegment END, 'second', 'Acquisition',
+            'paid', NULL, {rate('1')} FROM {d.given('customer')}""",
+        "shop_lifetime_vip": f"""SELECT CASE c_mktsegment WHEN 'BUILDING' THEN c_custkey ELSE -c_custkey END AS user_id, CAST({d.plus_hours(T0, '24 * ((c_custkey * 11) % 2300)')}
+            AS DATE) AS vip_since FROM {d.given('customer')}""",
+        "shop_category_table": f"""SELECT CASE p_type WHEN 'SMALL' THEN -p_partkey ELSE p_partkey END AS id,
+            concat('Final ', p_type) AS final_category FROM {d.given('part')}""",
+        "shop_campaign_reference": f"""SELECT concat(CASE WHEN s_acctbal > 500 THEN '' ELSE 'none ' END, 'brand ', {s('1 + s_suppkey % 25')}, ' week') AS treated_slug,
+            concat(CASE WHEN s_acctbal > 500 THEN '' ELSE 'none' END, ' brand-', {s('1 + s_suppkey % 25')}, '-week--', {s('s_suppkey')}, ' ') AS slug,
             CASE WHEN s_suppkey % 25 = 3 THEN 'NA' ELSE concat('Brand#', {s('1 + s_suppkey % 25')}) END AS brand,
             CASE s_suppkey % 4 WHEN 0 THEN 'Moda ' WHEN 1 THEN 'Casa' WHEN 2 THEN 'Kids' END AS brand_kind,
             CASE s_suppkey % 5 WHEN 0 THEN 'especial' WHEN 1 THEN 'normal' WHEN 2 THEN 'conceito' ELSE 'single' END
                 AS campaign_kind,
             CASE s_suppkey % 2 WHEN 0 THEN 'Feminino' ELSE 'Unissex' END AS gender,
             CASE WHEN s_suppkey % 6 = 0 THEN 'x' END AS exported, s_suppkey AS row_no
-            FROM {d.given('supplier')} WHERE s_acctbal > 500""",
-        "shop_skip_list": f"""SELECT DISTINCT concat('Brand#', {s('1 + s_suppkey % 25')}, ' Especial - Jan-95') AS label
-            FROM {d.given('supplier')} WHERE s_acctbal < 3000""",
+            FROM {d.given('supplier')}""",
+        "shop_skip_list": f"""SELECT DISTINCT concat(CASE WHEN s_acctbal < 3000 THEN '' ELSE 'none ' END, 'Brand#', {s('1 + s_suppkey % 25')}, ' Especial - Jan-95') AS label
+            FROM {d.given('supplier')}""",
         "shop_size_list": f"""SELECT DISTINCT CASE WHEN p_size < 9 THEN 'p' WHEN p_size < 17 THEN 'm'
-            WHEN p_size < 25 THEN 'g' ELSE 'gg' END AS size,
-            CASE WHEN p_size < 9 THEN 1 WHEN p_size < 17 THEN 2 WHEN p_size < 25 THEN 3 ELSE 4 END AS row_no
-            FROM {d.given('part')} WHERE p_size < 33""",
+            WHEN p_size < 25 THEN 'g' WHEN p_size < 33 THEN 'gg' ELSE 'none' END AS size,
+            CASE WHEN p_size < 9 THEN 1 WHEN p_size < 17 THEN 2 WHEN p_size < 25 THEN 3 WHEN p_size < 33 THEN 4 ELSE 5 END AS row_no
+            FROM {d.given('part')}""",
     }
     return tables
 
@@ -427,7 +430,7 @@ class Shop:
     """The shop tables of one test folder, as attributes: `Shop(spark, folder).orders`."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        use_utc(spark)
+        use_settings(spark)
         self._spark, self._folder, self._views, self._frames = spark, folder, set(), {}
 
     def __getattr__(self, name: str) -> DataFrame:

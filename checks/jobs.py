@@ -174,7 +174,8 @@ class Jobs:
     @job
     def orders_base(self):
         unit = F.when(F.col("order_id") % 3 == 0, "second").otherwise("main")
-        return ords.orders_base(self.orders_admin, REDUCTION, unit)
+        orders = ords.orders_admin(self.shop.orders, None, self.shop.status_names, self.shop.utms)
+        return ords.orders_base(orders, REDUCTION, unit)
 
     @job
     def order_cardinal(self):
