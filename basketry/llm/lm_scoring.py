@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ KEPT = 3
 #: Tables of up to this many customers are drawn from their exact conditional, those of more in strides.
 EXACT = 24
 FLUSH = 500_000
-PAIR = np.dtype([("u", "<i2"), ("c", "<i4")])
+PAIR = np.dtype([("u", "<i2"), ("c", "<i8")])
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
 
@@ -53,6 +54,26 @@ def tokens(text: str | None) -> tuple[list[str], list[int]]:
     return words, contexts
 
 
+def _packed(pairs: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary column whose rows hold `sizes` pairs each."""
+    offsets = np.concatenate([[0], np.cumsum(sizes * PAIR.itemsize)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(pairs.tobytes())])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of pairs per row, and all pairs."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    pairs = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(PAIR) if data is not None else np.empty(0, PAIR)
+    return np.diff(offsets) // PAIR.itemsize, pairs
+
+
+def _listed_counts(words: pa.Array, pairs: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(pairs[name]), kind)) for name, kind in (("u", pa.int16()), ("c", pa.int64()))]
+    return pa.RecordBatch.from_arrays([words, *lists], names=["word", "contexts", "counts"])
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, contexts, counts) over all texts of (text, learn); words that only stand elsewhere than in training rows have empty arrays."""
 
@@ -61,13 +82,17 @@ def count_words(docs: DataFrame) -> DataFrame:
         seen: set[str] = set()
 
         def flush() -> pa.RecordBatch:
-            per_word: dict[str, list] = {word: [] for word in seen}
-            for (word, context), count in counts.items():
-                per_word.setdefault(word, []).append((context, count))
+            number: dict[str, int] = {}
+            at = np.fromiter((number.setdefault(word, len(number)) for word, _ in counts), np.int64, len(counts))
+            pairs = np.empty(len(counts), PAIR)
+            pairs["u"] = np.fromiter((context for _, context in counts), np.int16, len(counts))
+            pairs["c"] = np.fromiter(counts.values(), np.int64, len(counts))
+            for word in seen:
+                number.setdefault(word, len(number))
+            packed = _packed(pairs[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(number)))
             counts.clear()
             seen.clear()
-            packed = [np.array(pairs, PAIR).tobytes() for pairs in per_word.values()]
-            return pa.RecordBatch.from_arrays([pa.array(list(per_word), pa.string()), pa.array(packed, pa.binary())], names=["word", "packed"])
+            return pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), packed], names=["word", "packed"])
 
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
@@ -83,36 +108,26 @@ def count_words(docs: DataFrame) -> DataFrame:
         yield flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: tuple[list, list, list] = ([], [], [])
-        word, held = None, {}
-
-        def close() -> None:
-            if word is not None:
-                out[0].append(word)
-                out[1].append(list(held))
-                out[2].append(list(held.values()))
-
-        def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([
-                pa.array(out[0], pa.string()), pa.array(out[1], pa.list_(pa.int16())), pa.array(out[2], pa.list_(pa.int64()))],
-                names=["word", "contexts", "counts"])
-            for column in out:
-                column.clear()
-            return made
-
+        """Sums runs of equal words; the last word of a batch is held back, as it may go on in the next one."""
+        held_word, held = None, np.empty(0, PAIR)
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                for new, packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if new != word:
-                        close()
-                        word, held = new, {}
-                    for context, count in np.frombuffer(packed, PAIR).tolist():
-                        held[context] = held.get(context, 0) + count
-                if len(out[0]) > 8192:
-                    yield flush()
-        close()
-        yield flush()
+            if not batch.num_rows:
+                continue
+            words, sizes, pairs = batch.column(0), *_unpacked(batch.column(1))
+            if held_word is not None:
+                words = pa.concat_arrays([pa.array([held_word], pa.string()), words])
+                sizes, pairs = np.concatenate([[len(held)], sizes]), np.concatenate([held, pairs])
+            new = np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)])
+            group = np.repeat(np.cumsum(new) - 1, sizes)
+            keys, where = np.unique(group * CONTEXTS + pairs["u"], return_inverse=True)
+            merged = np.empty(len(keys), PAIR)
+            merged["u"], merged["c"] = keys % CONTEXTS, np.bincount(where, pairs["c"], len(keys))
+            per_word = np.bincount(keys // CONTEXTS, minlength=int(new.sum()))
+            distinct = words.filter(pa.array(new))
+            held_word, held = distinct[-1].as_py(), merged[len(merged) - per_word[-1]:]
+            yield _listed_counts(distinct[:-1], merged[:len(merged) - per_word[-1]], per_word[:-1])
+        if held_word is not None:
+            yield _listed_counts(pa.array([held_word], pa.string()), held, np.array([len(held)]))
 
     partial = docs.select(F.col("text").cast("string"), "learn").mapInArrow(tally, "word string, packed binary")
     # A word has one row per task at most times the flushes of it, and they are read as a stream: no word is too frequent.
@@ -320,20 +335,25 @@ def score(docs: DataFrame, model: DataFrame, totals: Totals, train_tokens: int,
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
-                out: tuple[list, ...] = ([], [], [], [], [])
+                rows, names, places, numbers, owns = out = [], [], [], [], []
                 for row, key, text in zip(*(part.column(i).to_pylist() for i in range(3))):
                     words, contexts = tokens(text)
-                    at = np.fromiter((number(word, -1) for word in words), np.int64, len(words))
-                    where = column_[np.fromiter(contexts, np.int64, len(words))]
+                    at = np.fromiter([number(word, -1) for word in words], np.int64, len(words))
+                    where = column_[np.array(contexts)]
+                    rare = Counter([(words[i], contexts[i]) for i in np.flatnonzero(at < 0).tolist()])
                     hot = at >= 0
-                    rare = Counter((words[i], contexts[i]) for i in np.flatnonzero(~hot).tolist())
                     at, where = at[hot], where[hot]
-                    own = {"doc_id": key, "n_tokens": len(words), "n_known": int(known_[at].sum()),
-                           "base_score": float(base_[at].sum()), "score": float(matrix_[at, where].sum(dtype=np.float64))}
                     # A word has no space, so this key of the document's own row meets no word.
-                    for values in ((row, f" {row}", None, None, own), *((row, word, context, n, None) for (word, context), n in rare.items())):
-                        for column, value in zip(out, values):
-                            column.append(value)
+                    rows += [row] * (len(rare) + 1)
+                    names.append(f" {row}")
+                    places.append(None)
+                    numbers.append(None)
+                    owns.append({"doc_id": key, "n_tokens": len(words), "n_known": int(known_[at].sum()),
+                                 "base_score": float(base_[at].sum()), "score": float(matrix_[at, where].sum(dtype=np.float64))})
+                    names += [word for word, _ in rare]
+                    places += [context for _, context in rare]
+                    numbers += rare.values()
+                    owns += [None] * len(rare)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, ROW_KINDS)], names=ROW_NAMES)
 
     picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
