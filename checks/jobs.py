@@ -588,6 +588,17 @@ STAGES: dict[str, tuple[str, ...]] = {
     "campaign_items": ("campaign_catalogue",),
     "campaign_day": ("campaign_catalogue",),
     "campaign_orders": ("campaign_catalogue",),
+    "order_cardinal": ("orders_base",),
+    "months_since_first": ("orders_base", "order_cardinal"),
+    "days_since_previous_order": ("orders_base", "order_cardinal"),
+    "orders_cardinal_export": ("orders_base", "order_cardinal"),
+    "conversion_estimate": ("orders_base",),
+    "frozen_order_cost": ("orders_base",),
+    "new_cost_history": ("orders_base", "frozen_order_cost"),
+    "taxes": ("orders_base",),
+    "packaging_share": ("orders_base",),
+    "fulfilment_share": ("orders_base",),
+    "ltv_summary": ("orders_base", "order_cardinal", "customer_milestones"),
     "ltv_curve": ("orders_base", "order_cardinal", "customer_milestones"),
     "rfm_export": ("orders_base", "channel_customers"),
     "churn_snapshot_stored": ("churn_customers",),
