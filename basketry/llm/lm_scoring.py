@@ -1,145 +1,84 @@
 """Language-model scoring by a hierarchical Pitman-Yor process.
 
-A word is drawn in the restaurant of its context: the last character of the word before it, folded to a byte (CONTEXTS restaurants).
+A word is drawn in the restaurant of its context: the whole word before it (END before the first one), so there are as many restaurants as words.
 All of them share one parent, the restaurant of words without context, whose base measure is even over the training words
 and one more, which stands for any unknown word. Customers of a context restaurant are the training tokens; each table
-of it sends one customer to the parent. The numbers of tables are sampled by Gibbs: the tables of one word in all its
-restaurants are redrawn given everything else, word by word, with the totals of the restaurants from the pass before. Given
-these totals, words are independent, so a pass is one walk over the dictionary table. Averages over the last
+of it sends one customer to the parent. The numbers of tables are sampled by Gibbs: a sweep redraws the tables of every pair of context and word
+given the totals of its restaurant and the parent's probability of the word, then the parent's tables of every word; the totals follow after each sweep.
+A pair of one customer has one table at any time, so only the other pairs are drawn. Averages over the last
 draws give the predictive probabilities.
 
-Data flow: counts per word are combined in each task, then merged by word in a sorted stream. The HOT most frequent words (a fixed
-number) and the CONTEXTS totals are broadcast and scored where the text is; each document's other words are joined to the
-dictionary table and summed per document. Hot words are thereby never shuffled, and nothing is approximated or left out.
+Data flow: counts per pair are combined in each task, then summed by pair. Totals of contexts and probabilities of words are tables, joined to the pairs
+and summed from them; nothing per word or context comes to the driver. The HOT most frequent pairs (a fixed number) are broadcast and scored where the
+text is; each document's other pairs are joined to the table of pairs and summed per document. Hot pairs are thereby never shuffled, and nothing is
+approximated or left out.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import crc_mod, stage_table, table
 
+#: Ends every text and is the context of its first word.
 END = "\n"
-#: Folded last characters, and the start of a text.
-CONTEXTS = 257
-START = 256
-#: Words scored where the text is; the matrix of their probabilities has at most HOT * CONTEXTS numbers.
+#: Pairs scored where the text is.
 HOT = 1 << 17
 #: Discount and strength of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
-#: Passes that settle the totals; sweeps over a word in a pass; draws of the last pass that are averaged.
-PASSES = 2
+#: Sweeps that settle the tables; draws after them that are averaged.
 SWEEPS = 3
 KEPT = 3
 #: Tables of up to this many customers are drawn from their exact conditional, those of more in strides.
 EXACT = 24
 FLUSH = 500_000
-PAIR = np.dtype([("u", "<i2"), ("c", "<i8")])
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
 
-def tokens(text: str | None) -> tuple[list[str], list[int]]:
+def tokens(text: str | None) -> tuple[list[str], list[str]]:
     """Words and END, and the context of each."""
     words = [word for word in (text or "").translate(LOWER).split(" ") if word]
-    contexts = [START, *[ord(word[-1]) & 255 for word in words]]
-    words.append(END)
-    return words, contexts
+    return [*words, END], [END, *words]
 
 
-def _packed(pairs: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Binary column whose rows hold `sizes` pairs each."""
-    offsets = np.concatenate([[0], np.cumsum(sizes * PAIR.itemsize)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(pairs.tobytes())])
+def pairs(text: str | None) -> list[str]:
+    """Context and word of each token. A word has no space, so the space between them tells them apart."""
+    words, contexts = tokens(text)
+    return [f"{context} {word}" for context, word in zip(contexts, words)]
 
 
-def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of pairs per row, and all pairs."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    pairs = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(PAIR) if data is not None else np.empty(0, PAIR)
-    return np.diff(offsets) // PAIR.itemsize, pairs
-
-
-def _listed_counts(words: pa.Array, pairs: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(pairs[name]), kind)) for name, kind in (("u", pa.int16()), ("c", pa.int64()))]
-    return pa.RecordBatch.from_arrays([words, *lists], names=["word", "contexts", "counts"])
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, contexts, counts) over all texts of (text, learn); words that only stand elsewhere than in training rows have empty arrays."""
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """(context, word, count) over all texts of (text, learn); pairs that only stand elsewhere than in training rows count 0."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        seen: set[str] = set()
 
         def flush() -> pa.RecordBatch:
-            number: dict[str, int] = {}
-            at = np.fromiter((number.setdefault(word, len(number)) for word, _ in counts), np.int64, len(counts))
-            pairs = np.empty(len(counts), PAIR)
-            pairs["u"] = np.fromiter((context for _, context in counts), np.int16, len(counts))
-            pairs["c"] = np.fromiter(counts.values(), np.int64, len(counts))
-            for word in seen:
-                number.setdefault(word, len(number))
-            packed = _packed(pairs[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(number)))
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pair", "count"])
             counts.clear()
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), packed], names=["word", "packed"])
+            return out
 
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 for text, learn in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words, contexts = tokens(text)
-                    if learn:
-                        counts.update(zip(words, contexts))
-                    else:
-                        seen.update(words)
-                if len(counts) + len(seen) > FLUSH:
-                    yield flush()
+                    counts.update(pairs(text) if learn else dict.fromkeys(pairs(text), 0))
+                    if len(counts) > FLUSH:
+                        yield flush()
         yield flush()
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums runs of equal words; the last word of a batch is held back, as it may go on in the next one."""
-        held_word, held = None, np.empty(0, PAIR)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words, sizes, pairs = batch.column(0), *_unpacked(batch.column(1))
-            if held_word is not None:
-                words = pa.concat_arrays([pa.array([held_word], pa.string()), words])
-                sizes, pairs = np.concatenate([[len(held)], sizes]), np.concatenate([held, pairs])
-            new = np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)])
-            group = np.repeat(np.cumsum(new) - 1, sizes)
-            keys, where = np.unique(group * CONTEXTS + pairs["u"], return_inverse=True)
-            merged = np.empty(len(keys), PAIR)
-            merged["u"], merged["c"] = keys % CONTEXTS, np.bincount(where, pairs["c"], len(keys))
-            per_word = np.bincount(keys // CONTEXTS, minlength=int(new.sum()))
-            distinct = words.filter(pa.array(new))
-            held_word, held = distinct[-1].as_py(), merged[len(merged) - per_word[-1]:]
-            yield _listed_counts(distinct[:-1], merged[:len(merged) - per_word[-1]], per_word[:-1])
-        if held_word is not None:
-            yield _listed_counts(pa.array([held_word], pa.string()), held, np.array([len(held)]))
-
-    partial = docs.select(F.col("text").cast("string"), "learn").mapInArrow(tally, "word string, packed binary")
-    # A word has one row per task at most times the flushes of it, and they are read as a stream: no word is too frequent.
-    laid = partial.repartition("word").sortWithinPartitions("word")
-    return laid.mapInArrow(merge, "word string, contexts array<smallint>, counts array<long>")
-
-
-def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column, and the row of each."""
-    column = batch.column(name)
-    sizes = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), sizes)
+    partial = docs.select(F.col("text").cast("string"), "learn").mapInArrow(tally, "pair string, count long")
+    summed = partial.groupBy("pair").agg(F.sum("count").alias("count"))
+    return summed.select(F.substring_index("pair", " ", 1).alias("context"), F.substring_index("pair", " ", -1).alias("word"), "count")
 
 
 def _stirling(discount: float) -> np.ndarray:
@@ -180,204 +119,178 @@ def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, rng
     return tables
 
 
-class Totals:
-    """Totals of all restaurants: customers and tables per context, and customers and tables of the parent."""
+class PerContext(dict):
+    """A number for each context of the training; all others have the one of an empty restaurant."""
 
-    def __init__(self, customers: np.ndarray, tables: np.ndarray, root_tables: float, words: int):
-        self.customers, self.tables, self.root_tables, self.words = customers, tables, root_tables, words
-        self.root_customers = tables.sum()
+    def __missing__(self, _: str) -> float:
+        return STRENGTH
+
+
+@dataclass(frozen=True)
+class Totals:
+    """The seating: tables of restaurants, words and pairs, and the totals of the parent."""
+
+    #: (context, spare, room): weight of the parent in a restaurant, and the sum of all weights.
+    contexts: DataFrame
+    #: (word, count, root): training tokens, and customers less discounted tables in the parent.
+    words: DataFrame
+    #: (context, word, count, fixed): training tokens, and customers less discounted tables.
+    pairs: DataFrame
+    root_customers: float
+    root_tables: float
+    n_words: int
 
     def root_opening(self) -> float:
         """Weight of a new table of a word in the parent."""
-        return (ROOT_STRENGTH + ROOT_DISCOUNT * self.root_tables) / (self.words + 1)
+        return _root_opening(self.root_tables, self.n_words)
 
-    def root(self, fixed: np.ndarray) -> np.ndarray:
+    def root(self, fixed: np.ndarray | Column) -> np.ndarray | Column:
         """Probability without context; `fixed`: customers less discounted tables."""
         return (fixed + self.root_opening()) / (ROOT_STRENGTH + self.root_customers)
 
-    def spare(self) -> np.ndarray:
-        return STRENGTH + DISCOUNT * self.tables
-
-    def room(self) -> np.ndarray:
-        return STRENGTH + self.customers
-
-
-def seat(batch: pa.RecordBatch, totals: Totals, seed: int) -> tuple[np.ndarray, ...]:
-    """contexts, counts, word numbers, and the averages of tables and of the parent's customers and tables of these words."""
-    contexts, owner = _flat(batch, "contexts")
-    counts = _flat(batch, "counts")[0]
-    words = batch.num_rows
-    rng = np.random.default_rng([seed, words, int(counts.sum()), int(contexts.sum())])
-    tables = np.minimum(counts, 1)
-    root_customers = np.bincount(owner, tables, words)
-    root_tables = np.minimum(root_customers, 1)
-    opening = totals.spare()[contexts]
-    sums = [np.zeros(len(counts)), np.zeros(words), np.zeros(words)]
-    for sweep in range(SWEEPS + KEPT):
-        p = totals.root(root_customers - ROOT_DISCOUNT * root_tables)
-        tables = draw_tables(counts, opening * p[owner], DISCOUNT, rng)
-        root_customers = np.bincount(owner, tables, words)
-        root_tables = draw_tables(root_customers.astype(np.int64), np.full(words, totals.root_opening()), ROOT_DISCOUNT, rng)
-        if sweep >= SWEEPS:
-            for total, now in zip(sums, (tables, root_customers, root_tables)):
-                total += now / KEPT
-    return contexts, counts, owner, *sums
-
-
-def _sums(df: DataFrame, tallies) -> dict[tuple[str, int], float]:
-    """Sums by (what, context) of what `tallies` makes of each batch: a few rows for each context."""
+    @cached_property
+    def _listed(self) -> tuple[PerContext, PerContext]:
+        rows = self.contexts.collect()
+        return PerContext({r["context"]: r["spare"] for r in rows}), PerContext({r["context"]: r["room"] for r in rows})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        for batch in batches:
-            total.update(tallies(batch))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([what for what, _ in total], pa.string()), pa.array([context for _, context in total], pa.int32()),
-            pa.array(map(float, total.values()), pa.float64())], names=["what", "context", "n"])
+    def spare(self) -> PerContext:
+        """On the driver, for small models; scoring joins `contexts`."""
+        return self._listed[0]
 
-    rows = df.mapInArrow(run, "what string, context int, n double").groupBy("what", "context").agg(F.sum("n").alias("n")).collect()
-    return {(r["what"], r["context"]): r["n"] for r in rows}
+    def room(self) -> PerContext:
+        return self._listed[1]
 
+    def by_word(self) -> DataFrame:
+        """(word, count, contexts, fixed, root), for small models; scoring joins `pairs`."""
+        trained = F.col("fixed") > 0
+        listed = self.pairs.groupBy("word").agg(*[F.collect_list(F.when(trained, F.col(c))).alias(name) for c, name in (("context", "contexts"), ("fixed", "fixed"))])
+        return self.words.join(listed, "word").select("word", "count", "contexts", "fixed", "root")
 
-def _by_context(sums: dict[tuple[str, int], float], what: str) -> np.ndarray:
-    out = np.zeros(CONTEXTS)
-    for (kind, context), n in sums.items():
-        if kind == what:
-            out[context] = n
-    return out
 
+def _root_opening(root_tables: float, words: int) -> float:
+    return (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (words + 1)
 
-def _listed(what: str, per_context: np.ndarray) -> dict:
-    return {(what, int(context)): float(per_context[context]) for context in np.flatnonzero(per_context)}
 
+def _drawn(df: DataFrame, discount: float, seed: int, keep: bool) -> DataFrame:
+    """`df` with `tables` drawn for `customers` and `opening`, and added to `kept` if they are to be averaged."""
+    names = [c for c in df.columns if c not in ("opening", "kept")]
+    types = dict(df.dtypes)
 
-def _tally_counts(batch: pa.RecordBatch) -> dict:
-    """Customers and words per context, training tokens and words."""
-    contexts, owner = _flat(batch, "contexts")
-    counts = _flat(batch, "counts")[0]
-    words = (np.bincount(owner, counts, batch.num_rows) > 0).sum()
-    return {("words", 0): float(words), ("tokens", 0): float(counts.sum())} | _listed(
-        "customers", np.bincount(contexts, counts, CONTEXTS)) | _listed("tables", np.bincount(contexts, minlength=CONTEXTS))
-
-
-def fit(docs: DataFrame, passes: int = PASSES) -> tuple[DataFrame, Totals, int, int]:
-    """The dictionary (word, count, contexts, fixed, root), the totals, and the numbers of training tokens and words.
-
-    `docs` has text and learn (boolean). `fixed`: per context, customers less discounted tables; `root` the same in the parent.
-    """
-    counted = stage_table(count_words(docs))
-    sums = _sums(counted, _tally_counts)
-    train_tokens, train_words = (int(sums.get((what, 0), 0)) for what in ("tokens", "words"))
-    totals = Totals(_by_context(sums, "customers"), _by_context(sums, "tables"), float(train_words), train_words)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            customers, opening, kept = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("customers", "opening", "kept"))
+            rng = np.random.default_rng([seed, batch.num_rows, int(customers.sum())])
+            tables = draw_tables(customers, opening, discount, rng)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names], pa.array(tables), pa.array(kept + tables if keep else kept)], names=[*names, "tables", "kept"])
 
-    def make_tally(now: Totals, seed: int):
-        def tally(batch: pa.RecordBatch) -> dict:
-            contexts, _, _, tables, _, root_tables = seat(batch, now, seed)
-            return _listed("tables", np.bincount(contexts, tables, CONTEXTS)) | {("root", 0): float(root_tables.sum())}
+    return df.mapInArrow(run, ", ".join([*[f"{c} {types[c]}" for c in names], "tables long, kept long"]))
 
-        return tally
 
-    for step in range(passes):
-        drawn = _sums(counted, make_tally(totals, step))
-        totals = Totals(totals.customers, _by_context(drawn, "tables"), drawn.get(("root", 0), 0.0), train_words)
-    settled = totals
+def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[DataFrame, Totals, int, int]:
+    """The model by word (to read small ones), the totals, and the numbers of training tokens and words.
 
-    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.num_rows
-            contexts, counts, owner, tables, customers, root_tables = seat(batch, settled, passes)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=words))]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("word"), pa.array(np.bincount(owner, counts, words).astype(np.int64)),
-                pa.ListArray.from_arrays(offsets, pa.array(contexts, pa.int16())),
-                pa.ListArray.from_arrays(offsets, pa.array((counts - DISCOUNT * tables).astype(np.float32))),
-                pa.array(customers - ROOT_DISCOUNT * root_tables)],
-                names=["word", "count", "contexts", "fixed", "root"])
-
-    model = stage_table(counted.mapInArrow(last, "word string, count long, contexts array<smallint>, fixed array<float>, root double"))
-
-    def tally_last(batch: pa.RecordBatch) -> dict:
-        per_context = np.bincount(_flat(batch, "contexts")[0], _flat(batch, "fixed")[0], CONTEXTS)
-        return _listed("fixed", per_context) | {("root", 0): float(batch.column("root").to_numpy().sum())}
-
-    drawn = _sums(model.select("contexts", "fixed", "root"), tally_last)
+    `docs` has text and learn (boolean).
+    """
+    edges = stage_table(count_pairs(docs))
+    one, seated = (F.col("count") > 0).cast("long"), (F.col("count") == 1).cast("long")
+
+    def per(key: str) -> DataFrame:
+        """Customers or tokens, pairs, and pairs of one customer."""
+        return stage_table(edges.groupBy(key).agg(F.sum("count").alias("count"), F.sum(one).alias("types"), F.sum(seated).alias("single")))
+
+    contexts, words = per("context"), per("word")
+    row = words.agg(F.sum("count"), F.sum((F.col("count") > 0).cast("long")), F.sum("types")).first()
+    train_tokens, train_words, root_customers = (int(n or 0) for n in row)
+    root_tables = train_words
+    drawn = edges.filter("count > 1").select("context", "word", F.col("count").alias("customers"), F.lit(0).cast("long").alias("kept"))
+    restaurants = contexts.select("context", F.col("types").alias("tables"))
+    roots = words.select("word", F.col("types").alias("customers"), F.least("types", F.lit(1)).cast("long").alias("tables"), F.lit(0).cast("long").alias("kept"))
+
+    def tables_of(base: DataFrame, key: str, what: str) -> DataFrame:
+        """Per key: the base columns and the sum `drawn` of the drawn pairs."""
+        return base.join(drawn.groupBy(key).agg(F.sum(what).alias("drawn")), key, "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)).cast("long"))
+
+    for sweep in range(sweeps + KEPT):
+        keep, opening = sweep >= sweeps, _root_opening(root_tables, train_words)
+        even = (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + opening) / (ROOT_STRENGTH + root_customers)
+        weighed = drawn.select("context", "word", "customers", "kept").join(restaurants, "context").join(roots.select("word", even.alias("p")), "word").select(
+            "context", "word", "customers", "kept", ((STRENGTH + DISCOUNT * F.col("tables")) * F.col("p")).alias("opening"))
+        drawn = stage_table(_drawn(weighed, DISCOUNT, 2 * sweep, keep))
+        restaurants = tables_of(contexts, "context", "tables").select("context", (F.col("single") + F.col("drawn")).alias("tables"))
+        sent = tables_of(words, "word", "tables").select("word", (F.col("single") + F.col("drawn")).alias("customers"), F.lit(opening).alias("opening"))
+        roots = stage_table(_drawn(sent.join(roots.select("word", "kept"), "word"), ROOT_DISCOUNT, 2 * sweep + 1, keep))
+        root_customers, root_tables = (int(n or 0) for n in roots.agg(F.sum("customers"), F.sum("tables")).first())
+
+    tables = F.col("single") + F.col("drawn") / KEPT
+    settled = stage_table(tables_of(contexts, "context", "kept").select(
+        "context", (STRENGTH + DISCOUNT * tables).alias("spare"), (STRENGTH + F.col("count")).alias("room"), tables.alias("tables")))
+    known = stage_table(tables_of(words, "word", "kept").join(roots.select("word", "kept"), "word").select(
+        "word", "count", (tables - ROOT_DISCOUNT * F.col("kept") / KEPT).alias("root"), (F.col("kept") / KEPT).alias("tables")))
     # The totals that belong to these averages, so that the probabilities of a context sum to one.
-    tables = (totals.customers - _by_context(drawn, "fixed")) / DISCOUNT
-    totals = Totals(totals.customers, tables, (tables.sum() - drawn.get(("root", 0), 0.0)) / ROOT_DISCOUNT, train_words)
-    return model, totals, train_tokens, train_words
+    root_customers, root_tables = settled.agg(F.sum("tables")).first()[0] or 0.0, known.agg(F.sum("tables")).first()[0] or 0.0
+    fixed = edges.filter("count <= 1").select("context", "word", "count", (F.col("count") * (1 - DISCOUNT)).alias("fixed")).unionByName(
+        drawn.select("context", "word", F.col("customers").alias("count"), (F.col("customers") - DISCOUNT * F.col("kept") / KEPT).alias("fixed")))
+    totals = Totals(settled, known.drop("tables"), fixed, root_customers, root_tables, train_words)
+    return totals.by_word(), totals, train_tokens, train_words
 
 
 def score(docs: DataFrame, model: DataFrame, totals: Totals, train_tokens: int, train_words: int) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) per row of (doc_id, text): log10 probabilities of the text. Null texts have END only."""
+    """(doc_id, n_tokens, n_known, base_score, score) per row of (doc_id, text), all of which `fit` has read: log10 probabilities of the text.
+
+    Null texts have END only.
+    """
     spark = docs.sparkSession
-    frequent = model.orderBy(F.desc("count"), "word").limit(HOT).toArrow().combine_chunks()
-    frequent = frequent.to_batches()[0] if frequent.num_rows else pa.RecordBatch.from_pylist([], frequent.schema)
-    values, owner = _flat(frequent, "fixed")
-    contexts = _flat(frequent, "contexts")[0]
-    # Contexts without a training token are all alike and share the last column.
-    used = np.flatnonzero(totals.customers)
-    column = np.full(CONTEXTS, len(used))
-    column[used] = np.arange(len(used))
-    fixed = np.zeros((frequent.num_rows, len(used) + 1), np.float32)
-    fixed[owner, column[contexts]] = values
-    spare, room = np.append(totals.spare()[used], STRENGTH), np.append(totals.room()[used], STRENGTH)
-    matrix = fixed / room.astype(np.float32)
-    matrix += ((spare / room)[None, :] * totals.root(frequent.column("root").to_numpy())[:, None]).astype(np.float32)
-    np.log10(matrix, out=matrix)
     scale = train_tokens + 0.1 * (train_words + 1)
-    counts = frequent.column("count").to_numpy()
-    shared = spark.sparkContext.broadcast((
-        frequent.column("word").to_pylist(), matrix, np.log10((counts + 0.1) / scale), counts > 0, column))
+    share = F.col("fixed") / F.col("room") + F.col("spare") / F.col("room") * totals.root(F.col("root"))
+    each = totals.words.select("word", "root", F.col("count").alias("tokens"))
+    chances = stage_table(totals.pairs.join(totals.contexts, "context").join(each, "word").select(
+        F.concat_ws(" ", "context", "word").alias("pair"), "count", (F.col("tokens") > 0).alias("known"),
+        F.log10((F.col("tokens") + 0.1) / F.lit(scale)).alias("base"), F.log10(share).alias("chance")))
+    frequent = chances.orderBy(F.desc("count"), "pair").limit(HOT).toArrow().to_pydict()
+    shared = spark.sparkContext.broadcast(dict(zip(frequent["pair"], zip(frequent["known"], frequent["base"], frequent["chance"]))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_, matrix_, base_, known_, column_ = shared.value
-        number = {word: i for i, word in enumerate(words_)}.get
+        hot = shared.value.get
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
-                rows, names, places, numbers, owns = out = [], [], [], [], []
+                rows, names, numbers, owns = out = [], [], [], []
                 for row, key, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    words, contexts = tokens(text)
-                    at = np.fromiter([number(word, -1) for word in words], np.int64, len(words))
-                    where = column_[np.array(contexts)]
-                    rare = Counter([(words[i], contexts[i]) for i in np.flatnonzero(at < 0).tolist()])
-                    hot = at >= 0
-                    at, where = at[hot], where[hot]
-                    # A word has no space, so this key of the document's own row meets no word.
-                    rows += [row] * (len(rare) + 1)
-                    names.append(f" {row}")
-                    places.append(None)
+                    found = pairs(text)
+                    n_known, base, chance = 0, 0.0, 0.0
+                    before = len(names)
+                    for pair, n in Counter(found).items():
+                        if (own := hot(pair)) is None:
+                            names.append(pair)
+                            numbers.append(n)
+                        else:
+                            n_known += n * own[0]
+                            base += n * own[1]
+                            chance += n * own[2]
+                    # A pair has a space, so this key of the document's own row meets no pair.
+                    names.append(str(row))
                     numbers.append(None)
-                    owns.append({"doc_id": key, "n_tokens": len(words), "n_known": int(known_[at].sum()),
-                                 "base_score": float(base_[at].sum()), "score": float(matrix_[at, where].sum(dtype=np.float64))})
-                    names += [word for word, _ in rare]
-                    places += [context for _, context in rare]
-                    numbers += rare.values()
-                    owns += [None] * len(rare)
+                    rows += [row] * (len(names) - before)
+                    owns += [None] * (len(names) - before - 1)
+                    owns.append({"doc_id": key, "n_tokens": len(found), "n_known": n_known, "base_score": base, "score": chance})
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, ROW_KINDS)], names=ROW_NAMES)
 
     picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = picked.mapInArrow(
-        run, "row long, word string, context smallint, n int, own struct<doc_id:long,n_tokens:long,n_known:long,base_score:double,score:double>")
-    joined = rows.join(model, "word", "left")
-    spot = F.array_position("contexts", F.col("context"))
-    listed = lambda values: F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
-    per = lambda values: F.element_at(listed(values), F.col("context").cast("int") + 1)
-    spare, room = totals.spare(), totals.room()
-    root = (F.col("root") + float(totals.root_opening())) / float(ROOT_STRENGTH + totals.root_customers)
-    chance = F.coalesce(F.element_at("fixed", F.nullif(spot, F.lit(0).cast("long")).cast("int")).cast("double"), F.lit(0.0)) / per(room) + per(spare / room) * root
+    rows = picked.mapInArrow(run, "row long, pair string, n int, own struct<doc_id:long,n_tokens:long,n_known:long,base_score:double,score:double>")
+    joined = rows.join(chances.drop("count"), "pair", "left")
     parts = joined.select(
         "row", "own.doc_id",
         F.coalesce("own.n_tokens", F.lit(0).cast("long")).alias("n_tokens"),
-        F.coalesce("own.n_known", F.when(F.col("count") > 0, F.col("n")).otherwise(0).cast("long")).alias("n_known"),
-        F.coalesce("own.base_score", F.col("n") * F.log10((F.col("count") + 0.1) / scale)).alias("base_score"),
-        F.coalesce("own.score", F.col("n") * F.log10(chance)).alias("score"))
+        F.coalesce("own.n_known", F.when(F.col("known"), F.col("n")).otherwise(0).cast("long")).alias("n_known"),
+        F.coalesce("own.base_score", F.col("n") * F.col("base")).alias("base_score"),
+        F.coalesce("own.score", F.col("n") * F.col("chance")).alias("score"))
     return parts.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]).drop("row")
 
 
-ROW_NAMES = ["row", "word", "context", "n", "own"]
-ROW_KINDS = [pa.int64(), pa.string(), pa.int16(), pa.int32(), pa.struct([
+ROW_NAMES = ["row", "pair", "n", "own"]
+ROW_KINDS = [pa.int64(), pa.string(), pa.int32(), pa.struct([
     ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])]
 
 

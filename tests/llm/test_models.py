@@ -145,3 +145,12 @@ def test_language_model_of_odd_rows(spark, make_docs):
     assert lm_scoring.score(empty, *lm_scoring.fit(empty.select("text", F.lit(True).alias("learn")))).count() == 0
     untrained = lm_scoring.score(docs, *lm_scoring.fit(docs.select("text", F.lit(False).alias("learn")))).collect()
     assert len(untrained) == len(ODD) and all(r.n_known == 0 for r in untrained)
+
+
+def test_contexts_are_whole_words(spark):
+    """Contexts with one last letter, or with letters equal modulo 256, predict their own followers."""
+    seen = [("red fox", True), ("sad ant", True), ("Ł eel", True), ("A owl", True)] * 30
+    asked = [(1, "red fox"), (2, "red ant"), (3, "sad ant"), (4, "sad fox"), (5, "Ł eel"), (6, "Ł owl")]
+    train = spark.createDataFrame([*seen, *[(text, False) for _, text in asked]], "text string, learn boolean")
+    found = {r.doc_id: r.score for r in lm_scoring.score(spark.createDataFrame(asked, "doc_id long, text string"), *lm_scoring.fit(train)).collect()}
+    assert found[1] > found[2] + 1 and found[3] > found[4] + 1 and found[5] > found[6] + 1
