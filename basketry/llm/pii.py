@@ -3,7 +3,8 @@
 The formats (e-mail, IP address, card, phone) give the seed entities. A pattern is the words around an entity:
 the two before it, or the one before and the one after. Patterns and instances form a bipartite graph over all documents. In
 turns, a pattern's confidence for a kind is the share of its instances that are of the kind, weighted by their
-scores, and an unseen instance's score is the chance that at least one of its patterns is right. Tokens with a
+scores, and an unseen instance's score is the chance that at least one of its patterns is right. Accepted instances support further patterns,
+until nothing new is found. Tokens with a
 digit or an @ in a confident pattern are then spans of that kind too; the spans of the formats always stay.
 """
 
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from basketry.llm.common import packed, slices, stage_table, table
 
 KINDS = ("email", "ip", "card", "phone")
+#: Least number of rounds; they go on until nothing new is accepted.
 ROUNDS = 3
-#: A pattern counts if this many different seeds stand in it.
+#: A pattern counts if this many different seeds and accepted instances stand in it.
 SUPPORT = 3
 CONFIDENT = 0.6
 ACCEPTED = 0.6
@@ -145,33 +147,47 @@ def read_documents(docs: DataFrame) -> DataFrame:
 def confident_instances(read: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Accepted (pattern, kind) and (instance, kind, score) of unseen instances.
 
+    A pattern is supported for a kind by the distinct seeds of it and the unseen instances accepted for it in the round before. Rounds
+    go on, for `rounds` at least, until one accepts no pattern or instance that was not accepted before: all later ones add some, so they end.
     All counts are grouped sums over the distinct edges of the graph, so a pattern or an instance with a third of the
     edges is combined before it is shuffled; the joins back to the edges can be split.
     """
     seen = read.select(F.explode("found").alias("o")).select("o.seed", "o.instance", F.explode(F.array("o.two", "o.both")).alias("pattern"))
     edges = stage_table(seen.filter(F.col("pattern").isNotNull()).distinct())
-    own = {kind: F.when(F.col("seed") == kind, 1.0) for kind in KINDS}
+    best_c, best_s = F.greatest(*[F.col(f"c_{k}") for k in KINDS]), F.greatest(*[F.col(f"s_{k}") for k in KINDS])
+
+    def winner(prefix: str, best: Column) -> Column:
+        return F.coalesce(*[F.when(F.col(f"{prefix}_{k}") == best, k) for k in KINDS])
+
+    miss = {k: F.sum(F.log(1 - F.col(f"c_{k}"))) for k in KINDS}  # confidence is below 1
+    held: DataFrame | None = None  # (what, kind) accepted in any round so far
     scores: DataFrame | None = None
-    for _ in range(rounds):
+    done = 0
+    while True:
         if scores is None:
-            rated = edges.select("pattern", *[F.coalesce(own[k], F.lit(0.0)).alias(k) for k in KINDS], "seed")
+            of = {k: (F.coalesce(F.col("seed") == k, F.lit(False)), F.when(F.col("seed") == k, 1.0).otherwise(0.0)) for k in KINDS}
+            linked = edges
         else:
-            rated = edges.join(scores, "instance", "left").select(
-                "pattern", *[F.coalesce(own[k], F.when(F.col("seed").isNull(), F.col(f"s_{k}")), F.lit(0.0)).alias(k) for k in KINDS], "seed")
+            unseen = F.col("seed").isNull()
+            of = {k: (
+                F.coalesce((F.col("seed") == k) | unseen & (F.col("kind") == k), F.lit(False)),
+                F.when(F.col("seed") == k, 1.0).otherwise(F.coalesce(F.when(unseen, F.col(f"s_{k}")), F.lit(0.0)))) for k in KINDS}
+            linked = edges.join(scores.withColumn("kind", F.when(best_s >= ACCEPTED, winner("s", best_s))), "instance", "left")
+        rated = linked.select("pattern", *[of[k][0].cast("int").alias(f"n_{k}") for k in KINDS], *[of[k][1].alias(k) for k in KINDS])
         confidence = stage_table(rated.groupBy("pattern").agg(
-            *[(F.when(F.sum((F.col("seed") == k).cast("int")) >= SUPPORT, F.sum(k)).otherwise(0.0) / (F.count("*") + 1)).alias(f"c_{k}") for k in KINDS]
-        ).filter(F.greatest(*[F.col(f"c_{k}") for k in KINDS]) > 0))
-        miss = {k: F.sum(F.log(1 - F.col(f"c_{k}"))) for k in KINDS}  # confidence is below 1
+            *[(F.when(F.sum(f"n_{k}") >= SUPPORT, F.sum(k)).otherwise(0.0) / (F.count("*") + 1)).alias(f"c_{k}") for k in KINDS]
+        ).filter(best_c > 0))
         scores = stage_table(edges.filter(F.col("seed").isNull()).join(confidence, "pattern").groupBy("instance").agg(
             *[(1 - F.exp(miss[k])).alias(f"s_{k}") for k in KINDS]))
-    best_c, best_s = F.greatest(*[F.col(f"c_{k}") for k in KINDS]), F.greatest(*[F.col(f"s_{k}") for k in KINDS])
-
-    def winner(prefix: str, best: Column) -> Column:
-        return F.coalesce(*[F.when(F.col(f"{prefix}_{k}") == best, k) for k in KINDS])
-
-    patterns_kept = confidence.filter(best_c >= CONFIDENT).select("pattern", winner("c", best_c).alias("kind"))
-    instances = scores.filter(best_s >= ACCEPTED).select("instance", winner("s", best_s).alias("kind"), best_s.alias("score"))
-    return patterns_kept, instances
+        patterns_kept = confidence.filter(best_c >= CONFIDENT).select("pattern", winner("c", best_c).alias("kind"))
+        instances = scores.filter(best_s >= ACCEPTED).select("instance", winner("s", best_s).alias("kind"), best_s.alias("score"))
+        done += 1
+        accepted = patterns_kept.select(F.concat(F.lit("p"), "pattern").alias("what"), "kind").unionByName(
+            instances.select(F.concat(F.lit("i"), "instance").alias("what"), "kind"))
+        fresh = stage_table(accepted if held is None else accepted.join(held, ["what", "kind"], "left_anti"))
+        if done >= rounds and fresh.isEmpty():
+            return patterns_kept, instances
+        held = fresh if held is None else held.unionByName(fresh)
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -48,3 +48,18 @@ def test_odd_rows_and_redaction(make_docs):
     assert clean.columns == docs.columns and len(texts) == len(rows)
     assert (11, "[EMAIL] and [IP], [PHONE]; [CARD]", 33) in texts and (11, "no more", 7) in texts and (12, "é😀 [EMAIL]", 10) in texts
     assert pii.find(docs.limit(0)).count() == 0 and pii.redact(docs.limit(0)).count() == 0
+
+
+def test_discovered_identifiers_raise_further_patterns(make_docs):
+    """Seeds -> write to _ -> new identifiers -> old mailbox _ -> further ones -> contact address _ -> the last one."""
+    rows = [(i, f"so please write to user{i}@mail.example.com for help") for i in range(8)]
+    rows += [(20 + i, f"so please write to n{'abcdef'[i]}1(at)mail.example for help") for i in range(6)]
+    rows += [(30 + i, f"the old mailbox n{'abcdef'[i]}1(at)mail.example was closed") for i in range(6)]
+    rows += [(40 + i, f"the old mailbox z{'abcd'[i]}2(at)other.example was closed") for i in range(4)]
+    rows += [(50 + i, f"her contact address z{'abcd'[i]}2(at)other.example stands here") for i in range(4)]
+    rows += [(60, "her contact address last3(at)third.example stands here"), (61, "we ate last4(at)third.example today")]
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(make_docs(rows)).collect()}
+    for key, text in rows:
+        words = [w for w in text.split() if "(at)" in w or "@" in w]
+        start = text.index(words[0])
+        assert found[key] == ([] if key == 61 else [("email", start, start + len(words[0]))]), (key, text)
