@@ -157,3 +157,16 @@ def test_fingerprints_of_odd_rows(make_docs):
     assert fingerprints.fingerprints(fingerprints.with_next(docs.limit(0))).count() == 0
     one = fingerprints.fingerprints(fingerprints.with_next(docs.filter("doc_id = 9"))).first()
     assert one.near_next == 1.0
+
+
+def test_one_line_texts_of_any_script_have_borders(spark):
+    """Half-equal texts on one line share paragraphs: sentences before any letter, full stops without spaces, runs without an end."""
+    words = lambda letters, n: [letters[i % 7] * (1 + i * 7 % 9) + letters[i * i % 11 % len(letters)] for i in range(n)]
+    texts = [
+        "The one. The two. We three. Zero four! So five? Then six.", "Это раз. Это два. Мы три. Он четыре. Да пять.", "一二三。四五六。七八九！十百千。万",
+        " ".join(words("мнопрстуфхц", 200)), " ".join(words("ghijklmnopq", 200)),
+    ]
+    rows = [(i, t, t[:len(t) // 2] + " xx" * 3) for i, t in enumerate(texts)]
+    for row in fingerprints.compare_rows(spark.createDataFrame(rows, "id long, l string, r string"), "l", "r").collect():
+        assert row.near == pytest.approx(likeness(plain_set(row.l), plain_set(row.r))) and row.near > 0.1, row.id
+        assert len(plain_set(row.l)) >= 5
