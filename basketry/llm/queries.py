@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import byte_bpe, chat_format, fingerprints, language_id, lm_scoring, mixing, near_dedup, pii, quality_rules, toxicity
+from basketry.llm import (
+    byte_bpe, centroids, chat_format, fingerprints, language_id, lm_scoring, mixing, near_dedup, pii, quality_rules, token_counts, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -19,9 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_pii": pii.op10_pii,
+    "op11_token_counts": token_counts.op11_token_counts,
+    "op12_centroids": centroids.op12_centroids,
 }
 
 SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op2_chat_format": chat_format.OP2_SQL,
+    "op12_centroids": centroids.OP12_SQL,
 }
