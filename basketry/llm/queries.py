@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import (
-    byte_bpe, centroids, chat_format, fingerprints, language_id, lm_scoring, mixing, near_dedup, pii, quality_rules, token_counts, toxicity,
+    byte_bpe, centroids, chat_format, conversation_repair, fingerprints, language_id, lm_scoring, mixing, near_dedup, pii,
+    quality_rules, token_counts, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": pii.op10_pii,
     "op11_token_counts": token_counts.op11_token_counts,
     "op12_centroids": centroids.op12_centroids,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {
