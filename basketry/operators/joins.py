@@ -1,10 +1,11 @@
-"""Joins. No function here hints a broadcast: Catalyst broadcasts a side below its size threshold
+"""Joins. No function here hints a broadcast for a side of unknown size: Catalyst broadcasts a side below its size threshold
 and otherwise shuffles, and AQE splits the hot partitions of the left side."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 KEY = object()
 
@@ -36,14 +37,55 @@ def anti(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return df.join(keys.select(*key_list(on)).distinct(), on, "left_anti")
 
 
-def left_many(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
+#: Hot keys looked for at most, and counters of the sketch, which finds every key with more than about 1/6000 of the rows.
+MOST_HOT, COUNTERS = 1024, 8192
+
+
+def one_key(on: str | list[str]) -> Column:
+    """The key as one column: itself, or several columns as one text."""
+    keys = key_list(on)
+    return F.col(keys[0]) if len(keys) == 1 else F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+
+
+def hot_keys(df: DataFrame, on: str | list[str]) -> list[tuple[object, int]]:
+    """(key, splits) of the keys that hold more rows than two even shares of a shuffle's partitions, most rows first.
+
+    One pass over the key column: mergeable frequent-item counters (Misra-Gries) per task, merged to one sketch of fixed size.
+    `splits` is the number of even shares that the key's rows make up. Null keys are left out.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = one_key(on)
+    row = df.where(key.isNotNull()).agg(F.call_function("approx_top_k", key, F.lit(MOST_HOT), F.lit(COUNTERS)).alias("top"), F.count("*").alias("n")).first()
+    return [(top["item"], -(-top["count"] * parts // row["n"])) for top in row["top"] or [] if top["count"] * parts > 2 * row["n"]]
+
+
+def left_many(left: DataFrame, right: DataFrame, on: str | list[str], like: DataFrame | None = None) -> DataFrame:
     """Left join to a side that holds many rows per key, a third of them under one key perhaps.
 
-    An outer join can neither split a hot key on its right side nor broadcast its left side. So the
-    matches come from an inner join, where both are possible, and the left rows without a match from
-    an anti join against the distinct keys.
+    An outer join cannot split a hot key on its right side. So the hot keys are found first; their right rows are dealt by a
+    hash of the whole row, and their left rows repeated for each deal. A hot key has right rows, so a repeated left row that finds
+    none in its deal is dropped, and no left row without a partner is lost: those have no hot key. All other keys are
+    joined as they are. Each side is read once by the join, and the key column once more before it: from `like`, if given, a
+    frame whose keys all occur in `right`, such as the table that `right` adds columns to.
     """
-    return left.join(right, on, "inner").unionByName(anti(left, right, on), allowMissingColumns=True)
+    keys = key_list(on)
+    columns = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
+    hot = hot_keys(right if like is None else like, on)
+    if not hot:
+        return left.join(right, keys, "left").select(*columns)
+    spark, kind = right.sparkSession, right.select(one_key(on).alias("__hot")).schema["__hot"].dataType
+    # Size bound: at most MOST_HOT rows.
+    splits = F.broadcast(spark.createDataFrame(hot, StructType([StructField("__hot", kind), StructField("__splits", LongType())])))
+
+    def with_splits(df: DataFrame) -> DataFrame:
+        return df.withColumn("__key", one_key(on)).join(splits, F.col("__key") == F.col("__hot"), "left").drop("__key", "__hot")
+
+    repeated = with_splits(left).withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1)))
+    dealt = with_splits(right).select(
+        *right.columns, F.pmod(F.xxhash64(*right.columns), F.coalesce("__splits", F.lit(1))).alias("__deal"), F.lit(True).alias("__found")
+    )
+    joined = repeated.join(dealt, [*keys, "__deal"], "left")
+    return joined.where(F.col("__splits").isNull() | F.col("__found")).select(*columns)
 
 
 def lookup(

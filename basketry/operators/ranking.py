@@ -17,28 +17,41 @@ def running_counts(
 ) -> DataFrame:
     """Running number per group of the rows that meet each condition (null where it is not met).
 
-    The sequence is `bucket` first (a date, say), then `order` within the bucket. Rows are sorted per
-    (group, bucket) and the earlier buckets of the group are added as a pre-aggregated offset. A
-    group that holds a third of the table is thereby spread over its buckets, and the second window
-    sees one row per group and bucket instead of every row. Rows without a group or bucket get null.
+    The sequence is `bucket` first (a date, say), then `order` within the bucket, together a total order. Segmented prefix
+    sums: the table is laid out in ranges of (group, bucket, order), so a group, or a single bucket of it, that holds a third of
+    the rows spreads over many ranges. A window numbers the rows of a group within one range only; the counts of
+    the group in earlier ranges are added from a table with the first and the last group of each range, the only ones that
+    can go on in another. Rows without a group or bucket get null.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = {f"__hit_{out}": F.when(cond, 1).otherwise(0) for out, cond in counters.items()}
+    counted = F.col(group).isNotNull() & F.col(bucket).isNotNull()
+    # Staged, because the ranges are drawn anew whenever the layout is computed.
+    laid = stage_table(
+        df.withColumns(hits).repartitionByRange(parts, group, bucket, *order).withColumn("__part", F.spark_partition_id())
+    )
+    edges = laid.where(counted).groupBy("__part").agg(F.min(group).alias("__low"), F.max(group).alias("__high"))
+    at_edge = laid.where(counted).join(F.broadcast(edges), "__part").where(
+        (F.col(group) == F.col("__low")) | (F.col(group) == F.col("__high"))
+    )
+    sums = at_edge.groupBy("__part", group).agg(*[F.sum(hit).alias(hit) for hit in hits])
+    earlier = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "__part", F.col(group).alias("__edge"), *[F.coalesce(F.sum(hit).over(earlier), F.lit(0)).alias(f"__before{hit}") for hit in hits]
+    )
     within = (
-        Window.partitionBy(group, bucket).orderBy(*order)
+        Window.partitionBy("__part", group).orderBy(bucket, *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = (
-        Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    hits = {out: F.when(cond, 1).otherwise(0) for out, cond in counters.items()}
-    sizes = df.groupBy(group, bucket).agg(*[F.sum(hit).alias(f"__{out}") for out, hit in hits.items()])
-    offsets = sizes.select(
-        group, bucket, *[F.coalesce(F.sum(f"__{out}").over(earlier), F.lit(0)).alias(f"__{out}") for out in hits]
+    numbered = laid.withColumns({f"__in{hit}": F.sum(hit).over(within) for hit in hits})
+    # Size bound of the broadcasts: one row and two rows per range.
+    joined = numbered.alias("__rows").join(
+        F.broadcast(offsets.withColumnRenamed("__part", "__of")), (F.col("__part") == F.col("__of")) & (F.col(group) == F.col("__edge")), "left"
     )
-    numbered = df.withColumns({f"__in_{out}": F.sum(hit).over(within) for out, hit in hits.items()})
-    joined = numbered.join(offsets, [group, bucket], "left")
-    return joined.withColumns(
-        {out: F.when(hits[out] == 1, F.col(f"__{out}") + F.col(f"__in_{out}")) for out in hits}
-    ).select(*df.columns, *hits)
+    return joined.withColumns({
+        out: F.when(counted & (F.col(hit) == 1), F.coalesce(f"__before{hit}", F.lit(0)) + F.col(f"__in{hit}"))
+        for out, hit in zip(counters, hits)
+    }).select(*df.columns, *counters)
 
 
 def laid_out(df: DataFrame, order: list[Column]) -> tuple[DataFrame, Column, int]:

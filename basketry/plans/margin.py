@@ -119,11 +119,16 @@ def shipping_adjust(base: DataFrame, factors: DataFrame) -> DataFrame:
     return joined.withColumn("shipping_cost", adjusted).drop("factor")
 
 
-def item_cost(base: DataFrame, items: DataFrame, erp_products: DataFrame, erp_stock: DataFrame) -> DataFrame:
-    """ERP unit cost of each item, by the month and unit of its order and its product."""
+def item_cost(
+    base: DataFrame, items: DataFrame, erp_products: DataFrame, erp_stock: DataFrame, raw_items: DataFrame | None = None
+) -> DataFrame:
+    """ERP unit cost of each item, by the month and unit of its order and its product.
+
+    `raw_items`: the table that `items` was made from, where hot orders are found without making `items`.
+    """
     heads = base.select("order_id", *MONTH_UNIT)
     lines = left_many(
-        heads, items.select("item_id", "order_id", "product_name", "variant_code", "quantity"), "order_id"
+        heads, items.select("item_id", "order_id", "product_name", "variant_code", "quantity"), "order_id", raw_items
     )
     coded = lookup(lines, erp_products, "variant_code", {"erp_product_id": ("erp_product_id", None)})
     costs = erp_stock.groupBy(*MONTH_UNIT, "erp_product_id").agg(F.min("unit_cost").alias("unit_cost"))

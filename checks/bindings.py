@@ -39,6 +39,10 @@ class SparkText:
     def given(self, name):
         return f"given_{name}"
 
+    def units(self, source):
+        """Each row once per business unit of the sheets, from one scan."""
+        return f"(SELECT *, explode(array('main', 'second')) AS unit FROM {source}) AS by_unit"
+
     def rows(self, names, rows, source):
         """Several output rows per source row, from one scan."""
         structs = ", ".join(
@@ -63,6 +67,9 @@ class DuckText(SparkText):
     def given(self, name):
         return name
 
+    def units(self, source):
+        return f"(SELECT *, unnest(['main', 'second']) AS unit FROM {source}) AS by_unit"
+
     def rows(self, names, rows, source):
         structs = ", ".join("{" + ", ".join(f"'{n}': {x}" for n, x in zip(names, row)) + "}" for row in rows)
         return f"SELECT unnest([{structs}], recursive := true) FROM {source}"
@@ -88,6 +95,9 @@ def shop_tables(d: SparkText) -> dict[str, str]:
     month = "CAST(date_trunc('MONTH', o_orderdate) AS DATE)"
     m = f"(year(month) * 12 + month(month))"
     months = f"(SELECT DISTINCT {month} AS month FROM {d.given('orders')}) AS calendar"
+    month_units = d.units(months)
+    # Months that a sheet lacks keep their rows, under a month that no order has.
+    without = lambda missing: f"CASE WHEN month(month) {missing} THEN CAST('1900-01-01' AS DATE) ELSE month END AS month"
     item_id = (
         f"concat({s('l_orderkey')}, '-', {s('l_linenumber')}, '-', {s('l_partkey')}, '-', {s('l_suppkey')}, '-', "
         f"{cents('l_extendedprice')})"
@@ -274,30 +284,30 @@ def shop_tables(d: SparkText) -> dict[str, str]:
         "shop_erp_stock": f"""SELECT DISTINCT {month} AS month,
             concat(CASE l_returnflag WHEN 'A' THEN 'none' ELSE '' END, {s('l_partkey + 5000')}) AS erp_product_id, unit,
             {money(f"10 + l_partkey % 50 + month({month}) * 0.5 + CASE unit WHEN 'main' THEN 0 ELSE 3 END")} AS unit_cost
-            FROM {UNITS}, {d.given('lineitem')} JOIN {d.given('orders')} ON l_orderkey = o_orderkey""",
+            FROM {d.units(d.given('lineitem'))} JOIN {d.given('orders')} ON l_orderkey = o_orderkey""",
         "shop_cost_history": f"""SELECT CASE WHEN o_orderdate < {d.ts("'2001-05-01 00:00:00'")} AND o_orderstatus <> 'P' THEN {k} ELSE -{k} END
             AS order_id, {month} AS month, {money(f'{k} % 100 + 0.125')} AS product_cost
             FROM {d.given('orders')}""",
-        "shop_shipping_factors": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.8 ELSE 0.3 END + {m} % 5 * 0.1")} AS factor
-            FROM {months}, {UNITS} WHERE month(month) <> 4""",
-        "shop_tax_rates": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.1 ELSE 0.05 END + {m} % 3 * 0.01")} AS revenue_rate,
+        "shop_shipping_factors": f"""SELECT {without('= 4')}, unit, {rate(f"CASE unit WHEN 'main' THEN 0.8 ELSE 0.3 END + {m} % 5 * 0.1")} AS factor
+            FROM {month_units}""",
+        "shop_tax_rates": f"""SELECT {without('= 9')}, unit, {rate(f"CASE unit WHEN 'main' THEN 0.1 ELSE 0.05 END + {m} % 3 * 0.01")} AS revenue_rate,
             {rate(f'0.05 + {m} % 4 * 0.01')} AS product_rate, {rate("CASE unit WHEN 'main' THEN 0.02 ELSE 0.04 END")} AS freight_rate
-            FROM {months}, {UNITS} WHERE month(month) <> 9""",
+            FROM {month_units}""",
         "shop_payment_fees": "SELECT month, " + rate("1.5") + " AS boleto, CASE WHEN " + m
             + " % 5 = 0 THEN NULL ELSE " + rate("2.25") + " END AS debit, "
             + ", ".join(f"{rate(f'{i} * 0.1 + {m} % 3')} AS fee_{i}" for i in range(1, 13)) + f" FROM {months}",
         "shop_fraud_by_order": f"""SELECT concat(CASE o_orderpriority WHEN '1-URGENT' THEN 'M' ELSE 'none' END, {s(k)}) AS public_id,
             {money(f'{k} % 6 + 0.2')} AS fee FROM {d.given('orders')}""",
-        "shop_fraud_by_month": f"SELECT month, {money(f'{m} % 4 + 0.3')} AS fee FROM {months} WHERE month(month) <> 6",
-        "shop_gateway_by_month": f"SELECT month, {money(f'{m} % 2 + 0.15')} AS fee FROM {months} WHERE month(month) <> 8",
+        "shop_fraud_by_month": f"SELECT {without('= 6')}, {money(f'{m} % 4 + 0.3')} AS fee FROM {months}",
+        "shop_gateway_by_month": f"SELECT {without('= 8')}, {money(f'{m} % 2 + 0.15')} AS fee FROM {months}",
         "shop_packaging_by_month": f"SELECT month, {money(f'1000 + {m} % 12 * 10')} AS cost FROM {months}",
         "shop_fulfilment_by_month": f"""SELECT month, unit, {money(f"CASE unit WHEN 'main' THEN 5000 ELSE 70 END + {m} % 7")} AS staff, {money('800')} AS warehouse
-                FROM {months}, {UNITS}
-            UNION ALL SELECT month, 'second', {money('100')}, NULL FROM {months} WHERE month(month) > 6""",
-        "shop_production_by_month": f"""SELECT month, 'main' AS unit, {money(f'300 + {m} % 5')} AS staff, {money('77.7')} AS studios
-            FROM {months} WHERE month(month) < 9""",
-        "shop_margin_by_month": f"""SELECT month, unit, {rate(f"CASE unit WHEN 'main' THEN 0.2 ELSE 0.5 END + {m} % 4 * 0.01")} AS margin_with,
-            {rate(f'0.3 + {m} % 4 * 0.01')} AS margin_without FROM {months}, {UNITS} WHERE month(month) <> 10""",
+                FROM {month_units}
+            UNION ALL SELECT {without('<= 6')}, 'second', {money('100')}, NULL FROM {months}""",
+        "shop_production_by_month": f"""SELECT {without('>= 9')}, 'main' AS unit, {money(f'300 + {m} % 5')} AS staff, {money('77.7')} AS studios
+            FROM {months}""",
+        "shop_margin_by_month": f"""SELECT {without('= 10')}, unit, {rate(f"CASE unit WHEN 'main' THEN 0.2 ELSE 0.5 END + {m} % 4 * 0.01")} AS margin_with,
+            {rate(f'0.3 + {m} % 4 * 0.01')} AS margin_without FROM {month_units}""",
         "shop_spend_by_month": f"""SELECT c_mktsegment AS name,
             {money("sum(CASE WHEN c_nationkey % 3 = 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END)")} AS m_2001_05,
             {money("sum(CASE WHEN c_nationkey % 3 = 1 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END)")} AS m_2001_06,
@@ -375,8 +385,6 @@ RULE_ROWS = [
     (12, None, "x", "x", "x", "x", "x", "Blank", "Blank", ""),
 ]
 # Earlier runs of the conversion estimate; the last row is of the run day and gets replaced.
-#: Business units of the sheets.
-UNITS = "(SELECT 'main' AS unit UNION ALL SELECT 'second') units"
 CONVERSION_ROWS = [
     ("main", "2001-06-28", 0.2, 0.31, 0.11, 1000), ("main", "2001-07-02", 0.2, 0.255, 0.055, 1100),
     ("main", "2001-07-10", 0.2, 0.21, 0.01, 1200), ("main", "2001-07-31", 0.1, 0.9, 0.8, 1300),

@@ -357,7 +357,7 @@ class Jobs:
 
     @job
     def item_cost(self):
-        return mar.item_cost(self.orders_base, self.admin_items, self.shop.erp_products, self.shop.erp_stock)
+        return mar.item_cost(self.orders_base, self.admin_items, self.shop.erp_products, self.shop.erp_stock, self.shop.items)
 
     @job
     def frozen_order_cost(self):
@@ -588,7 +588,6 @@ STAGES: dict[str, tuple[str, ...]] = {
     "campaign_items": ("campaign_catalogue",),
     "campaign_day": ("campaign_catalogue",),
     "campaign_orders": ("campaign_catalogue",),
-    "order_cardinal": ("orders_base",),
     "months_since_first": ("orders_base", "order_cardinal"),
     "days_since_previous_order": ("orders_base", "order_cardinal"),
     "orders_cardinal_export": ("orders_base", "order_cardinal"),

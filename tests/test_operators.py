@@ -3,6 +3,7 @@ import math
 import random
 
 from conftest import rows
+import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import allocation, grouping, intervals, joins, ranking, reshape, rules
@@ -44,6 +45,31 @@ def test_left_many_equals_left_join(frame):
     assert rows(joins.left_many(left, right, "k")) == rows(left.join(right, "k", "left"))
 
 
+@pytest.mark.parametrize("on", ["k", ["k", "d"]])
+def test_left_many_splits_a_hot_key(frame, spark, on):
+    random.seed(5)
+    left = frame([(k, day(k % 3), f"l{k}") for k in range(40)] + [(None, day(0), "none"), (7, day(1), "again")], "k int, d date, a string")
+    # Key 7 holds two thirds of the many side, some of it in equal rows; keys 30 to 39 and null have no partner.
+    right = frame([(7 if i % 3 else i % 30, day((7 if i % 3 else i % 30) % 3), i // 2) for i in range(600)] + [(None, day(0), 1)], "k int, d date, v int")
+    if on == "k":
+        right = right.drop("d")
+    hot = joins.hot_keys(right, on)
+    assert len(hot) == 1 and str(7) in str(hot[0][0]) and hot[0][1] >= 2
+    joined = joins.left_many(left, right, on)
+    assert rows(joined) == rows(left.join(right, on, "left"))
+    assert joined.where("v is null").count() >= 11
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD[k") == 2, plan  # each side once
+    dealt = right.withColumn("deal", F.pmod(F.xxhash64(*right.columns), F.lit(hot[0][1]))).where("k = 7").groupBy("deal").count()
+    assert dealt.count() == hot[0][1]
+
+
+def test_hot_keys_of_even_and_empty_tables(frame):
+    assert joins.hot_keys(frame([(i,) for i in range(100)], "k int"), "k") == []
+    assert joins.hot_keys(frame([], "k int"), "k") == []
+    assert joins.hot_keys(frame([(None,)] * 9, "k int"), "k") == []
+
+
 def test_semi_and_anti(frame):
     df, keys = frame([(1,), (2,), (None,)], "k int"), frame([(1,), (1,), (None,)], "k int")
     assert rows(joins.semi(df, keys, "k")) == [(1,)]
@@ -95,6 +121,28 @@ def test_running_counts_equal_a_plain_window(frame):
     assert rows(got, "id", "n", "p") == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+def test_running_counts_of_one_group_and_day(frame, spark):
+    """One group holds all rows but a few, one day of it a third of all: no range, and so no window, holds them together."""
+    n = 900
+    data = [(n - i, 5 if i % 30 else None if i % 60 else i, day(3) if i % 3 else day(i % 9), i % 4 == 0) for i in range(n)]
+    data += [(2000, 5, None, True), (2001, None, None, False)]
+    df = frame(data, "id int, g int, d date, paid boolean").repartition(3)
+    got = ranking.running_counts(df, "g", "d", ["id"], {"n": F.lit(True), "p": F.col("paid")})
+    assert got.columns == ["id", "g", "d", "paid", "n", "p"]
+    expected = [(r[0], None, None) for r in data if r[1] is None or r[2] is None]
+    for group in {r[1] for r in data if r[1] is not None}:
+        k = p = 0
+        for r in sorted((r for r in data if r[1] == group and r[2]), key=lambda r: (r[2], r[0])):
+            k, p = k + 1, p + r[3]
+            expected.append((r[0], k, p if r[3] else None))
+    assert rows(got, "id", "n", "p") == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
+    windows = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert all("__part" in line for line in windows)
+    parts = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0]).groupBy("__part").count().collect()
+    assert len(parts) == 4 and max(r["count"] for r in parts) < n / 2
+    assert ranking.running_counts(df.limit(0), "g", "d", ["id"], {"n": F.lit(True)}).count() == 0
+
+
 def test_rank_bucket_is_not_ntile(frame):
     got = ranking.rank_bucket(frame([(i,) for i in range(7)], "v int"), [F.col("v").asc()], 5, "b")
     assert [b for _, b in sorted(got.select("v", "b").collect())] == [1, 2, 3, 3, 4, 5, 5]

@@ -51,11 +51,26 @@ def test_fact_jobs_have_no_global_window_or_nested_loop(name, spark):
             assert "windowspecdefinition(" in line and "], []" not in line, line
 
 
-def test_order_numbers_never_sort_a_whole_customer(spark):
+def test_order_numbers_never_sort_a_whole_customer_or_day(spark):
     plan = QUERIES["order_cardinal"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    over_rows = [line for line in windows if "row" not in line.split("Window [")[0] and "__in_cardinal" in line]
-    assert over_rows and all("customer_id" in line and "order_date" in line.split("], [")[1] for line in over_rows)
+    over_rows = [line for line in windows if "__in__hit_cardinal" in line]
+    assert over_rows and all("__part" in line.split("], [")[1] for line in over_rows)
+
+
+UNIT_JOBS = ["shipping_adjust", "item_cost", "frozen_order_cost", "taxes", "fulfilment_share", "contribution_margin", "real_freight"]
+
+
+@pytest.mark.parametrize("name", UNIT_JOBS)
+def test_unit_sheets_need_no_cross_product(name, spark):
+    """Also where nothing can be broadcast."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_landed_filter_reaches_the_scan(spark):
