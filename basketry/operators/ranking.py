@@ -24,8 +24,8 @@ def running_counts(
     can go on in another. Rows without a group or bucket get null.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hits = {f"__hit_{out}": F.when(cond, 1).otherwise(0) for out, cond in counters.items()}
     counted = F.col(group).isNotNull() & F.col(bucket).isNotNull()
+    hits = {f"__hit_{out}": F.when(counted & cond, 1).otherwise(0) for out, cond in counters.items()}
     # Staged, because the ranges are drawn anew whenever the layout is computed.
     laid = stage_table(
         df.withColumns(hits).repartitionByRange(parts, group, bucket, *order).withColumn("__part", F.spark_partition_id())
@@ -49,7 +49,7 @@ def running_counts(
         F.broadcast(offsets.withColumnRenamed("__part", "__of")), (F.col("__part") == F.col("__of")) & (F.col(group) == F.col("__edge")), "left"
     )
     return joined.withColumns({
-        out: F.when(counted & (F.col(hit) == 1), F.coalesce(f"__before{hit}", F.lit(0)) + F.col(f"__in{hit}"))
+        out: F.when(F.col(hit) == 1, F.coalesce(f"__before{hit}", F.lit(0)) + F.col(f"__in{hit}"))
         for out, hit in zip(counters, hits)
     }).select(*df.columns, *counters)
 
