@@ -126,6 +126,39 @@ def lookup(
     return joined.withColumns(added).drop("__key", "__entry")
 
 
+def star_lookup(
+    df: DataFrame, key: str, entries: DataFrame, wanted: dict[str, tuple[str, str]], default: object = None
+) -> DataFrame:
+    """Add labels of several id columns from one table (kind, id, label), all in one join.
+
+    `wanted` maps each new column to (kind, id column). Every row becomes one small row per id, beside one that carries
+    the row itself under a key of its own; these meet the entries in one join on (kind, id) and are put together again by
+    aggregation on `key`, which names the rows uniquely. So `df` is computed once and no lookup shuffles whole rows. `default`
+    stands for ids without an entry; a null label of an entry stays null. An entry's (kind, id) is unique.
+    """
+    id_type = entries.schema["id"].dataType
+    row = F.struct(*df.columns)
+
+    def slot(number: int, kind: str, value: Column, carried: Column) -> Column:
+        return F.struct(F.lit(number).alias("slot"), F.lit(kind).alias("kind"), value.cast(id_type).alias("id"), carried.alias("row"))
+
+    nothing = F.when(F.lit(False), row)
+    slots = [slot(0, "", F.xxhash64(key), row)] + [
+        slot(i, kind, F.col(column), nothing) for i, (kind, column) in enumerate(wanted.values(), 1)
+    ]
+    # Null ids have no entry; left out, they cannot crowd in one partition.
+    long = df.select(F.col(key).alias("key"), F.explode(F.array(*slots)).alias("s")).select("key", "s.*").where("id is not null")
+    found = long.join(entries.select("kind", "id", F.struct("label").alias("entry")), ["kind", "id"], "left")
+    wide = found.groupBy("key").agg(
+        F.max("row").alias("row"), *[F.max(F.when(F.col("slot") == i, F.col("entry"))).alias(f"entry_{i}") for i in range(1, len(slots))]
+    )
+    labels = {
+        out: F.when(F.col(f"entry_{i}").isNotNull(), F.col(f"entry_{i}.label")).otherwise(F.lit(default))
+        for i, out in enumerate(wanted, 1)
+    }
+    return wide.select("row.*", *[label.alias(out) for out, label in labels.items()])
+
+
 def has_key(df: DataFrame, keys: DataFrame, key: str, out: str, *, table_key: str | None = None) -> DataFrame:
     """Add a 1/0 column that says whether the key exists in `keys`."""
     distinct = keys.select(F.col(table_key or key).alias("__key")).where("__key is not null").distinct()

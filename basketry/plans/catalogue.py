@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import (
@@ -14,9 +14,10 @@ from basketry.functions.numbers import ratio
 from basketry.functions.text import cut_size_suffix, differs, keep_chars, recode, slug
 from basketry.operators.grouping import first_by
 from basketry.operators.intervals import interval_match
-from basketry.operators.joins import KEY, anti, full_on, has_key, left_many, lookup, natural_left, semi
+from basketry.operators.joins import KEY, anti, full_on, has_key, left_many, lookup, natural_left, semi, star_lookup
 from basketry.operators.ranking import rank_rows
 from basketry.plans.orders import with_consider
+from basketry.session import stage_table
 
 NONE = "none"
 
@@ -31,37 +32,6 @@ SPECIAL_KINDS = ["especial", "super sale", "conceito"]
 
 # ---------------------------------------------------------------- products
 
-def tagged(df: DataFrame, tags: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Labels of several tag id columns; `none` when the tag does not exist."""
-    for key, out in columns.items():
-        df = lookup(df, tags, key, {out: ("label", NONE)}, table_key="id", unique=True)
-    return df
-
-
-def product_details(products: DataFrame, tags: DataFrame) -> DataFrame:
-    """Columns that belong to the product row itself."""
-    labelled = tagged(products, tags, {"age_id": "age_group", "size_id": "size"})
-    day = local_date("created_at")
-    return labelled.select(
-        F.col("id").alias("product_key"), "parent_product_id", "sku_key", "age_group", "size", "supplier_size",
-        day.alias("product_date"), month_label_reversed(day).alias("product_month"),
-        local_date("updated_at").alias("product_updated"), "name",
-        F.col("original_price").alias("product_original_price"), F.col("final_price").alias("product_final_price"),
-        "erp_code", "supplier_color",
-    )
-
-
-def product_group(products: DataFrame, tags: DataFrame, brands: DataFrame) -> DataFrame:
-    """Columns that a variant takes from its parent (brand, category, segment, gender, subcategory)."""
-    labelled = tagged(
-        lookup(products, brands, "brand_id", {"brand_name": ("name", NONE)}, table_key="id", unique=True), tags,
-        {"category_id": "category", "vertical_id": "segment", "gender_id": "gender", "subcategory_id": "subcategory"},
-    )
-    return labelled.select(
-        F.col("id").alias("sku_key"), "brand_id", "brand_name", "category", "segment", "gender", "subcategory"
-    )
-
-
 def with_sku_key(products: DataFrame) -> DataFrame:
     """Variants under their parent's key, and products that neither have nor are a parent."""
     parents = products.select("parent_product_id")
@@ -70,10 +40,53 @@ def with_sku_key(products: DataFrame) -> DataFrame:
     return kept.withColumn("sku_key", F.coalesce("parent_product_id", "id")).drop("__is_parent")
 
 
+#: Label -> id column, of the product row itself and of the parent's row (brand, category, segment, gender, subcategory).
+OWN_LABELS = {"age_group": "age_id", "size": "size_id"}
+GROUP_LABELS = {"category": "category_id", "segment": "vertical_id", "gender": "gender_id", "subcategory": "subcategory_id"}
+
+
+def product_families(products: DataFrame) -> DataFrame:
+    """Per product id: the ids that its variants take from it, if it exists, and if it has variants.
+
+    Each product plays two parts, as itself and as a child of its parent, so one aggregation replaces two joins.
+    """
+    ids = ["brand_id", *GROUP_LABELS.values()]
+
+    def part(key: str, own: bool) -> Column:
+        given = [(F.col(c) if own else F.when(F.lit(False), F.col(c))).alias(c) for c in ids]
+        return F.struct(F.col(key).alias("sku_key"), F.lit(own).alias("exists"), F.lit(not own).alias("has_variants"), *given)
+
+    parts = products.select(F.explode(F.array(part("id", True), part("parent_product_id", False))).alias("part"))
+    return parts.select("part.*").where("sku_key is not null").groupBy("sku_key").agg(
+        F.max("exists").alias("parent_exists"), F.max("has_variants").alias("has_variants"), *[F.max(c).alias(f"parent_{c}") for c in ids]
+    )
+
+
 def products_dimension(products: DataFrame, tags: DataFrame, brands: DataFrame) -> DataFrame:
-    """Variants and single products with their own labels and their parent's group columns."""
-    details = product_details(with_sku_key(products), tags)
-    return natural_left(details, product_group(products, tags, brands), "sku_key")
+    """Variants and single products with their own labels and their parent's group columns.
+
+    A label is `none` when its tag or brand does not exist, and null when the parent does not.
+    """
+    day = local_date("created_at")
+    keyed = products.withColumn("sku_key", F.coalesce("parent_product_id", "id"))
+    kept = natural_left(keyed, product_families(products), "sku_key").where(
+        F.col("parent_product_id").isNotNull() | ~F.col("has_variants")
+    ).select(
+        F.col("id").alias("product_key"), "parent_product_id", "sku_key", "supplier_size", day.alias("product_date"),
+        month_label_reversed(day).alias("product_month"), local_date("updated_at").alias("product_updated"), "name",
+        F.col("original_price").alias("product_original_price"), F.col("final_price").alias("product_final_price"),
+        "erp_code", "supplier_color", "parent_exists", F.col("parent_brand_id").alias("brand_id"),
+        *OWN_LABELS.values(), *[f"parent_{c}" for c in GROUP_LABELS.values()],
+    )
+    entries = tags.select(F.lit("tag").alias("kind"), "id", "label").unionByName(
+        brands.select(F.lit("brand").alias("kind"), "id", F.col("name").alias("label"))
+    )
+    wanted = {out: ("tag", column) for out, column in OWN_LABELS.items()}
+    wanted |= {"brand_name": ("brand", "brand_id")} | {out: ("tag", f"parent_{column}") for out, column in GROUP_LABELS.items()}
+    labelled = star_lookup(kept, "product_key", entries, wanted, NONE)
+    return labelled.withColumns(
+        {out: F.when(F.col("parent_exists"), F.col(out)) for out in ("brand_name", *GROUP_LABELS)}
+    ).drop("parent_exists", *OWN_LABELS.values(), *[f"parent_{c}" for c in GROUP_LABELS.values()])
 
 
 def sku_category(products: DataFrame, category_table: DataFrame) -> DataFrame:
@@ -383,28 +396,47 @@ def band_label(price: Column, low: Column, mean: Column, high: Column) -> Column
 def price_bands(products: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Band of every price of a campaign kind (treated slug), computed from its newest campaign.
 
-    Products are first summed per brand and price, so a kind shrinks to its distinct price points
-    however many rows it has; the three means are then windows over those, in one shuffle.
+    Products are first summed per brand and price, so a kind shrinks to its distinct price points however many rows it has.
+    The means are sums per kind, combined on the map side and joined back, so a kind is never one task's.
     """
     priced = products.groupBy("slug_products", "final_price").agg(F.sum("stock").alias("stock"))
     brands = catalogue.groupBy("treated_slug", "slug_products").agg(F.max("campaign_id").alias("campaign_id"))
-    newest = F.max(F.struct("campaign_id", "slug_products")).over(Window.partitionBy("treated_slug"))
-    marked = brands.withColumn("is_newest", F.col("slug_products").eqNullSafe(newest["slug_products"]))
-    points = marked.join(priced, "slug_products").groupBy("treated_slug", "final_price").agg(
+    newest = brands.groupBy("treated_slug").agg(F.max_by("slug_products", F.struct("campaign_id", "slug_products")).alias("newest_slug"))
+    marked = brands.join(*of_kind(newest, brands)).withColumn(
+        "is_newest", F.col("slug_products").eqNullSafe(F.col("newest_slug"))).drop("kind", "newest_slug")
+    points = stage_table(marked.join(priced, "slug_products").groupBy("treated_slug", "final_price").agg(
         F.sum(F.when(F.col("is_newest"), F.col("stock"))).alias("stock")
-    )
-    kind = Window.partitionBy("treated_slug")
+    ))
     price = F.col("final_price").cast("double")
 
     def mean_where(condition: Column) -> Column:
-        value = F.sum(F.when(condition, F.col("final_price") * F.col("stock"))).over(kind)
-        return F.round(ratio(value, F.sum(F.when(condition, F.col("stock"))).over(kind)), 0)
-
-    means = points.withColumn("mean", mean_where(F.lit(True))).withColumns({
-        "low": mean_where(price < F.col("mean")), "high": mean_where(price > F.col("mean")),
-    })
-    return means.drop("stock").withColumn(
-        "band", band_label(price, F.col("low"), F.col("mean"), F.col("high"))
+        value = F.sum(F.when(condition, F.col("final_price") * F.col("stock")))
+        return F.round(ratio(value, F.sum(F.when(condition, F.col("stock")))), 0)
+
+    means = points.groupBy("treated_slug").agg(mean_where(F.lit(True)).alias("mean"))
+    sides = points.join(*of_kind(means, points)).groupBy("treated_slug").agg(
+        F.max("mean").alias("mean"), mean_where(price < F.col("mean")).alias("low"), mean_where(price > F.col("mean")).alias("high")
+    )
+    return points.join(*of_kind(sides, points)).select(
+        "treated_slug", "final_price", "mean", "low", "high", band_label(price, F.col("low"), F.col("mean"), F.col("high")).alias("band")
+    )
+
+
+def of_kind(per_kind: DataFrame, rows: DataFrame) -> tuple[DataFrame, Column]:
+    """The table and condition that join one row per treated slug to rows; a missing slug is a kind of its own."""
+    renamed = per_kind.withColumnRenamed("treated_slug", "kind")
+    return renamed, rows["treated_slug"].eqNullSafe(renamed["kind"])
+
+
+def classified_products(products: DataFrame, sizes: DataFrame, bands: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Campaign products with the number of their size and the price band of each campaign kind of their brand.
+
+    A brand with several kinds gives a row per kind. Kinds are joined before prices, on keys that are unique.
+    """
+    kinds = catalogue.select("slug_products", "treated_slug").distinct()
+    sized = natural_left(products, sizes.select("size", "size_sort"), "size")
+    return natural_left(
+        left_many(sized, kinds, "slug_products"), bands.select("treated_slug", "final_price", "band"), ["treated_slug", "final_price"]
     )
 
 
@@ -444,5 +476,5 @@ def campaign_day(matched: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def campaign_orders(orders: DataFrame, matched: DataFrame) -> DataFrame:
-    """Orders that kept at least one matched item."""
-    return semi(orders, matched.select("order_id"), "order_id")
+    """Orders that kept at least one matched item, with the hour of their creation."""
+    return semi(orders, matched.select("order_id"), "order_id").withColumn("order_hour", F.hour("created_at"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.dates import days_before, local_date, local_ts, month_label, month_start
+from basketry.functions.dates import days_before, local_date, month_label, month_start
 from basketry.functions.metrics import (
     basket_value, discount, gross_quantity_total, liquid_quantity, liquid_quantity_total, sales_value,
 )
@@ -135,7 +135,3 @@ def sales_metrics(items: DataFrame, keys: list[str]) -> DataFrame:
         F.min(discount()).alias("deepest_discount"),
         total(liquid_quantity() * F.col("final_price")).alias("total_value"),
     )
-
-
-def local_hour(ts: str) -> Column:
-    return F.hour(local_ts(ts))

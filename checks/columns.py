@@ -68,6 +68,7 @@ COLUMNS = {
     "payment_form:s installments:i payment_confirmed:i order_state:s card_operator:s",
     "order_cardinal": "order_id:i customer_id:i order_date:d payment_confirmed:i cardinal:i cardinal_paid:i is_ftp:i "
     "is_ftp_paid:i",
+    "order_cardinal_expected": "order_id:i customer_id:i cardinal:i is_ftp:i is_ftp_paid:i is_ftp_expected:f",
     "customer_milestones": "customer_id:i first_order_date:d first_paid_date:d orders:i register_date:d "
     "register_month:d register_year:i",
     "months_since_first": "order_id:i customer_id:i months_ftp:i months_ftp_paid:i",
@@ -110,13 +111,14 @@ COLUMNS = {
     "campaigns_without_reference": "campaign_id:i treated_slug:s end_date:d brand_id:i campaign_kind:s",
     "campaign_products": "campaign_id:i product_id:i stock:i slug_products:s product_code:s product_uid:s parent_code:i "
     "product_group:s color:s size:s list_price:m final_price:m product_kind:s product_gender:s name_treated:s",
+    "campaign_products_classified": "campaign_id:i product_id:i slug_products:s size:s size_sort:i treated_slug:s final_price:m band:s",
     "size_order": "size:s size_sort:i",
     "campaign_kind_gender": "campaign_id:i slug_products:s treated_slug:s kind:s gender:s",
     "price_bands": "treated_slug:s final_price:m mean:f low:f high:f band:s",
     "campaign_items": "item_id:s order_id:i campaign_id:i slug_products:s product_code:s order_date:d quantity:i "
     "unit_value:m unit_list_value:m total:m",
     "campaign_day": "item_id:s campaign_id:i campaign_day:i",
-    "campaign_orders": "order_id:i public_id:s include_state:s",
+    "campaign_orders": "order_id:i public_id:s include_state:s order_hour:i",
     "product_image": "product_id:i image:s",
     # margin
     "order_attribution": "order_id:i order_source:s order_medium:s order_campaign:s web_revenue:m",

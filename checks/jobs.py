@@ -181,6 +181,10 @@ class Jobs:
     def order_cardinal(self):
         return ords.order_cardinal(self.orders_base)
 
+    @job
+    def order_cardinal_expected(self):
+        return ords.order_cardinal(self.conversion_estimate)
+
     @job
     def customer_milestones(self):
         return ords.customer_milestones(self.customer_source, self.order_cardinal)
@@ -310,6 +314,10 @@ class Jobs:
     def price_bands(self):
         return cat.price_bands(self.campaign_products, self.campaign_catalogue)
 
+    @job
+    def campaign_products_classified(self):
+        return cat.classified_products(self.campaign_products, self.size_order, self.price_bands, self.campaign_catalogue)
+
     @job
     def campaign_items(self):
         return cat.campaign_items(
@@ -584,6 +592,7 @@ class Jobs:
 STAGES: dict[str, tuple[str, ...]] = {
     # The catalogue is small but needs a pass over all campaign products.
     "price_bands": ("campaign_catalogue",),
+    "campaign_products_classified": ("campaign_catalogue", "campaign_products"),
     "campaign_kind_gender": ("campaign_catalogue",),
     "campaign_items": ("campaign_catalogue",),
     "campaign_day": ("campaign_catalogue",),
@@ -592,6 +601,7 @@ STAGES: dict[str, tuple[str, ...]] = {
     "days_since_previous_order": ("orders_base", "order_cardinal"),
     "orders_cardinal_export": ("orders_base", "order_cardinal"),
     "conversion_estimate": ("orders_base",),
+    "order_cardinal_expected": ("orders_base",),
     "frozen_order_cost": ("orders_base",),
     "new_cost_history": ("orders_base", "frozen_order_cost"),
     "taxes": ("orders_base",),

@@ -254,6 +254,8 @@ JOBS: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, public_id) AS cardinal,
         CASE WHEN payment_confirmed = 1 THEN row_number() OVER (PARTITION BY customer_id, payment_confirmed
             ORDER BY order_date, public_id) END AS cardinal_paid FROM j_orders_base)""",
+    "order_cardinal_expected": """SELECT c.*, c.is_ftp * e.conversion_factor AS is_ftp_expected
+        FROM j_order_cardinal c JOIN j_conversion_estimate e USING (order_id)""",
     "customer_milestones": f"""SELECT *, {mon('register_date')} AS register_month, year(register_date) AS register_year FROM (
         SELECT c.*, f.d AS first_order_date, p.d AS first_paid_date, coalesce(n.orders, 0) AS orders,
         least(f.d, c.registered_on) AS register_date FROM j_customer_source c
@@ -457,7 +459,11 @@ JOBS: dict[str, str] = {
         ON c.slug_products = p.slug_products AND CAST(o.created_at AS DATE) BETWEEN c.start_day0 AND c.end_date""",
     "campaign_day": """SELECT i.item_id, i.campaign_id, i.order_date - (SELECT min(start_day0) FROM j_campaign_catalogue c
         WHERE c.campaign_id = i.campaign_id) AS campaign_day FROM j_campaign_items i""",
-    "campaign_orders": "SELECT * FROM j_order_inclusion WHERE order_id IN (SELECT order_id FROM j_campaign_items)",
+    "campaign_products_classified": """SELECT p.*, z.size_sort, k.treated_slug, b.band FROM j_campaign_products p
+        LEFT JOIN j_size_order z ON z.size = p.size
+        LEFT JOIN (SELECT DISTINCT slug_products, treated_slug FROM j_campaign_catalogue) k ON k.slug_products = p.slug_products
+        LEFT JOIN j_price_bands b ON b.treated_slug = k.treated_slug AND b.final_price = p.final_price""",
+    "campaign_orders": "SELECT *, hour(created_at) AS order_hour FROM j_order_inclusion WHERE order_id IN (SELECT order_id FROM j_campaign_items)",
     # ---- margin
     "order_attribution": """SELECT b.*, coalesce(w.source, utm_source) AS order_source,
         coalesce(w.medium, utm_medium) AS order_medium, coalesce(w.campaign, utm_campaign) AS order_campaign,

@@ -70,6 +70,19 @@ def test_hot_keys_of_even_and_empty_tables(frame):
     assert joins.hot_keys(frame([(None,)] * 9, "k int"), "k") == []
 
 
+def test_star_lookup_equals_single_lookups(frame):
+    random.seed(8)
+    df = frame([(i, random.choice([None, 1, 2, 3, 99]), random.choice([None, 1, 5]), f"r{i}") for i in range(60)], "id long, a long, b long, text string")
+    entries = frame([("x", 1, "one"), ("x", 2, None), ("x", 3, "three"), ("y", 1, "uno")], "kind string, id long, label string")
+    got = joins.star_lookup(df, "id", entries, {"al": ("x", "a"), "bl": ("y", "b"), "ay": ("y", "a")}, "none")
+    assert got.columns == ["id", "a", "b", "text", "al", "bl", "ay"]
+    x, y = {1: "one", 2: None, 3: "three"}, {1: "uno"}
+    assert [(r.al, r.bl, r.ay) for r in got.orderBy("id").collect()] == [
+        (x.get(r.a, "none"), y.get(r.b, "none"), y.get(r.a, "none")) for r in df.orderBy("id").collect()]
+    assert rows(got, *df.columns) == rows(df)
+    assert joins.star_lookup(df.limit(0), "id", entries, {"al": ("x", "a")}).count() == 0
+
+
 def test_semi_and_anti(frame):
     df, keys = frame([(1,), (2,), (None,)], "k int"), frame([(1,), (1,), (None,)], "k int")
     assert rows(joins.semi(df, keys, "k")) == [(1,)]

@@ -58,6 +58,12 @@ def test_order_numbers_never_sort_a_whole_customer_or_day(spark):
     assert over_rows and all("__part" in line.split("], [")[1] for line in over_rows)
 
 
+def test_product_labels_need_few_exchanges(spark):
+    """The product table is read twice; the other two scans make the tag and brand tables of the test data."""
+    plan = QUERIES["products_dimension"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 6 and plan.count("FileScan") <= 4
+
+
 UNIT_JOBS = ["shipping_adjust", "item_cost", "frozen_order_cost", "taxes", "fulfilment_share", "contribution_margin", "real_freight"]
 
 
