@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from basketry.functions.dates import parse_day_first
 from basketry.functions.numbers import money, null_sum, ratio, total
 from basketry.functions.text import blank
-from basketry.operators.allocation import share_of_total, with_month_totals
+from basketry.operators.allocation import share_of_total
 from basketry.operators.grouping import first_by
 from basketry.operators.joins import full_on, left_many, lookup, month_table, natural_left
 from basketry.operators.reshape import stack_frames, unpivot_columns
@@ -192,32 +192,45 @@ def payment_fee(base: DataFrame, fees: DataFrame) -> DataFrame:
     return joined.withColumn("payment_fee", F.coalesce("payment_fee", F.lit(0)).cast("decimal(18,6)"))
 
 
-def fraud_and_gateway(
-    base: DataFrame, fraud_by_order: DataFrame, fraud_by_month: DataFrame, gateway_by_month: DataFrame
-) -> DataFrame:
-    """Fraud fee of the order, else of the month (card orders only); gateway fee of the month."""
-    by_order = fraud_by_order.groupBy("public_id").agg(F.min("fee").alias("order_fee"))
+def fees_by_public_id(fraud_by_order: DataFrame) -> DataFrame:
+    return fraud_by_order.groupBy("public_id").agg(F.min("fee").alias("order_fee"))
+
+
+def monthly_fees(base: DataFrame, fraud_by_month: DataFrame, gateway_by_month: DataFrame) -> DataFrame:
+    """Fraud fee of the order (`order_fee`), else of the month, for card orders; gateway fee of the month."""
     by_month = monthly(fraud_by_month.withColumnRenamed("fee", "month_fee"), ["month_fee"])
     gateway = monthly(gateway_by_month.withColumnRenamed("fee", "gateway_fee"), ["gateway_fee"])
-    joined = natural_left(natural_left(base, by_order, "public_id"), by_month, "month")
+    joined = natural_left(base, by_month, "month")
     fee = F.when(F.col("payment_form") == CREDIT_CARD, F.coalesce("order_fee", "month_fee"))
     return natural_left(joined.withColumn("fraud_fee", fee), gateway, "month").drop("order_fee", "month_fee")
 
 
-def packaging_share(base: DataFrame, packaging: DataFrame) -> DataFrame:
-    """Monthly packaging cost spread evenly over the orders of the month (`base`: one row per order)."""
-    counted = with_month_totals(base, ["month"], {"__orders": F.count("order_id")})
-    joined = natural_left(counted, monthly(packaging, ["cost"]), "month")
+def fraud_and_gateway(
+    base: DataFrame, fraud_by_order: DataFrame, fraud_by_month: DataFrame, gateway_by_month: DataFrame
+) -> DataFrame:
+    """Fraud fee of the order, else of the month (card orders only); gateway fee of the month."""
+    return monthly_fees(natural_left(base, fees_by_public_id(fraud_by_order), "public_id"), fraud_by_month, gateway_by_month)
+
+
+def packaging_share(base: DataFrame, packaging: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """Monthly packaging cost spread evenly over the orders of the month (`base`: one row per order).
+
+    The orders are counted in `orders`, a cheaper frame with the same rows as `base`, if given.
+    """
+    counts = (base if orders is None else orders).groupBy("month").agg(F.count("order_id").alias("__orders"))
+    joined = natural_left(natural_left(base, month_table(counts), "month"), monthly(packaging, ["cost"]), "month")
     return joined.withColumn("packaging", ratio(F.col("cost"), F.col("__orders"))).drop("cost", "__orders")
 
 
-def fulfilment_share(base: DataFrame, fulfilment: DataFrame, production: DataFrame) -> DataFrame:
-    """Monthly fulfilment and production costs of a unit spread over its orders by revenue."""
+def fulfilment_share(
+    base: DataFrame, fulfilment: DataFrame, production: DataFrame, orders: DataFrame | None = None
+) -> DataFrame:
+    """Monthly fulfilment and production costs of a unit spread over its orders by revenue (`orders`: as for packaging)."""
     summed = fulfilment.groupBy(*MONTH_UNIT).agg(F.sum("staff").alias("__f_staff"), F.sum("warehouse").alias("__f_warehouse"))
     made = unit_monthly(
         production.withColumnsRenamed({"staff": "__p_staff", "studios": "__p_studios"}), ["__p_staff", "__p_studios"]
     )
-    totals = base.groupBy(*MONTH_UNIT).agg(F.sum("revenue").alias("__total"))
+    totals = (base if orders is None else orders).groupBy(*MONTH_UNIT).agg(F.sum("revenue").alias("__total"))
     # The three tables have a row per month and unit, so they meet each other before they meet the orders.
     table = natural_left(natural_left(totals, summed, MONTH_UNIT), made, MONTH_UNIT)
     joined = natural_left(base, table, MONTH_UNIT)
@@ -231,11 +244,8 @@ def fulfilment_share(base: DataFrame, fulfilment: DataFrame, production: DataFra
     )
 
 
-def real_freight(base: DataFrame, erp_invoices: DataFrame, carrier: DataFrame, series_units: dict[int, str]) -> DataFrame:
-    """Freight of the carrier's file, found by invoice number, else the shop's shipping cost.
-
-    `series_units` names the unit of an invoice series; its entry 0 is the unit of all others.
-    """
+def with_carrier_freight(base: DataFrame, erp_invoices: DataFrame, carrier: DataFrame, series_units: dict[int, str]) -> DataFrame:
+    """Adds the first invoice of each order and `carrier_freight`, which the carrier's file lists for its number."""
     invoice = first_by(
         erp_invoices, ["public_id", "unit"], ["invoice_id"], ["erp_order_id", "invoice_id", "invoice_number"]
     )
@@ -246,9 +256,15 @@ def real_freight(base: DataFrame, erp_invoices: DataFrame, carrier: DataFrame, s
     freight = carrier.select(
         unit.alias("unit"), F.replace("invoice_number", F.lit(",00"), F.lit("")).alias("invoice_number"), "freight"
     ).groupBy("unit", "invoice_number").agg(F.min("freight").alias("carrier_freight"))
-    joined = natural_left(
-        natural_left(base, invoice, ["public_id", "unit"]), freight, ["unit", "invoice_number"]
-    )
+    return natural_left(natural_left(base, invoice, ["public_id", "unit"]), freight, ["unit", "invoice_number"])
+
+
+def real_freight(base: DataFrame, erp_invoices: DataFrame, carrier: DataFrame, series_units: dict[int, str]) -> DataFrame:
+    """Freight of the carrier's file, found by invoice number, else the shop's shipping cost.
+
+    `series_units` names the unit of an invoice series; its entry 0 is the unit of all others.
+    """
+    joined = with_carrier_freight(base, erp_invoices, carrier, series_units)
     return joined.withColumn("freight", F.coalesce("carrier_freight", "shipping_cost")).drop("carrier_freight")
 
 

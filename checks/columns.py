@@ -137,6 +137,9 @@ COLUMNS = {
     "packaging_share": "order_id:i packaging:f",
     "fulfilment_share": "order_id:i fulfilment_staff:f fulfilment_warehouse:f production_staff:f production_studios:f",
     "real_freight": "order_id:i erp_order_id:s invoice_id:i invoice_number:s shipping_cost:m freight:m",
+    "order_margin": "order_id:i month:d unit:s payment_form:s revenue:m product_cost:m revenue_tax:m product_tax:m freight_tax:m "
+    "payment_fee:m fraud_fee:m gateway_fee:m packaging:f fulfilment_staff:f fulfilment_warehouse:f production_staff:f "
+    "production_studios:f freight:m margin_with_fulfilment:m margin_without_fulfilment:m order_cost:f margin:f",
     "invoices": "erp_order_id:s order_id:s total_value:m basket_value:m shipping_value:m invoice_date:d "
     "invoice_number:s tax_id:s erp_email:s",
     # sources and sinks

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.plans import catalogue as cat
+from basketry.plans import costs as cst
 from basketry.plans import lifecycle as life
 from basketry.plans import margin as mar
 from basketry.plans import orders as ords
@@ -16,7 +17,7 @@ from basketry.plans import service as svc
 from basketry.plans import users as usr
 from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT
 from basketry.session import shared_folder, stage_table
-from basketry.sources import readers, writers
+from basketry.sources import buckets, readers, writers
 from basketry.sources.schemas import WEB_EVENTS
 from checks.bindings import DELIVERY_LABELS, INVENTORY_LABELS, Shop
 from checks.columns import COLUMNS, EXPORTS, shown
@@ -411,6 +412,25 @@ class Jobs:
     def real_freight(self):
         return mar.real_freight(self.shipping_adjust, self.shop.erp_invoices, self.shop.carrier, SERIES_UNITS)
 
+    # The order margin starts from tables in buckets of the order id, written once.
+    def bucketed(self, name: str, frame: DataFrame) -> DataFrame:
+        path = self.path(name)
+        return buckets.store_buckets(frame, path, path.rsplit("/", 1)[1].replace("-", "_"), "order_id")
+
+    @job
+    def order_margin(self):
+        shop = self.shop
+        heads = self.bucketed("heads", self.base_by_payment_method)
+        costs = mar.item_cost(heads, self.admin_items, shop.erp_products, shop.erp_stock, shop.items)
+        return cst.order_margin(
+            heads, self.bucketed("costs", cst.product_costs(costs)), self.bucketed("history", shop.cost_history.drop("month")),
+            self.bucketed("fraud", cst.order_fraud_fees(heads, shop.fraud_by_order)),
+            self.bucketed("freight", cst.order_freight(heads, shop.erp_invoices, shop.carrier, SERIES_UNITS)),
+            {name: getattr(shop, name) for name in (
+                "shipping_factors", "tax_rates", "payment_fees", "fraud_by_month", "gateway_by_month", "packaging_by_month",
+                "fulfilment_by_month", "production_by_month", "margin_by_month")},
+        )
+
     @job
     def invoices(self):
         return mar.invoices(self.shop.invoice_lines)

@@ -520,6 +520,26 @@ JOBS: dict[str, str] = {
         f.fs, f.fw, p.staff AS ps, p.studios AS pt FROM j_orders_base b LEFT JOIN (SELECT month, unit, sum(staff) AS fs,
         sum(warehouse) AS fw FROM shop_fulfilment_by_month GROUP BY month, unit) f USING (month, unit)
         LEFT JOIN shop_production_by_month p USING (month, unit))""",
+    "order_margin": """SELECT *, CAST(revenue AS DOUBLE) - order_cost AS margin FROM (
+        SELECT b.order_id, b.month, b.unit, b.payment_form, b.revenue, f.product_cost, t.* EXCLUDE (order_id), p.payment_fee,
+            g.* EXCLUDE (order_id), k.packaging, u.* EXCLUDE (order_id), r.freight, c.* EXCLUDE (order_id),
+            coalesce(CAST(f.product_cost AS DOUBLE), 0)
+            + coalesce(CAST(t.revenue_tax AS DOUBLE), 0)
+            + coalesce(CAST(t.product_tax AS DOUBLE), 0)
+            + coalesce(CAST(t.freight_tax AS DOUBLE), 0)
+            + coalesce(CAST(p.payment_fee AS DOUBLE), 0)
+            + coalesce(CAST(g.fraud_fee AS DOUBLE), 0)
+            + coalesce(CAST(g.gateway_fee AS DOUBLE), 0)
+            + coalesce(CAST(k.packaging AS DOUBLE), 0)
+            + coalesce(CAST(u.fulfilment_staff AS DOUBLE), 0)
+            + coalesce(CAST(u.fulfilment_warehouse AS DOUBLE), 0)
+            + coalesce(CAST(u.production_staff AS DOUBLE), 0)
+            + coalesce(CAST(u.production_studios AS DOUBLE), 0)
+            + coalesce(CAST(r.freight AS DOUBLE), 0) AS order_cost
+        FROM j_base_by_method b JOIN j_frozen_order_cost f USING (order_id) JOIN j_taxes t USING (order_id)
+        JOIN j_payment_fee p USING (order_id) JOIN j_fraud_and_gateway g USING (order_id) JOIN j_packaging_share k USING (order_id)
+        JOIN j_fulfilment_share u USING (order_id) JOIN j_real_freight r USING (order_id)
+        JOIN j_contribution_margin c USING (order_id))""",
     "real_freight": """SELECT b.order_id, n.erp_order_id, n.invoice_id, n.invoice_number, b.shipping_cost,
         coalesce(c.freight, b.shipping_cost) AS freight FROM j_shipping_adjust b
         LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY public_id, unit ORDER BY invoice_id) AS rn

@@ -64,6 +64,18 @@ def test_product_labels_need_few_exchanges(spark):
     assert plan.count("Exchange ") <= 6 and plan.count("FileScan") <= 4
 
 
+def test_costs_join_without_a_shuffle_on_the_order(spark):
+    """After the first stage the bucketed tables are joined as they lie, also where nothing can be broadcast."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["order_margin"](spark, FOLDER)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(order_id" not in plan and plan.count("Bucketed: true") >= 5, plan
+
+
 UNIT_JOBS = ["shipping_adjust", "item_cost", "frozen_order_cost", "taxes", "fulfilment_share", "contribution_margin", "real_freight"]
 
 
