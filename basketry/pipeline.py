@@ -7,13 +7,16 @@ can be rebuilt alone. Reports then start from the stored cubes.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.plans import catalogue, margin, orders, users
-from basketry.session import use_settings
-from basketry.sources import readers, writers
+from basketry.plans import catalogue, costs, margin, orders, users
+from basketry.session import stage_table, use_settings
+from basketry.sources import buckets, increments, readers, writers
+from basketry.sources.manifest import Store
 
 
 class Nightly:
@@ -84,21 +87,71 @@ class Nightly:
         return ["orders_admin", "admin_items", "customers_admin", "orders_base", "order_cardinal", "customer_milestones",
                 "months_since_first"]
 
-    def update_cost_history(self, costed: DataFrame) -> str:
-        """Freeze last month's product costs: the new history goes to a fresh folder named by the run.
+    def store_buckets(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A cube in buckets of the order id. Its table is named after the output folder, so two builds do not meet."""
+        mark = hashlib.sha256(self.out.encode()).hexdigest()[:12]
+        return buckets.store_buckets(build(), f"{self.out}/{name}", f"{name}_{mark}", "order_id")
 
-        A path that the plan reads is never overwritten; the caller points readers at the new one.
+    def build_catalogue(self, since: dt.date) -> list[str]:
+        """Campaigns and their products with size number and price band. Needs the sheets `campaign_reference` and `size_list`."""
+        t, c, sheets = self.table, self.cube, self.sheets
+        campaigns = lambda: catalogue.campaign_brand(t("campaigns"), t("campaigns_products"), t("products"), t("brands"))
+        steps = {
+            "campaign_catalogue": lambda: catalogue.campaign_catalogue(campaigns(), sheets["campaign_reference"], since),
+            "campaign_products": lambda: catalogue.campaign_products(
+                t("campaigns_products"), c("products_dimension"), c("campaign_catalogue")
+            ),
+            "size_order": lambda: catalogue.size_order(sheets["size_list"], c("campaign_products")),
+            "price_bands": lambda: catalogue.price_bands(c("campaign_products"), c("campaign_catalogue")),
+            "campaign_products_classified": lambda: catalogue.classified_products(
+                c("campaign_products"), c("size_order"), c("price_bands"), c("campaign_catalogue")
+            ),
+            "campaign_items": lambda: catalogue.campaign_items(
+                c("orders_admin"), c("admin_items"), c("campaign_catalogue"), c("campaign_products")
+            ),
+        }
+        for name, build in steps.items():
+            self.store(name, build)
+        return list(steps)
+
+    def build_margin(self, series_units: dict[int, str]) -> list[str]:
+        """The costed order fact. Needs the ERP and carrier sheets and the monthly cost sheets of `costs.order_margin`.
+
+        Tables by order id are stored in its buckets, so the fact joins them as they lie. Stored product costs win; this run's are
+        frozen by `update_cost_history` afterwards.
+        """
+        t, c, sheets = self.table, self.cube, self.sheets
+        methods = t("orders").select(F.col("id").alias("order_id"), "payment_method")
+        heads = self.store_buckets("order_heads", lambda: margin.with_payment_form(c("orders_base"), methods))
+        item_costs = margin.item_cost(heads, c("admin_items"), sheets["erp_products"], sheets["erp_stock"], t("order_items"))
+        tables = {
+            "order_item_costs": lambda: costs.product_costs(item_costs),
+            "order_cost_history": lambda: self.cost_history(),
+            "order_fraud": lambda: costs.order_fraud_fees(heads, sheets["fraud_by_order"]),
+            "order_freight": lambda: costs.order_freight(heads, sheets["erp_invoices"], sheets["carrier"], series_units),
+        }
+        stored = [self.store_buckets(name, build) for name, build in tables.items()]
+        self.store("order_margin", lambda: costs.order_margin(heads, *stored, sheets), ["month"])
+        return ["order_heads", *tables, "order_margin"]
+
+    def update_cost_history(self, costed: DataFrame) -> int:
+        """Freeze last month's product costs; returns the number of runs that are published.
+
+        Only orders without a stored cost are appended, as one run that becomes visible when it is complete. So a repeated run
+        adds nothing, a broken one leaves nothing, and the stored history is read but never rewritten.
         """
-        history = writers.history_or_empty(self.spark, self.latest_history(), "order_id long, product_cost decimal(18,4)")
-        target = f"{self.out}/cost_history/run_{self.history_runs() + 1:06d}"
-        writers.store(margin.new_cost_history(costed, history), target)
-        return target
-
-    def history_runs(self) -> int:
-        run = 0
-        while writers.exists(self.spark, f"{self.out}/cost_history/run_{run + 1:06d}/_SUCCESS"):
-            run += 1
-        return run
-
-    def latest_history(self) -> str:
-        return f"{self.out}/cost_history/run_{self.history_runs():06d}"
+        store = self.cost_store()
+        fresh = stage_table(margin.unfrozen_costs(costed, self.cost_history()))
+        if not fresh.isEmpty():
+            store.publish({"data": store.write(fresh)})
+        return len(store.entries())
+
+    def cost_store(self) -> Store:
+        return Store(self.spark, f"{self.out}/cost_history")
+
+    def cost_history(self) -> DataFrame:
+        return self.cost_store().read("order_id long, product_cost decimal(18,4)")
+
+    def merge_raw(self, table: str, incoming: DataFrame) -> list[int]:
+        """New and changed rows of a raw table with an id and `updated_at`, merged into its landed key ranges."""
+        return increments.merge_into(incoming, f"{self.out}/merged/{table}", ["id"], "updated_at", increments.id_range("id"))

@@ -10,7 +10,7 @@ from basketry.functions.numbers import money, null_sum, ratio, total
 from basketry.functions.text import blank
 from basketry.operators.allocation import share_of_total
 from basketry.operators.grouping import first_by
-from basketry.operators.joins import full_on, left_many, lookup, month_table, natural_left
+from basketry.operators.joins import anti, full_on, left_many, lookup, month_table, natural_left
 from basketry.operators.reshape import stack_frames, unpivot_columns
 from basketry.operators.rules import match_rules
 from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT, NOT_AVAILABLE
@@ -153,11 +153,18 @@ def frozen_order_cost(base: DataFrame, costs: DataFrame, history: DataFrame) ->
     )
 
 
+def previous_month_costs(costed: DataFrame) -> DataFrame:
+    return costed.where(F.col("month") == previous_month(costed)).select("order_id", "product_cost")
+
+
+def unfrozen_costs(costed: DataFrame, history: DataFrame) -> DataFrame:
+    """Orders of the previous month that the history does not have yet."""
+    return anti(previous_month_costs(costed), history, "order_id")
+
+
 def new_cost_history(costed: DataFrame, history: DataFrame) -> DataFrame:
     """History plus the orders of the previous month; a stored cost never changes."""
-    fresh = costed.where(F.col("month") == previous_month(costed)).select(
-        "order_id", F.col("product_cost").alias("new_cost")
-    )
+    fresh = previous_month_costs(costed).withColumnRenamed("product_cost", "new_cost")
     merged = full_on(history.select("order_id", "product_cost"), fresh, "order_id")
     return merged.select("order_id", F.coalesce("product_cost", "new_cost").alias("product_cost"))
 
@@ -172,6 +179,15 @@ def taxes(costed: DataFrame, rates: DataFrame) -> DataFrame:
     }).drop("revenue_rate", "product_rate", "freight_rate")
 
 
+def with_payment_form(base: DataFrame, methods: DataFrame) -> DataFrame:
+    """The orders' payment form by their (order_id, payment_method); cards are the rest."""
+    form = (
+        F.when(F.col("payment_method") == "boleto", BOLETO).when(F.col("payment_method") == "debit", DEBIT)
+        .otherwise(CREDIT_CARD)
+    )
+    return base.join(methods, "order_id").withColumn("payment_form", form)
+
+
 def payment_fee(base: DataFrame, fees: DataFrame) -> DataFrame:
     """Fee of the month by payment form, and by number of instalments (1-12) for cards.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.sources.schemas import EXTRACT_FILTERS, TABLES
+from basketry.sources.schemas import EXTRACT_FILTERS, RENAMED, TABLES
 
 
 def columns_of(spark: SparkSession, table: str) -> list[str]:
@@ -43,7 +43,8 @@ def extract(
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast the declared columns of a raw table."""
+    """Select, rename and cast the declared columns of a raw table."""
+    df = df.withColumnsRenamed(RENAMED.get(table, {}))
     schema = df.sparkSession.createDataFrame([], TABLES[table]).schema
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 

@@ -32,7 +32,7 @@ TABLES: dict[str, str] = {
     "categories": "id long, name string, slug string, parent_category long",
     "risk_analysis_results": """id long, order_id long, successful_past_order_rule int,
         maximum_order_value_rule int, maximum_of_purchase_on_period_rule int""",
-    "order_transition_logs": "id long, `from` string, `to` string, order_id long, created_at timestamp",
+    "order_transition_logs": "id long, from_state string, to_state string, order_id long, created_at timestamp",
     "tracking_infos": """id long, order_id long, tax_invoice_number string, shipping_company_name string,
         created_at timestamp""",
     "annotations": "id long, target_type string, target_id long, subject string, data string",
@@ -43,6 +43,9 @@ TABLES: dict[str, str] = {
     "addresses": "id long, user_id long, neighborhood string, city string, state string",
 }
 
+# Source columns that are landed under another name.
+RENAMED: dict[str, dict[str, str]] = {"order_transition_logs": {"from": "from_state", "to": "to_state"}}
+
 # Column whose presence an extract demands in the source query.
 EXTRACT_FILTERS: dict[str, str] = {"credits": "used_at IS NOT NULL"}
 

@@ -15,7 +15,6 @@ from basketry.plans import margin as mar
 from basketry.plans import orders as ords
 from basketry.plans import service as svc
 from basketry.plans import users as usr
-from basketry.plans.labels import BOLETO, CREDIT_CARD, DEBIT
 from basketry.session import shared_folder, stage_table
 from basketry.sources import buckets, readers, writers
 from basketry.sources.schemas import WEB_EVENTS
@@ -383,11 +382,7 @@ class Jobs:
     @job
     def base_by_payment_method(self):
         methods = self.shop.orders.select(F.col("id").alias("order_id"), "payment_method")
-        form = (
-            F.when(F.col("payment_method") == "boleto", BOLETO).when(F.col("payment_method") == "debit", DEBIT)
-            .otherwise(CREDIT_CARD)
-        )
-        return self.orders_base.join(methods, "order_id").withColumn("payment_form", form)
+        return mar.with_payment_form(self.orders_base, methods)
 
     @job
     def payment_fee(self):

@@ -2,9 +2,10 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from basketry import session
-from basketry.sources import readers, schemas, writers
+from basketry.sources import buckets, increments, manifest, readers, schemas, writers
 
 
 def test_every_schema_parses(spark):
@@ -89,3 +90,87 @@ def test_stage_goes_to_the_named_folder(spark):
     staged = session.stage_table(spark.range(3))
     assert staged.inputFiles()[0].startswith("file://" + spark.conf.get("spark.checkpoint.dir"))
     assert staged.count() == 3
+
+
+def test_source_names_become_declared_names(frame):
+    raw = frame([(1, "captured", "delivered", 5, None, "extra")], "id int, `from` string, `to` string, order_id int, created_at timestamp, note string")
+    found = readers.conform(raw, "order_transition_logs")
+    assert found.columns == ["id", "from_state", "to_state", "order_id", "created_at"]
+    assert rows(found, "from_state", "to_state", "order_id") == [("captured", "delivered", 5)]
+
+
+def test_buckets_are_joined_and_grouped_as_they_lie(spark, frame, tmp_path):
+    def stored(name, data):
+        return buckets.store_buckets(frame(data, "k long, v int"), f"{tmp_path}/{name}", f"test_{name}", "k", 3)
+
+    left, right = stored("left", [(i, i) for i in range(50)]), stored("right", [(i * 2, i) for i in range(50)])
+    joined = left.join(right.groupBy("k").agg(F.sum("v").alias("w")).hint("merge"), "k", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and joined.where("w is not null").count() == 25
+    spark.sql("DROP TABLE test_left")
+    again = buckets.open_buckets(spark, f"{tmp_path}/left", "test_left", "k long, v int", "k", 3)
+    assert rows(again) == rows(left.sparkSession.createDataFrame([(i, i) for i in range(50)], "k long, v int"))
+    replaced = stored("right", [(7, 1)])
+    assert rows(replaced) == [(7, 1)]
+
+
+def files_under(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_merge_rewrites_only_touched_buckets(spark, frame, tmp_path):
+    schema, path = "id long, state string, updated int", f"{tmp_path}/orders"
+    bucket = increments.id_range("id", 10)
+    first = [(i, "new", 1) for i in range(40)]
+    assert increments.merge_into(frame(first, schema), path, ["id"], "updated", bucket) == [0, 1, 2, 3]
+    before = files_under(tmp_path / "orders")
+    change = [(35, "paid", 2), (36, "older", 0), (37, "same", 1), (41, "new", 1), (41, "newer", 2)]
+    for _ in range(2):  # a repeated run changes nothing
+        assert increments.merge_into(frame(change, schema), path, ["id"], "updated", bucket) == [3, 4]
+        want = {i: "new" for i in range(40)} | {35: "paid", 37: "same", 41: "newer"}
+        assert dict(rows(increments.merged_table(spark, path, schema), "id", "state")) == want
+    after = files_under(tmp_path / "orders")
+    kept = {p: t for p, t in before.items() if "key_bucket=3" not in str(p)}
+    assert kept and all(after.get(p) == t for p, t in kept.items())
+    assert not any("key_bucket=3" in str(p) for p in before.keys() & after.keys())
+    assert increments.merge_into(frame([], schema), path, ["id"], "updated", bucket) == []
+    assert increments.merged_table(spark, f"{tmp_path}/none", schema).count() == 0
+
+
+def test_unpublished_runs_are_not_read(spark, frame, tmp_path):
+    store = manifest.Store(spark, f"{tmp_path}/store")
+    assert store.entries() == [] and store.read("k int").count() == 0
+    first = store.write(frame([(1,), (2,)], "k int"))
+    assert store.read("k int").count() == 0
+    store.publish({"data": first})
+    store.write(frame([(3,)], "k int"))  # this run breaks here
+    assert rows(store.read("k int")) == [(1,), (2,)]
+    other = manifest.Store(spark, f"{tmp_path}/store")
+    other._numbers = lambda: []  # a build that looked before the first was published
+    with pytest.raises(RuntimeError):
+        other.publish({"data": first})
+    assert rows(store.read("k int")) == [(1,), (2,)]
+
+
+def test_only_new_files_are_loaded(spark, tmp_path):
+    folder, path, schema = tmp_path / "in", f"{tmp_path}/loaded", "a string, b string"
+    folder.mkdir()
+    loaded = []
+
+    def read(paths):
+        loaded.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return readers.delimited(spark, paths, schema, sep=";")
+
+    def load():
+        df, n = increments.load_new_files(spark, f"{folder}/*.csv", path, schema, read)
+        return rows(df), n
+
+    (folder / "one.csv").write_text("a;b\n1;x\n2;y\n")
+    (folder / "two.csv").write_text("a;b\n3;z\n")
+    assert load() == ([("1", "x"), ("2", "y"), ("3", "z")], 2)
+    assert load() == ([("1", "x"), ("2", "y"), ("3", "z")], 0)
+    (folder / "copy of one.csv").write_text("a;b\n1;x\n2;y\n")
+    (folder / "three.csv").write_text("a;b\n4;w\n")
+    (folder / "empty.csv").write_text("")
+    assert load() == ([("1", "x"), ("2", "y"), ("3", "z"), ("4", "w")], 1)
+    assert load()[1] == 0 and loaded == [["one.csv", "two.csv"], ["three.csv"]]
