@@ -11,10 +11,11 @@ from basketry.functions.dates import days_before, month_start
 from basketry.functions.numbers import flag, ratio, total
 from basketry.functions.text import differs
 from basketry.operators.joins import full_on, natural_left, semi
-from basketry.operators.ranking import number_months, rank_bucket
+from basketry.operators.ranking import number_months, rank_buckets
 from basketry.operators.reshape import stack_frames, unpivot_columns
 from basketry.plans.labels import NO, NOT_AVAILABLE, YES
 from basketry.plans.margin import MONTH_UNIT, unit_monthly
+from basketry.session import stage_table
 
 # ---------------------------------------------------------------- lifetime value
 
@@ -166,16 +167,13 @@ def acquisition_cost(spend: DataFrame) -> DataFrame:
 def rfm_score(paid_orders: DataFrame) -> DataFrame:
     """Quintiles of revenue, frequency and recency (1 is best) and the weighted score.
 
-    Each quintile is a rank over all customers, taken on the per-customer sums.
+    Each quintile is a rank over all customers, taken on the per-customer sums, which are stored once and never sorted.
     """
-    customers = paid_orders.groupBy("customer_id").agg(
+    customers = stage_table(paid_orders.groupBy("customer_id").agg(
         F.sum("revenue").alias("revenue"), F.count("order_id").alias("frequency"), F.max("order_date").alias("recency")
-    )
-    r, f, m = F.col("recency").desc(), F.col("frequency").desc(), F.col("revenue").desc()
-    tie = F.col("customer_id").asc()
-    ranked = rank_bucket(customers, [m, f, r, tie], 5, "m_class")
-    ranked = rank_bucket(ranked, [f, m, r, tie], 5, "f_class")
-    ranked = rank_bucket(ranked, [r, m, f, tie], 5, "r_class")
+    ))
+    r, f, m, tie = ("recency", True), ("frequency", True), ("revenue", True), ("customer_id", False)
+    ranked = rank_buckets(customers, {"m_class": [m, f, r, tie], "f_class": [f, m, r, tie], "r_class": [r, m, f, tie]}, 5)
     score = (6 - F.col("r_class")) + 2 * (6 - F.col("f_class")) + 3 * (6 - F.col("m_class"))
     return ranked.withColumn("score", score).withColumn("is_vip", F.when(F.col("score") >= 27, YES).otherwise(NO))
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+from decimal import Decimal
 
 from conftest import rows
 import pytest
@@ -157,23 +158,58 @@ def test_running_counts_of_one_group_and_day(frame, spark):
 
 
 def test_rank_bucket_is_not_ntile(frame):
-    got = ranking.rank_bucket(frame([(i,) for i in range(7)], "v int"), [F.col("v").asc()], 5, "b")
+    got = ranking.rank_buckets(frame([(i,) for i in range(7)], "v int"), {"b": [("v", False)]}, 5)
     assert [b for _, b in sorted(got.select("v", "b").collect())] == [1, 2, 3, 3, 4, 5, 5]
 
 
-def test_rank_bucket_over_many_rows_with_one_value(frame):
-    n = 503
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 11, 503])
+def test_rank_bucket_over_many_rows_with_one_value(frame, n):
     df = frame([(i, 1 if i % 3 else i) for i in range(n)], "id int, v int")
-    got = ranking.rank_bucket(df, [F.col("v").desc(), F.col("id").asc()], 5, "b")
+    got = ranking.rank_buckets(df, {"b": [("v", True), ("id", False)]}, 5)
     order = sorted(((1 if i % 3 else i), i) for i in range(n))
     order.sort(key=lambda r: (-r[0], r[1]))
     expected = sorted((i, math.ceil((k + 1) * 5 / n)) for k, (_, i) in enumerate(order))
     assert sorted(tuple(r) for r in got.select("id", "b").collect()) == expected
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_rank_bucket_of_wide_values_and_nulls(frame, descending):
+    """Decimals over the whole range, dates, nulls and ties; without sorting or shuffling the rows."""
+    random.seed(12)
+    amounts = [Decimal(random.choice([1, -1]) * random.randint(0, 10**random.randint(0, 28))).scaleb(-4) for _ in range(120)]
+    data = [(i, random.choice([None, *amounts]), random.choice([None, day(random.randint(-900, 900)), day(3)])) for i in range(700)]
+    df = frame(data, "id long, v decimal(32,4), d date")
+    got = ranking.rank_buckets(df, {"b": [("v", descending), ("d", not descending), ("id", False)]}, 7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    sign = -1 if descending else 1
+
+    def place(r):
+        # Ascending puts nulls first, descending last, as ORDER BY does.
+        return ((r[1] is None) == descending, sign * (r[1] or 0)), ((r[2] is None) != descending, -sign * (r[2] or day(0)).toordinal()), r[0]
+
+    ordered = sorted(data, key=place)
+    assert {r.id: r.b for r in got.collect()} == {r[0]: math.ceil((k + 1) * 7 / 700) for k, r in enumerate(ordered)}
+
+
 def test_rank_of_an_empty_table(frame):
     df = frame([], "v int")
-    assert ranking.rank_bucket(df, [F.col("v").asc()], 5, "b").count() == 0
+    assert ranking.rank_buckets(df, {"b": [("v", False)]}, 5).count() == 0
+
+
+def test_rank_buckets_of_floats_in_two_orders(frame):
+    random.seed(13)
+    df = frame([(i, random.choice([None, 0.1, -2.5, 1e-300, random.uniform(-1e9, 1e9)])) for i in range(301)], "id int, v double")
+    got = {r.id: (r.up, r.down) for r in ranking.rank_buckets(df, {"up": [("v", False), ("id", False)], "down": [("v", True), ("id", False)]}, 4).collect()}
+    data = [(r.id, r.v) for r in df.collect()]
+    up = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    down = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    place = {name: {r[0]: math.ceil((k + 1) * 4 / 301) for k, r in enumerate(rows_)} for name, rows_ in (("up", up), ("down", down))}
+    assert got == {i: (place["up"][i], place["down"][i]) for i, _ in data}
+
+
+def test_rank_rows_of_an_empty_table(frame):
+    df = frame([], "v int")
     assert ranking.rank_rows(df, [F.col("v").asc()], "n").count() == 0
 
 
