@@ -14,6 +14,8 @@ from basketry.session import stage_table
 ANYTHING = "x"
 #: Length of the pieces that route contains-tests to texts.
 PIECE = 3
+#: Pairs of texts and rules under one piece beyond which a second piece splits them.
+CROWDED = 100_000
 
 
 def all_of(tests: list[Column]) -> Column:
@@ -32,6 +34,44 @@ def _pieces_of(text: Column, size: int) -> Column:
     return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
 
 
+def pattern_pieces(pattern: Column, field: str) -> Column:
+    """The pieces of full length of a pattern, or the whole of a shorter one. A text with the pattern has them all."""
+    long = F.array_distinct(_pieces_of(pattern, PIECE))
+    found = F.when(F.length(pattern) >= PIECE, long).otherwise(F.array(pattern))
+    return F.transform(found, lambda piece: F.struct(F.lit(field).alias("field"), piece.alias("piece")))
+
+
+def routed(rules: DataFrame, cut: DataFrame, patterns: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Rules with the two rarest pieces of their patterns among the texts (`__on`, `__second`), and if the first is crowded.
+
+    A piece is crowded when its texts times its rules are more than CROWDED pairs. `__second` is null where a rule has one piece.
+    """
+    held = cut.select(F.explode("__pieces").alias("__piece")).groupBy("__piece").agg(F.count("*").alias("__texts"))
+    nothing = F.array().cast("array<struct<field:string,piece:string>>")
+    own = F.concat(*[F.when(sought, pattern_pieces(pattern, c)).otherwise(nothing) for c, (sought, pattern) in patterns.items()])
+    names = rules.columns
+    # At most as many pieces per rule as its own patterns have characters.
+    listed = rules.withColumn("__piece", F.explode(own)).join(held, "__piece", "left").groupBy(*names).agg(
+        F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("__texts", F.lit(0)).alias("texts"), F.col("__piece").alias("piece")))), 1, 2).alias("__rarest")
+    ).withColumns({"__on": F.col("__rarest")[0]["piece"], "__held": F.col("__rarest")[0]["texts"], "__second": F.get("__rarest", F.lit(1))["piece"]})
+    # A piece that no text has rules the rule out.
+    possible = stage_table(listed.where("__held > 0").drop("__rarest"))
+    crowds = possible.groupBy("__on").agg((F.max("__held") * F.count("*") > CROWDED).alias("__crowded"))
+    return possible.join(crowds, "__on").drop("__held")
+
+
+def by_rarest_pieces(cut: DataFrame, rules: DataFrame) -> list[DataFrame]:
+    """Pairs of texts and rules that share the rule's rarest piece, and the second rarest where the first is crowded."""
+    crowded, free = rules.where("__crowded"), rules.where("not __crowded")
+    single = cut.withColumn("__on", F.explode("__pieces")).drop("__pieces")
+    marks = crowded.select("__on").distinct()
+    alone = F.struct(F.lit("").alias("field"), F.lit("").alias("piece"))
+    both = cut.withColumn("__on", F.explode("__pieces")).join(marks, "__on").withColumn(
+        "__second", F.explode(F.array_append("__pieces", alone))).drop("__pieces")
+    split = crowded.withColumn("__second", F.coalesce("__second", alone))
+    return [single.join(free, "__on"), both.join(split, ["__on", "__second"])]
+
+
 def match_rules(
     df: DataFrame,
     rules: DataFrame,
@@ -47,8 +87,8 @@ def match_rules(
 
     The distinct field combinations are stored first, so that no test is pushed down to the rows they come
     from. Rules meet them by equality, whatever their number: on the exact fields a rule sets; without
-    one, on the first piece of its first pattern; rules that accept everything are reduced to the first of
-    them. All fields are tested after that.
+    one, on the piece of its patterns that the fewest texts have, and on a second one where many texts and rules share
+    the first; rules that accept everything are reduced to the first of them. All fields are tested after that.
     """
     columns = [c for pair in fields.values() for c in pair] + take
     entry = F.struct(F.col(number).alias("number"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
@@ -67,19 +107,22 @@ def match_rules(
     none_set = all_of([~s for s in sets.values()])
 
     hits = []
+    # One row per set of exact fields in use, of at most 2 ** len(fields) sets.
+    used = {frozenset(c for c in fields if row[c]) for row in sheet.select(*[sets[c].alias(c) for c in fields]).distinct().collect()}
     for size in range(1, len(fields) + 1):
         for chosen in combinations(fields, size):
+            if frozenset(chosen) not in used:
+                continue
             own = sheet.where(all_of([sets[c] if c in chosen else ~sets[c] for c in fields]))
             same = all_of([F.col(f"__text_{c}") == F.col(f"__{fields[c][0]}") for c in chosen])
             hits.append(texts.join(own, same).where(accepts).select(*fields, "__rule"))
-    first = F.coalesce(*[
-        F.when(seeks[c], F.struct(F.lit(c).alias("field"), F.substr(F.col(f"__{like}"), F.lit(1), F.lit(PIECE)).alias("piece")))
-        for c, (_, like) in fields.items()
-    ])
-    routed = sheet.where(none_set & reduce(lambda a, b: a | b, seeks.values())).withColumn("__on", first)
-    cut = texts.withColumn("__piece", F.explode(F.concat(*[pieces(F.col(f"__text_{c}"), c) for c in fields])))
-    by_piece = (F.col("__piece.field") == F.col("__on.field")) & (F.col("__piece.piece") == F.col("__on.piece"))
-    hits.append(cut.join(routed, by_piece).where(accepts).select(*fields, "__rule"))
+    patterns = {c: (seeks[c], F.col(f"__{like}")) for c, (_, like) in fields.items()}
+    searching = sheet.where(none_set & reduce(lambda a, b: a | b, seeks.values()))
+    cut = texts.withColumn("__pieces", F.concat(*[pieces(F.col(f"__text_{c}"), c) for c in fields]))
+    hits += [] if frozenset() not in used else [
+        pairs.where(accepts).select(*fields, "__rule") for pairs in by_rarest_pieces(cut, routed(searching, cut, patterns))
+    ]
+    hits = hits or [texts.withColumn("__rule", F.lit(None).cast(sheet.schema["__rule"].dataType)).select(*fields, "__rule").limit(0)]
     found = reduce(DataFrame.unionByName, hits).groupBy(*fields).agg(F.min("__rule").alias("__found"))
 
     catch_all = sheet.where(none_set & all_of([~s for s in seeks.values()])).agg(F.min("__rule").alias("rule")).scalar()

@@ -624,6 +624,10 @@ STAGES: dict[str, tuple[str, ...]] = {
     "fulfilment_share": ("orders_base",),
     "ltv_summary": ("orders_base", "order_cardinal", "customer_milestones"),
     "ltv_curve": ("orders_base", "order_cardinal", "customer_milestones"),
+    "channel_orders": ("orders_base", "channel_counts"),
+    "channel_customers": ("channel_counts",),
+    "channel_rules": ("channel_counts",),
+    "untreated_channels": ("channel_counts",),
     "rfm_export": ("orders_base", "channel_customers"),
     "churn_snapshot_stored": ("churn_customers",),
     "conversion_snapshot_stored": ("orders_base",),

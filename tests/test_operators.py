@@ -292,6 +292,36 @@ def test_twenty_five_thousand_rules(frame):
     assert "Cartesian" not in above and "Join Cross" not in above
 
 
+def test_rules_with_a_common_prefix_make_few_pairs(frame, spark, tmp_path):
+    """25,000 patterns that start alike, against texts that all start so: the rarest piece decides who meets whom."""
+    sheet = [(i, "x", f"www.shop{i:05d}", "x", "x", f"l{i}") for i in range(25_000)]
+    texts = [(f"www.shop{i * 61:05d}.example", "m") for i in range(400)] + [("www.shopping", "m")]
+    fields = {"source": ("es", "ls"), "medium": ("em", "lm")}
+    got = rules.match_rules(frame(texts, "source string, medium string"), frame(sheet, RULE_SCHEMA), fields, ["level"])
+    assert rows(got, "source", "rule_no") == sorted([(t, i * 61) for i, (t, _) in enumerate(texts[:400])] + [("www.shopping", None)])
+    cut = frame([(t, "m", t, "m") for t, _ in texts], "source string, medium string, __text_source string, __text_medium string").withColumn(
+        "__pieces", rules.pieces(F.col("__text_source"), "source"))
+    sheet_of = frame([(i, p) for i, _, p, *_ in sheet], "n int, __ls string")
+    routed = rules.routed(sheet_of, cut, {"source": (F.lit(True), F.col("__ls"))})
+    pairs = sum(p.count() for p in rules.by_rarest_pieces(cut, routed))
+    assert pairs < len(sheet) * len(texts) / 200
+
+
+@pytest.mark.parametrize("crowded", [0, 5, 10**9])
+def test_a_second_piece_splits_a_crowd(frame, monkeypatch, crowded):
+    monkeypatch.setattr(rules, "CROWDED", crowded)
+    random.seed(15)
+    word = lambda n: "".join(random.choice("abc") for _ in range(random.randint(1, n)))
+    sheet = [(i, "x", word(6), "x", random.choice(["x", word(4)]), f"l{i}") for i in range(200)]
+    texts = sorted({(word(12), word(6)) for _ in range(80)})
+    got = rules.match_rules(frame(texts, "source string, medium string"), frame(sheet, RULE_SCHEMA), {"source": ("es", "ls"), "medium": ("em", "lm")}, ["level"])
+
+    def plain(source, medium):
+        return next(((source, medium, i) for i, _, a, _, b, _ in sheet if a in source and (b == "x" or b in medium)), (source, medium, None))
+
+    assert rows(got, "source", "medium", "rule_no") == sorted((plain(*t) for t in texts), key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
 # ---- allocation
 
 def test_shares_sum_to_the_month(frame):
