@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -159,24 +158,59 @@ class Transducer:
         return (*out, *self._back(ended, at))
 
 
-class Pieces(dict):
-    """Ids per piece; known pieces are looked up, new ones run through the transducer.
+class Kept(dict):
+    """What is made of each piece; known pieces are looked up, new ones are made.
 
     When full, the table becomes the older one, from which pieces that are still in use come back.
     """
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self):
         super().__init__()
-        self.transducer, self.older = transducer, {}
+        self.older = {}
+
+    def make(self, piece: str):
+        raise NotImplementedError
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or self.transducer.encode(piece.encode())
+    def __missing__(self, piece: str):
+        made = self.older.get(piece)
+        if made is None:
+            made = self.make(piece)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= MAX_PIECES:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = made
+        return made
+
+
+class Pieces(Kept):
+    """Ids per piece, by the transducer."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer = transducer
+
+    def make(self, piece: str) -> tuple[int, ...]:
+        return self.transducer.encode(piece.encode())
+
+
+class PackedPieces(Pieces):
+    """Ids per piece as 32-bit numbers in bytes, so that the ids of a text are one join."""
+
+    def make(self, piece: str) -> bytes:
+        return np.array(super().make(piece), np.int32).tobytes()
+
+
+class DecodedPieces(Kept):
+    """Text of each piece's ids where the machine, started without pending bytes, ends without; else None."""
+
+    def __init__(self, packed: PackedPieces, machine: Utf8Machine):
+        super().__init__()
+        self.packed, self.machine = packed, machine
+
+    def make(self, piece: str) -> str | None:
+        text, pending = self.machine.read(np.frombuffer(self.packed[piece], np.int32).tolist())
+        return None if pending else text
 
 
 class Utf8Machine:
@@ -213,6 +247,11 @@ class Utf8Machine:
         return "".join(out), pending
 
     def decode(self, ids: list[int]) -> str:
+        text, pending = self.read(ids)
+        return text + "�" if pending else text
+
+    def read(self, ids: list[int]) -> tuple[str, bytes]:
+        """The text that is complete after the ids, and the bytes that are not."""
         pending, out = b"", []
         arcs = self.arcs[b""]
         for token in ids:
@@ -228,14 +267,12 @@ class Utf8Machine:
                         self.arcs = {b"": self.arcs[b""]}
                     self.arcs[pending] = {}
                 arcs = self.arcs[pending]
-        if pending:
-            out.append("�")
-        return "".join(out)
+        return "".join(out), pending
 
 
 @lru_cache(maxsize=2)
 def _encoder(packed: tuple[tuple[bytes, int], ...], pattern: str):
-    return regex.compile(pattern).findall, Pieces(Transducer(dict(packed)))
+    return regex.compile(pattern).findall, PackedPieces(Transducer(dict(packed)))
 
 
 @lru_cache(maxsize=2)
@@ -243,6 +280,18 @@ def _decoder(packed: tuple[tuple[bytes, int], ...]) -> Utf8Machine:
     return Utf8Machine({rank: token for token, rank in packed})
 
 
+@lru_cache(maxsize=2)
+def _reader(packed: tuple[tuple[bytes, int], ...], pattern: str) -> DecodedPieces:
+    return DecodedPieces(_encoder(packed, pattern)[1], _decoder(packed))
+
+
+def _id_lists(rows: list[bytes]) -> pa.Array:
+    """Lists of ids from their bytes."""
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) per row. Null and empty texts give an empty array. Other columns are not read.
 
@@ -253,17 +302,37 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, pieces = _encoder(shared.value, pattern)
         for keys, texts in slices(batches):
-            rows = [list(chain.from_iterable([pieces[piece] for piece in split(value or "")])) for value in texts]
-            counts = np.fromiter(map(len, rows), np.int64, len(rows))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(rows), np.int32, int(offsets[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids], names=["key", "ids"])
+            rows = [b"".join(map(pieces.__getitem__, split(value or ""))) for value in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _id_lists(rows)], names=["key", "ids"])
 
     picked = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     return picked.mapInArrow(run, "key long, ids array<int>").withColumnRenamed("key", key)
 
 
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, text) per row: `encode` and then `decode` in one pass, where a piece is decoded from its ids once.
+
+    The text comes from the ids alone. A piece that ends within a character sends its text's ids through the machine as a whole.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(tuple(ranks.items()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (split, pieces), decoded, machine = _encoder(shared.value, pattern), _reader(shared.value, pattern), _decoder(shared.value)
+        for keys, texts in slices(batches):
+            rows, read = [], []
+            for value in texts:
+                found = split(value or "")
+                ids = b"".join(map(pieces.__getitem__, found))
+                parts = list(map(decoded.__getitem__, found))
+                rows.append(ids)
+                read.append(machine.decode(np.frombuffer(ids, np.int32).tolist()) if None in parts else "".join(parts))
+            columns = [pa.array(keys, pa.int64()), _id_lists(rows), pa.array(read, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "text"])
+
+    picked = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return picked.mapInArrow(run, "key long, ids array<int>, text string").withColumnRenamed("key", key)
+
+
 def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, ids, text) per row; a null array gives an empty text. An id outside the vocabulary is an error."""
     shared = df.sparkSession.sparkContext.broadcast(tuple(ranks.items()))
@@ -290,8 +359,7 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text per document."""
     ranks, pattern = vocabulary()
-    decoded = decode(encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks)
-    return decoded.select(
+    return round_trip(table(spark, sf_dir, "documents"), ranks, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),

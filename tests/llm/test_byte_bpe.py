@@ -50,6 +50,22 @@ def test_odd_rows(machine, make_docs):
     assert sorted((str(r.doc_id), r.text) for r in rows) == sorted((str(k), t or "") for k, t in ODD)
     assert all(r.ids == machine[0].encode_ordinary(r.text) for r in rows)
     assert byte_bpe.encode(docs.limit(0), ranks, pattern).count() == 0
+    both = byte_bpe.round_trip(docs, ranks, pattern)
+    assert sorted((str(r.doc_id), r.ids, r.text) for r in both.collect()) == sorted((str(r.doc_id), r.ids, r.text) for r in rows)
+    assert byte_bpe.round_trip(docs.limit(0), ranks, pattern).count() == 0
+
+
+def test_pieces_that_end_within_a_character(spark):
+    """A pattern over bytes in disguise would cut characters; ids are then read as a whole, and broken ends replaced."""
+    ranks = {bytes((b,)): b for b in range(256)}
+    machine = byte_bpe.Utf8Machine({r: t for t, r in ranks.items()})
+    assert machine.read([0xC3]) == ("", b"\xc3") and machine.read([0xC3, 0xA9]) == ("é", b"")
+    assert machine.decode([0x61, 0xC3]) == "a�"
+    packed = byte_bpe.PackedPieces(byte_bpe.Transducer(ranks))
+    decoded = byte_bpe.DecodedPieces(packed, machine)
+    assert decoded["é"] == "é"
+    packed["cut"] = byte_bpe.np.array([0xC3], byte_bpe.np.int32).tobytes()
+    assert decoded["cut"] is None
 
 
 def test_query(spark, machine, make_docs, tmp_path):
