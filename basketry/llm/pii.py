@@ -4,12 +4,13 @@ The formats (e-mail, IP address, card, phone) give the seed entities. A pattern
 the two before it, or the one before and the one after. Patterns and instances form a bipartite graph over all documents. In
 turns, a pattern's confidence for a kind is the share of its instances that are of the kind, weighted by their
 scores, and an unseen instance's score is the chance that at least one of its patterns is right. Accepted instances support further patterns,
-until nothing new is found. Tokens with a
-digit or an @ in a confident pattern are then spans of that kind too; the spans of the formats always stay.
+until nothing new is found. All occurrences of accepted instances (tokens with a digit or an @) are then spans of that kind too,
+whatever stands around them; the spans of the formats always stay.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ ROUNDS = 3
 SUPPORT = 3
 CONFIDENT = 0.6
 ACCEPTED = 0.6
-#: Characters of text that are looked at for the words around an entity.
+#: Characters that are looked at first for the words around an entity; more are if a word goes on beyond. Longer words
+#: stand in a pattern as their digest.
 AROUND = 120
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -85,13 +87,28 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _plain(word: str) -> str:
-    return re.sub(r"[0-9]+", "0", word.lower())
+    word = re.sub(r"[0-9]+", "0", word.lower())
+    if len(word) <= AROUND:
+        return word
+    letter = "w" if any(map(str.isalpha, word)) else ""
+    return f"{letter}~{int.from_bytes(hashlib.blake2b(word.encode(), digest_size=12).digest())}"
+
+
+def words_around(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    """The last two words before an entity and the first after it, each read to its border."""
+    size, low = AROUND, max(0, start - AROUND)
+    while low and len(text[low:start].split()) <= 2:  # the first of them may go on to the left
+        size *= 4
+        low = max(0, start - size)
+    before, size = text[low:start].split()[-2:], AROUND
+    while end + size < len(text) and len(text[end:end + size].split()) <= 1:
+        size *= 4
+    return before, text[end:end + size].split()[:1]
 
 
 def patterns(text: str, start: int, end: int) -> tuple[str | None, str | None]:
     """The two patterns of an entity; null if no letter stands in the words of one."""
-    before = [_plain(w) for w in text[max(0, start - AROUND):start].split()[-2:]]
-    after = [_plain(w) for w in text[end:end + AROUND].split()[:1]]
+    before, after = ([_plain(w) for w in words] for words in words_around(text, start, end))
     left = ["^"] * (2 - len(before)) + before
     right = after[0] if after else "$"
     two = f"{left[0]} {left[1]} _"
@@ -196,10 +213,10 @@ def find(docs: DataFrame) -> DataFrame:
     Null texts count as empty. Rows with one id are told apart by the hash of their text. Offsets are code points, ends exclusive.
     """
     read = stage_table(read_documents(docs))
-    kept, instances = confident_instances(read)
+    _, instances = confident_instances(read)
     unseen = read.select("doc_id", "text_hash", F.explode("found").alias("o")).filter("o.seed is null")
-    placed = unseen.select("doc_id", "text_hash", "o.start", "o.end", "o.instance", F.explode(F.array("o.two", "o.both")).alias("pattern"))
-    extra = placed.join(kept, "pattern").join(instances.select("instance", "kind"), ["instance", "kind"]).groupBy(
+    placed = unseen.select("doc_id", "text_hash", "o.start", "o.end", "o.instance")
+    extra = placed.join(instances.select("instance", "kind"), "instance").groupBy(
         F.col("doc_id").alias("x_id"), F.col("text_hash").alias("x_hash")).agg(F.collect_set(F.struct("kind", "start", "end")).alias("extra"))
     same = F.col("doc_id").eqNullSafe(F.col("x_id")) & F.col("text_hash").eqNullSafe(F.col("x_hash"))
     place = F.create_map(*[F.lit(v) for pair in zip(KINDS, range(len(KINDS))) for v in pair])
