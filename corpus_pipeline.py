@@ -40,9 +40,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens): token ids per document, of which decoding gives back the text."""
+    """(doc_id, ids, n_tokens, decoded_sha256): token ids per document, and the digest of the text that they decode to."""
     ranks, pattern = byte_bpe.vocabulary()
-    return byte_bpe.encode(docs, ranks, pattern).withColumn("n_tokens", F.size("ids").cast("long"))
+    read = byte_bpe.round_trip(docs, ranks, pattern)
+    return read.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
