@@ -5,6 +5,7 @@ All of them share one parent, the restaurant of words without context, whose bas
 and one more, which stands for any unknown word. Customers of a context restaurant are the training tokens; each table
 of it sends one customer to the parent. The numbers of tables are sampled by Gibbs: a sweep redraws the tables of every pair of context and word
 given the totals of its restaurant and the parent's probability of the word, then the parent's tables of every word; the totals follow after each sweep.
+A draw is a function of context, word and sweep, so any number of partitions and any repeated task gives the same tables.
 A pair of one customer has one table at any time, so only the other pairs are drawn. Averages over the last
 draws give the predictive probabilities.
 
@@ -40,6 +41,8 @@ SWEEPS = 3
 KEPT = 3
 #: Tables of up to this many customers are drawn from their exact conditional, those of more in strides.
 EXACT = 24
+#: Up to this many customers the strides of many rows are drawn together.
+ONE_BY_ONE = 256
 FLUSH = 500_000
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
@@ -95,26 +98,52 @@ def _stirling(discount: float) -> np.ndarray:
 TABLES = {discount: _stirling(discount) for discount in (DISCOUNT, ROOT_DISCOUNT)}
 
 
-def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Numbers of tables of a word: `customers` of it, and the weight `opening` of a new table at any time."""
+def uniforms(keys: np.ndarray, seed: int, first: int, count: int) -> np.ndarray:
+    """Numbers in (0, 1) that depend on nothing but a row's key, the seed and their place: row by row, from `first` on."""
+    with np.errstate(over="ignore"):
+        place = np.uint64(seed) * np.uint64(1 << 20) + np.arange(first, first + count, dtype=np.uint64)
+        x = keys.astype(np.uint64)[:, None] + (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(11)) * 2.0**-53 + 2.0**-54
+
+
+def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
+    """Numbers of tables of a word: `customers` of it, and the weight `opening` of a new table at any time.
+
+    Draws belong to the row's key, so they are the same in any batch, order and partition.
+    """
     tables = np.minimum(customers, 1).astype(np.int64)
     many = np.flatnonzero(customers > 1)
     if not len(many):
         return tables
-    c, a = customers[many], opening[many]
+    c, a, k = customers[many], opening[many], keys[many]
     first = np.minimum(c, EXACT)
     weights = TABLES[discount][first][:, 1:] + np.arange(1, EXACT + 1) * np.log(a)[:, None]
-    weights += rng.gumbel(size=weights.shape)
+    weights -= np.log(-np.log(uniforms(k, seed, 0, EXACT)))
     t = weights.argmax(axis=1) + 1
-    seated = first.copy()
+    seated, used = first.copy(), EXACT
     going = np.flatnonzero(seated < c)
     while len(going):
-        n, k, total = seated[going], t[going], c[going]
+        n, total = seated[going], c[going]
         stride = np.minimum(np.maximum(n // 8, 1), total - n)
-        chance = a[going] / (a[going] + n + stride / 2 - discount * k)
-        t[going] += rng.binomial(stride, chance)
+        chance = a[going] / (a[going] + n + stride / 2 - discount * t[going])
+        widest = int(stride.max())
+        opened = (uniforms(k[going], seed, used, widest) < chance[:, None]) & (np.arange(widest) < stride[:, None])
+        t[going] += opened.sum(axis=1)
+        used += widest
         seated[going] += stride
-        going = going[seated[going] < total]
+        # Beyond this, a generator for each row, of which there are few.
+        going = going[(seated[going] < total) & (seated[going] < ONE_BY_ONE)]
+    for i in np.flatnonzero(seated < c):
+        rng = np.random.Generator(np.random.Philox(key=np.array([int(k[i]) & (1 << 64) - 1, seed], np.uint64)))
+        n, have, total = int(seated[i]), int(t[i]), int(c[i])
+        while n < total:
+            stride = min(n // 8, total - n)
+            have += int(rng.binomial(stride, a[i] / (a[i] + n + stride / 2 - discount * have)))
+            n += stride
+        t[i] = have
     tables[many] = t
     return tables
 
@@ -172,15 +201,14 @@ def _root_opening(root_tables: float, words: int) -> float:
 
 
 def _drawn(df: DataFrame, discount: float, seed: int, keep: bool) -> DataFrame:
-    """`df` with `tables` drawn for `customers` and `opening`, and added to `kept` if they are to be averaged."""
-    names = [c for c in df.columns if c not in ("opening", "kept")]
+    """`df` with `tables` drawn for `customers`, `opening` and `key`, and added to `kept` if they are to be averaged."""
+    names = [c for c in df.columns if c not in ("opening", "kept", "key")]
     types = dict(df.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            customers, opening, kept = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("customers", "opening", "kept"))
-            rng = np.random.default_rng([seed, batch.num_rows, int(customers.sum())])
-            tables = draw_tables(customers, opening, discount, rng)
+            customers, opening, kept, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("customers", "opening", "kept", "key"))
+            tables = draw_tables(customers, opening, discount, keys, seed)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array(tables), pa.array(kept + tables if keep else kept)], names=[*names, "tables", "kept"])
 
@@ -215,10 +243,11 @@ def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[DataFrame, Totals, int,
         keep, opening = sweep >= sweeps, _root_opening(root_tables, train_words)
         even = (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + opening) / (ROOT_STRENGTH + root_customers)
         weighed = drawn.select("context", "word", "customers", "kept").join(restaurants, "context").join(roots.select("word", even.alias("p")), "word").select(
-            "context", "word", "customers", "kept", ((STRENGTH + DISCOUNT * F.col("tables")) * F.col("p")).alias("opening"))
+            "context", "word", "customers", "kept", ((STRENGTH + DISCOUNT * F.col("tables")) * F.col("p")).alias("opening"),
+            F.xxhash64("context", "word").alias("key"))
         drawn = stage_table(_drawn(weighed, DISCOUNT, 2 * sweep, keep))
         restaurants = tables_of(contexts, "context", "tables").select("context", (F.col("single") + F.col("drawn")).alias("tables"))
-        sent = tables_of(words, "word", "tables").select("word", (F.col("single") + F.col("drawn")).alias("customers"), F.lit(opening).alias("opening"))
+        sent = tables_of(words, "word", "tables").select("word", (F.col("single") + F.col("drawn")).alias("customers"), F.lit(opening).alias("opening"), F.xxhash64("word").alias("key"))
         roots = stage_table(_drawn(sent.join(roots.select("word", "kept"), "word"), ROOT_DISCOUNT, 2 * sweep + 1, keep))
         root_customers, root_tables = (int(n or 0) for n in roots.agg(F.sum("customers"), F.sum("tables")).first())
 

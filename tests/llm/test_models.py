@@ -132,10 +132,48 @@ def test_exact_draws_of_tables():
     d, a, c = lm_scoring.DISCOUNT, 0.7, 5
     weights = np.exp(lm_scoring.TABLES[d][c][1:c + 1]) * a ** np.arange(1, c + 1)
     mean = (weights * np.arange(1, c + 1)).sum() / weights.sum()
-    drawn = lm_scoring.draw_tables(np.full(40_000, c), np.full(40_000, a), d, np.random.default_rng(0))
+    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 40_000)
+    drawn = lm_scoring.draw_tables(np.full(40_000, c), np.full(40_000, a), d, keys, 3)
     assert drawn.mean() == pytest.approx(mean, rel=0.02)
 
 
+@pytest.mark.parametrize("c", [60, 700])
+def test_draws_in_strides_are_close_to_single_ones(c):
+    """Customers after the first EXACT ones, seated together or one by one."""
+    d, a, rows = lm_scoring.DISCOUNT, 2.5, 3000
+    draw = np.random.default_rng(1)
+    keys = draw.integers(-(2**63), 2**63 - 1, rows)
+    tables = lm_scoring.draw_tables(np.full(rows, lm_scoring.EXACT), np.full(rows, a), d, keys[::-1], 5).astype(float)
+    for n in range(lm_scoring.EXACT, c):
+        tables += draw.random(rows) < a / (a + n - d * tables)
+    drawn = lm_scoring.draw_tables(np.full(rows, c), np.full(rows, a), d, keys, 5)
+    assert drawn.mean() == pytest.approx(tables.mean(), rel=0.05) and drawn.std() == pytest.approx(tables.std(), rel=0.15)
+
+
+def test_draws_belong_to_their_rows():
+    draw = np.random.default_rng(2)
+    c, a, keys = draw.integers(0, 900, 500), draw.random(500) * 4 + 0.01, draw.integers(-(2**63), 2**63 - 1, 500)
+    whole = lm_scoring.draw_tables(c, a, lm_scoring.DISCOUNT, keys, 1)
+    order = draw.permutation(500)
+    parts = [lm_scoring.draw_tables(c[i], a[i], lm_scoring.DISCOUNT, keys[i], 1) for i in np.array_split(order, 7)]
+    assert (np.concatenate(parts) == whole[order]).all() and ((whole >= np.minimum(c, 1)) & (whole <= c)).all()
+    assert (lm_scoring.draw_tables(c, a, lm_scoring.DISCOUNT, keys, 2) != whole).any()
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 250")
+    parts, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            rows = docs.repartition(int(n))
+            fitted = lm_scoring.fit(rows.select("text", (crc_mod("doc_id", 10) != 0).alias("learn")))
+            found.append({r.doc_id: r.score for r in lm_scoring.score(rows, *fitted).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert found[0].keys() == found[1].keys() and all(found[1][k] == pytest.approx(v, rel=1e-12) for k, v in found[0].items())
+
+
 def test_language_model_of_odd_rows(spark, make_docs):
     docs = make_docs(ODD)
     fitted = lm_scoring.fit(docs.select("text", F.lit(True).alias("learn")))
