@@ -21,49 +21,64 @@ from basketry.llm.common import SPACE, bind, table
 SEGMENTS = 3
 #: Cells of a segment at the first attempt and at the larger ones.
 CELLS = 8
-LARGER = (4, 8, 16, 64)
-#: Digests that a bucket of the larger attempts is meant for.
+LARGER = (8, 16, 64)
+#: Digests of one side that a bucket of the larger attempts is meant for.
 PER_BUCKET = 4
 #: Rounds of peeling; a difference that fits its sketch takes a few.
 PEELS = 10
-#: Sentence ends that a space follows, and those of scripts without spaces.
-ENDS = ".!?…؟۔։።।॥"
+#: Sentence ends that a space follows, and those of scripts without spaces, after which a line end is put.
+ENDS = ".!?…؟۔։।॥"
 FULL_ENDS = "。！？"
-#: Characters without a sentence end after which words of the lengths 2, 5, 8 and 11 begin a paragraph: about a third of the words.
+#: Characters of a paragraph after which words of the lengths 2, 5, 8 and so on begin another: about a third of the words.
 RUN = 100
-SHORT = "|".join(f"[^{SPACE}]{{{n}}}" for n in (2, 5, 8, 11))
-CUT = rf"\n|(?<=[{ENDS}])[{SPACE}]+|(?<=[{FULL_ENDS}])|[{SPACE}]+(?=(?:{SHORT})(?![^{SPACE}]))(?<=[^\n{ENDS}{FULL_ENDS}]{{{RUN}}}[{SPACE}])"
-CELL = "struct<n:int,k:bigint,h:int>"
+#: The first character of a cut decides, so that all others are passed quickly.
+SENTENCES = rf"[{SPACE}](?:(?<=\n)|(?<=[{ENDS}][{SPACE}])[{SPACE}]*)"
+RUNS = rf"[{SPACE}]+(?=(?:[^{SPACE}]{{3}})*+[^{SPACE}]{{2}}(?![^{SPACE}]))(?<=(?s:.){{{RUN}}}[{SPACE}])"
+FOUND = "array<struct<n:int,k:bigint>>"
+#: `n` of the entries that part buckets. They stand before any digest of the same value.
+BORDER = -2
+
+
+def paragraphs(text: Column) -> Column:
+    """The text cut at line and sentence ends, and what is longer than RUN at some words. May hold empty ones."""
+    for end in FULL_ENDS:
+        text = F.replace(text, F.lit(end), F.lit(end + "\n"))
+    return F.flatten(F.transform(F.split(text, SENTENCES, -1), lambda p: F.when(F.length(p) > RUN, F.split(p, RUNS, -1)).otherwise(F.array(p))))
 
 
 def digests(text: Column) -> Column:
     """Distinct digests of the paragraphs that are not empty."""
-    return F.array_distinct(F.transform(F.filter(F.split(text, CUT, -1), lambda p: p != ""), lambda p: F.xxhash64(p)))
+    return F.array_distinct(F.transform(F.filter(paragraphs(text), lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
-def _place(digest: Column, segment: int, cells: Column) -> Column:
-    """The digest's cell within a segment: bits 20 and up, of which buckets use none. `cells` is a power of two."""
-    return F.call_function("shiftrightunsigned", digest, F.lit(20 + 14 * segment)).bitwiseAND(cells - 1)
+def _tagged(found: Column, n: int) -> Column:
+    """Digests with their side and checksum."""
+    return F.transform(found, lambda k: F.struct(k.alias("k"), F.lit(n).alias("n"), F.hash(k).alias("h")))
 
 
-def _add(cell: Column, digest: Column, count: Column) -> Column:
-    return F.struct(
-        (cell["n"] + count).alias("n"), cell["k"].bitwiseXOR(digest).alias("k"), cell["h"].bitwiseXOR(F.hash(digest)).alias("h"))
+def _placed(tagged: Column, cells: Column) -> Column:
+    """With the cell within each segment, from low bits; buckets go by the highest. `cells` is a power of two."""
+    places = lambda k: [F.call_function("shiftrightunsigned", k, F.lit(14 * s)).bitwiseAND(cells - 1).cast("int").alias(f"p{s}") for s in range(SEGMENTS)]
+    return F.transform(tagged, lambda t: F.struct(t["k"].alias("k"), t["n"].alias("n"), t["h"].alias("h"), *places(t["k"])))
 
 
-def _empty() -> Column:
-    return F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("h"))
+def _sum(cell: Column, placed: Column, segment: int, place: Column, sign: int) -> Column:
+    """The cell with the entries of its place added or taken out."""
+    return F.aggregate(F.filter(placed, lambda t: t[f"p{segment}"] == place), cell, lambda c, t: F.struct(
+        (c["n"] + t["n"] if sign > 0 else c["n"] - t["n"]).alias("n"), c["k"].bitwiseXOR(t["k"]).alias("k"), c["h"].bitwiseXOR(t["h"]).alias("h")))
 
 
-def sketch(found: Column, cells: Column) -> Column:
-    """The cells of a set of digests, segment after segment."""
-    places = F.sequence(F.lit(0).cast("long"), cells - 1)
+def _cells(tagged: Column, cells: Column) -> Column:
+    """The sketch of tagged digests, segment after segment."""
+    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("h"))
+    places = F.sequence(F.lit(0), (cells - 1).cast("int"))
+    segment = lambda placed, s: F.transform(places, lambda place: _sum(empty, placed, s, place, 1))
+    return bind(_placed(tagged, cells), lambda placed: F.concat(*[segment(placed, s) for s in range(SEGMENTS)]))
 
-    def filled(segment: int) -> Column:
-        return F.transform(places, lambda place: F.aggregate(
-            F.filter(found, lambda d: _place(d, segment, cells) == place), _empty(), lambda c, d: _add(c, d, F.lit(1))))
 
-    return F.concat(*map(filled, range(SEGMENTS)))
+def sketch(found: Column, cells: Column) -> Column:
+    """The cells of a set of digests, segment after segment."""
+    return _cells(_tagged(found, 1), cells)
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -73,68 +88,79 @@ def subtract(left: Column, right: Column) -> Column:
 
 def peel(difference: Column, cells: Column) -> Column:
     """struct(found: array of (n, k), done): n is 1 for digests of the left side only, -1 for the right side only."""
-    none = F.array().cast("array<struct<n:int,k:bigint>>")
 
     def step(state: Column, _: Column) -> Column:
-        pure = F.array_distinct(F.transform(
-            F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["h"] == F.hash(c["k"]))),
-            lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"))))
+        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["h"] == F.hash(c["k"])))
+        taken = _placed(F.array_distinct(F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h")))), cells)
 
         def without(taken: Column) -> Column:
-            def rest(segment: int) -> Column:
-                part = F.slice(state["cells"], (cells * segment + 1).cast("int"), cells.cast("int"))
-                return F.transform(part, lambda c, i: F.aggregate(
-                    F.filter(taken, lambda p: _place(p["k"], segment, cells) == i), c, lambda held, p: _add(held, p["k"], -p["n"])))
+            rest = lambda s: F.transform(
+                F.slice(state["cells"], (cells * s + 1).cast("int"), cells.cast("int")), lambda c, i: _sum(c, taken, s, i, -1))
+            got = F.transform(taken, lambda t: F.struct(t["n"].alias("n"), t["k"].alias("k")))
+            return F.when(F.size(taken) > 0, F.struct(
+                F.concat(*map(rest, range(SEGMENTS))).alias("cells"), F.concat(state["found"], got).alias("found"), F.lit(True).alias("going"))
+            ).otherwise(F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("going")))
 
-            return F.struct(
-                F.concat(*map(rest, range(SEGMENTS))).alias("cells"), F.concat(state["found"], taken).alias("found"), (F.size(taken) > 0).alias("going"))
+        return F.when(state["going"], bind(taken, without)).otherwise(state)
 
-        return F.when(state["going"], bind(pure, without)).otherwise(state)
-
-    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(True).alias("going"))
+    start = F.struct(difference.alias("cells"), F.array().cast(FOUND).alias("found"), F.lit(True).alias("going"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), start, step, lambda state: F.struct(
         state["found"].alias("found"),
         (~F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))).alias("done")))
 
 
-def _direct(left: Column, right: Column) -> Column:
+def _direct(tagged: Column) -> Column:
+    """Digests of one side only, by comparison."""
+    keys = lambda n: F.transform(F.filter(tagged, lambda t: t["n"] == n), lambda t: t["k"])
     side = lambda a, b, n: F.transform(F.array_except(a, b), lambda k: F.struct(F.lit(n).alias("n"), k.alias("k")))
-    return F.concat(side(left, right, 1), side(right, left, -1))
+    return F.concat(side(keys(1), keys(-1), 1), side(keys(-1), keys(1), -1))
 
 
-def _bucket_difference(left: Column, right: Column) -> Column:
-    """Attempts with more and more cells."""
-    none = F.struct(F.array().cast("array<struct<n:int,k:bigint>>").alias("found"), F.lit(False).alias("done"))
+def _bucket_difference(tagged: Column) -> Column:
+    """Attempts with more and more cells. The sketch of digests tagged by side is the difference of the sides' sketches."""
+    none = F.struct(F.array().cast(FOUND).alias("found"), F.lit(False).alias("done"))
     sizes = F.array(*[F.lit(size).cast("long") for size in LARGER])
     return F.aggregate(
-        sizes, none,
-        lambda tried, cells: F.when(tried["done"], tried).otherwise(peel(subtract(sketch(left, cells), sketch(right, cells)), cells)),
-        lambda tried: F.when(tried["done"], tried["found"]).otherwise(_direct(left, right)))
+        sizes, none, lambda tried, cells: F.when(tried["done"], tried).otherwise(peel(_cells(tagged, cells), cells)),
+        lambda tried: F.when(tried["done"], tried["found"]).otherwise(_direct(tagged)))
 
 
 def first_sketch(found: Column) -> Column:
     return sketch(found, F.lit(CELLS).cast("long"))
 
 
+def _larger(left: Column, right: Column, bits: Column) -> Column:
+    """The difference bucket by bucket: one sort of both sides' digests and of the 2**bits lower ends of the buckets lays them out."""
+    lowest = F.expr("cast(-9223372036854775808 as bigint)")
+    parts = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), bits) - 1)
+    borders = F.transform(parts, lambda p: F.struct(
+        F.call_function("shiftleft", p.cast("long"), F.lit(64) - bits).bitwiseXOR(lowest).alias("k"), F.lit(BORDER).alias("n"), F.lit(0).alias("h")))
+
+    def solved(laid: Column) -> Column:
+        at = F.filter(F.transform(laid, lambda t, i: F.when(t["n"] == BORDER, i)), lambda i: i.isNotNull())
+
+        def bucket(at: Column, i: Column) -> Column:
+            first = F.get(at, i)
+            return F.slice(laid, first + 2, F.coalesce(F.get(at, i + 1), F.size(laid)) - first - 1)
+
+        return bind(at, lambda at: F.flatten(F.transform(parts, lambda i: bind(bucket(at, i), _bucket_difference))))
+
+    return bind(F.sort_array(F.concat(_tagged(left, 1), _tagged(right, -1), borders)), solved)
+
+
 def difference(left: Column, right: Column, first: Column) -> Column:
     """array of (n, k): the digests that only one of two sets has. `first` is the difference of their first sketches."""
     most = F.greatest(F.size(left), F.size(right), F.lit(PER_BUCKET))
-    buckets = F.pow(F.lit(2.0), F.least(F.ceil(F.log2(most / F.lit(float(PER_BUCKET)))), F.lit(20))).cast("long")
-
-    def larger(count: Column) -> Column:
-        part = lambda digs, p: F.filter(digs, lambda d: d.bitwiseAND(count - 1) == p)
-        return F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda p: bind(
-            F.struct(part(left, p).alias("l"), part(right, p).alias("r")), lambda b: _bucket_difference(b["l"], b["r"]))))
-
+    bits = F.least(F.ceil(F.log2(most / F.lit(float(PER_BUCKET)))), F.lit(20)).cast("int")
     # More digests than cells cannot be told apart, so a difference in size beyond that needs no first attempt.
     tried = F.when(F.abs(F.size(left) - F.size(right)) <= SEGMENTS * CELLS, peel(first, F.lit(CELLS).cast("long")))
-    return bind(tried, lambda t: F.when(F.coalesce(t["done"], F.lit(False)), t["found"]).otherwise(bind(buckets, larger)))
+    return bind(tried, lambda t: F.when(F.coalesce(t["done"], F.lit(False)), t["found"]).otherwise(bind(bits, lambda b: _larger(left, right, b))))
 
 
 def likeness(left: Column, right: Column, differing: Column) -> Column:
     """Shared digests over all digests; 1 if neither side has one."""
-    n, both = F.size(differing), F.size(left) + F.size(right)
-    return F.when(both == 0, 1.0).otherwise((both - n) / (both + n))
+    both = F.size(left) + F.size(right)
+    return bind(F.size(differing), lambda n: F.when(both == 0, 1.0).otherwise((both - n) / (both + n)))
 
 
 def written(text: Column, found: Column, cells: Column) -> Column:
