@@ -1,12 +1,12 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs: at line ends, at all sentence ends, and in runs of RUN characters without one before words of some lengths
-(whatever their script), so that a border depends on the text around it only. The distinct 64-bit digests of the paragraphs are put into a sketch: SEGMENTS segments of cells, one cell of each per digest. A cell holds a count, the digests and 32-bit checksums, the latter two
+A text is cut into paragraphs: at line ends and at all sentence ends, and those longer than RUN characters again before words of some lengths
+(whatever their script), so that a border depends on its own line or sentence only. The distinct 64-bit digests of the paragraphs are put into a sketch: SEGMENTS segments of cells, one cell of each per digest. A cell holds a count, the digests and 32-bit checksums, the latter two
 combined by exclusive or, so sketches of two versions can be subtracted: what both have cancels. Peeling then
 takes a cell with one digest left, removes that digest everywhere, and so on, until the sketch is empty and
 the differing digests of both sides are known. If it gets stuck, the attempt is repeated larger: first with the digests
-dealt into buckets of their own small sketch, as many as the larger text needs (work stays linear in the length of the
-text), then with more cells in the buckets that still fail. A bucket that fails even then is compared directly.
+dealt into buckets of their own small sketch, as many as the larger text needs (ranges of one sorted list of both sides'
+digests), then with more cells in the buckets that still fail. A bucket that fails even then is compared directly.
 
 Built-in functions only. Everything about a document is computed in its own row.
 """
@@ -209,6 +209,8 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     guests = rows.drop("block").join(F.broadcast(moved), "place").groupBy("place", "block").agg(F.min("text").alias("text"))
     laid = rows.select("doc_id", "text", "place", "block", F.lit(0).alias("guest")).unionByName(
         guests.select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", "place", "block", F.lit(1).alias("guest")))
+    # A given number of partitions, which is not lowered by size: the work per byte is high.
+    laid = laid.repartition(blocks, "block")
     following = F.lead("text").over(Window.partitionBy("block").orderBy("guest", "place", "text"))
     return laid.withColumn("next_text", following).filter("guest = 0").select("doc_id", "text", "next_text")
 

@@ -116,7 +116,10 @@ def test_whole_text_is_unambiguous(spark):
 # ---- fingerprints
 
 def plain_set(text):
-    return {p for p in re.split(fingerprints.CUT, text) if p}
+    for end in fingerprints.FULL_ENDS:
+        text = text.replace(end, end + "\n")
+    whole = re.split(fingerprints.SENTENCES, text)
+    return {q for p in whole for q in (re.split(fingerprints.RUNS, p) if len(p) > fingerprints.RUN else [p]) if q}
 
 
 def likeness(a, b):
