@@ -207,13 +207,16 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(found[0].isalpha() for found in MAYBE_LETTER.finditer(text))
 
 
-def training_rows(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[list[str], list[tuple[str, bytes]]]:
-    """The languages and a bounded sample of (language, text as bytes), the same share of `sample` for each.
+def training_rows(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[list[str], list[tuple[str, list[bytes]]]]:
+    """The languages and a bounded sample of (language, windows of a text), the same share of `sample` for each.
 
-    Documents are taken in order of a hash of their id. Counts per language come first; a hash threshold from them leaves
-    a little more than the share, so the exact cut sorts only a bounded number of ids per language.
+    Documents are taken in order of a hash of their id. Counts of ids per language come first; a hash threshold from them leaves
+    a little more than the share, so the exact cut sorts only a bounded number of ids per language. An id counts once however
+    many rows have it; of its rows in a language the text with the smallest hash is taken. The executors cut the windows, so at most
+    `sample` * WINDOWS_PER_DOC * TRAIN_WINDOW bytes of text come to the driver.
     """
-    known = docs.filter(learnable & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("order"))
+    marked = docs.filter(learnable & F.col("lang").isNotNull())
+    known = marked.select("doc_id", "lang").distinct().withColumn("order", F.xxhash64("doc_id"))
     counts = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
@@ -225,29 +228,37 @@ def training_rows(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> t
     ranked = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id")))
     ids = ranked.filter(F.col("place") <= share).select("doc_id", "lang")
     # At most `sample` ids: bounded, so they may be broadcast.
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-    picked = sorted(((r["lang"], r["doc_id"], r["text"] or "") for r in rows.collect()), key=lambda r: (r[0], str(r[1]), r[2]))
-    return languages, [(lang, text.encode()) for lang, _, text in picked]
+    rows = docs.select("doc_id", "lang", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
+    cut = rows.select("doc_id", "lang", F.struct(F.xxhash64("text").alias("order"), training_windows(F.col("text")).alias("windows")).alias("cut"))
+    # One row per id is left in each task before the shuffle.
+    picked = cut.groupBy("doc_id", "lang").agg(F.min("cut").alias("cut")).select("doc_id", "lang", "cut.windows").collect()
+    picked.sort(key=lambda r: (r["lang"], str(r["doc_id"])))
+    return languages, [(r["lang"], [bytes(w) for w in r["windows"]]) for r in picked]
 
 
-def training_windows(rows: list[tuple[str, bytes]], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Up to WINDOWS_PER_DOC windows spread over each text."""
+def training_windows(text: Column) -> Column:
+    """Up to WINDOWS_PER_DOC windows of TRAIN_WINDOW bytes spread over the text; none of an empty one."""
+    data = text.cast("binary")
+    last = F.greatest(F.lit(0), F.octet_length(text) - TRAIN_WINDOW)
+    starts = F.array_distinct(F.array(*[F.floor(last * i / max(1, WINDOWS_PER_DOC - 1)).cast("int") for i in range(WINDOWS_PER_DOC)]))
+    return F.filter(F.transform(starts, lambda start: F.substring(data, start + 1, F.lit(TRAIN_WINDOW))), lambda w: F.octet_length(w) > 0)
+
+
+def training_matrix(rows: list[tuple[str, list[bytes]]], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows, padded, and the number of the language of each."""
     x, y = [], []
-    for lang, text in rows:
-        last = max(0, len(text) - TRAIN_WINDOW)
-        for start in sorted({last * i // max(1, WINDOWS_PER_DOC - 1) for i in range(WINDOWS_PER_DOC)}):
+    for lang, windows in rows:
+        for piece in windows:
             window = np.full(TRAIN_WINDOW, PAD, np.int64)
-            piece = text[start:start + TRAIN_WINDOW]
             window[:len(piece)] = np.frombuffer(piece, np.uint8)
-            if piece:
-                x.append(window)
-                y.append(languages.index(lang))
+            x.append(window)
+            y.append(languages.index(lang))
     return np.array(x, np.int64).reshape(-1, TRAIN_WINDOW), np.array(y, np.int64)
 
 
 def fit(docs: DataFrame, learnable: Column, sample: int = SAMPLE, steps: int = STEPS) -> tuple[list[str], Network]:
     languages, rows = training_rows(docs, learnable, sample)
-    return languages, train(*training_windows(rows, languages), len(languages), steps=steps)
+    return languages, train(*training_matrix(rows, languages), len(languages), steps=steps)
 
 
 def judged(reader: Reader, languages: list[str], texts: list[str | None]) -> tuple[list[str], list[float]]:

@@ -133,13 +133,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_c
     """(toxic, text) of at most `per_class` labelled documents of each class, in order of a hash of their id.
 
     Several labels of a document count as toxic if one does; null labels and labels without a document are left out.
+    Of several rows of an id the least text is taken, so there are never more rows than ids.
     """
     marked = labels.filter(learnable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = marked.filter("toxic = 1").orderBy(*order).limit(per_class).unionByName(
         marked.filter("toxic = 0").orderBy(*order).limit(per_class))
     # At most 2 * per_class ids: bounded, so they may be broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS, penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:

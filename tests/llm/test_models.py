@@ -48,6 +48,26 @@ def test_language_of_held_out_documents(spark):
     assert right > 0.97
 
 
+def test_samples_hold_one_row_per_id(spark, make_docs):
+    """An id that most rows share takes one place; windows are those of plain slices; the number of rows does not depend on the copies."""
+    texts = {1: "a" * 64, 2: "é" * 90 + "b" * 75, 3: "", 4: "short"}
+    docs = make_docs([(i, t, "en", "s0") for i, t in texts.items()] + [(2, None, "en", "s0")] + [(4, f"copy {i}", "en", "s0") for i in range(300)])
+    languages, rows = language_id.training_rows(docs.filter("text is not null"), F.lit(True))
+    size, many = language_id.TRAIN_WINDOW, language_id.WINDOWS_PER_DOC - 1
+
+    def plain(text):
+        data = text.encode()
+        last = max(0, len(data) - size)
+        return [w for start in sorted({last * i // many for i in range(many + 1)}) if (w := data[start:start + size])]
+
+    assert languages == ["en"] and len(rows) == 4
+    assert [found for _, found in rows[:3]] == [plain(texts[i]) for i in (1, 2, 3)] and len(rows[3][1]) == 1
+    assert len(language_id.training_rows(docs, F.lit(True), sample=2)[1]) == 2
+    marks = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    sample = {r.doc_id: (r.toxic, r.text) for r in toxicity.training_sample(docs, marks, F.lit(True)).collect()}
+    assert sample == {1: (1, texts[1]), 2: (0, texts[2]), 3: (1, ""), 4: (0, "copy 0")}
+
+
 def test_language_of_odd_rows(make_docs):
     docs = make_docs(ODD)
     found = language_id.predict(docs, *language_id.fit(docs, F.lit(True), steps=2)).collect()
