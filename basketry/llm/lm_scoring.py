@@ -6,8 +6,8 @@ and one more, which stands for any unknown word. Customers of a context restaura
 of it sends one customer to the parent. The numbers of tables are sampled by Gibbs: a sweep redraws the tables of every pair of context and word
 given the totals of its restaurant and the parent's probability of the word, then the parent's tables of every word; the totals follow after each sweep.
 A draw is a function of context, word and sweep, so any number of partitions and any repeated task gives the same tables.
-A pair of one customer has one table at any time, so only the other pairs are drawn. Averages over the last
-draws give the predictive probabilities.
+A pair of one customer has one table at any time, so only the other pairs are drawn. The predictive probability of a word is the mean of
+those of the last draws, each with the tables and totals of its own sweep.
 
 Data flow: counts per pair are combined in each task, then summed by pair. Totals of contexts and probabilities of words are tables, joined to the pairs
 and summed from them; nothing per word or context comes to the driver. The HOT most frequent pairs (a fixed number) are broadcast and scored where the
@@ -20,14 +20,15 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache
+from math import exp, lgamma, log, pi, sin
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import crc_mod, stage_table, table
+from basketry.llm.common import crc_mod, drop_stage, stage_table, table
 
 #: Ends every text and is the context of its first word.
 END = "\n"
@@ -39,10 +40,15 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 #: Sweeps that settle the tables; draws after them that are averaged.
 SWEEPS = 3
 KEPT = 3
-#: Tables of up to this many customers are drawn from their exact conditional, those of more in strides.
-EXACT = 24
-#: Up to this many customers the strides of many rows are drawn together.
-ONE_BY_ONE = 256
+#: Tables of up to this many customers are drawn from their exact conditional; those of more by rejection.
+EXACT = 1024
+#: Rows of about as many customers are drawn together, in matrices of at most CELLS numbers.
+CLASSES = (8, 32, 128, EXACT)
+CELLS = 1 << 20
+#: Below this share of customers ** discount, tables are few; the number of terms that their probabilities need then.
+FEW, TERMS = 0.05, 30
+#: Numbers of tables proposed at once for a row of more than EXACT customers.
+PROPOSED = 256
 FLUSH = 500_000
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
@@ -84,18 +90,17 @@ def count_pairs(docs: DataFrame) -> DataFrame:
     return summed.select(F.substring_index("pair", " ", 1).alias("context"), F.substring_index("pair", " ", -1).alias("word"), "count")
 
 
-def _stirling(discount: float) -> np.ndarray:
+@cache
+def stirling(discount: float) -> np.ndarray:
     """log of the generalised Stirling numbers of up to EXACT customers and tables."""
-    s = np.zeros((EXACT + 1, EXACT + 1))
-    s[1, 1] = 1
+    s = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    s[1, 1] = 0
     for n in range(1, EXACT):
-        for t in range(1, n + 2):
-            s[n + 1, t] = s[n, t - 1] + (n - discount * t) * s[n, t]
-    with np.errstate(divide="ignore"):
-        return np.log(s)
-
-
-TABLES = {discount: _stirling(discount) for discount in (DISCOUNT, ROOT_DISCOUNT)}
+        tables = np.arange(1, n + 2)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            stay = np.where(tables <= n, s[n, 1:n + 2] + np.log(np.maximum(n - discount * tables, 1e-300)), -np.inf)
+        s[n + 1, 1:n + 2] = np.logaddexp(s[n, :n + 1], stay)
+    return s
 
 
 def uniforms(keys: np.ndarray, seed: int, first: int, count: int) -> np.ndarray:
@@ -109,6 +114,61 @@ def uniforms(keys: np.ndarray, seed: int, first: int, count: int) -> np.ndarray:
     return (x >> np.uint64(11)) * 2.0**-53 + 2.0**-54
 
 
+def _expected_tables(customers: int, discount: float, strength: float) -> float:
+    """Of a restaurant without base measure."""
+    s, d = strength, discount
+    return exp(lgamma(s + 1) - lgamma(s + d) + lgamma(customers + s + d) - lgamma(customers + s)) / d - s / d
+
+
+def _draw_few(customers: int, mean: float, discount: float, rng: np.random.Generator) -> int:
+    """A draw where the tables are far fewer than customers ** discount: near to one more than a Poisson number.
+
+    The conditional of t is mean ** t / t! times the coefficient of x ** customers in (1 - (1 - x) ** discount) ** t, whose binomial series
+    falls fast then.
+    """
+    spread = 12 * mean**0.5 + 30
+    t = np.arange(max(1, int(mean - spread)), int(mean + spread) + 1, dtype=float)
+    term, size, coefficient = np.ones(len(t)), 0.0, np.zeros(len(t))
+    for j in range(1, TERMS):
+        last, size = size, lgamma(customers - discount * j) - lgamma(customers - discount) + lgamma(1 + discount * j) - lgamma(1 + discount)
+        term *= (t - j + 1) / j * exp(size - last)
+        coefficient += (-1) ** (j + 1) * term * sin(pi * discount * j) / sin(pi * discount)
+    logs = t * log(mean) - np.array([lgamma(n + 1) for n in t]) + np.log(np.maximum(coefficient, 1e-300))
+    sums = np.exp(logs - logs.max()).cumsum()
+    return int(t[np.searchsorted(sums, rng.random() * sums[-1], side="right")])
+
+
+def _draw_many(customers: int, opening: float, discount: float, rng: np.random.Generator) -> int:
+    """A draw from the conditional for more than EXACT customers: from its probabilities if there are far fewer tables, else by rejection.
+
+    Given its number of customers, a restaurant of any strength s has t tables with a probability of the conditional's, times
+    (s + d) ... (s + (t - 1) d) / opening ** t. So t is proposed by seating customers there, with the s for which that factor is least where
+    most proposals are, and accepted by its reciprocal. Customers after EXACT are seated in strides of a 64th, at the rate in the middle of the stride.
+    """
+    d, low, high = discount, -discount * (1 - 1e-9), opening + discount
+    if opening / d < FEW * customers**d:
+        return _draw_few(customers, opening / d, d, rng)
+    for _ in range(60):
+        s = (low + high) / 2
+        low, high = (s, high) if _expected_tables(customers, d, s) < (opening - s) / d + 1 else (low, s)
+
+    def weight(t: int) -> float:
+        return t * log(opening / d) - lgamma(s / d + t)
+
+    best = weight(max(1, int((opening - s) / d) + 1))
+    while True:
+        t, n = np.ones(PROPOSED, np.int64), 1
+        while n < customers:
+            stride = min(1 if n < EXACT else n // 64, customers - n)
+            rate = np.minimum((s + d * t) / (n + (stride - 1) / 2 + s), 1)
+            t += rng.binomial(stride, rate) if stride > 1 else rng.random(PROPOSED) < rate
+            n += stride
+        chances = rng.random(PROPOSED)
+        for proposed, chance in zip(t.tolist(), chances.tolist()):
+            if chance < exp(min(0.0, weight(proposed) - best)):
+                return proposed
+
+
 def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
     """Numbers of tables of a word: `customers` of it, and the weight `opening` of a new table at any time.
 
@@ -119,81 +179,31 @@ def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, key
     if not len(many):
         return tables
     c, a, k = customers[many], opening[many], keys[many]
-    first = np.minimum(c, EXACT)
-    weights = TABLES[discount][first][:, 1:] + np.arange(1, EXACT + 1) * np.log(a)[:, None]
-    weights -= np.log(-np.log(uniforms(k, seed, 0, EXACT)))
-    t = weights.argmax(axis=1) + 1
-    seated, used = first.copy(), EXACT
-    going = np.flatnonzero(seated < c)
-    while len(going):
-        n, total = seated[going], c[going]
-        stride = np.minimum(np.maximum(n // 8, 1), total - n)
-        chance = a[going] / (a[going] + n + stride / 2 - discount * t[going])
-        widest = int(stride.max())
-        opened = (uniforms(k[going], seed, used, widest) < chance[:, None]) & (np.arange(widest) < stride[:, None])
-        t[going] += opened.sum(axis=1)
-        used += widest
-        seated[going] += stride
-        # Beyond this, a generator for each row, of which there are few.
-        going = going[(seated[going] < total) & (seated[going] < ONE_BY_ONE)]
+    seated, t = np.minimum(c, EXACT), np.ones(len(c), np.int64)
+    lowest = 1
+    for widest in CLASSES:
+        rows = np.flatnonzero((seated > lowest) & (seated <= widest))
+        for part in np.array_split(rows, -(-len(rows) * widest // CELLS) or 1):
+            weights = stirling(discount)[seated[part], 1:widest + 1] + np.arange(1, widest + 1) * np.log(a[part])[:, None]
+            t[part] = (weights - np.log(-np.log(uniforms(k[part], seed, 0, widest)))).argmax(axis=1) + 1
+        lowest = widest
+    # Rows of more, of which there are few.
     for i in np.flatnonzero(seated < c):
-        rng = np.random.Generator(np.random.Philox(key=np.array([int(k[i]) & (1 << 64) - 1, seed], np.uint64)))
-        n, have, total = int(seated[i]), int(t[i]), int(c[i])
-        while n < total:
-            stride = min(n // 8, total - n)
-            have += int(rng.binomial(stride, a[i] / (a[i] + n + stride / 2 - discount * have)))
-            n += stride
-        t[i] = have
+        t[i] = _draw_many(int(c[i]), float(a[i]), discount, np.random.Generator(np.random.Philox(key=np.array([int(k[i]) & (1 << 64) - 1, seed], np.uint64))))
     tables[many] = t
     return tables
 
 
-class PerContext(dict):
-    """A number for each context of the training; all others have the one of an empty restaurant."""
-
-    def __missing__(self, _: str) -> float:
-        return STRENGTH
-
-
 @dataclass(frozen=True)
 class Totals:
-    """The seating: tables of restaurants, words and pairs, and the totals of the parent."""
+    """The seating: restaurants, words and pairs. Arrays have one element for each draw that is kept."""
 
-    #: (context, spare, room): weight of the parent in a restaurant, and the sum of all weights.
+    #: (context, room, spare): sum of all weights of a restaurant, and those of the parent.
     contexts: DataFrame
-    #: (word, count, root): training tokens, and customers less discounted tables in the parent.
+    #: (word, count, root): training tokens, and probabilities without context.
     words: DataFrame
-    #: (context, word, count, fixed): training tokens, and customers less discounted tables.
+    #: (context, word, count, fixed): training tokens, and customers less discounted tables, the mean of the draws.
     pairs: DataFrame
-    root_customers: float
-    root_tables: float
-    n_words: int
-
-    def root_opening(self) -> float:
-        """Weight of a new table of a word in the parent."""
-        return _root_opening(self.root_tables, self.n_words)
-
-    def root(self, fixed: np.ndarray | Column) -> np.ndarray | Column:
-        """Probability without context; `fixed`: customers less discounted tables."""
-        return (fixed + self.root_opening()) / (ROOT_STRENGTH + self.root_customers)
-
-    @cached_property
-    def _listed(self) -> tuple[PerContext, PerContext]:
-        rows = self.contexts.collect()
-        return PerContext({r["context"]: r["spare"] for r in rows}), PerContext({r["context"]: r["room"] for r in rows})
-
-    def spare(self) -> PerContext:
-        """On the driver, for small models; scoring joins `contexts`."""
-        return self._listed[0]
-
-    def room(self) -> PerContext:
-        return self._listed[1]
-
-    def by_word(self) -> DataFrame:
-        """(word, count, contexts, fixed, root), for small models; scoring joins `pairs`."""
-        trained = F.col("fixed") > 0
-        listed = self.pairs.groupBy("word").agg(*[F.collect_list(F.when(trained, F.col(c))).alias(name) for c, name in (("context", "contexts"), ("fixed", "fixed"))])
-        return self.words.join(listed, "word").select("word", "count", "contexts", "fixed", "root")
 
 
 def _root_opening(root_tables: float, words: int) -> float:
@@ -215,8 +225,17 @@ def _drawn(df: DataFrame, discount: float, seed: int, keep: bool) -> DataFrame:
     return df.mapInArrow(run, ", ".join([*[f"{c} {types[c]}" for c in names], "tables long, kept long"]))
 
 
-def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[DataFrame, Totals, int, int]:
-    """The model by word (to read small ones), the totals, and the numbers of training tokens and words.
+def _by_draw(draws: list[DataFrame], key: str, value: str) -> DataFrame:
+    """(key, value): an array of the draws' values, for the keys of the draws."""
+    rows = [draw.select(key, F.lit(i).alias("draw"), F.col(value).cast("double")) for i, draw in enumerate(draws)]
+    both = rows[0]
+    for more in rows[1:]:
+        both = both.unionByName(more)
+    return both.groupBy(key).agg(F.array(*[F.sum(F.when(F.col("draw") == i, F.col(value))) for i in range(len(draws))]).alias(value))
+
+
+def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[Totals, int, int]:
+    """The seating, and the numbers of training tokens and words.
 
     `docs` has text and learn (boolean).
     """
@@ -235,10 +254,12 @@ def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[DataFrame, Totals, int,
     restaurants = contexts.select("context", F.col("types").alias("tables"))
     roots = words.select("word", F.col("types").alias("customers"), F.least("types", F.lit(1)).cast("long").alias("tables"), F.lit(0).cast("long").alias("kept"))
 
-    def tables_of(base: DataFrame, key: str, what: str) -> DataFrame:
-        """Per key: the base columns and the sum `drawn` of the drawn pairs."""
-        return base.join(drawn.groupBy(key).agg(F.sum(what).alias("drawn")), key, "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)).cast("long"))
+    def tables_of(base: DataFrame, key: str) -> DataFrame:
+        """Per key: the base columns and `tables` of its pairs, drawn or of one customer."""
+        found = base.join(drawn.groupBy(key).agg(F.sum("tables").alias("drawn")), key, "left")
+        return found.withColumn("tables", F.col("single") + F.coalesce("drawn", F.lit(0)).cast("long"))
 
+    seats, parents, last = [], [], []
     for sweep in range(sweeps + KEPT):
         keep, opening = sweep >= sweeps, _root_opening(root_tables, train_words)
         even = (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + opening) / (ROOT_STRENGTH + root_customers)
@@ -246,32 +267,37 @@ def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[DataFrame, Totals, int,
             "context", "word", "customers", "kept", ((STRENGTH + DISCOUNT * F.col("tables")) * F.col("p")).alias("opening"),
             F.xxhash64("context", "word").alias("key"))
         drawn = stage_table(_drawn(weighed, DISCOUNT, 2 * sweep, keep))
-        restaurants = tables_of(contexts, "context", "tables").select("context", (F.col("single") + F.col("drawn")).alias("tables"))
-        sent = tables_of(words, "word", "tables").select("word", (F.col("single") + F.col("drawn")).alias("customers"), F.lit(opening).alias("opening"), F.xxhash64("word").alias("key"))
-        roots = stage_table(_drawn(sent.join(roots.select("word", "kept"), "word"), ROOT_DISCOUNT, 2 * sweep + 1, keep))
+        restaurants = stage_table(tables_of(contexts, "context").select("context", "tables"))
+        sent = tables_of(words, "word").select("word", F.col("tables").alias("customers"), F.lit(opening).alias("opening"), F.xxhash64("word").alias("key"))
+        roots = stage_table(_drawn(sent.withColumn("kept", F.lit(0).cast("long")), ROOT_DISCOUNT, 2 * sweep + 1, False))
         root_customers, root_tables = (int(n or 0) for n in roots.agg(F.sum("customers"), F.sum("tables")).first())
-
-    tables = F.col("single") + F.col("drawn") / KEPT
-    settled = stage_table(tables_of(contexts, "context", "kept").select(
-        "context", (STRENGTH + DISCOUNT * tables).alias("spare"), (STRENGTH + F.col("count")).alias("room"), tables.alias("tables")))
-    known = stage_table(tables_of(words, "word", "kept").join(roots.select("word", "kept"), "word").select(
-        "word", "count", (tables - ROOT_DISCOUNT * F.col("kept") / KEPT).alias("root"), (F.col("kept") / KEPT).alias("tables")))
-    # The totals that belong to these averages, so that the probabilities of a context sum to one.
-    root_customers, root_tables = settled.agg(F.sum("tables")).first()[0] or 0.0, known.agg(F.sum("tables")).first()[0] or 0.0
+        # What the next sweep does not read goes; kept draws of restaurants and words are read once more at the end.
+        for done in last:
+            drop_stage(done)
+        last = [drawn] if keep else [drawn, restaurants, roots]
+        if keep:
+            seats.append(restaurants.select("context", (STRENGTH + DISCOUNT * F.col("tables")).alias("spare")))
+            p = (F.col("customers") - ROOT_DISCOUNT * F.col("tables") + _root_opening(root_tables, train_words)) / (ROOT_STRENGTH + root_customers)
+            parents.append(roots.select("word", p.alias("root")))
+
+    settled = stage_table(contexts.join(_by_draw(seats, "context", "spare"), "context").select("context", (STRENGTH + F.col("count")).alias("room"), "spare"))
+    known = stage_table(words.join(_by_draw(parents, "word", "root"), "word").select("word", "count", "root"))
+    for done in (*seats, *parents):
+        drop_stage(done)
     fixed = edges.filter("count <= 1").select("context", "word", "count", (F.col("count") * (1 - DISCOUNT)).alias("fixed")).unionByName(
         drawn.select("context", "word", F.col("customers").alias("count"), (F.col("customers") - DISCOUNT * F.col("kept") / KEPT).alias("fixed")))
-    totals = Totals(settled, known.drop("tables"), fixed, root_customers, root_tables, train_words)
-    return totals.by_word(), totals, train_tokens, train_words
+    return Totals(settled, known, fixed), train_tokens, train_words
 
 
-def score(docs: DataFrame, model: DataFrame, totals: Totals, train_tokens: int, train_words: int) -> DataFrame:
+def score(docs: DataFrame, totals: Totals, train_tokens: int, train_words: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) per row of (doc_id, text), all of which `fit` has read: log10 probabilities of the text.
 
     Null texts have END only.
     """
     spark = docs.sparkSession
     scale = train_tokens + 0.1 * (train_words + 1)
-    share = F.col("fixed") / F.col("room") + F.col("spare") / F.col("room") * totals.root(F.col("root"))
+    parent = sum((F.col("spare")[i] * F.col("root")[i] for i in range(KEPT)), F.lit(0.0)) / KEPT
+    share = (F.col("fixed") + parent) / F.col("room")
     each = totals.words.select("word", "root", F.col("count").alias("tokens"))
     chances = stage_table(totals.pairs.join(totals.contexts, "context").join(each, "word").select(
         F.concat_ws(" ", "context", "word").alias("pair"), "count", (F.col("tokens") > 0).alias("known"),
@@ -329,4 +355,4 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = fit(docs.select("text", (crc_mod("doc_id", 10) != 0).alias("learn")))
     return score(docs, *fitted).select(
         "doc_id", (crc_mod("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
-        F.lit(fitted[2]).cast("long").alias("train_tokens"), "base_score", "score")
+        F.lit(fitted[1]).cast("long").alias("train_tokens"), "base_score", "score")

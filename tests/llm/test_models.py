@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 from math import log10
 
 import numpy as np
@@ -128,51 +129,75 @@ def test_language_model(spark, make_docs, monkeypatch, hot):
     monkeypatch.setattr(lm_scoring, "HOT", hot)
     draw = random.Random(4)
     rows = [(i, " ".join(draw.choices("the of and Word x1 é rare%d the the" % i if i % 7 else "other words", k=1)[0].join(["", ""]) or w for w in draw.choices(["the", "of", "And", f"r{i}"], k=20))) for i in range(60)]
+    rows += [(i, f"new{i} the") for i in range(60, 90)]
     fitted, found = lm_rows(spark, make_docs(rows))
-    model, totals, n, v = fitted
+    totals, n, v = fitted
     kept = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 10 for w in lm_scoring.tokens(t)[0])
     assert (n, v) == (sum(kept.values()), len(kept))
     for i, text in rows:
         words, contexts = lm_scoring.tokens(text)
         assert found[i].n_tokens == len(words) and found[i].n_known == sum(kept[w] > 0 for w in words)
         assert found[i].base_score == pytest.approx(sum(log10((kept[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words))
-    # Probabilities of a context over the known words and the unknown one sum to one, and texts are scored by them.
-    table = {r.word: r for r in model.collect()}
-    p = lambda word, u: (dict(zip(table[word].contexts, table[word].fixed)).get(u, 0.0) / totals.room()[u]
-                         + totals.spare()[u] / totals.room()[u] * totals.root(np.array([table[word].root]))[0])
-    for u in {u for r in table.values() for u in r.contexts}:
-        known = sum(p(w, u) for w, r in table.items() if r["count"])
-        assert known + totals.spare()[u] / totals.room()[u] * totals.root(np.zeros(1))[0] == pytest.approx(1)
+    # In each draw the probabilities of a context over the known words and the unknown one sum to one; the mean of the draws scores the texts.
+    restaurants = {r.context: r for r in totals.contexts.collect()}
+    words = {r.word: r for r in totals.words.collect()}
+    fixed = {(r.context, r.word): r.fixed for r in totals.pairs.collect()}
+    assert {len(r.root) for r in words.values()} == {len(r.spare) for r in restaurants.values()} == {lm_scoring.KEPT}
+
+    def p(word, u):
+        return (fixed.get((u, word), 0.0) + np.dot(restaurants[u].spare, words[word].root) / lm_scoring.KEPT) / restaurants[u].room
+
+    unknown = next(r.root for r in words.values() if not r["count"])
+    known = [w for w, r in words.items() if r["count"]]
+    assert np.sum([words[w].root for w in known], axis=0) + unknown == pytest.approx(1)
+    for u, r in restaurants.items():
+        assert sum(p(w, u) for w in known) + np.dot(r.spare, unknown) / lm_scoring.KEPT / r.room == pytest.approx(1)
     for i, text in rows:
-        assert found[i].score == pytest.approx(sum(log10(p(w, u)) for w, u in zip(*lm_scoring.tokens(text))), rel=1e-4)
+        assert found[i].score == pytest.approx(sum(log10(p(w, u)) for w, u in zip(*lm_scoring.tokens(text))))
+
+
+@pytest.mark.parametrize("c,a", [(5, 0.7), (30, 0.02), (200, 3.0)])
+def test_exact_draws_of_tables(c, a):
+    """Mean number of tables against the conditional by plain recurrence over all seatings."""
+    d, rows = lm_scoring.DISCOUNT, 20_000
+    ways = [0, 1]
+    for n in range(1, c):
+        ways = [0] + [ways[t - 1] + (Fraction(n) - Fraction(d) * t) * (ways[t] if t < len(ways) else 0) for t in range(1, n + 2)]
+    chances = np.array([float(Fraction(w) * Fraction(a) ** t / ways[1]) for t, w in enumerate(ways)]) if c < 100 else None
+    if chances is None:
+        logs = np.array([-np.inf] + [log10(w.numerator) - log10(w.denominator) + t * log10(a) for t, w in list(enumerate(ways))[1:]])
+        chances = 10 ** (logs - logs.max())
+    mean = (chances * np.arange(c + 1)).sum() / chances.sum()
+    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, rows)
+    drawn = lm_scoring.draw_tables(np.full(rows, c), np.full(rows, a), d, keys, 3)
+    assert drawn.mean() == pytest.approx(mean, rel=0.02)
 
 
-def test_exact_draws_of_tables():
-    """Mean number of tables against the enumeration of all seatings."""
-    d, a, c = lm_scoring.DISCOUNT, 0.7, 5
-    weights = np.exp(lm_scoring.TABLES[d][c][1:c + 1]) * a ** np.arange(1, c + 1)
-    mean = (weights * np.arange(1, c + 1)).sum() / weights.sum()
-    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 40_000)
-    drawn = lm_scoring.draw_tables(np.full(40_000, c), np.full(40_000, a), d, keys, 3)
-    assert drawn.mean() == pytest.approx(mean, rel=0.02)
+@pytest.mark.parametrize("a", [0.05, 2.5, 9.0, 60.0, 700.0])
+def test_draws_of_many_customers(a):
+    """Those drawn by rejection against the enumerated conditional."""
+    d, c, rows = lm_scoring.DISCOUNT, lm_scoring.EXACT, 300
+    logs = lm_scoring.stirling(d)[c, 1:] + np.arange(1, c + 1) * np.log(a)
+    chances, t = np.exp(logs - logs.max()), np.arange(1, c + 1)
+    mean = (chances * t).sum() / chances.sum()
+    deviation = ((chances * (t - mean) ** 2).sum() / chances.sum()) ** 0.5
+    drawn = np.array([lm_scoring._draw_many(c, a, d, np.random.default_rng(i)) for i in range(rows)])
+    assert abs(drawn.mean() - mean) < 4 * deviation / rows**0.5 and drawn.std() == pytest.approx(deviation, rel=0.25)
 
 
-@pytest.mark.parametrize("c", [60, 700])
-def test_draws_in_strides_are_close_to_single_ones(c):
-    """Customers after the first EXACT ones, seated together or one by one."""
-    d, a, rows = lm_scoring.DISCOUNT, 2.5, 3000
-    draw = np.random.default_rng(1)
-    keys = draw.integers(-(2**63), 2**63 - 1, rows)
-    tables = lm_scoring.draw_tables(np.full(rows, lm_scoring.EXACT), np.full(rows, a), d, keys[::-1], 5).astype(float)
-    for n in range(lm_scoring.EXACT, c):
-        tables += draw.random(rows) < a / (a + n - d * tables)
-    drawn = lm_scoring.draw_tables(np.full(rows, c), np.full(rows, a), d, keys, 5)
-    assert drawn.mean() == pytest.approx(tables.mean(), rel=0.05) and drawn.std() == pytest.approx(tables.std(), rel=0.15)
+def test_strides_are_close_to_single_seatings(monkeypatch):
+    d, c, a = lm_scoring.DISCOUNT, 6000, 300.0
+    single = []
+    monkeypatch.setattr(lm_scoring, "EXACT", c)
+    single = np.array([lm_scoring._draw_many(c, a, d, np.random.default_rng(i)) for i in range(20)])
+    monkeypatch.setattr(lm_scoring, "EXACT", 1024)
+    strided = np.array([lm_scoring._draw_many(c, a, d, np.random.default_rng(i)) for i in range(300)])
+    assert strided.mean() == pytest.approx(single.mean(), abs=4 * strided.std() / 20**0.5)
 
 
 def test_draws_belong_to_their_rows():
     draw = np.random.default_rng(2)
-    c, a, keys = draw.integers(0, 900, 500), draw.random(500) * 4 + 0.01, draw.integers(-(2**63), 2**63 - 1, 500)
+    c, a, keys = draw.integers(0, 3000, 500), draw.random(500) * 4 + 0.01, draw.integers(-(2**63), 2**63 - 1, 500)
     whole = lm_scoring.draw_tables(c, a, lm_scoring.DISCOUNT, keys, 1)
     order = draw.permutation(500)
     parts = [lm_scoring.draw_tables(c[i], a[i], lm_scoring.DISCOUNT, keys[i], 1) for i in np.array_split(order, 7)]
