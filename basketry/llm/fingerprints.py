@@ -23,7 +23,7 @@ SEGMENTS = 3
 CELLS = 8
 LARGER = (8, 16, 64)
 #: Digests of one side that a bucket of the larger attempts is meant for.
-PER_BUCKET = 4
+PER_BUCKET = 8
 #: Rounds of peeling; a difference that fits its sketch takes a few.
 PEELS = 10
 #: Sentence ends that a space follows, and those of scripts without spaces, after which a line end is put.
@@ -117,12 +117,21 @@ def _direct(tagged: Column) -> Column:
 
 
 def _bucket_difference(tagged: Column) -> Column:
-    """Attempts with more and more cells. The sketch of digests tagged by side is the difference of the sides' sketches."""
-    none = F.struct(F.array().cast(FOUND).alias("found"), F.lit(False).alias("done"))
+    """Attempts with more and more cells, each for what the ones before left. The sketch of digests tagged by side is the difference of the sides' sketches."""
+    start = F.struct(F.array().cast(FOUND).alias("found"), tagged.alias("rest"), F.lit(False).alias("done"))
     sizes = F.array(*[F.lit(size).cast("long") for size in LARGER])
-    return F.aggregate(
-        sizes, none, lambda tried, cells: F.when(tried["done"], tried).otherwise(peel(_cells(tagged, cells), cells)),
-        lambda tried: F.when(tried["done"], tried["found"]).otherwise(_direct(tagged)))
+
+    def attempt(tried: Column, cells: Column) -> Column:
+        def outcome(peeled: Column) -> Column:
+            got = F.transform(peeled["found"], lambda p: p["k"])
+            # A stuck attempt may have taken a sum for a digest, by equal checksums.
+            sure = F.filter(peeled["found"], lambda p: F.exists(tried["rest"], lambda t: t["k"] == p["k"]))
+            return F.when(peeled["done"], F.struct(F.concat(tried["found"], peeled["found"]).alias("found"), tried["rest"].alias("rest"), F.lit(True).alias("done"))).otherwise(
+                F.struct(F.concat(tried["found"], sure).alias("found"), F.filter(tried["rest"], lambda t: ~F.array_contains(got, t["k"])).alias("rest"), F.lit(False).alias("done")))
+
+        return F.when(tried["done"], tried).otherwise(bind(peel(_cells(tried["rest"], cells), cells), outcome))
+
+    return F.aggregate(sizes, start, attempt, lambda tried: F.when(tried["done"], tried["found"]).otherwise(F.concat(tried["found"], _direct(tried["rest"]))))
 
 
 def first_sketch(found: Column) -> Column:
@@ -181,7 +190,8 @@ def compare_rows(df: DataFrame, left: str, right: str, out: str = "found") -> Da
 
 
 def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
-    """(doc_id, text, next_text): the text of the next document by id, after the last one the first. Null texts count as empty.
+    """(doc_id, text, next_text, found, next_found): the text of the next document by id, after the last one the first, and the digests of both.
+    Null texts count as empty.
 
     Ids are cut into ranges by approximate quantiles, of which at most `blocks` come to the driver; rows of a
     range meet in one sorted window. The first row of each range is added to the range before it (to the last for the
@@ -207,23 +217,25 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
         [(place, firsts[i - 1][0]) for i, (_, place) in enumerate(firsts)], "place long, block int")
     # One row per range, so it may be broadcast.
     guests = rows.drop("block").join(F.broadcast(moved), "place").groupBy("place", "block").agg(F.min("text").alias("text"))
-    laid = rows.select("doc_id", "text", "place", "block", F.lit(0).alias("guest")).unionByName(
-        guests.select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", "place", "block", F.lit(1).alias("guest")))
+    found = digests(F.col("text")).alias("found")
+    laid = rows.select("doc_id", "text", found, "place", "block", F.lit(0).alias("guest")).unionByName(
+        guests.select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", found, "place", "block", F.lit(1).alias("guest")))
     # A given number of partitions, which is not lowered by size: the work per byte is high.
     laid = laid.repartition(blocks, "block")
-    following = F.lead("text").over(Window.partitionBy("block").orderBy("guest", "place", "text"))
-    return laid.withColumn("next_text", following).filter("guest = 0").select("doc_id", "text", "next_text")
+    following = F.lead(F.struct("text", "found")).over(Window.partitionBy("block").orderBy("guest", "place", "text"))
+    return laid.withColumn("next", following).filter("guest = 0").select(
+        "doc_id", "text", F.col("next.text").alias("next_text"), "found", F.col("next.found").alias("next_found"))
 
 
 def fingerprints(pairs: DataFrame) -> DataFrame:
-    """Per row of (doc_id, text, next_text): fingerprints of the text and of its edited version, and their likeness."""
+    """Per row of (doc_id, text, next_text, found, next_found): fingerprints of the text and of its edited version, and their likeness."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    texts = F.struct(F.col("text").alias("own"), edited.alias("edited"), F.col("next_text").alias("next"))
+    texts = F.struct(F.col("text").alias("own"), edited.alias("edited"), F.col("found").alias("own_found"), F.col("next_found").alias("next_found"))
 
-    def side(text: Column) -> Column:
-        return bind(digests(text), lambda found: F.struct(found.alias("d"), first_sketch(found).alias("s")))
+    def side(found: Column) -> Column:
+        return F.struct(found.alias("d"), first_sketch(found).alias("s"))
 
     def compare(t: Column) -> Column:
         def nears(sides: Column) -> Column:
@@ -232,7 +244,7 @@ def fingerprints(pairs: DataFrame) -> DataFrame:
             return F.transform(F.slice(sides, 2, 2), lambda o: likeness(
                 own["d"], o["d"], difference(own["d"], o["d"], subtract(own["s"], o["s"]))))
 
-        return bind(F.transform(F.array(t["own"], t["edited"], t["next"]), side), lambda sides: bind(nears(sides), lambda near: F.struct(
+        return bind(F.transform(F.array(t["own_found"], digests(t["edited"]), t["next_found"]), side), lambda sides: bind(nears(sides), lambda near: F.struct(
             F.length(t["own"]).cast("long").alias("n_chars"), F.sha2(t["edited"].cast("binary"), 256).alias("edited_sha256"),
             written(t["own"], sides[0]["d"], sides[0]["s"]).alias("fingerprint"),
             written(t["edited"], sides[1]["d"], sides[1]["s"]).alias("edited_fingerprint"),
