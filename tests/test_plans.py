@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -397,3 +398,31 @@ def test_segments_are_exhaustive(frame):
     assert row.total == row.opt_in + row.opt_out == 60
     assert row.never_bought == row.never_bought_active + row.never_bought_inactive
     assert row.buyers == row.ftb + row.vip + row["repeat"]
+
+
+# ---- items matched to campaigns
+
+def campaign_tables(frame, campaigns):
+    """Two items of brand a, ordered within and after the windows of its campaigns, and one order left out."""
+    orders = frame(
+        [(1, "Sim", dt.datetime(2020, 1, 5, 9)), (2, "Sim", dt.datetime(2020, 3, 1, 9)), (3, "Não", dt.datetime(2020, 1, 5, 9))],
+        "order_id long, include_state string, created_at timestamp",
+    )
+    items = frame([(f"i{o}", o, "A1", 2) for o in (1, 2, 3)], "item_id string, order_id long, variant_code string, quantity int")
+    windows = frame(
+        [(c, "a", dt.date(2020, 1, 1), dt.date(2020, 1, 31)) for c in range(campaigns)],
+        "campaign_id int, slug_products string, start_day0 date, end_date date",
+    )
+    products = frame([("A1", "a", 7, 5, 6)], "product_code string, slug_products string, product_id int, final_price int, list_price int")
+    return orders, items, windows, products
+
+
+def test_campaign_items_meet_only_campaigns_open_on_their_day(frame):
+    """Items meet the campaigns by equality on brand and day, with no test of the window left to do per item."""
+    orders, items, windows, products = campaign_tables(frame, 3)
+    many = frame([(f"i{n}", 2 - n % 2, "A1", 2) for n in range(40)], "item_id string, order_id long, variant_code string, quantity int")
+    late = windows.selectExpr("campaign_id + 100 as campaign_id", "slug_products", "date'2020-01-06' as start_day0", "date'2020-02-05' as end_date")
+    got = catalogue.campaign_items(orders, many, windows.union(late), products)
+    assert rows(got, "item_id", "campaign_id", "total") == sorted((f"i{n}", c, 10) for n in range(1, 40, 2) for c in range(3))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Join \[slug_products#\d+, order_date#\d+\], \[slug_products#\d+, order_date#\d+\], Inner[^(]*\n", plan), plan
