@@ -491,6 +491,12 @@ def campaign_day(matched: DataFrame, catalogue: DataFrame) -> DataFrame:
     ).drop("start_day0")
 
 
-def campaign_orders(orders: DataFrame, matched: DataFrame) -> DataFrame:
-    """Orders that kept at least one matched item, with the hour of their creation."""
-    return semi(orders, matched.select("order_id"), "order_id").withColumn("order_hour", F.hour("created_at"))
+def campaign_orders(
+    orders: DataFrame, items: DataFrame, catalogue: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Orders that kept at least one matched item (see `campaign_items`), with the hour of their creation.
+
+    An item is kept as soon as one campaign of its brand was open on its day, so it is not multiplied by those campaigns.
+    """
+    kept = semi(dated_items(orders, items, products), open_days(orders, catalogue), ["slug_products", "order_date"])
+    return semi(orders, kept, "order_id").withColumn("order_hour", F.hour("created_at"))

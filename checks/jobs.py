@@ -330,7 +330,9 @@ class Jobs:
 
     @job
     def campaign_orders(self):
-        return cat.campaign_orders(self.order_inclusion, self.campaign_items)
+        return cat.campaign_orders(
+            self.order_inclusion, self.admin_items, self.campaign_catalogue, self.campaign_products
+        )
 
     # ---- margin
     @job

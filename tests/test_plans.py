@@ -417,6 +417,32 @@ def campaign_tables(frame, campaigns):
     return orders, items, windows, products
 
 
+def plan_with_rows(df):
+    """Executed plan text, with the largest number of rows that any join gave."""
+    df.collect()
+    joins, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().length())]
+        if "Join" in node.nodeName():
+            joins.append(node.metrics().apply("numOutputRows").value())
+    return max(joins)
+
+
+def test_campaign_orders_do_not_multiply_items_by_campaigns(frame):
+    got = catalogue.campaign_orders(*campaign_tables(frame, 500))
+    assert rows(got, "order_id", "order_hour") == [(1, 9)]
+    # The 500 open days of the campaigns are the most that a join gives; items of many orders would show the product.
+    orders, items, windows, products = campaign_tables(frame, 500)
+    many = frame([(f"i{n}", 1, "A1", 1) for n in range(40)], "item_id string, order_id long, variant_code string, quantity int")
+    assert plan_with_rows(catalogue.campaign_orders(orders, many, windows, products)) <= 500
+
+
 def test_campaign_items_meet_only_campaigns_open_on_their_day(frame):
     """Items meet the campaigns by equality on brand and day, with no test of the window left to do per item."""
     orders, items, windows, products = campaign_tables(frame, 3)
