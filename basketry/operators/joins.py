@@ -135,6 +135,9 @@ def star_lookup(
     the row itself under a key of its own; these meet the entries in one join on (kind, id) and are put together again by
     aggregation on `key`, which names the rows uniquely. So `df` is computed once and no lookup shuffles whole rows. `default`
     stands for ids without an entry; a null label of an entry stays null. An entry's (kind, id) is unique.
+
+    The small rows are dealt by `key` before they are aggregated: structs are put together by sorting, and a sort of all rows
+    of a map task, of which none combine where the join has scattered them, would be as large as its input times the ids.
     """
     id_type = entries.schema["id"].dataType
     row = F.struct(*df.columns)
@@ -149,7 +152,7 @@ def star_lookup(
     # Null ids have no entry; left out, they cannot crowd in one partition.
     long = df.select(F.col(key).alias("key"), F.explode(F.array(*slots)).alias("s")).select("key", "s.*").where("id is not null")
     found = long.join(entries.select("kind", "id", F.struct("label").alias("entry")), ["kind", "id"], "left")
-    wide = found.groupBy("key").agg(
+    wide = found.select("key", "slot", "row", "entry").repartition("key").groupBy("key").agg(
         F.max("row").alias("row"), *[F.max(F.when(F.col("slot") == i, F.col("entry"))).alias(f"entry_{i}") for i in range(1, len(slots))]
     )
     labels = {

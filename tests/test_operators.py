@@ -84,6 +84,15 @@ def test_star_lookup_equals_single_lookups(frame):
     assert joins.star_lookup(df.limit(0), "id", entries, {"al": ("x", "a")}).count() == 0
 
 
+def test_star_lookup_sorts_nothing_before_the_rows_are_dealt_by_key(frame):
+    df = frame([(i, i % 3, f"r{i}") for i in range(9)], "id long, a long, text string")
+    entries = frame([("x", 1, "one")], "kind string, id long, label string")
+    plan = joins.star_lookup(df, "id", entries, {"al": ("x", "a")})._jdf.queryExecution().sparkPlan().toString()
+    lines = plan.splitlines()
+    dealt = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(key#" in line)
+    assert not any("Aggregate" in line for line in lines[dealt:]), plan
+
+
 def test_semi_and_anti(frame):
     df, keys = frame([(1,), (2,), (None,)], "k int"), frame([(1,), (1,), (None,)], "k int")
     assert rows(joins.semi(df, keys, "k")) == [(1,)]
