@@ -431,13 +431,19 @@ def of_kind(per_kind: DataFrame, rows: DataFrame) -> tuple[DataFrame, Column]:
 def classified_products(products: DataFrame, sizes: DataFrame, bands: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Campaign products with the number of their size and the price band of each campaign kind of their brand.
 
-    A brand with several kinds gives a row per kind. Kinds are joined before prices, on keys that are unique.
+    A brand with several kinds gives a row per kind. Kinds and bands meet the distinct (brand, price) points of the products, and
+    products join the labelled points, so rows are shuffled before kinds multiply them and not again after.
     """
     kinds = catalogue.select("slug_products", "treated_slug").distinct()
     sized = natural_left(products, sizes.select("size", "size_sort"), "size")
-    return natural_left(
-        left_many(sized, kinds, "slug_products"), bands.select("treated_slug", "final_price", "band"), ["treated_slug", "final_price"]
+    points = left_many(products.select("slug_products", "final_price").distinct(), kinds, "slug_products")
+    labelled = natural_left(points, bands.select("treated_slug", "final_price", "band"), ["treated_slug", "final_price"]).select(
+        F.col("slug_products").alias("point_slug"), F.col("final_price").alias("point_price"), "treated_slug", "band"
     )
+    # Every product has its point, also without a brand or a price.
+    of_point = sized["slug_products"].eqNullSafe(labelled["point_slug"]) & sized["final_price"].eqNullSafe(labelled["point_price"])
+    keys = ["treated_slug", "final_price", "slug_products"]
+    return sized.join(labelled, of_point, "inner").select(*keys, *[c for c in sized.columns if c not in keys], "band")
 
 
 # ---------------------------------------------------------------- items matched to campaigns

@@ -417,10 +417,10 @@ def campaign_tables(frame, campaigns):
     return orders, items, windows, products
 
 
-def plan_with_rows(df):
-    """Executed plan text, with the largest number of rows that any join gave."""
+def most_rows(df, kind="Join", metric="numOutputRows"):
+    """The largest number of rows that any join gave (or an operator of another kind, by a metric of it)."""
     df.collect()
-    joins, todo = [], [df._jdf.queryExecution().executedPlan()]
+    counts, todo = [], [df._jdf.queryExecution().executedPlan()]
     while todo:
         node = todo.pop()
         if node.nodeName() == "AdaptiveSparkPlan":
@@ -429,9 +429,9 @@ def plan_with_rows(df):
             todo.append(node.plan())
         else:
             todo += [node.children().apply(i) for i in range(node.children().length())]
-        if "Join" in node.nodeName():
-            joins.append(node.metrics().apply("numOutputRows").value())
-    return max(joins)
+        if kind in node.nodeName() and node.metrics().contains(metric):
+            counts.append(node.metrics().apply(metric).value())
+    return max(counts)
 
 
 def test_campaign_orders_do_not_multiply_items_by_campaigns(frame):
@@ -440,7 +440,7 @@ def test_campaign_orders_do_not_multiply_items_by_campaigns(frame):
     # The 500 open days of the campaigns are the most that a join gives; items of many orders would show the product.
     orders, items, windows, products = campaign_tables(frame, 500)
     many = frame([(f"i{n}", 1, "A1", 1) for n in range(40)], "item_id string, order_id long, variant_code string, quantity int")
-    assert plan_with_rows(catalogue.campaign_orders(orders, many, windows, products)) <= 500
+    assert most_rows(catalogue.campaign_orders(orders, many, windows, products)) <= 500
 
 
 def test_campaign_items_meet_only_campaigns_open_on_their_day(frame):
@@ -452,3 +452,26 @@ def test_campaign_items_meet_only_campaigns_open_on_their_day(frame):
     assert rows(got, "item_id", "campaign_id", "total") == sorted((f"i{n}", c, 10) for n in range(1, 40, 2) for c in range(3))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Join \[slug_products#\d+, order_date#\d+\], \[slug_products#\d+, order_date#\d+\], Inner[^(]*\n", plan), plan
+
+
+def test_classified_products_are_not_shuffled_after_kinds_multiply_them(frame, spark):
+    products = frame(
+        [(n, "a", n % 3, "p") for n in range(100)] + [(100, "b", 1, "m"), (101, "a", None, "p"), (102, None, 1, None)],
+        "product_id int, slug_products string, final_price int, size string",
+    )
+    kinds = frame([("a", f"k{i}") for i in range(20)] + [("a", "k1"), (None, "k1")], "slug_products string, treated_slug string")
+    bands = frame([(f"k{i}", price, f"{i}-{price}") for i in range(20) for price in (0, 1)], "treated_slug string, final_price int, band string")
+    sizes = frame([("p", 1), ("m", 2)], "size string, size_sort int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalogue.classified_products(products, sizes, bands, kinds)
+        moved = most_rows(got, "Exchange", "shuffleRecordsWritten")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert moved <= 103, moved
+    expected = [(n, f"k{i}", f"{i}-{n % 3}" if n % 3 < 2 else None, 1) for n in range(100) for i in range(20)]
+    expected += [(101, f"k{i}", None, 1) for i in range(20)] + [(100, None, None, 2), (102, None, None, None)]
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert rows(got, "product_id", "treated_slug", "band", "size_sort") == sorted(expected, key=key)
+    assert got.columns == ["treated_slug", "final_price", "slug_products", "size", "product_id", "size_sort", "band"]
