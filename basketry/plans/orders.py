@@ -19,6 +19,7 @@ from basketry.plans.labels import (
     BILLED_STATES, CREDIT_CARD, DEVICES, ERP_STATUSES, FAILED_STATES, NO, PAYMENT_CAPTURED, PAYMENT_FAILED, YES,
 )
 from basketry.plans.users import NO_UTM, UTM_TEXT, add_utm, channel_flags, utm_text
+from basketry.session import stage_table
 
 
 def with_consider(orders: DataFrame, state_map: DataFrame) -> DataFrame:
@@ -447,13 +448,13 @@ def final_items(orders: DataFrame, items: DataFrame, first: dt.date, last: dt.da
     quantity = F.col("quantity") - (F.col("cancelled_quantity") + F.col("stockout_quantity"))
     sold = items.where(quantity > 0).select(
         "order_id", F.col("id").alias("item_id"), "campaign_id", F.col("variant_id").alias("sku"), "name",
-        "final_price", quantity.alias("final_quantity"), (F.col("final_price") * quantity).alias("basket_value"),
-        F.col("shipping_price").alias("item_shipping_price"),
-    )
-    joined = valid.join(sold, "order_id", "inner")
-    return joined.withColumn("final_value", F.col("basket_value") + F.col("item_shipping_price")).orderBy(
-        "order_id", "item_id"
+        "final_price", quantity.alias("final_quantity"), F.col("shipping_price").alias("item_shipping_price"),
     )
+    # Staged, because the sort reads its input twice, first to draw its ranges: the few rows left, not both sides of the join.
+    joined = stage_table(valid.join(sold, "order_id", "inner"))
+    basket = F.col("final_price") * F.col("final_quantity")
+    columns = [*joined.columns[:-1], basket.alias("basket_value"), "item_shipping_price", (basket + F.col("item_shipping_price")).alias("final_value")]
+    return joined.orderBy("order_id", "item_id").select(*columns)
 
 
 def orders_by_utm(orders: DataFrame, utms: DataFrame, first: dt.date, last: dt.date) -> DataFrame:

@@ -475,3 +475,17 @@ def test_classified_products_are_not_shuffled_after_kinds_multiply_them(frame, s
     key = lambda r: tuple((v is None, str(v)) for v in r)
     assert rows(got, "product_id", "treated_slug", "band", "size_sort") == sorted(expected, key=key)
     assert got.columns == ["treated_slug", "final_price", "slug_products", "size", "product_id", "size_sort", "band"]
+
+
+def test_final_items_are_joined_once(frame):
+    """The sort draws its ranges from the joined rows, without joining them a second time."""
+    head = frame([(1, 5, "delivered", t("2020-01-05 12:00")), (2, 5, "cancelled", t("2020-01-05 12:00"))], "id long, user_id long, state string, created_at timestamp")
+    items = frame(
+        [(o, f"{o}{n}", 3, 4, "x", 2.5, n, 0, 1, 0.5) for o in (2, 1) for n in (3, 2, 1)],
+        "order_id long, id string, campaign_id long, variant_id long, name string, final_price double, quantity int, "
+        "cancelled_quantity int, stockout_quantity int, shipping_price double",
+    )
+    got = orders.final_items(head, items, D(2020, 1, 1), D(2020, 1, 31))
+    assert [tuple(r) for r in got.select("order_id", "item_id", "final_quantity", "basket_value", "final_value").collect()] == [
+        (1, "12", 1, 2.5, 3.0), (1, "13", 2, 5.0, 5.5)]
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
