@@ -15,6 +15,14 @@ COSTS = [
 ]
 
 
+def recent_heads(heads: DataFrame) -> DataFrame:
+    """Orders whose product cost may be computed from their items: since the previous month (see `margin.frozen_order_cost`).
+
+    The cost of older orders comes from the stored history or not at all, so their items need no unit cost.
+    """
+    return heads.where(F.col("month") >= margin.previous_month(heads))
+
+
 def product_costs(item_costs: DataFrame) -> DataFrame:
     """Unit costs and quantities by order, all that later stages need of the items."""
     return item_costs.select("order_id", "month", "unit_cost", "quantity")

@@ -4,7 +4,7 @@ import re
 from conftest import rows
 from pyspark.sql import functions as F
 
-from basketry.plans import catalogue, lifecycle, margin, orders, service, users
+from basketry.plans import catalogue, costs, lifecycle, margin, orders, service, users
 
 D = dt.date
 
@@ -489,3 +489,21 @@ def test_final_items_are_joined_once(frame):
     assert [tuple(r) for r in got.select("order_id", "item_id", "final_quantity", "basket_value", "final_value").collect()] == [
         (1, "12", 1, 2.5, 3.0), (1, "13", 2, 5.0, 5.5)]
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_items_of_orders_before_the_previous_month_need_no_unit_cost(frame):
+    heads = frame(
+        [(1, D(2020, 3, 1), "main"), (2, D(2020, 2, 1), "main"), (3, D(2020, 1, 1), "main"), (4, None, "main")],
+        "order_id long, month date, unit string",
+    )
+    items = frame([(f"i{o}", o, "x", "A", 2) for o in (1, 2, 3, 4)],
+                  "item_id string, order_id long, product_name string, variant_code string, quantity int")
+    products = frame([("A", "E")], "variant_code string, erp_product_id string")
+    stock = frame([(D(2020, m, 1), "E", "main", 10 * m) for m in (1, 2, 3)], "month date, erp_product_id string, unit string, unit_cost int")
+    history = frame([(1, 7), (3, 8)], "order_id long, product_cost int")
+    recent = margin.item_cost(costs.recent_heads(heads), items, products, stock)
+    assert rows(recent, "order_id", "unit_cost") == [(1, 30), (2, 20)]
+    got = margin.frozen_order_cost(heads, costs.product_costs(recent), history)
+    every = margin.frozen_order_cost(heads, costs.product_costs(margin.item_cost(heads, items, products, stock)), history)
+    assert rows(got) == rows(every)
+    assert [(o, c and int(c)) for o, c in rows(got, "order_id", "product_cost")] == [(1, 7), (2, 40), (3, 8), (4, None)]
