@@ -454,6 +454,21 @@ def test_campaign_items_meet_only_campaigns_open_on_their_day(frame):
     assert re.search(r"Join \[slug_products#\d+, order_date#\d+\], \[slug_products#\d+, order_date#\d+\], Inner[^(]*\n", plan), plan
 
 
+def test_campaign_days_are_numbered_before_items_multiply_them(frame, spark):
+    orders, items, windows, products = campaign_tables(frame, 3)
+    early = windows.selectExpr("campaign_id", "slug_products", "date'2019-12-01' as start_day0", "date'2019-12-02' as end_date").where("campaign_id = 1")
+    many = frame([(f"i{n}", 1, "A1", 2) for n in range(40)], "item_id string, order_id long, variant_code string, quantity int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalogue.campaign_day(orders, many, windows.union(early), products)
+        moved = most_rows(got, "Exchange", "shuffleRecordsWritten")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert moved <= 40, moved  # of 120 matched items none is moved
+    assert rows(got, "item_id", "campaign_id", "campaign_day") == sorted((f"i{n}", c, 35 if c == 1 else 4) for n in range(40) for c in range(3))
+
+
 def test_classified_products_are_not_shuffled_after_kinds_multiply_them(frame, spark):
     products = frame(
         [(n, "a", n % 3, "p") for n in range(100)] + [(100, "b", 1, "m"), (101, "a", None, "p"), (102, None, 1, None)],
