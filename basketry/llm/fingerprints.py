@@ -6,13 +6,16 @@ combined by exclusive or, so sketches of two versions can be subtracted: what bo
 takes a cell with one digest left, removes that digest everywhere, and so on, until the sketch is empty and
 the differing digests of both sides are known. If it gets stuck, the attempt is repeated larger: first with the digests
 dealt into buckets of their own small sketch, as many as the larger text needs (ranges of one sorted list of both sides'
-digests), then with more cells in the buckets that still fail. A bucket that fails even then is compared directly.
+digests), then in the buckets that still fail for what is left, with cells by other bits and at last more of them.
+A bucket that fails even then is compared directly.
 
 Built-in functions only. Everything about a document is computed in its own row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +24,9 @@ from basketry.llm.common import SPACE, bind, table
 SEGMENTS = 3
 #: Cells of a segment at the first attempt and at the larger ones.
 CELLS = 8
-LARGER = (8, 16, 64)
+LARGER = (8, 8, 32)
+#: Bits of a digest for a segment, of which each larger attempt takes others: digests that met in all their cells once are parted then.
+BITS = 14
 #: Digests of one side that a bucket of the larger attempts is meant for.
 PER_BUCKET = 8
 #: Rounds of peeling; a difference that fits its sketch takes a few.
@@ -39,6 +44,12 @@ FOUND = "array<struct<n:int,k:bigint>>"
 BORDER = -2
 
 
+
+def held(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over `value`, which is evaluated once. `bind` does the same, but its transform copies the result with all that is in it."""
+    return F.aggregate(F.array(), value, lambda kept, _: kept, body)
+
+
 def paragraphs(text: Column) -> Column:
     """The text cut at line and sentence ends, and what is longer than RUN at some words. May hold empty ones."""
     for end in FULL_ENDS:
@@ -56,9 +67,9 @@ def _tagged(found: Column, n: int) -> Column:
     return F.transform(found, lambda k: F.struct(k.alias("k"), F.lit(n).alias("n"), F.hash(k).alias("h")))
 
 
-def _placed(tagged: Column, cells: Column) -> Column:
-    """With the cell within each segment, from low bits; buckets go by the highest. `cells` is a power of two."""
-    places = lambda k: [F.call_function("shiftrightunsigned", k, F.lit(14 * s)).bitwiseAND(cells - 1).cast("int").alias(f"p{s}") for s in range(SEGMENTS)]
+def _placed(tagged: Column, cells: Column, skipped: Column) -> Column:
+    """With the cell within each segment, from low bits after the skipped ones; buckets go by the highest. `cells` is a power of two."""
+    places = lambda k: [F.call_function("shiftrightunsigned", k, skipped + BITS * s).bitwiseAND(cells - 1).cast("int").alias(f"p{s}") for s in range(SEGMENTS)]
     return F.transform(tagged, lambda t: F.struct(t["k"].alias("k"), t["n"].alias("n"), t["h"].alias("h"), *places(t["k"])))
 
 
@@ -68,17 +79,17 @@ def _sum(cell: Column, placed: Column, segment: int, place: Column, sign: int) -
         (c["n"] + t["n"] if sign > 0 else c["n"] - t["n"]).alias("n"), c["k"].bitwiseXOR(t["k"]).alias("k"), c["h"].bitwiseXOR(t["h"]).alias("h")))
 
 
-def _cells(tagged: Column, cells: Column) -> Column:
+def _cells(tagged: Column, cells: Column, skipped: Column) -> Column:
     """The sketch of tagged digests, segment after segment."""
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("h"))
     places = F.sequence(F.lit(0), (cells - 1).cast("int"))
     segment = lambda placed, s: F.transform(places, lambda place: _sum(empty, placed, s, place, 1))
-    return bind(_placed(tagged, cells), lambda placed: F.concat(*[segment(placed, s) for s in range(SEGMENTS)]))
+    return held(_placed(tagged, cells, skipped), lambda placed: F.concat(*[segment(placed, s) for s in range(SEGMENTS)]))
 
 
 def sketch(found: Column, cells: Column) -> Column:
     """The cells of a set of digests, segment after segment."""
-    return _cells(_tagged(found, 1), cells)
+    return _cells(_tagged(found, 1), cells, F.lit(0))
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -86,27 +97,36 @@ def subtract(left: Column, right: Column) -> Column:
         (a["n"] - b["n"]).alias("n"), a["k"].bitwiseXOR(b["k"]).alias("k"), a["h"].bitwiseXOR(b["h"]).alias("h")))
 
 
-def peel(difference: Column, cells: Column) -> Column:
+def peel(difference: Column, cells: Column, skipped: Column) -> Column:
     """struct(found: array of (n, k), done): n is 1 for digests of the left side only, -1 for the right side only."""
 
+    empty = lambda cells_left: ~F.exists(cells_left, lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))
+
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["h"] == F.hash(c["k"])))
-        taken = _placed(F.array_distinct(F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h")))), cells)
+        taken = _placed(F.array_distinct(F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h")))), cells, skipped)
 
         def without(taken: Column) -> Column:
-            rest = lambda s: F.transform(
-                F.slice(state["cells"], (cells * s + 1).cast("int"), cells.cast("int")), lambda c, i: _sum(c, taken, s, i, -1))
-            got = F.transform(taken, lambda t: F.struct(t["n"].alias("n"), t["k"].alias("k")))
-            return F.when(F.size(taken) > 0, F.struct(
-                F.concat(*map(rest, range(SEGMENTS))).alias("cells"), F.concat(state["found"], got).alias("found"), F.lit(True).alias("going"))
-            ).otherwise(F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("going")))
-
-        return F.when(state["going"], bind(taken, without)).otherwise(state)
-
-    start = F.struct(difference.alias("cells"), F.array().cast(FOUND).alias("found"), F.lit(True).alias("going"))
+            # Cells that no digest taken stands in stay as they are.
+            bit = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place)
+            touched = lambda s: F.aggregate(taken, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(bit(t[f"p{s}"])))
+            rest = lambda s: held(touched(s), lambda bits: F.transform(
+                F.slice(state["cells"], (cells * s + 1).cast("int"), cells.cast("int")),
+                lambda c, i: F.when(bits.bitwiseAND(bit(i)) != 0, _sum(c, taken, s, i, -1)).otherwise(c)))
+            went = lambda cells_left, n, k, going, done: F.struct(
+                cells_left.alias("cells"), n.alias("n"), k.alias("k"), F.lit(going).alias("going"), done.alias("done"))
+            # An aggregate copies its state in each round, so what has ended keeps no cells.
+            return F.when(F.size(taken) > 0, went(
+                F.concat(*map(rest, range(SEGMENTS))), F.concat(state["n"], taken["n"]), F.concat(state["k"], taken["k"]), True, F.lit(False))
+            ).otherwise(went(F.slice(state["cells"], 1, 0), state["n"], state["k"], False, empty(state["cells"])))
+
+        return F.when(state["going"], held(taken, without)).otherwise(state)
+
+    start = F.struct(
+        difference.alias("cells"), F.array().cast("array<int>").alias("n"), F.array().cast("array<bigint>").alias("k"), F.lit(True).alias("going"), F.lit(False).alias("done"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), start, step, lambda state: F.struct(
-        state["found"].alias("found"),
-        (~F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))).alias("done")))
+        F.zip_with(state["n"], state["k"], lambda n, k: F.struct(n.alias("n"), k.alias("k"))).alias("found"),
+        F.when(state["going"], empty(state["cells"])).otherwise(state["done"]).alias("done")))
 
 
 def _direct(tagged: Column) -> Column:
@@ -117,19 +137,20 @@ def _direct(tagged: Column) -> Column:
 
 
 def _bucket_difference(tagged: Column) -> Column:
-    """Attempts with more and more cells, each for what the ones before left. The sketch of digests tagged by side is the difference of the sides' sketches."""
+    """Attempts with cells by other bits, each for what the ones before left. The sketch of digests tagged by side is the difference of the sides' sketches."""
     start = F.struct(F.array().cast(FOUND).alias("found"), tagged.alias("rest"), F.lit(False).alias("done"))
-    sizes = F.array(*[F.lit(size).cast("long") for size in LARGER])
+    skips = [sum(size.bit_length() - 1 for size in LARGER[:i]) for i in range(len(LARGER))]
+    sizes = F.array(*[F.struct(F.lit(size).cast("long").alias("cells"), F.lit(skip).alias("skipped")) for size, skip in zip(LARGER, skips)])
 
-    def attempt(tried: Column, cells: Column) -> Column:
+    def attempt(tried: Column, size: Column) -> Column:
         def outcome(peeled: Column) -> Column:
             got = F.transform(peeled["found"], lambda p: p["k"])
             # A stuck attempt may have taken a sum for a digest, by equal checksums.
             sure = F.filter(peeled["found"], lambda p: F.exists(tried["rest"], lambda t: t["k"] == p["k"]))
-            return F.when(peeled["done"], F.struct(F.concat(tried["found"], peeled["found"]).alias("found"), tried["rest"].alias("rest"), F.lit(True).alias("done"))).otherwise(
+            return F.when(peeled["done"], F.struct(F.concat(tried["found"], peeled["found"]).alias("found"), F.slice(tried["rest"], 1, 0).alias("rest"), F.lit(True).alias("done"))).otherwise(
                 F.struct(F.concat(tried["found"], sure).alias("found"), F.filter(tried["rest"], lambda t: ~F.array_contains(got, t["k"])).alias("rest"), F.lit(False).alias("done")))
 
-        return F.when(tried["done"], tried).otherwise(bind(peel(_cells(tried["rest"], cells), cells), outcome))
+        return F.when(tried["done"], tried).otherwise(held(peel(_cells(tried["rest"], size["cells"], size["skipped"]), size["cells"], size["skipped"]), outcome))
 
     return F.aggregate(sizes, start, attempt, lambda tried: F.when(tried["done"], tried["found"]).otherwise(F.concat(tried["found"], _direct(tried["rest"]))))
 
@@ -152,9 +173,9 @@ def _larger(left: Column, right: Column, bits: Column) -> Column:
             first = F.get(at, i)
             return F.slice(laid, first + 2, F.coalesce(F.get(at, i + 1), F.size(laid)) - first - 1)
 
-        return bind(at, lambda at: F.flatten(F.transform(parts, lambda i: bind(bucket(at, i), _bucket_difference))))
+        return held(at, lambda at: F.flatten(F.transform(parts, lambda i: held(bucket(at, i), _bucket_difference))))
 
-    return bind(F.sort_array(F.concat(_tagged(left, 1), _tagged(right, -1), borders)), solved)
+    return held(F.sort_array(F.concat(_tagged(left, 1), _tagged(right, -1), borders)), solved)
 
 
 def difference(left: Column, right: Column, first: Column) -> Column:
@@ -162,14 +183,14 @@ def difference(left: Column, right: Column, first: Column) -> Column:
     most = F.greatest(F.size(left), F.size(right), F.lit(PER_BUCKET))
     bits = F.least(F.ceil(F.log2(most / F.lit(float(PER_BUCKET)))), F.lit(20)).cast("int")
     # More digests than cells cannot be told apart, so a difference in size beyond that needs no first attempt.
-    tried = F.when(F.abs(F.size(left) - F.size(right)) <= SEGMENTS * CELLS, peel(first, F.lit(CELLS).cast("long")))
-    return bind(tried, lambda t: F.when(F.coalesce(t["done"], F.lit(False)), t["found"]).otherwise(bind(bits, lambda b: _larger(left, right, b))))
+    tried = F.when(F.abs(F.size(left) - F.size(right)) <= SEGMENTS * CELLS, peel(first, F.lit(CELLS).cast("long"), F.lit(0)))
+    return held(tried, lambda t: F.when(F.coalesce(t["done"], F.lit(False)), t["found"]).otherwise(held(bits, lambda b: _larger(left, right, b))))
 
 
 def likeness(left: Column, right: Column, differing: Column) -> Column:
     """Shared digests over all digests; 1 if neither side has one."""
     both = F.size(left) + F.size(right)
-    return bind(F.size(differing), lambda n: F.when(both == 0, 1.0).otherwise((both - n) / (both + n)))
+    return held(F.size(differing), lambda n: F.when(both == 0, 1.0).otherwise((both - n) / (both + n)))
 
 
 def written(text: Column, found: Column, cells: Column) -> Column:
@@ -183,7 +204,7 @@ def compare_rows(df: DataFrame, left: str, right: str, out: str = "found") -> Da
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     sets = F.struct(digests(text(left)).alias("l"), digests(text(right)).alias("r"))
     only = lambda found, n: F.transform(F.filter(found, lambda p: p["n"] == n), lambda p: p["k"])
-    result = bind(sets, lambda s: bind(
+    result = held(sets, lambda s: held(
         difference(s["l"], s["r"], subtract(first_sketch(s["l"]), first_sketch(s["r"]))),
         lambda found: F.struct(only(found, 1).alias("only_left"), only(found, -1).alias("only_right"), likeness(s["l"], s["r"], found).alias("near"))))
     return df.withColumn(out, result).select(*df.columns, f"{out}.*")
@@ -244,13 +265,13 @@ def fingerprints(pairs: DataFrame) -> DataFrame:
             return F.transform(F.slice(sides, 2, 2), lambda o: likeness(
                 own["d"], o["d"], difference(own["d"], o["d"], subtract(own["s"], o["s"]))))
 
-        return bind(F.transform(F.array(t["own_found"], digests(t["edited"]), t["next_found"]), side), lambda sides: bind(nears(sides), lambda near: F.struct(
+        return held(F.transform(F.array(t["own_found"], digests(t["edited"]), t["next_found"]), side), lambda sides: held(nears(sides), lambda near: F.struct(
             F.length(t["own"]).cast("long").alias("n_chars"), F.sha2(t["edited"].cast("binary"), 256).alias("edited_sha256"),
             written(t["own"], sides[0]["d"], sides[0]["s"]).alias("fingerprint"),
             written(t["edited"], sides[1]["d"], sides[1]["s"]).alias("edited_fingerprint"),
             near[0].alias("near_edited"), near[1].alias("near_next"))))
 
-    return pairs.select("doc_id", bind(texts, compare).alias("f")).select("doc_id", "f.*")
+    return pairs.select("doc_id", held(texts, compare).alias("f")).select("doc_id", "f.*")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

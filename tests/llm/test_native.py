@@ -173,3 +173,12 @@ def test_one_line_texts_of_any_script_have_borders(spark):
     for row in fingerprints.compare_rows(spark.createDataFrame(rows, "id long, l string, r string"), "l", "r").collect():
         assert row.near == pytest.approx(likeness(plain_set(row.l), plain_set(row.r))) and row.near > 0.1, row.id
         assert len(plain_set(row.l)) >= 5
+
+
+def test_digests_that_met_in_all_cells_are_parted_by_other_bits(spark, monkeypatch):
+    """Digests with the same lowest six bits in each segment share their cells in any sketch of up to 64 cells by those bits."""
+    monkeypatch.setattr(fingerprints, "_direct", lambda tagged: F.array().cast(fingerprints.FOUND))
+    step = sum(1 << 14 * s + 6 for s in range(fingerprints.SEGMENTS))
+    found = fingerprints._bucket_difference(F.concat(fingerprints._tagged(F.col("l"), 1), fingerprints._tagged(F.col("r"), -1)))
+    row = spark.createDataFrame([([5, 5 + step], [5 + 2 * step, 9])], "l array<long>, r array<long>").select(found.alias("f")).first()
+    assert sorted((p.n, p.k) for p in row.f) == [(-1, 9), (-1, 5 + 2 * step), (1, 5), (1, 5 + step)]
