@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import stage_table
+from basketry.session import drop_stage, stage_table
 
 #: Characters that separate words, as the body of a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -22,14 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def drop_stage(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more. `df` may be a selection of its columns."""
-    spark = df.sparkSession
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def crc_mod(key: str | Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo `modulus`. A null key counts as the empty text."""
     column = F.col(key) if isinstance(key, str) else key

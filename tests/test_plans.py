@@ -1,6 +1,7 @@
 import datetime as dt
 import re
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -469,6 +470,24 @@ def test_campaign_days_are_numbered_before_items_multiply_them(frame, spark):
     assert rows(got, "item_id", "campaign_id", "campaign_day") == sorted((f"i{n}", c, 35 if c == 1 else 4) for n in range(40) for c in range(3))
 
 
+@pytest.mark.parametrize("plan", [catalogue.campaign_items, catalogue.campaign_day])
+def test_matched_items_keep_only_the_last_shuffle(frame, spark, plan):
+    """What the plan still holds, without broadcasts, is the shuffle by brand and day: those by order and by product are done and removed."""
+    orders, items, windows, products = campaign_tables(frame, 3)
+    many = frame([(f"i{n}", 2 - n % 2, "A1", 2) for n in range(40)], "item_id string, order_id long, variant_code string, quantity int")
+    names = frame([("A1",)], "erp_code string")
+    looked_up = many.join(names, many["variant_code"] == names["erp_code"], "left").drop("erp_code")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = plan(orders, looked_up, windows, products)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got, "item_id", "campaign_id") == sorted((f"i{n}", c) for n in range(1, 40, 2) for c in range(3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(slug_products" in text and not re.search(r"hashpartitioning\((order_id|product_code|variant_code)", text), text
+
+
 def test_classified_products_are_not_shuffled_after_kinds_multiply_them(frame, spark):
     products = frame(
         [(n, "a", n % 3, "p") for n in range(100)] + [(100, "b", 1, "m"), (101, "a", None, "p"), (102, None, 1, None)],

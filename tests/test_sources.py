@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from conftest import rows
@@ -174,3 +175,14 @@ def test_only_new_files_are_loaded(spark, tmp_path):
     (folder / "empty.csv").write_text("")
     assert load() == ([("1", "x"), ("2", "y"), ("3", "z"), ("4", "w")], 1)
     assert load()[1] == 0 and loaded == [["one.csv", "two.csv"], ["three.csv"]]
+
+
+def test_staging_removes_its_shuffle_files(spark):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = store.getAllFiles().size()
+    staged = session.stage_table(spark.range(1000).repartition(3, "id"))
+    for _ in range(100):
+        if (left := store.getAllFiles().size()) <= before:
+            break
+        time.sleep(0.1)
+    assert left <= before and staged.count() == 1000
