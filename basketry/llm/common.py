@@ -15,7 +15,7 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 SLICE = 256
 
-__all__ = ["SPACE", "WORD", "bind", "crc_mod", "drop_stage", "packed", "slices", "stage_table", "table"]
+__all__ = ["SPACE", "WORD", "bind", "crc_mod", "drop_stage", "packed", "slices", "slices_of", "stage_table", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def packed(docs: DataFrame, **keys: Column) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *[key.alias(name) for name, key in keys.items()])
 
 
+def slices_of(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most `rows` rows."""
+    return (batch.slice(start, rows) for start in range(0, batch.num_rows, rows))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[list[list]]:
     """The columns of at most `rows` rows at a time as Python lists, so that only those are unpacked."""
     for batch in batches:

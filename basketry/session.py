@@ -59,8 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL_FOLDER: str | None = None
 
 
-def stage_table(df: DataFrame) -> DataFrame:
-    """Write a frame that is used several times as a column file in the shared folder and read it back.
+def stage_table(df: DataFrame, *by: str) -> DataFrame:
+    """Write a frame that is used several times as a column file in the shared folder, in folders of `by`, and read it back.
 
     Cuts the lineage and survives lost executors. Unlike a checkpoint the copy keeps column pruning,
     filter pushdown and a known size, so a small stage can be broadcast later. The shuffle files behind the copy are
@@ -71,7 +71,7 @@ def stage_table(df: DataFrame) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,12 +7,14 @@ from fractions import Fraction
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import language_id, lm_scoring, toxicity
 from basketry.llm.common import crc_mod
 from tests.llm.conftest import ODD
+from tests.test_plans import most_rows
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -237,3 +239,55 @@ def test_contexts_are_whole_words(spark):
     train = spark.createDataFrame([*seen, *[(text, False) for _, text in asked]], "text string, learn boolean")
     found = {r.doc_id: r.score for r in lm_scoring.score(spark.createDataFrame(asked, "doc_id long, text string"), *lm_scoring.fit(train)).collect()}
     assert found[1] > found[2] + 1 and found[3] > found[4] + 1 and found[5] > found[6] + 1
+
+
+def small_pieces(monkeypatch, hot=3):
+    for name, value in (("CHUNK", 50), ("BUCKET", 300), ("PER_OWNER", 2), ("SHARE", 1 << 30), ("HOT", hot)):
+        monkeypatch.setattr(lm_scoring, name, value)
+
+
+def test_scores_do_not_depend_on_the_pieces(spark, make_docs, monkeypatch):
+    """Many chunks, buckets, owners and dealt contexts against one of each."""
+    draw = random.Random(7)
+    docs = make_docs([*ODD, *[(i, " ".join(draw.choices(["the", "of", "é", "x" * 40, f"r{i % 9}", f"s{i % 5}"], k=30))) for i in range(20, 120)]]).where("length(text) < 1000 or text is null")
+    whole = lm_rows(spark, docs)
+    small_pieces(monkeypatch)
+    parts = lm_rows(spark, docs)
+    assert whole[0][0].places.buckets == whole[0][0].places.owners == 1 and not len(whole[0][0].places.dealt)
+    assert parts[0][0].places.buckets > 5 and parts[0][0].places.owners > 2 and len(parts[0][0].places.dealt) > 5
+    for i, row in whole[1].items():
+        assert parts[1][i].score == pytest.approx(row.score, rel=1e-12) and parts[1][i][1:4] == pytest.approx(row[1:4], rel=1e-12)
+
+
+def test_words_that_share_a_hash_are_told_apart(spark, make_docs, monkeypatch):
+    docs = make_docs([(i, f"the word{i % 40} of other{i % 30} the") for i in range(80)])
+    (plain, *numbers), rows = lm_rows(spark, docs)
+    proper = lm_scoring.hashes
+    monkeypatch.setattr(lm_scoring, "hashes", lambda sizes, data, seeds, rows=None: proper(sizes, data, seeds, rows) % np.uint64(30 if (seeds == 42).all() else 2**63))
+    (other, *others), found = lm_rows(spark, docs)
+    assert (plain.seed, other.seed) == (42, 43) and numbers == others
+    assert all(found[i][1:4] == pytest.approx(rows[i][1:4]) for i in rows)
+
+
+def test_hashes_are_those_of_spark(spark):
+    words = [("aé%d" % i) * (i % 40) for i in range(120)]
+    asked = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("one"), F.xxhash64(F.lit("the"), "w").alias("two")).collect()
+    sizes, data = lm_scoring._bytes_of(pa.array(["the", *words]))
+    first = lm_scoring.hashes(sizes, data, np.full(121, 42, np.uint64))
+    assert first[1:].view(np.int64).tolist() == [r.one for r in asked]
+    assert lm_scoring.hashes(sizes, data, np.full(120, first[0]), np.arange(1, 121)).view(np.int64).tolist() == [r.two for r in asked]
+
+
+def test_words_of_many_texts_are_those_of_one():
+    texts = [text for _, text in ODD] + [" a\x0bB  c\r\n", "\x1c\x85\u2003x İ"]
+    words, lengths = lm_scoring._words(pa.array(texts))
+    assert words.to_pylist() == [word for text in texts for word in lm_scoring.tokens(text)[0][:-1]]
+    assert lengths.tolist() == [len(lm_scoring.tokens(text)[0]) - 1 for text in texts]
+
+
+def test_pairs_are_not_shuffled_as_rows(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HOT", 3)
+    docs = make_docs([(i, " ".join(f"w{i * j % 997}" for j in range(200))) for i in range(40)])
+    found = lm_scoring.score(docs, *lm_scoring.fit(docs.select("text", F.lit(True).alias("learn"))))
+    assert found.count() == 40
+    assert most_rows(found, "Exchange", "shuffleRecordsWritten") < 100  # of about 8,000 pairs
