@@ -9,10 +9,10 @@ A draw is a function of context, word and sweep, so any number of partitions and
 A pair of one customer has one table at any time, so only the other pairs are drawn. The predictive probability of a word is the mean of
 those of the last draws, each with the tables and totals of its own sweep.
 
-Data flow: arrays, not rows, are moved. Texts become chunks of word numbers with a dictionary each. A word is known by its 64-bit hash, and by another seed of it
-if two words were found to share one. An owner holds the totals of its words, a bucket the pairs of its contexts; a context of very many pairs is dealt over
+Data flow: arrays, not rows, are moved. Texts become chunks of word numbers with a dictionary each. Owners of hashes number the words (two
+words found to share a hash have all words hashed by another seed) and hold the totals of theirs, a bucket the pairs of its contexts; a context of very many pairs is dealt over
 several buckets. A bucket sends an owner the sums of its pairs, as one block for both, and gets back the totals of the words that it has, in the order agreed at
-the start, so no block carries names. A chunk asks buckets and owners for each of its pairs and words once. Sums of blocks come to the driver, one row
+the start, so no block carries names. A chunk asks the buckets for each of its pairs once. Sums of blocks come to the driver, one row
 per task; nothing per word, context or pair does, but for the contexts that are dealt. Nothing is approximated or left out.
 """
 
@@ -22,7 +22,7 @@ import itertools
 import struct
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 from math import exp, lgamma, log, pi, sin
 
@@ -41,6 +41,8 @@ END = "\n"
 HOT, SHARE = 1 << 17, 4096
 #: Tokens (and bytes of words) at which a chunk is closed; tokens that a bucket is made for; buckets to an owner.
 CHUNK, CHUNK_BYTES, BUCKET, PER_OWNER = 2_000_000, 128 << 20, 3_000_000, 2
+#: Turns in which chunks are scored; each has its share of them on the way at once, and the pairs anew.
+TURNS = 2
 #: Discount and strength of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
@@ -259,7 +261,7 @@ def _placed(blocks: list, place: int, order: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Chunks:
-    """Texts as numbers: (chunk, tokens, names, degrees, data), and the seed of the words' hashes."""
+    """Texts as numbers: (chunk, data), the number of tokens, and the seed of the words' hashes."""
 
     rows: DataFrame
     ids: np.ndarray
@@ -268,7 +270,7 @@ class Chunks:
 
 
 def chunk_table(docs: DataFrame, seed: int = 42) -> Chunks:
-    """Chunks of (doc_id, text, learn)."""
+    """Chunks of (doc_id, text, learn), with the hashes and texts of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, held = TaskContext.get().partitionId(), itertools.count(), []
@@ -284,14 +286,9 @@ def chunk_table(docs: DataFrame, seed: int = 42) -> Chunks:
             sequence = np.full(len(encoded) + len(lengths), place[-1])
             sequence[np.arange(len(encoded)) + np.repeat(np.arange(len(lengths)), lengths)] = place[encoded.indices.to_numpy(zero_copy_only=False)]
             sizes, data = _bytes_of(_texts_of(sizes, data).take(pa.array(order)))
-            pairs = _distinct(_codes(sequence, len(order)))
-            degrees = np.bincount(pairs // len(order), minlength=len(order))
-            most = np.flatnonzero(degrees > len(pairs) // SHARE)
-            out = [[task << 32 | next(number)], [len(sequence)], [named[order][most].view(np.int64).tolist()], [degrees[most].tolist()],
-                   [pack(ids, known, lengths + 1, learn, sequence, named[order], sizes, data)]]
+            out = [[task << 32 | next(number)], [len(sequence)], [pack(ids, known, lengths + 1, learn, sequence, named[order], sizes, data)]]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (
-                pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))], names=["chunk", "tokens", "names", "degrees", "data"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["chunk", "tokens", "data"])
 
         size, volume = 0, 0
         for batch in batches:
@@ -308,7 +305,7 @@ def chunk_table(docs: DataFrame, seed: int = 42) -> Chunks:
             yield close()
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("learn").cast("boolean"))
-    rows = stage_table(picked.mapInArrow(run, "chunk long, tokens long, names array<long>, degrees array<long>, data binary"))
+    rows = stage_table(picked.mapInArrow(run, "chunk long, tokens long, data binary"))
     sizes = rows.select("chunk", "tokens").collect()
     return Chunks(rows, np.sort(np.array([row.chunk for row in sizes], np.int64)), sum(row.tokens for row in sizes), seed)
 
@@ -330,7 +327,7 @@ def _distinct(codes: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Places:
-    """Where words and pairs are held."""
+    """Where words and pairs are held. An owner's words have the numbers owner, owner + owners, ... in the order of their hashes."""
 
     buckets: int
     owners: int
@@ -342,24 +339,75 @@ class Places:
         return (words % np.uint64(self.owners)).astype(np.int64)
 
     def by_owner(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of hashes, those of one owner together, and the ends of all owners' but the last."""
+        """Places of words, those of one owner together, and the ends of all owners' but the last."""
         owners = self.owner(words)
         return np.argsort(owners, kind="stable"), np.cumsum(np.bincount(owners, minlength=self.owners))[:-1]
 
     def bucket(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        at = (contexts >> np.uint64(20)) % np.uint64(self.buckets)
+        def mixed(words: np.ndarray) -> np.ndarray:
+            with np.errstate(over="ignore"):
+                return words * P1 >> np.uint64(32)
+
+        at = mixed(contexts) % np.uint64(self.buckets)
         if len(self.dealt):
             found = np.minimum(np.searchsorted(self.dealt, contexts), len(self.dealt) - 1)
             hot = self.dealt[found] == contexts
-            at[hot] = (at[hot] + (words[hot] >> np.uint64(20)) % self.splits[found[hot]]) % np.uint64(self.buckets)
+            at[hot] = (at[hot] + mixed(words[hot]) % self.splits[found[hot]]) % np.uint64(self.buckets)
         return at.astype(np.int64)
 
 
-def _places(chunks: Chunks) -> Places:
-    buckets = max(-(-chunks.tokens // BUCKET), 1)
+    def rank(self, words: np.ndarray) -> np.ndarray:
+        """Places of words among their owner's."""
+        return (words // np.uint64(self.owners)).astype(np.int64)
+
+    def numbers(self, owner: int, ranks: np.ndarray) -> np.ndarray:
+        return ranks.astype(np.uint64) * np.uint64(self.owners) + np.uint64(owner)
+
+
+def _places(tokens_: int) -> Places:
+    buckets = max(-(-tokens_ // BUCKET), 1)
+    return Places(buckets, max(buckets // PER_OWNER, 1), np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def _dealt(places: Places, chunks: Chunks) -> Places:
+    """With the contexts that have more than HOT pairs."""
     each = chunks.rows.select(F.explode(F.arrays_zip("names", "degrees")).alias("one")).groupBy(F.col("one.names").alias("name")).agg(F.sum("one.degrees").alias("n"))
-    hot = sorted((row.name % (1 << 64), -(-row.n // HOT)) for row in each.filter(F.col("n") > HOT).collect())
-    return Places(buckets, max(buckets // PER_OWNER, 1), np.array([h for h, _ in hot], np.uint64), np.array([n for _, n in hot], np.uint64))
+    hot = sorted((row.name, -(-row.n // HOT)) for row in each.filter(F.col("n") > HOT).collect())
+    return replace(places, dealt=np.array([h for h, _ in hot], np.uint64), splits=np.array([n for _, n in hot], np.uint64))
+
+
+#: Number of a word that `fit` has not read.
+UNKNOWN = np.uint64(2**63 - 1)
+
+
+def _numbered(chunks: Chunks, places: Places, told: DataFrame) -> Chunks:
+    """The chunks with numbers and training tokens of their words instead of hashes and texts, and the contexts of many pairs.
+
+    `told` has the owners' blocks `ids`. The old rows are removed.
+    """
+
+    def run(chunk: int, given: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        (_, ids, known, lengths, learn, sequence, named), = given["chunk"]
+        told = {owner: block for owner, *block in given["ids"]}
+        numbers, counts = np.full(len(named), UNKNOWN), np.full(len(named), -1)
+        for owner, rows in _slices(places.owner(named), places.owners):
+            if owner in told:
+                numbers[rows], counts[rows] = told[owner]
+        order = np.argsort(numbers, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        sequence, numbers = place[sequence], numbers[order]
+        pairs = _distinct(_codes(sequence, len(order)))
+        degrees = np.bincount(pairs // len(order), minlength=len(order))
+        most = np.flatnonzero(degrees > len(pairs) // SHARE)
+        out = [[chunk], [numbers[most].astype(np.int64).tolist()], [degrees[most].tolist()], [pack(ids, known, lengths, learn, sequence, numbers, counts[order])]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))],
+                                         names=["chunk", "names", "degrees", "data"])
+
+    own = _sent(chunks, lambda chunk, given: iter([(chunk, "chunk", 0, pack(*given[:6]))]))
+    rows = stage_table(_grouped(max(len(chunks.ids), 1), [own, _of(told, "ids")], run, "chunk long, names array<long>, degrees array<long>, data binary", iter))
+    drop_stage(chunks.rows)
+    return replace(chunks, rows=rows, ids=np.arange(len(chunks.ids)))
 
 
 def _sent(chunks: Chunks, run: Callable[[int, list[np.ndarray]], Iterator[Block]]) -> DataFrame:
@@ -528,32 +576,33 @@ class Totals:
 
         def run(to: int, given: dict[str, list]) -> Iterator[pa.RecordBatch]:
             contexts, words, of, at, counts, fixed, _ = _cells(places, given, [])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (contexts[of].view(np.int64), words[at].view(np.int64), counts, fixed)], names=["c", "w", "count", "fixed"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (contexts[of].astype(np.int64), words[at].astype(np.int64), counts, fixed)], names=["c", "w", "count", "fixed"])
 
         found = _grouped(self.places.buckets, [_of(self.cells, "cells", "tables")], run, "c long, w long, count long, fixed double", iter)
-        names = self._named().select("hash", "word")
-        contexts = names.select(F.col("hash").alias("c"), F.col("word").alias("context"))
-        return found.join(contexts, "c").join(names.withColumnRenamed("hash", "w"), "w").select("context", "word", "count", "fixed")
+        names = self._named().select("number", "word")
+        contexts = names.select(F.col("number").alias("c"), F.col("word").alias("context"))
+        return found.join(contexts, "c").join(names.withColumnRenamed("number", "w"), "w").select("context", "word", "count", "fixed")
 
     def _named(self) -> DataFrame:
-        roots = self.roots
+        places, roots = self.places, self.roots
 
         def run(to: int, given: dict[str, list]) -> Iterator[pa.RecordBatch]:
             (_, _, _, sizes, data), = given["words"]
-            (_, named, tokens_, after, follows), = given["base"]
+            (_, tokens_, after, follows), = given["base"]
             tables = [node[1] for node in given["node"]]
             parents = [_parent(customers, sat, *root) for (_, _, customers, sat), root in zip(given["node"], roots)]
             lists = [pa.array(np.stack(rows, axis=1).tolist(), pa.list_(pa.float64())) for rows in ([STRENGTH + DISCOUNT * t for t in tables], parents)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(named.view(np.int64)), _texts_of(sizes, data).cast(pa.string()), pa.array(tokens_), pa.array(after), pa.array(follows > 0),
-                 pa.array(STRENGTH + after), *lists], names=["hash", "word", "count", "tokens_after", "is_context", "room", "spare", "root"])
+                [pa.array(places.numbers(to, np.arange(len(sizes))).astype(np.int64)), _texts_of(sizes, data).cast(pa.string()), pa.array(tokens_), pa.array(after), pa.array(follows > 0),
+                 pa.array(STRENGTH + after), *lists], names=["number", "word", "count", "tokens_after", "is_context", "room", "spare", "root"])
 
         return _grouped(self.places.owners, [_of(self.nodes, "words", "base", "node")], run,
-                        "hash long, word string, count long, tokens_after long, is_context boolean, room double, spare array<double>, root array<double>", iter)
+                        "number long, word string, count long, tokens_after long, is_context boolean, room double, spare array<double>, root array<double>", iter)
 
 
 def _vocabulary(chunks: Chunks, places: Places) -> DataFrame:
-    """Blocks `words` of the owners: hashes in order, training tokens, texts; and totals: tokens, words, words whose hash another word has."""
+    """Blocks `words` of the owners: hashes in order, training tokens, texts; `ids` to the chunks, numbers and training tokens; and totals: tokens, words,
+    words whose hash another word has."""
 
     def send(chunk: int, given: list[np.ndarray]) -> Iterator[Block]:
         _, _, lengths, learn, sequence, named, sizes, data = given
@@ -572,6 +621,10 @@ def _vocabulary(chunks: Chunks, places: Places) -> DataFrame:
         of = np.repeat(first, np.diff(np.append(first, len(named))))
         other = len(named) - int(pc.sum(pc.equal(texts.take(pa.array(order)), texts.take(pa.array(order[of])))).as_py())
         counts = np.add.reduceat(counts[order], first)
+        ranks = np.empty(len(order), np.int64)
+        ranks[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        for (chunk, *_), rank in zip(blocks, np.split(ranks, np.cumsum([len(block[1]) for block in blocks])[:-1])):
+            yield chunk, "ids", owner, pack(places.numbers(owner, rank), counts[rank])
         yield owner, "words", 0, pack(named[first], counts, *_bytes_of(texts.take(pa.array(order[first]))))
         yield owner, "total", owner, pack(np.array([counts.sum(), (counts > 0).sum(), other]))
 
@@ -583,7 +636,7 @@ def _count(chunks: Chunks, places: Places) -> DataFrame:
     one customer alone. To the owners go `first`, with tokens, pairs and pairs of one customer, and `subs`, the contexts and words of the drawn pairs."""
 
     def send(chunk: int, given: list[np.ndarray]) -> Iterator[Block]:
-        _, _, lengths, learn, sequence, named, _, _ = given
+        _, _, lengths, learn, sequence, named, _ = given
         marked = np.sort(_codes(sequence, len(named)) * 2 + np.repeat(learn, lengths))
         first = _firsts(marked >> 1)
         pairs, counts = marked[first] >> 1, np.add.reduceat(marked & 1, first)
@@ -626,28 +679,28 @@ def _count(chunks: Chunks, places: Places) -> DataFrame:
 
 
 def _owned(places: Places, vocabulary: DataFrame, counted: DataFrame) -> DataFrame:
-    """Blocks of the owners: `base` (hashes, training tokens, tokens after it, pairs as a context), `state` (hashes, pairs of one customer by context and by word), `subs`
-    (places of the bucket's contexts and words). To the buckets go `reply`, as in each sweep, and `names`, the texts of its words."""
+    """Blocks of the owners: `base` (training tokens, tokens after it, pairs as a context), `state` (hashes, pairs of one customer by context and by word), `subs`
+    (places of the bucket's contexts and words). To the buckets go `reply`, as in each sweep, and `names`, the texts of its words and the hashes of its contexts."""
 
     def run(owner: int, given: dict[str, list]) -> Iterator[Block]:
         (_, named, tokens_, sizes, data), = given["words"]
         after, types_c, single_c, follows, types_w, single_w = (np.zeros(len(named), np.int64) for _ in range(6))
         for _, contexts, *of_context, words, types, single in given["first"]:
-            at = np.searchsorted(named, contexts)
+            at = places.rank(contexts)
             for total, part in zip((after, types_c, single_c, follows), of_context):
                 total[at] += part
-            at = np.searchsorted(named, words)
+            at = places.rank(words)
             types_w[at] += types
             single_w[at] += single
-        yield owner, "base", 0, pack(named, tokens_, after, follows)
+        yield owner, "base", 0, pack(tokens_, after, follows)
         yield owner, "state", 0, pack(named, single_c, single_w)
         yield owner, "total", owner, pack(np.array([types_w.sum()]))
         texts = _texts_of(sizes, data)
         for bucket, contexts, words in given["subs"]:
-            c, w = np.searchsorted(named, contexts), np.searchsorted(named, words)
+            c, w = places.rank(contexts), places.rank(words)
             yield owner, "subs", bucket, pack(c, w)
             yield bucket, "reply", owner, pack(types_c[c], types_w[w], np.minimum(types_w[w], 1))
-            yield bucket, "names", owner, pack(*_bytes_of(texts.take(pa.array(w))))
+            yield bucket, "names", owner, pack(*_bytes_of(texts.take(pa.array(w))), named[c])
 
     return _kept(_grouped(places.owners, [_of(vocabulary, "words"), _of(counted, "first", "subs")], run))
 
@@ -659,7 +712,7 @@ def _keyed(places: Places, counted: DataFrame, owned: DataFrame) -> DataFrame:
         (_, contexts, words, degrees, word, counts), = given["drawn"]
         sizes, data = _joined(given["names"], 1), _joined(given["names"], 2)
         agreed = [*places.by_owner(contexts), *places.by_owner(words)]
-        keys = hashes(sizes, data, np.repeat(contexts, degrees), np.argsort(agreed[2])[word])
+        keys = hashes(sizes, data, np.repeat(_placed(given["names"], 3, agreed[0]), degrees), np.argsort(agreed[2])[word])
         yield bucket, "drawn", 0, pack(*agreed, degrees, word, counts, keys)
 
     return _kept(_grouped(places.buckets, [_of(counted, "drawn"), _of(owned, "names")], run))
@@ -707,10 +760,10 @@ def _answered(places: Places, owned: DataFrame, counted: DataFrame, nodes: DataF
     """Blocks `reply` of the buckets: tokens after each of their contexts, and in each kept draw its tables, and customers and tables of each of their words."""
 
     def run(owner: int, given: dict[str, list]) -> Iterator[Block]:
-        (_, named, _, after, _), = given["base"]
+        (_, _, after, _), = given["base"]
         draws = given["node"]
         for bucket, contexts, *_, words, _, _ in given["first"]:
-            c, w = np.searchsorted(named, contexts), np.searchsorted(named, words)
+            c, w = places.rank(contexts), places.rank(words)
             yield bucket, "reply", owner, pack(after[c], *[draw[1][c] for draw in draws], *[draw[i][w] for draw in draws for i in (2, 3)])
 
     return _kept(_grouped(places.owners, [_of(owned, "base"), _of(counted, "first"), nodes], run))
@@ -750,7 +803,7 @@ def fit(docs: DataFrame, sweeps: int = SWEEPS) -> tuple[Totals, int, int]:
 def _fit(chunks: Chunks, docs: DataFrame, sweeps: int = SWEEPS) -> tuple[Chunks, Totals, int, int]:
     """`fit` for the chunks of `docs`. They are made anew, and returned, if two words share a hash."""
     while True:
-        places = _places(chunks)
+        places = _places(chunks.tokens)
         vocabulary = _vocabulary(chunks, places)
         train_tokens, train_words, shared = _sums(vocabulary, 3)
         if not shared:
@@ -758,6 +811,9 @@ def _fit(chunks: Chunks, docs: DataFrame, sweeps: int = SWEEPS) -> tuple[Chunks,
         drop_stage(vocabulary)
         drop_stage(chunks.rows)
         chunks = chunk_table(docs, chunks.seed + 1)
+    chunks = _numbered(chunks, places, vocabulary)
+    _drop(vocabulary, "ids")
+    places = _dealt(places, chunks)
     counted = _count(chunks, places)
     owned = _owned(places, vocabulary, counted)
     keyed = _keyed(places, counted, owned)
@@ -792,7 +848,27 @@ def score(docs: DataFrame, totals: Totals, train_tokens: int, train_words: int)
 
     Null texts have END only.
     """
-    return _score(chunk_table(docs.select("doc_id", "text", F.lit(False).alias("learn")), totals.seed), totals, train_tokens, train_words).select(*SCORES)
+    chunks, places = chunk_table(docs.select("doc_id", "text", F.lit(False).alias("learn")), totals.seed), totals.places
+
+    def ask(chunk: int, given: list[np.ndarray]) -> Iterator[Block]:
+        for owner, rows in _slices(places.owner(given[5]), places.owners):
+            yield owner, "ask", chunk, pack(given[5][rows])
+
+    def answer(owner: int, given: dict[str, list]) -> Iterator[Block]:
+        if given["words"]:
+            (_, named, counts, _, _), = given["words"]
+            for chunk, asked in given["ask"]:
+                at, known = _looked_up(named, asked)
+                yield chunk, "ids", owner, pack(np.where(known, places.numbers(owner, at), UNKNOWN), np.where(known, counts[at], -1))
+
+    told = _kept(_grouped(places.owners, [_of(totals.nodes, "words"), _sent(chunks, ask)], answer))
+    return _score(_numbered(chunks, places, told), totals, train_tokens, train_words).select(*SCORES)
+
+
+def _looked_up(found: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys among those found, in order, and whether they are there."""
+    at = np.minimum(np.searchsorted(found, keys), max(len(found) - 1, 0))
+    return at, found[at] == keys if len(found) else np.zeros(len(keys), bool)
 
 
 SCORES = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
@@ -807,43 +883,21 @@ def _score(chunks: Chunks, totals: Totals, train_tokens: int, train_words: int)
         for bucket, _, block in _pair_blocks(places, named, _distinct(_codes(sequence, len(named)))):
             yield bucket, "ask", chunk, pack(*block)
 
-    def ask_words(chunk: int, given: list[np.ndarray]) -> Iterator[Block]:
-        for owner, rows in _slices(places.owner(given[5]), places.owners):
-            yield owner, "ask", chunk, pack(given[5][rows])
-
-    def looked_up(found: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of keys among those found, in order, and whether they are there."""
-        at = np.minimum(np.searchsorted(found, keys), max(len(found) - 1, 0))
-        return at, found[at] == keys if len(found) else np.zeros(len(keys), bool)
-
     def answer(bucket: int, given: dict[str, list]) -> Iterator[Block]:
         if not given["cells"]:
             return
         contexts, words, of, word, _, _, chances = _cells(places, given, roots)
         codes = of * len(words) + word
         for chunk, asked, degrees, followers in given["ask"]:
-            c, known_c = looked_up(contexts, asked)
-            w, known_w = looked_up(words, followers)
-            at, known = looked_up(codes, np.repeat(c, degrees) * len(words) + w)
+            c, known_c = _looked_up(contexts, asked)
+            w, known_w = _looked_up(words, followers)
+            at, known = _looked_up(codes, np.repeat(c, degrees) * len(words) + w)
             yield chunk, "chances", bucket, pack(np.where(known & known_w & np.repeat(known_c, degrees), chances[at], 0.0))
 
-    def answer_words(owner: int, given: dict[str, list]) -> Iterator[Block]:
-        if not given["base"]:
-            return
-        (_, named, counts, _, _), = given["base"]
-        for chunk, asked in given["ask"]:
-            at, known = looked_up(named, asked)
-            yield chunk, "counts", owner, pack(np.where(known, counts[at], -1))
-
     def finish(chunk: int, given: dict[str, list]) -> Iterator[pa.RecordBatch]:
-        (_, ids, known, lengths, learn, sequence, named), = given["chunk"]
+        (_, ids, known, lengths, learn, sequence, named, counts), = given["chunk"]
         pairs, of = np.unique(_codes(sequence, len(named)), return_inverse=True)
-        counts, chances = np.full(len(named), -1), np.zeros(len(pairs))
-        told = {owner: block for owner, block in given["counts"]}
-        for owner, rows in _slices(places.owner(named), places.owners):
-            if owner in told:
-                counts[rows] = told[owner]
-        told = {bucket: block for bucket, block in given["chances"]}
+        chances, told = np.zeros(len(pairs)), {bucket: block for bucket, block in given["chances"]}
         for bucket, rows, _ in _pair_blocks(places, named, pairs):
             if bucket in told:
                 chances[rows] = told[bucket]
@@ -853,11 +907,16 @@ def _score(chunks: Chunks, totals: Totals, train_tokens: int, train_words: int)
             [pa.array(ids, mask=~known), pa.array(lengths), *[pa.array(np.add.reduceat(each, starts)) for each in (
                 (counts > 0).astype(np.int64)[sequence], base[sequence], chances[of])], pa.array(learn)], names=[*SCORES, "learn"])
 
-    chances = _kept(_grouped(places.buckets, [totals.cells, _sent(chunks, ask)], answer))
-    counts = _kept(_grouped(places.owners, [_of(totals.nodes, "base"), _sent(chunks, ask_words)], answer_words))
-    own = _sent(chunks, lambda chunk, given: iter([(chunk, "chunk", 0, pack(*given[:6]))]))
-    return _grouped(max(len(chunks.ids), 1), [own, _of(chances, "chances"), _of(counts, "counts")], finish,
-                    "doc_id long, n_tokens long, n_known long, base_score double, score double, learn boolean", iter)
+    found = []
+    for turn in range(TURNS):
+        some = replace(chunks, rows=chunks.rows.filter(F.col("chunk") % TURNS == turn))
+        chances = _kept(_grouped(places.buckets, [totals.cells, _sent(some, ask)], answer))
+        own = _sent(some, lambda chunk, given: iter([(chunk, "chunk", 0, pack(*given))]))
+        found.append(stage_table(_grouped(max(len(chunks.ids), 1), [own, _of(chances, "chances")], finish,
+                                          "doc_id long, n_tokens long, n_known long, base_score double, score double, learn boolean", iter)))
+        _drop(chances, "chances")
+    drop_stage(chunks.rows)
+    return list(itertools.accumulate(found, DataFrame.unionByName))[-1]
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
