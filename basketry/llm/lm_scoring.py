@@ -40,7 +40,7 @@ END = "\n"
 #: A context of more pairs than this, counted in each chunk, is dealt over several buckets. Chunks name those of a 4096th of their pairs or more.
 HOT, SHARE = 1 << 17, 4096
 #: Tokens (and bytes of words) at which a chunk is closed; tokens that a bucket is made for; buckets to an owner.
-CHUNK, CHUNK_BYTES, BUCKET, PER_OWNER = 2_000_000, 128 << 20, 3_000_000, 2
+CHUNK, CHUNK_BYTES, BUCKET, PER_OWNER = 2_000_000, 128 << 20, 2_500_000, 2
 #: Turns in which chunks are scored; each has its share of them on the way at once, and the pairs anew.
 TURNS = 2
 #: Discount and strength of the context restaurants and of their parent.
@@ -53,11 +53,13 @@ KEPT = 3
 EXACT = 1024
 #: Rows of about as many customers are drawn together, in matrices of at most CELLS numbers.
 CLASSES = (2, 3, 4, 8, 16, 32, 64, 128, 256, 512, EXACT)
-CELLS = 1 << 20
+CELLS = 1 << 16
 #: Below this share of customers ** discount, tables are few; the number of terms that their probabilities need then.
 FEW, TERMS = 0.05, 30
 #: Numbers of tables proposed at once for a row of more than EXACT customers.
 PROPOSED = 256
+#: Such rows whose first customers are seated together.
+TOGETHER = 16
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
 
@@ -109,7 +111,7 @@ def hashes(sizes: np.ndarray, data: np.ndarray, seeds: np.ndarray, rows: np.ndar
         if not len(group):
             continue
         size = int(lengths[group[0]])
-        for part in np.array_split(group, -(-len(group) * max(size, 1) // (CELLS << 3)) or 1):
+        for part in np.array_split(group, -(-len(group) * max(size, 1) // (CELLS << 2)) or 1):
             out[part] = _hashes_of_one_size(data, starts[rows[part]], size, seeds[part])
     return out
 
@@ -481,30 +483,51 @@ def _draw_few(customers: int, mean: float, discount: float, rng: np.random.Gener
     return int(t[np.searchsorted(sums, rng.random() * sums[-1], side="right")])
 
 
-def _draw_many(customers: int, opening: float, discount: float, rng: np.random.Generator) -> int:
+def _fitted(customers: int, opening: float, discount: float) -> float | None:
+    """The strength of the restaurant that proposes for `_draw_many`; None where tables are few."""
+    d, low, high = discount, -discount * (1 - 1e-9), opening + discount
+    if opening / d < FEW * customers**d:
+        return None
+    for _ in range(60):
+        s = (low + high) / 2
+        low, high = (s, high) if _expected_tables(customers, d, s) < (opening - s) / d + 1 else (low, s)
+    return s
+
+
+def _first_seated(customers: int, strengths: list[float], discount: float, rngs: list[np.random.Generator]) -> np.ndarray:
+    """PROPOSED numbers of tables for each of several restaurants, whose customers are seated one by one, but together."""
+    s, t = np.array(strengths)[:, None], np.ones((len(rngs), PROPOSED))
+    chances = np.empty((customers - 1, *t.shape))
+    for i, rng in enumerate(rngs):
+        chances[:, i] = rng.random((customers - 1, PROPOSED))
+    for n in range(1, customers):
+        t += chances[n - 1] < (s + discount * t) / (n + s)
+    return t.astype(np.int64)
+
+
+def _draw_many(customers: int, opening: float, discount: float, rng: np.random.Generator, seated: np.ndarray | None = None) -> int:
     """A draw from the conditional for more than EXACT customers: from its probabilities if there are far fewer tables, else by rejection.
 
     Given its number of customers, a restaurant of any strength s has t tables with a probability of the conditional's, times
     (s + d) ... (s + (t - 1) d) / opening ** t. So t is proposed by seating customers there, with the s for which that factor is least where
     most proposals are, and accepted by its reciprocal. Customers after EXACT are seated in strides of a 64th, at the rate in the middle of the stride.
+    `seated` has the first proposals' tables after EXACT customers, if they were seated with those of other rows.
     """
-    d, low, high = discount, -discount * (1 - 1e-9), opening + discount
-    if opening / d < FEW * customers**d:
+    d, s = discount, _fitted(customers, opening, discount)
+    if s is None:
         return _draw_few(customers, opening / d, d, rng)
-    for _ in range(60):
-        s = (low + high) / 2
-        low, high = (s, high) if _expected_tables(customers, d, s) < (opening - s) / d + 1 else (low, s)
 
     def weight(t: int) -> float:
         return t * log(opening / d) - lgamma(s / d + t)
 
     best = weight(max(1, int((opening - s) / d) + 1))
     while True:
-        t, n = np.ones(PROPOSED, np.int64), 1
+        n = min(customers, EXACT)
+        t, seated = _first_seated(n, [s], d, [rng])[0] if seated is None else seated, None
         while n < customers:
-            stride = min(1 if n < EXACT else n // 64, customers - n)
+            stride = min(n // 64, customers - n)
             rate = np.minimum((s + d * t) / (n + (stride - 1) / 2 + s), 1)
-            t += rng.binomial(stride, rate) if stride > 1 else rng.random(PROPOSED) < rate
+            t = t + (rng.binomial(stride, rate) if stride > 1 else rng.random(PROPOSED) < rate)
             n += stride
         chances = rng.random(PROPOSED)
         for proposed, chance in zip(t.tolist(), chances.tolist()):
@@ -531,8 +554,13 @@ def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, key
             t[part] = (weights - np.log(-np.log(uniforms(k[part], seed, 0, widest)))).argmax(axis=1) + 1
         lowest = widest
     # Rows of more, of which there are few.
-    for i in np.flatnonzero(seated < c):
-        t[i] = _draw_many(int(c[i]), float(a[i]), discount, np.random.Generator(np.random.Philox(key=np.array([int(k[i]) & (1 << 64) - 1, seed], np.uint64))))
+    rows = np.flatnonzero(seated < c).tolist()
+    for part in (rows[i:i + TOGETHER] for i in range(0, len(rows), TOGETHER)):
+        rngs = {i: np.random.Generator(np.random.Philox(key=np.array([int(k[i]) & (1 << 64) - 1, seed], np.uint64))) for i in part}
+        fitted = {i: s for i in part if (s := _fitted(int(c[i]), float(a[i]), discount)) is not None}
+        proposed = dict(zip(fitted, _first_seated(EXACT, [*fitted.values()], discount, [rngs[i] for i in fitted]))) if fitted else {}
+        for i in part:
+            t[i] = _draw_many(int(c[i]), float(a[i]), discount, rngs[i], proposed.get(i))
     tables[many] = t
     return tables
 
